@@ -1,0 +1,107 @@
+"""Run every registered query in Spark and its oracle SQL in DuckDB and
+compare row count, column names/types and an order-insensitive value hash.
+
+Usage: python tests/oracle_check.py [sf_dir] [name ...]
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import decimal
+import hashlib
+import math
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def duck(sf_dir):
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def norm(v):
+    if v is None:
+        return "∅"
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return repr(float(v))
+    if isinstance(v, decimal.Decimal):
+        return repr(float(v))
+    if isinstance(v, _dt.datetime):
+        return v.isoformat()
+    if isinstance(v, _dt.date):
+        return v.isoformat()
+    if isinstance(v, (list, tuple)):
+        return "[" + ",".join(norm(x) for x in v) + "]"
+    if isinstance(v, dict):
+        return "{" + ",".join(f"{k}:{norm(x)}" for k, x in sorted(v.items())) + "}"
+    return str(v)
+
+
+def digest(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    lines = sorted("|".join(norm(r[i]) for i in order) for r in rows)
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16], lines
+
+
+def compare(spark, sf_dir, names=None, verbose=True):
+    import __spark_entry__ as E
+    qs, sql = E.queries(), E.oracle_sql()
+    con = duck(sf_dir)
+    results = {}
+    for name in (names or qs):
+        t0 = time.time()
+        df = qs[name](spark, sf_dir)
+        srows = [tuple(r) for r in df.collect()]
+        scols = df.columns
+        ts = time.time() - t0
+        if name not in sql:
+            results[name] = ("rows-only", len(srows))
+            if verbose:
+                print(f"{name:28s} rows-only rows={len(srows)} {ts:.1f}s", flush=True)
+            continue
+        cur = con.execute(sql[name])
+        dcols = [d[0] for d in cur.description]
+        drows = cur.fetchall()
+        sh, sl = digest(scols, srows)
+        dh, dl = digest(dcols, drows)
+        ok = (sorted(scols) == sorted(dcols) and len(srows) == len(drows) and sh == dh)
+        results[name] = ("ok" if ok else "MISMATCH", len(srows), len(drows))
+        if verbose:
+            print(f"{name:28s} {'ok' if ok else 'MISMATCH'} spark={len(srows)} duck={len(drows)} "
+                  f"{ts:.1f}s", flush=True)
+            if not ok:
+                if sorted(scols) != sorted(dcols):
+                    print("   cols", scols, dcols)
+                diff = sorted(set(sl) ^ set(dl))[:4]
+                for x in diff:
+                    print("   diff", x[:300])
+    return results
+
+
+if __name__ == "__main__":
+    from pyspark.sql import SparkSession
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    names = sys.argv[2:] or None
+    spark = (SparkSession.builder.master("local[8]")
+             .config("spark.sql.shuffle.partitions", "8")
+             .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.ui.enabled", "false")
+             .getOrCreate())
+    spark.sparkContext.setLogLevel("ERROR")
+    res = compare(spark, sf, names)
+    bad = [k for k, v in res.items() if v[0] == "MISMATCH"]
+    print("MISMATCHES:", bad)
+    sys.exit(1 if bad else 0)
