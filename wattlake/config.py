@@ -33,6 +33,14 @@ class LakeConfig:
     warehouse_enabled: bool = True
     # Bounded warehouse CSV export size.
     export_limit: int = 1000
+    # Mean price: None = floating avg; an int = exact decimal-sum mean at
+    # that scale (order-independent, see functions.exact_avg).
+    avg_scale: int | None = None
+    # Keep the parsed landing frame on executors while the bronze splits
+    # read it (one text parse instead of one per split).
+    persist_landing: bool = True
+    # Keep identical provider rows once in the curated provider dataset.
+    distinct_providers: bool = False
     extra: dict = field(default_factory=dict)
 
     def _join(self, *parts: str) -> str:
