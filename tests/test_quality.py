@@ -1,0 +1,41 @@
+"""Quarantine split (S8) and sensitive-data detection."""
+
+from tests.sample_data import write_landing
+from wattlake.operators import quality, sensitive
+from wattlake.sources.landing import read_landing_csv
+
+
+def test_shifted_rows_quarantined(spark, tmp_root):
+    landing = write_landing(tmp_root)
+    c = read_landing_csv(spark, f"{landing}/contratos.csv")
+    accepted, quarantined = quality.split_provider_quality(c)
+    q = quarantined.collect()
+    assert len(q) == 5 and {r.reason for r in q} == {quality.REASON_SHIFTED}
+    assert accepted.count() == 10
+    assert accepted.where("capacidad_mw IS NULL").count() == 0
+    counts = {r.reason: r.n for r in quality.provider_quality_counts(c).collect()}
+    assert counts == {"accepted": 10, quality.REASON_SHIFTED: 5}
+
+
+def test_unparsable_values_have_their_own_reason(spark):
+    c = spark.createDataFrame(
+        [("P1", "solar", "abc", "Cali", "2023-01-01"), ("P2", "solar", "1.5", "Cali", "not a date"),
+         ("P3", "solar", "", "Cali", None)],
+        "nombre_proveedor string, tipo_energia string, capacidad_mw string, ciudad string, "
+        "fecha_contrato string")
+    reasons = {r.nombre_proveedor: r.reason for r in quality.split_provider_quality(c)[1].collect()}
+    assert reasons == {"P1": quality.REASON_BAD_CAPACITY, "P2": quality.REASON_BAD_DATE}
+
+
+def test_sensitive_counts(spark):
+    docs = spark.createDataFrame(
+        [(1, "en", "mail a.b@x.example.com and +1 (555) 123-4567, card 4111111111111111"),
+         (2, "en", 'token = "abc123" at 10.0.0.1'),
+         (3, "fr", "rien ici"), (4, "fr", None)],
+        "doc_id long, lang string, text string")
+    f = {r.doc_id: r for r in sensitive.flag_documents(docs).collect()}
+    assert (f[1].emails, f[1].phones, f[1].cards) == (1, 1, 1)
+    assert (f[2].secrets, f[2].ipv4s) == (1, 1)
+    assert not f[3].flagged and f[4].emails == 0
+    c = {r.lang: r for r in sensitive.sensitive_counts(docs).collect()}
+    assert (c["en"].n_docs, c["en"].n_flagged, c["fr"].n_flagged) == (2, 2, 0)

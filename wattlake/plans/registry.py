@@ -162,3 +162,100 @@ ORACLE_SQL: dict[str, str] = {
                  ciudad ASC NULLS LAST, tipo_energia ASC NULLS LAST, capacidad_mw ASC NULLS LAST
         LIMIT {EXPORT_LIMIT}""",
 }
+
+
+# ---- stream, quality and sensitive-data queries ---------------------------
+from wattlake.operators import quality, sensitive  # noqa: E402
+from wattlake.sources.driver_tables import table  # noqa: E402
+from wattlake.streaming import events as ev  # noqa: E402
+
+
+def _profiles(spark, d):
+    return ev.user_profiles(table(spark, d, "customer"), table(spark, d, "orders"))
+
+
+def _quality_tagged(spark, d):
+    return quality.split_provider_quality(_contratos(spark, d))
+
+
+QUERIES.update({
+    "stream_enriched_alerts": lambda s, d: ev.enriched_alerts(table(s, d, "events"), _profiles(s, d)),
+    "flattened_events": lambda s, d: ev.flatten_events(table(s, d, "events")),
+    "quarantined_providers": lambda s, d: _quality_tagged(s, d)[1],
+    "provider_quality": lambda s, d: quality.provider_quality_counts(_contratos(s, d)),
+    "pii_counts": lambda s, d: sensitive.sensitive_counts(table(s, d, "documents")),
+})
+
+
+def _case_weights() -> str:
+    arms = " ".join(f"WHEN '{k}' THEN CAST({v} AS DECIMAL(4,3))"
+                    for k, v in ev.EVENT_TYPE_WEIGHTS.items())
+    return f"CASE event_type {arms} END"
+
+
+_PROFILES_SQL = """
+portfolio AS (
+  SELECT o_custkey, count(*) AS n_orders,
+         CAST(round(sum(CAST(o_totalprice AS DECIMAL(18,2))), 0) AS BIGINT) AS spent_units
+  FROM orders GROUP BY o_custkey),
+prof AS (
+  SELECT c_custkey AS user_id, c_name, c_mktsegment, c_acctbal,
+         coalesce(n_orders, 0) AS n_orders, coalesce(spent_units, 0) AS spent_units
+  FROM customer LEFT JOIN portfolio ON c_custkey = o_custkey)"""
+
+_T = ev.DEFAULT_THRESHOLD
+ORACLE_SQL.update({
+    "stream_enriched_alerts": f"""
+WITH {_PROFILES_SQL},
+sc AS (
+  SELECT e.event_id, e.ts, e.user_id, e.event_type, e.value, p.c_name, p.c_mktsegment,
+         p.c_acctbal, p.n_orders,
+         CAST(coalesce({_case_weights()}, CAST(0 AS DECIMAL(4,3)))
+              + coalesce(CAST(least(greatest(e.value, 0.0), {float(ev.VALUE_CAP)}) AS DECIMAL(5,2)),
+                         CAST(0 AS DECIMAL(5,2))) * CAST({ev.VALUE_WEIGHT} AS DECIMAL(4,3))
+              + CAST(least(coalesce(p.n_orders, 0), {ev.LOYALTY_CAP}) AS DECIMAL(2,0))
+                * CAST({ev.LOYALTY_WEIGHT} AS DECIMAL(4,3))
+              AS DOUBLE) AS score
+  FROM events e LEFT JOIN prof p ON e.user_id = p.user_id)
+SELECT event_id, ts, user_id, event_type, value, c_name, c_mktsegment, n_orders, score,
+       CASE WHEN score <= {_T} THEN '{ev.ACTION_NONE}'
+            WHEN coalesce(c_acctbal, 0.0) >= 0 THEN '{ev.ACTION_BUY}'
+            ELSE '{ev.ACTION_SELL}' END AS action
+FROM sc WHERE score > {_T}""",
+    "flattened_events": """
+SELECT event_id, ts, user_id, event_type, value,
+       CAST(json_extract(props, '$.k') AS INTEGER) AS props_k
+FROM events""",
+})
+
+_QREASON = f"""
+CASE WHEN regexp_matches(nombre_proveedor, '{quality.NUMERIC_TEXT}')
+          AND try_cast(capacidad_mw AS DOUBLE) IS NULL THEN '{quality.REASON_SHIFTED}'
+     WHEN capacidad_mw IS NOT NULL AND trim(capacidad_mw) <> ''
+          AND try_cast(capacidad_mw AS DOUBLE) IS NULL THEN '{quality.REASON_BAD_CAPACITY}'
+     WHEN fecha_contrato IS NOT NULL AND trim(fecha_contrato) <> ''
+          AND try_cast(fecha_contrato AS DATE) IS NULL THEN '{quality.REASON_BAD_DATE}'
+END"""
+
+ORACLE_SQL.update({
+    "quarantined_providers": f"""{_CTE}
+SELECT * FROM (
+  SELECT nombre_proveedor, tipo_energia, capacidad_mw, ciudad, fecha_contrato, {_QREASON} AS reason
+  FROM contratos WHERE nombre_proveedor IS NOT NULL) WHERE reason IS NOT NULL""",
+    "provider_quality": f"""{_CTE}
+SELECT coalesce(reason, 'accepted') AS reason, count(*) AS n FROM (
+  SELECT {_QREASON} AS reason FROM contratos WHERE nombre_proveedor IS NOT NULL)
+GROUP BY coalesce(reason, 'accepted')""",
+})
+
+_PII_COUNTS = ",\n  ".join(
+    f"CAST(coalesce(len(regexp_extract_all(text, '{p}')), 0) AS BIGINT) AS {k}"
+    for k, p in sensitive.PATTERNS.items())
+_PII_FLAG = " OR ".join(f"{k} > 0" for k in sensitive.PATTERNS)
+_PII_SUMS = ", ".join(f"CAST(sum({k}) AS BIGINT) AS {k}" for k in sensitive.PATTERNS)
+ORACLE_SQL["pii_counts"] = f"""
+SELECT lang, count(*) AS n_docs, count(*) FILTER (WHERE {_PII_FLAG}) AS n_flagged, {_PII_SUMS}
+FROM (SELECT lang,
+  {_PII_COUNTS}
+  FROM documents)
+GROUP BY lang"""
