@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 # Write modes understood by the partitioned sinks.
 OVERWRITE_PARTITIONS = "overwrite_partitions"  # idempotent re-run of one run_date
-APPEND = "append"                              # the reference's behaviour
+APPEND = "append"                              # the original append-every-run behaviour
 
 
 @dataclass(frozen=True)
