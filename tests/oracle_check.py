@@ -50,6 +50,17 @@ def norm(v):
     return str(v)
 
 
+_SPARK_TO_DUCK = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER",
+                  "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+                  "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def spark_type_as_duck(t: str) -> str:
+    if t.startswith("decimal"):
+        return t.upper().replace(" ", "")
+    return _SPARK_TO_DUCK.get(t, t.upper())
+
+
 def digest(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     lines = sorted("|".join(norm(r[i]) for i in order) for r in rows)
@@ -74,7 +85,12 @@ def compare(spark, sf_dir, names=None, verbose=True):
             continue
         cur = con.execute(sql[name])
         dcols = [d[0] for d in cur.description]
+        dtypes = {d[0]: str(d[1]).upper().replace(" ", "") for d in cur.description}
         drows = cur.fetchall()
+        stypes = {c: spark_type_as_duck(t) for c, t in df.dtypes}
+        type_diff = {c: (stypes[c], dtypes.get(c)) for c in stypes if stypes[c] != dtypes.get(c)}
+        if type_diff and verbose:
+            print(f"   TYPES {name}: {type_diff}")
         sh, sl = digest(scols, srows)
         dh, dl = digest(dcols, drows)
         ok = (sorted(scols) == sorted(dcols) and len(srows) == len(drows) and sh == dh)

@@ -1,0 +1,81 @@
+"""Plan-shape guarantees of the registered queries, and data properties."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_SMALL
+from wattlake.functions import stamp
+from wattlake.plans.registry import QUERIES
+from wattlake.sinks.parquet import write_partitioned
+from wattlake.sources.lake import read_dataset
+
+
+def _plan(spark, df, name):
+    view = f"plan_{name}"
+    df.createOrReplaceTempView(view)
+    return spark.sql(f"EXPLAIN FORMATTED SELECT * FROM {view}").first()[0]
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    return {n: _plan(spark, q(spark, SF_SMALL), n) for n, q in QUERIES.items()}
+
+
+def test_no_python_udf_no_cross_join(plans):
+    for name, plan in plans.items():
+        for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
+                    "BroadcastNestedLoopJoin"):
+            assert bad not in plan, (name, bad)
+
+
+def test_column_pruning_reaches_scan(plans):
+    plan = plans["transacciones_agg"]
+    lineitem_schemas = [ln for ln in plan.splitlines()
+                        if "ReadSchema" in ln and "l_orderkey" in ln]
+    assert lineitem_schemas
+    for ln in lineitem_schemas:
+        assert "l_tax" not in ln and "l_extendedprice" not in ln and "l_linestatus" not in ln
+
+
+def test_partition_pruning(spark, tmp_root):
+    df = spark.createDataFrame([("a", 1.0)], "k string, v double")
+    path = f"{tmp_root}/ds"
+    for d in (dt.date(2023, 5, 1), dt.date(2024, 5, 1)):
+        write_partitioned(stamp(df, d), path)
+    r = read_dataset(spark, path).where(F.col("year") == 2024)
+    assert r.count() == 1
+    plan = _plan(spark, r, "pruned")
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
+
+
+def test_totals_conserve_kwh(spark):
+    tx = QUERIES["transacciones"](spark, SF_SMALL)
+    total_in = tx.agg(F.sum("cantidad_kwh")).first()[0]
+    total_out = QUERIES["tipo_energia_totals"](spark, SF_SMALL).agg(F.sum("total_kwh")).first()[0]
+    assert total_out == pytest.approx(total_in, rel=1e-12)
+
+
+def test_sales_and_purchases_disjoint_subsets(spark):
+    tx = QUERIES["stamped_transacciones"](spark, SF_SMALL)
+    ventas = QUERIES["v_ventas"](spark, SF_SMALL)
+    compras = QUERIES["v_compras"](spark, SF_SMALL)
+    assert ventas.join(compras, "id_transaccion", "left_semi").count() == 0
+    assert ventas.unionByName(compras).join(tx, "id_transaccion", "left_anti").count() == 0
+    n_types = tx.select(F.lower("tipo_transaccion")).distinct().count()
+    assert n_types == 3 and ventas.count() + compras.count() < tx.count()
+
+
+def test_client_view_keys_are_distinct_clients(spark):
+    tx = QUERIES["transacciones"](spark, SF_SMALL)
+    vc = QUERIES["v_clientes"](spark, SF_SMALL)
+    keys = tx.where("cliente_proveedor IS NOT NULL").select("cliente_proveedor").distinct()
+    assert vc.count() == keys.count() == vc.select("cliente").distinct().count()
+    assert vc.join(keys, vc.cliente == keys.cliente_proveedor, "left_anti").count() == 0
+    assert vc.where("tipo_cliente IS NULL").count() == 0
+
+
+def test_dedup_one_row_per_client(spark):
+    cc = QUERIES["clientes_curated"](spark, SF_SMALL)
+    assert cc.count() == cc.select("cliente_proveedor").distinct().count()

@@ -73,6 +73,7 @@ def test_archive_and_dual_sink(spark, tmp_root):
     q.awaitTermination()
     arch = spark.read.parquet(f"{tmp_root}/archive")
     assert arch.count() == n and "event_date" in arch.columns
+    profiles = ev.materialize_profiles(profiles, f"{tmp_root}/profiles")
     q = ev.start_dual_sink(ev.event_stream(spark, src), f"{tmp_root}/flat", f"{tmp_root}/ops",
                            profiles, f"{tmp_root}/ck_dual")
     q.awaitTermination()

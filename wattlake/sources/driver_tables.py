@@ -48,7 +48,9 @@ def needs_spread(df: DataFrame, key: str) -> bool:
     cores = df.sparkSession.sparkContext.defaultParallelism
     k = (key, cores)
     if k not in _SPREAD:
-        _SPREAD[k] = len(df.inputFiles()) < cores and df.rdd.getNumPartitions() < cores
+        # Planned split count first (one number); the file list is fetched
+        # only for inputs already known to be small.
+        _SPREAD[k] = df.rdd.getNumPartitions() < cores and len(df.inputFiles()) < cores
     return _SPREAD[k]
 
 
