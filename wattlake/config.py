@@ -36,9 +36,11 @@ class LakeConfig:
     # Mean price: None = floating avg; an int = exact decimal-sum mean at
     # that scale (order-independent, see functions.exact_avg).
     avg_scale: int | None = None
-    # Keep the parsed landing frame on executors while the bronze splits
-    # read it (one text parse instead of one per split).
-    persist_landing: bool = True
+    # How the bronze splits share one landing parse: "persist" keeps the
+    # parsed rows on executors, "parquet" writes them once to the bronze
+    # staging folder (lineage cut on shared storage; each split then reads
+    # only its columns), "none" re-parses the text for every split.
+    landing_staging: str = "persist"
     # Keep identical provider rows once in the curated provider dataset.
     distinct_providers: bool = False
     extra: dict = field(default_factory=dict)

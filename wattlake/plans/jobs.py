@@ -10,6 +10,7 @@ import logging
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wattlake.config import LakeConfig
 from wattlake.functions import stamp
@@ -18,7 +19,7 @@ from wattlake.session import resolve_run_date
 from wattlake.sinks import parquet as pq
 from wattlake.sinks import text, warehouse
 from wattlake.sources import catalog
-from wattlake.sources.lake import read_partition
+from wattlake.sources.lake import partition_filter, read_partition
 from wattlake.sources.landing import contract_paths, read_first_existing, risk_paths
 
 log = logging.getLogger(__name__)
@@ -47,10 +48,15 @@ def ingest_bronze(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | Non
         riesgos = read_first_existing(spark, risk_paths(cfg.landing))
     written = []
     if contratos is not None:
-        splits = bronze.split_contratos(contratos)
-        cached = cfg.persist_landing and len(splits) > 1
-        if cached:
+        cached = False
+        if cfg.landing_staging == "parquet":
+            staged = f"{cfg.bronze}/_staging/contratos/run_date={run_date.isoformat()}"
+            contratos.write.mode("overwrite").parquet(staged)
+            contratos = spark.read.parquet(staged)
+        elif cfg.landing_staging == "persist":
             contratos.persist(StorageLevel.MEMORY_AND_DISK)
+            cached = True
+        splits = bronze.split_contratos(contratos)
         try:
             for name, df in splits.items():
                 pq.write_partitioned(stamp(df, run_date), cfg.bronze_path(name), cfg.write_mode)
@@ -99,10 +105,39 @@ def curate_proveedores(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date)
     return True
 
 
+def _previous_snapshot(spark: SparkSession, path: str, run_date: _dt.date) -> DataFrame | None:
+    """Rows of the latest partition of ``path`` strictly before ``run_date``."""
+    ds = read_partition(spark, path, None, optional=True)
+    if ds is None:
+        return None
+    part_date = F.make_date("year", "month", "day")
+    earlier = ds.where(part_date < F.lit(run_date))
+    # Partition columns only: answered from file listing and footers.
+    latest = earlier.agg(F.max(part_date).alias("d")).first()["d"]
+    if latest is None:
+        return None
+    return ds.where(partition_filter(latest))
+
+
 def curate_clientes(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> bool:
+    """One row per client.
+
+    With ``source_scope="run_date"`` each gold partition is a full snapshot:
+    the previous snapshot's rows (with their own ``processed_date``) are
+    merged with the day's bronze rows and deduplicated again.  The survivor
+    rule is a ``max``, which is associative, so this equals deduplicating
+    the whole bronze history while reading one snapshot instead of every
+    bronze partition.
+    """
     df = _bronze(spark, cfg, "clientes", run_date)
     if df is None:
         return False
+    if cfg.source_scope == "run_date":
+        prev = _previous_snapshot(spark, cfg.gold_path("clientes"), run_date)
+        if prev is not None:
+            cols = [c for c in df.columns if c not in ("year", "month", "day")]
+            df = df.select(*cols).unionByName(prev.select(*[c for c in cols if c in prev.columns]),
+                                              allowMissingColumns=True)
     pq.write_partitioned(stamp(curated.dedup_clientes(df), run_date),
                          cfg.gold_path("clientes"), cfg.write_mode)
     return True
