@@ -41,7 +41,8 @@ def test_full_run(spark, tmp_root):
     assert q.count() == 4
     # warehouse: typed tables, by-name load (avg/total not swapped)
     agg = spark.table(f"{cfg.dwh_analytics_db}.transacciones_agg")
-    assert agg.columns == ["tipo_energia", "ciudad", "fecha_transaccion", "total_kwh", "avg_precio_kwh"]
+    assert agg.columns == ["tipo_energia", "ciudad", "fecha_transaccion", "total_kwh", "avg_precio_kwh",
+                           "load_date"]
     assert agg.where("total_kwh < 1").count() == 0
     assert spark.table(f"{cfg.dwh_gold_db}.transacciones").count() == 10
     assert spark.table(f"{cfg.dwh_gold_db}.v_clientes").count() == 5
@@ -55,10 +56,16 @@ def test_full_run(spark, tmp_root):
     assert [ln.split(",")[0] for ln in lines[1:]] == [f"TXN{i:03d}" for i in range(1, 11)]
     assert glob.glob(f"{cfg.exports}/warehouse/proveedores/part-*.csv")
 
-    # rerun of the same day: dynamic partition overwrite changes nothing
+    # rerun of the same day: partition overwrite changes nothing, lake or warehouse
     daily_run.run_all(spark, cfg, export=False)
     assert read_dataset(spark, cfg.bronze_path("transacciones")).count() == 10
     assert read_dataset(spark, cfg.gold_path("transacciones_agg")).count() == 9
+    assert spark.table(f"{cfg.dwh_gold_db}.transacciones").count() == 10
+    assert spark.table(f"{cfg.dwh_analytics_db}.transacciones_agg").count() == 9
+    # a full reload rebuilds the same content
+    jobs.load_warehouse(spark, cfg, RD, reload=True)
+    assert spark.table(f"{cfg.dwh_gold_db}.transacciones").count() == 10
+    assert spark.table(f"{cfg.dwh_gold_db}.proveedores").count() == 15
 
 
 def test_append_mode_duplicates_like_the_original(spark, tmp_root):

@@ -145,8 +145,10 @@ def curate_clientes(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) ->
 
 # ---- G9 analytics ------------------------------------------------------------
 def energy_totals(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> bool:
-    agg = read_partition(spark, cfg.gold_path("transacciones_agg"), _scope(cfg, run_date),
-                         optional=True)
+    """kWh per energy type over the whole aggregate history (one partition
+    per processing date, free of duplicate days under partition overwrite);
+    the aggregate is far smaller than the transactions it summarises."""
+    agg = read_partition(spark, cfg.gold_path("transacciones_agg"), None, optional=True)
     if agg is None:
         return False
     pq.write_dataset(aggregates.energy_totals(agg), cfg.gold_path("analytics/tipo_energia"))
@@ -184,14 +186,15 @@ def load_warehouse(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date,
                    reload: bool = False) -> list[str]:
     """Create the warehouse tables and load gold into them.
 
-    Default: append the gold rows of ``run_date`` only (each day is loaded
-    once).  ``reload=True`` replaces each table with the whole gold dataset.
+    Default: the gold rows of ``run_date`` replace the ``load_date =
+    run_date`` partition (idempotent on re-run or retry).  ``reload=True``
+    replaces each table with the whole gold dataset.
     """
     if not cfg.warehouse_enabled:
         log.info("warehouse load disabled; skipped")
         return []
     warehouse.create_warehouse(spark, cfg)
-    scope = None if reload else _scope(cfg, run_date)
+    scope = None if reload else run_date
     sources = {
         f"{cfg.dwh_gold_db}.transacciones": "transacciones_curated",
         f"{cfg.dwh_analytics_db}.transacciones_agg": "transacciones_agg",
@@ -202,7 +205,10 @@ def load_warehouse(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date,
         df = read_partition(spark, cfg.gold_path(ds), scope, optional=True)
         if df is None:
             continue
-        warehouse.load_table(spark, df, table, overwrite=reload)
+        if reload:
+            warehouse.reload_table(spark, df, table)
+        else:
+            warehouse.load_table(spark, df, table, run_date)
         loaded.append(table)
     views.create_dwh_views(spark, cfg.dwh_gold_db, f"{cfg.dwh_gold_db}.transacciones")
     return loaded

@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.functions import stamp
-from wattlake.operators import aggregates, bronze, curated, exports, views
-from wattlake.sources.driver_tables import CONTRATOS_SQL, contratos_from_tables
+from wattlake.operators import aggregates, bronze, curated, exports, quality, sensitive, views
+from wattlake.sources.driver_tables import CONTRATOS_SQL, contratos_from_tables, table
+from wattlake.streaming import events as ev
 
 RUN_DATE = _dt.date(2024, 6, 1)
 SUMMARY_YEAR = 1998          # business year used by the price summary
@@ -165,10 +166,6 @@ ORACLE_SQL: dict[str, str] = {
 
 
 # ---- stream, quality and sensitive-data queries ---------------------------
-from wattlake.operators import quality, sensitive  # noqa: E402
-from wattlake.sources.driver_tables import table  # noqa: E402
-from wattlake.streaming import events as ev  # noqa: E402
-
 
 def _profiles(spark, d):
     return ev.user_profiles(table(spark, d, "customer"), table(spark, d, "orders"))

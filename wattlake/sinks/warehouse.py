@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wattlake.config import LakeConfig
 from wattlake.schemas import DWH_AGG_DDL, DWH_PROVEEDORES_DDL, DWH_TRANSACCIONES_DDL
@@ -17,29 +20,46 @@ def warehouse_tables(cfg: LakeConfig) -> dict[str, str]:
     }
 
 
+LOAD_DATE = "load_date"
+
+
 def create_warehouse(spark: SparkSession, cfg: LakeConfig) -> list[str]:
     """``CREATE DATABASE/TABLE IF NOT EXISTS`` for the two warehouse schemas
-    and three typed tables.  ``VARCHAR(n)`` lengths are enforced on write."""
+    and three typed tables.  ``VARCHAR(n)`` lengths are enforced on write.
+
+    Each table carries one extra partition column, ``load_date``, so a day's
+    load can be replaced as a unit: re-running or retrying a load overwrites
+    that day instead of appending it twice."""
     for db in (cfg.dwh_gold_db, cfg.dwh_analytics_db):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{cfg.dwh}/{db}'")
     names = []
     for name, ddl in warehouse_tables(cfg).items():
         db, tbl = name.split(".")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING PARQUET "
-                  f"LOCATION '{cfg.dwh}/{db}/{tbl}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl.rstrip()}, {LOAD_DATE} DATE) "
+                  f"USING PARQUET PARTITIONED BY ({LOAD_DATE}) LOCATION '{cfg.dwh}/{db}/{tbl}'")
         names.append(name)
     return names
 
 
-def load_table(spark: SparkSession, df: DataFrame, table: str, overwrite: bool = False) -> None:
-    """Insert ``df`` into ``table`` matching columns **by name**.
-
-    ``insertInto`` is positional, so the frame is first projected onto the
-    table's column list; extra columns (stamps, partitions) are dropped and a
-    missing column fails loudly instead of shifting values.
-    """
-    target = spark.table(table).columns
+def _business_columns(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
+    target = [c for c in spark.table(table).columns if c != LOAD_DATE]
     missing = [c for c in target if c not in df.columns]
     if missing:
         raise ValueError(f"load into {table}: input lacks columns {missing}")
-    df.select(*target).write.insertInto(table, overwrite=overwrite)
+    return target
+
+
+def load_table(spark: SparkSession, df: DataFrame, table: str, load_date: _dt.date) -> None:
+    """Replace partition ``load_date`` of ``table`` with ``df``, columns
+    matched **by name** (extra columns such as stamps are dropped; a missing
+    column fails instead of shifting values positionally)."""
+    cols = _business_columns(spark, table, df)
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD_DATE} = DATE '{load_date.isoformat()}') "
+              f"SELECT {', '.join(cols)} FROM {{src}}", src=df.select(*cols))
+
+
+def reload_table(spark: SparkSession, df: DataFrame, table: str, date_col: str = "processed_date") -> None:
+    """Replace the whole table with ``df``; each row's ``load_date`` is its
+    ``date_col`` (the gold processing date)."""
+    cols = _business_columns(spark, table, df)
+    df.select(*cols, F.col(date_col).alias(LOAD_DATE)).write.insertInto(table, overwrite=True)
