@@ -43,34 +43,41 @@ class LakeConfig:
     landing_staging: str = "persist"
     # Keep identical provider rows once in the curated provider dataset.
     distinct_providers: bool = False
+    # Optional per-layer roots (e.g. one bucket per layer); default: sub-
+    # folders of ``root``.
+    landing_root: str | None = None
+    bronze_root: str | None = None
+    gold_root: str | None = None
+    dwh_root: str | None = None
+    exports_root: str | None = None
     extra: dict = field(default_factory=dict)
 
-    def _join(self, *parts: str) -> str:
-        return "/".join([self.root.rstrip("/"), *parts])
+    def _layer(self, override: str | None, name: str) -> str:
+        return (override or "/".join([self.root.rstrip("/"), name])).rstrip("/")
 
     @property
     def landing(self) -> str:
-        return self._join("landing")
+        return self._layer(self.landing_root, "landing")
 
     @property
     def bronze(self) -> str:
-        return self._join("bronze")
+        return self._layer(self.bronze_root, "bronze")
 
     @property
     def gold(self) -> str:
-        return self._join("gold")
+        return self._layer(self.gold_root, "gold")
 
     @property
     def dwh(self) -> str:
-        return self._join("dwh")
+        return self._layer(self.dwh_root, "dwh")
 
     @property
     def exports(self) -> str:
-        return self._join("exports")
+        return self._layer(self.exports_root, "exports")
 
     @property
     def checkpoints(self) -> str:
-        return self._join("_checkpoints")
+        return self._layer(None, "_checkpoints")
 
     def bronze_path(self, name: str) -> str:
         return f"{self.bronze}/{name}"
