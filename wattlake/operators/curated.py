@@ -41,10 +41,9 @@ def dedup_clientes(bronze: DataFrame, key: str = "cliente_proveedor") -> DataFra
 
     Survivor: latest ``processed_date`` (when present), then the greatest
     ``tipo_cliente``, then the greatest ``ciudad``; NULLs lose.  Expressed as
-    ``max(struct(...))`` per key over distinct rows; both steps aggregate
-    partially on the map side, so a client holding a third of all rows is
-    reduced before any shuffle instead of being sorted inside one window
-    partition.
+    ``max(struct(...))`` per key, aggregated partially on the map side, so a
+    client holding a third of all rows is reduced before the shuffle instead
+    of being sorted inside one window partition.
     """
     if key not in bronze.columns:
         return bronze
@@ -52,11 +51,10 @@ def dedup_clientes(bronze: DataFrame, key: str = "cliente_proveedor") -> DataFra
     rest = [c for c in bronze.columns
             if c != key and c not in order and c not in STAMP_COLUMNS]
     payload = [c for c in order + rest]
-    # max() over strings/structs has no fixed-width buffer and plans as a
-    # sort-based aggregate; a hash DISTINCT first (partial on every mapper)
-    # leaves it only the distinct value combinations per client to sort.
-    combos = bronze.select(key, *payload).distinct()
+    # max() over a struct has no fixed-width buffer, so Spark plans a partial
+    # + final sort-based aggregate: still reduced per mapper before the
+    # shuffle, and spillable.
     best = F.max(F.struct(*[F.col(c) for c in payload])).alias("_best")
-    out = combos.groupBy(key).agg(best)
+    out = bronze.groupBy(key).agg(best)
     keep = [c for c in payload if c not in STAMP_COLUMNS]
     return out.select(key, *[F.col(f"_best.{c}").alias(c) for c in keep])

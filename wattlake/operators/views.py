@@ -31,19 +31,17 @@ LAKE_VIEWS = {
     # Both sides are reduced to one row per key before the left join; max()
     # ignores duplication, so the result equals grouping the raw join, without
     # its per-client N x M fan-out (and without one hot client's rows meeting
-    # in a single join task).  The inner DISTINCTs are hash aggregates that
-    # shrink the input of the sort-based max() over strings.
+    # in a single join task).  max() over strings plans as a partial + final
+    # sort aggregate (no fixed-width buffer), still reduced per mapper.
     "v_clientes": """
         SELECT t.cliente_proveedor AS cliente,
                coalesce(c.tipo_cliente, 'desconocido') AS tipo_cliente,
                t.ciudad AS ciudad
         FROM (SELECT cliente_proveedor, max(ciudad) AS ciudad
-              FROM (SELECT DISTINCT cliente_proveedor, ciudad
-                    FROM {tx} WHERE cliente_proveedor IS NOT NULL)
+              FROM {tx} WHERE cliente_proveedor IS NOT NULL
               GROUP BY cliente_proveedor) t
         LEFT JOIN (SELECT cliente_proveedor, max(tipo_cliente) AS tipo_cliente
-                   FROM (SELECT DISTINCT cliente_proveedor, tipo_cliente
-                         FROM {cl} WHERE cliente_proveedor IS NOT NULL)
+                   FROM {cl} WHERE cliente_proveedor IS NOT NULL
                    GROUP BY cliente_proveedor) c
           ON t.cliente_proveedor = c.cliente_proveedor
     """,
@@ -56,8 +54,8 @@ DWH_VIEWS = {
     # Only counterparties of sales, no client type.
     "v_clientes": """
         SELECT cliente_proveedor AS cliente, max(ciudad) AS ciudad
-        FROM (SELECT DISTINCT cliente_proveedor, ciudad FROM {tx}
-              WHERE lower(tipo_transaccion) = 'venta' AND cliente_proveedor IS NOT NULL)
+        FROM {tx}
+        WHERE lower(tipo_transaccion) = 'venta' AND cliente_proveedor IS NOT NULL
         GROUP BY cliente_proveedor
     """,
 }
