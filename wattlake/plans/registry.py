@@ -10,12 +10,15 @@ oracle agree to the last bit.
 from __future__ import annotations
 
 import datetime as _dt
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.functions import stamp
+from wattlake.session import checkpoint_dir, ensure_checkpoint_dir
 from wattlake.operators import aggregates, bronze, curated, exports, quality, sensitive, views
 from wattlake.sources.driver_tables import CONTRATOS_SQL, contratos_from_tables, table
 from wattlake.streaming import events as ev
@@ -184,6 +187,43 @@ QUERIES.update({
 })
 
 
+def _stream_root(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint folder (set to a
+    temporary one only when the session names none, as in local runs)."""
+    base = checkpoint_dir(spark)
+    if not base:
+        base = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="wattlake-ckpt-"))
+    return f"{base.rstrip('/')}/wattlake-streams/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _streamed_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """S1-S4 + S6 on the streaming engine: the events file is consumed as a
+    stream (``availableNow``), each micro-batch is enriched against the
+    materialised profile table, scored, thresholded and written by the
+    ``foreachBatch`` dual sink; the relational output is read back."""
+    out = _stream_root(spark, "alerts")
+    profiles = ev.materialize_profiles(_profiles(spark, d), f"{out}/profiles")
+    q = ev.start_dual_sink(ev.event_stream(spark, f"{d.rstrip('/')}/events.parquet"),
+                           f"{out}/flat", f"{out}/ops", profiles, f"{out}/_checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/ops").drop("batch_id")
+
+
+def _archived_events(spark: SparkSession, d: str) -> DataFrame:
+    """S5 on the streaming engine: every event archived by date."""
+    out = _stream_root(spark, "archive")
+    q = ev.archive_events(ev.event_stream(spark, f"{d.rstrip('/')}/events.parquet"),
+                          f"{out}/archive", f"{out}/_checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/archive")
+
+
+QUERIES.update({
+    "streamed_alerts": _streamed_alerts,
+    "archived_events": _archived_events,
+})
+
+
 def _case_weights() -> str:
     arms = " ".join(f"WHEN '{k}' THEN CAST({v} AS DECIMAL(4,3))"
                     for k, v in ev.EVENT_TYPE_WEIGHTS.items())
@@ -219,12 +259,17 @@ SELECT event_id, ts, user_id, event_type, value, c_name, c_mktsegment, n_orders,
             WHEN coalesce(c_acctbal, 0.0) >= 0 THEN '{ev.ACTION_BUY}'
             ELSE '{ev.ACTION_SELL}' END AS action
 FROM sc WHERE score > {_T}""",
+    "archived_events": """
+SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS event_date
+FROM events""",
     "flattened_events": """
 SELECT event_id, ts, user_id, event_type, value,
        CAST(json_extract(props, '$.k') AS INTEGER) AS props_k
 FROM events""",
 })
 
+ORACLE_SQL["streamed_alerts"] = ORACLE_SQL["stream_enriched_alerts"]
+
 _QREASON = f"""
 CASE WHEN regexp_matches(nombre_proveedor, '{quality.NUMERIC_TEXT}')
           AND try_cast(capacidad_mw AS DOUBLE) IS NULL THEN '{quality.REASON_SHIFTED}'

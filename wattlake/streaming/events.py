@@ -30,7 +30,11 @@ ACTION_BUY, ACTION_SELL, ACTION_NONE = "COMPRAR", "VENDER", "NADA"
 
 # ---- S1 source ------------------------------------------------------------
 def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Events as an unbounded stream from a folder of Parquet files."""
+    """Events as an unbounded stream from a folder of Parquet files (or a
+    glob).  A single ``.parquet`` file is turned into a glob matching it,
+    since the file source lists a folder or a pattern."""
+    if path.endswith(".parquet"):
+        path = path + "*"
     r = spark.readStream.schema(EVENTS)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
