@@ -12,7 +12,7 @@ import datetime as _dt
 import logging
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from wattlake.config import LakeConfig
 from wattlake.plans import jobs
@@ -22,11 +22,14 @@ log = logging.getLogger(__name__)
 
 
 def run_all(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | None = None,
-            parallel: bool = True, export: bool = True) -> dict:
+            parallel: bool = True, export: bool = True,
+            contratos: DataFrame | None = None) -> dict:
+    """``contratos`` optionally supplies the landing frame instead of the
+    landing files (e.g. one derived from other tables)."""
     run_date = resolve_run_date(spark, run_date or cfg.run_date)
     report: dict = {"run_date": run_date.isoformat()}
 
-    report["bronze"] = jobs.ingest_bronze(spark, cfg, run_date)
+    report["bronze"] = jobs.ingest_bronze(spark, cfg, run_date, contratos=contratos)
     report["registered"] = jobs.register_layers(spark, cfg)
     report["views"] = jobs.create_views(spark, cfg)
 
