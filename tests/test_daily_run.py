@@ -131,3 +131,22 @@ def test_parquet_staging_and_client_snapshots(spark, tmp_root):
     full = curated.dedup_clientes(read_dataset(spark, cfg.bronze_path("clientes")))
     assert sorted(tuple(r) for r in full.collect()) == sorted(
         tuple(r) for r in snap.select(*full.columns).collect())
+
+
+def test_fallback_only_skips_missing_paths(spark, tmp_root, monkeypatch):
+    from pyspark.errors import AnalysisException
+
+    from wattlake.sources import landing
+    assert landing.read_first_existing(spark, [f"{tmp_root}/nope.csv", f"{tmp_root}/nope2.csv"]) is None
+    os.makedirs(f"{tmp_root}/x")
+    with open(f"{tmp_root}/x/a.csv", "w") as f:
+        f.write("a,b\n1,2\n")
+    df = landing.read_first_existing(spark, [f"{tmp_root}/nope.csv", f"{tmp_root}/x/a.csv"])
+    assert df.columns == ["a", "b"] and df.count() == 1
+
+    # any other analysis error (here: an unreadable first candidate) propagates
+    def broken(*_a, **_k):
+        raise AnalysisException("[UNSUPPORTED_DATA_SOURCE] broken reader")
+    monkeypatch.setattr(landing, "read_landing_csv", broken)
+    with pytest.raises(AnalysisException):
+        landing.read_first_existing(spark, [f"{tmp_root}/x/a.csv", f"{tmp_root}/nope.csv"])

@@ -49,11 +49,12 @@ def ingest_bronze(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | Non
     written = []
     if contratos is not None:
         cached = False
-        if cfg.landing_staging == "parquet":
+        shared = len(bronze.split_contratos(contratos)) > 1   # schema-only check
+        if shared and cfg.landing_staging == "parquet":
             staged = f"{cfg.bronze}/_staging/contratos/run_date={run_date.isoformat()}"
             contratos.write.mode("overwrite").parquet(staged)
             contratos = spark.read.parquet(staged)
-        elif cfg.landing_staging == "persist":
+        elif shared and cfg.landing_staging == "persist":
             contratos.persist(StorageLevel.MEMORY_AND_DISK)
             cached = True
         splits = bronze.split_contratos(contratos)
