@@ -150,3 +150,18 @@ def test_fallback_only_skips_missing_paths(spark, tmp_root, monkeypatch):
     monkeypatch.setattr(landing, "read_landing_csv", broken)
     with pytest.raises(AnalysisException):
         landing.read_first_existing(spark, [f"{tmp_root}/x/a.csv", f"{tmp_root}/nope.csv"])
+
+
+def test_registration_adds_new_day_partition(spark, tmp_root):
+    write_landing(tmp_root)
+    cfg = _cfg(tmp_root)
+    d1, d2 = dt.date(2024, 6, 1), dt.date(2024, 6, 2)
+    jobs.ingest_bronze(spark, cfg, d1)
+    jobs.register_layers(spark, cfg, d1)
+    t = f"{cfg.bronze_db}.transacciones"
+    assert spark.table(t).count() == 10
+    jobs.ingest_bronze(spark, cfg, d2)
+    jobs.register_layers(spark, cfg, d2)
+    assert spark.table(t).count() == 20
+    assert spark.sql(f"SHOW PARTITIONS {t}").count() == 2
+    assert spark.table(t).where("day = 2").count() == 10

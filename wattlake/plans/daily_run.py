@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +28,18 @@ def run_all(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | None = No
     """``contratos`` optionally supplies the landing frame instead of the
     landing files (e.g. one derived from other tables)."""
     run_date = resolve_run_date(spark, run_date or cfg.run_date)
-    report: dict = {"run_date": run_date.isoformat()}
+    report: dict = {"run_date": run_date.isoformat(), "seconds": {}}
 
-    report["bronze"] = jobs.ingest_bronze(spark, cfg, run_date, contratos=contratos)
-    report["registered"] = jobs.register_layers(spark, cfg)
-    report["views"] = jobs.create_views(spark, cfg)
+    def step(name, fn, *args, **kw):
+        t0 = time.perf_counter()
+        out = fn(*args, **kw)
+        report["seconds"][name] = round(time.perf_counter() - t0, 3)
+        report[name] = out
+        return out
+
+    step("bronze", jobs.ingest_bronze, spark, cfg, run_date, contratos=contratos)
+    step("registered", jobs.register_layers, spark, cfg, run_date)
+    step("views", jobs.create_views, spark, cfg)
 
     gold_jobs = {
         "transacciones_curated": jobs.curate_transacciones,
@@ -39,19 +47,21 @@ def run_all(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | None = No
         "proveedores": jobs.curate_proveedores,
         "clientes": jobs.curate_clientes,
     }
-    if parallel:
+
+    def gold():
+        if not parallel:
+            return {k: f(spark, cfg, run_date) for k, f in gold_jobs.items()}
         with ThreadPoolExecutor(max_workers=len(gold_jobs)) as pool:
             futs = {k: pool.submit(f, spark, cfg, run_date) for k, f in gold_jobs.items()}
-            report["gold"] = {k: f.result() for k, f in futs.items()}
-    else:
-        report["gold"] = {k: f(spark, cfg, run_date) for k, f in gold_jobs.items()}
+            return {k: f.result() for k, f in futs.items()}
 
-    report["analytics"] = jobs.energy_totals(spark, cfg, run_date)
-    report["registered"] = jobs.register_layers(spark, cfg)
-    report["warehouse"] = jobs.load_warehouse(spark, cfg, run_date)
+    step("gold", gold)
+    step("analytics", jobs.energy_totals, spark, cfg, run_date)
+    step("registered_gold", jobs.register_layers, spark, cfg, run_date)
+    step("warehouse", jobs.load_warehouse, spark, cfg, run_date)
     if export:
-        report["view_exports"] = jobs.export_views(spark, cfg)
+        step("view_exports", jobs.export_views, spark, cfg)
         if report["warehouse"]:
-            report["warehouse_exports"] = jobs.export_warehouse(spark, cfg)
+            step("warehouse_exports", jobs.export_warehouse, spark, cfg)
     log.info("run %s done: %s", run_date, report)
     return report

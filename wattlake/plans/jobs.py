@@ -157,10 +157,11 @@ def energy_totals(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> b
 
 
 # ---- catalog, G7 views, G8 view export --------------------------------------
-def register_layers(spark: SparkSession, cfg: LakeConfig) -> list[str]:
-    """Register (or refresh partitions of) every lake dataset that exists."""
-    done = catalog.register_layer(spark, cfg.bronze_db, cfg.bronze, BRONZE_DATASETS)
-    done += catalog.register_layer(spark, cfg.gold_db, cfg.gold, GOLD_DATASETS)
+def register_layers(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | None = None) -> list[str]:
+    """Register every lake dataset that exists; for tables already registered
+    add the ``run_date`` partition (or re-list all partitions without one)."""
+    done = catalog.register_layer(spark, cfg.bronze_db, cfg.bronze, BRONZE_DATASETS, run_date=run_date)
+    done += catalog.register_layer(spark, cfg.gold_db, cfg.gold, GOLD_DATASETS, run_date=run_date)
     if catalog.register_dataset(spark, cfg.gold_db, "tipo_energia",
                                 cfg.gold_path("analytics/tipo_energia"), partitioned=False):
         done.append(f"{cfg.gold_db}.tipo_energia")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -10,11 +11,28 @@ from pyspark.sql import DataFrame, SparkSession
 from wattlake.sources.landing import _is_missing_path
 
 
+def _partition_spec(run_date: _dt.date) -> str:
+    return f"year={run_date.year}, month={run_date.month}, day={run_date.day}"
+
+
 def register_dataset(spark: SparkSession, db: str, name: str, path: str,
-                     partitioned: bool = True) -> bool:
-    """Register the Parquet dataset at ``path`` as external table ``db.name``
-    (schema and partition columns discovered from the files) and pick up its
-    partitions.  Returns ``False`` when nothing exists at ``path`` yet."""
+                     partitioned: bool = True, run_date: _dt.date | None = None) -> bool:
+    """Register the Parquet dataset at ``path`` as external table ``db.name``.
+
+    First time: the table is created over the files (schema and partition
+    columns discovered) and every partition folder is picked up
+    (``MSCK REPAIR``).  Afterwards, with ``run_date`` given, only that day's
+    partition is added - a catalog update, not a listing of years of
+    partition folders.  Returns ``False`` when nothing exists at ``path``."""
+    qualified = f"{db}.{name}"
+    if spark.catalog.tableExists(qualified):
+        if not partitioned:
+            spark.sql(f"REFRESH TABLE {qualified}")
+        elif run_date is not None:
+            spark.sql(f"ALTER TABLE {qualified} ADD IF NOT EXISTS PARTITION ({_partition_spec(run_date)})")
+        else:
+            spark.sql(f"MSCK REPAIR TABLE {qualified}")
+        return True
     try:
         spark.read.parquet(path).schema  # noqa: B018 - existence + schema probe
     except AnalysisException as exc:
@@ -22,22 +40,20 @@ def register_dataset(spark: SparkSession, db: str, name: str, path: str,
             return False
         raise
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{name} USING PARQUET LOCATION '{path}'")
-    if partitioned and spark.sql(f"DESCRIBE TABLE {db}.{name}").where(
-            "col_name = '# Partition Information'").count():
-        spark.sql(f"MSCK REPAIR TABLE {db}.{name}")
-    else:
-        spark.sql(f"REFRESH TABLE {db}.{name}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified} USING PARQUET LOCATION '{path}'")
+    if partitioned and any(c.isPartition for c in spark.catalog.listColumns(qualified)):
+        spark.sql(f"MSCK REPAIR TABLE {qualified}")
     return True
 
 
 def register_layer(spark: SparkSession, db: str, root: str, names: Iterable[str],
-                   unpartitioned: Iterable[str] = ()) -> list[str]:
+                   unpartitioned: Iterable[str] = (), run_date: _dt.date | None = None) -> list[str]:
     """Register every dataset of a layer that exists under ``root``."""
     flat = set(unpartitioned)
     done = []
     for n in names:
-        if register_dataset(spark, db, n, f"{root.rstrip('/')}/{n}", partitioned=n not in flat):
+        if register_dataset(spark, db, n, f"{root.rstrip('/')}/{n}", partitioned=n not in flat,
+                            run_date=run_date):
             done.append(f"{db}.{n}")
     return done
 
