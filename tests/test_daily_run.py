@@ -39,6 +39,20 @@ def test_full_run(spark, tmp_root):
     q = spark.sql(f"SELECT tipo_energia, count(*) AS cnt FROM {cfg.gold_db}.transacciones_agg "
                   f"WHERE year = {RD.year} GROUP BY tipo_energia")
     assert q.count() == 4
+    # ad-hoc SQL against the catalog (A8): the summary query on the aggregate
+    from wattlake.operators import aggregates
+    from wattlake.sources.catalog import run_sql
+    adhoc = run_sql(spark, f"""
+        SELECT tipo_energia, COUNT(*) AS cnt, AVG(avg_precio_kwh) AS avg_price
+        FROM transacciones_agg WHERE year = {RD.year}
+        GROUP BY tipo_energia ORDER BY cnt DESC LIMIT 50""", database=cfg.gold_db)
+    framed = aggregates.price_summary(spark.table(f"{cfg.gold_db}.transacciones_agg"), RD.year)
+    a = {r.tipo_energia: (r.cnt, round(r.avg_price, 12)) for r in adhoc.collect()}
+    b = {r.tipo_energia: (r.cnt, round(r.avg_price, 12)) for r in framed.collect()}
+    assert a == b and len(a) == 4
+    with pytest.raises(Exception):
+        run_sql(spark, "SELECT no_such_column FROM transacciones_agg", database=cfg.gold_db)
+    spark.catalog.setCurrentDatabase("default")
     # warehouse: typed tables, by-name load (avg/total not swapped)
     agg = spark.table(f"{cfg.dwh_analytics_db}.transacciones_agg")
     assert agg.columns == ["tipo_energia", "ciudad", "fecha_transaccion", "total_kwh", "avg_precio_kwh",
