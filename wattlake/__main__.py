@@ -29,7 +29,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--env", default=None, help="suffix for catalog database names")
     p.add_argument("--write-mode", choices=[OVERWRITE_PARTITIONS, APPEND], default=OVERWRITE_PARTITIONS)
     p.add_argument("--source-scope", choices=["run_date", "all"], default="run_date")
-    p.add_argument("--landing-staging", choices=["persist", "parquet", "none"], default="persist")
+    p.add_argument("--landing-staging", choices=["parquet", "persist", "none"], default="parquet")
     p.add_argument("--avg-scale", type=int, default=None)
     p.add_argument("--distinct-providers", action="store_true")
     p.add_argument("--no-warehouse", action="store_true", help="skip the warehouse load")

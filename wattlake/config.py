@@ -36,11 +36,12 @@ class LakeConfig:
     # Mean price: None = floating avg; an int = exact decimal-sum mean at
     # that scale (order-independent, see functions.exact_avg).
     avg_scale: int | None = None
-    # How the bronze splits share one landing parse: "persist" keeps the
-    # parsed rows on executors, "parquet" writes them once to the bronze
-    # staging folder (lineage cut on shared storage; each split then reads
-    # only its columns), "none" re-parses the text for every split.
-    landing_staging: str = "persist"
+    # How the bronze splits share one landing parse: "parquet" writes the
+    # parsed rows once to the bronze staging folder (a standardised raw copy
+    # per run date; lineage cut on shared storage, each split then reads only
+    # its columns), "persist" keeps them on executors, "none" re-parses the
+    # text for every split.
+    landing_staging: str = "parquet"
     # Keep identical provider rows once in the curated provider dataset.
     distinct_providers: bool = False
     # Optional per-layer roots (e.g. one bucket per layer); default: sub-
