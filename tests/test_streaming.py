@@ -96,3 +96,22 @@ def test_flatten_nested_and_arrays(spark):
     assert out.count() == 3
     flat = ev.flatten_events(table(spark, SF_SMALL, "events"))
     assert "props_k" in flat.columns and flat.where(F.col("props_k").isNull()).count() == 0
+
+
+def test_pluggable_model_scorer_matches_expression(spark):
+    import numpy as np
+
+    def predict(x):   # the stand-in model, written in numpy
+        w = x["event_type"].map({k: float(v) for k, v in ev.EVENT_TYPE_WEIGHTS.items()}).fillna(0.0)
+        value = np.clip(x["value"].fillna(0.0), 0, ev.VALUE_CAP).round(2)
+        orders = np.minimum(x["n_orders"].fillna(0), ev.LOYALTY_CAP)
+        return w + value * float(ev.VALUE_WEIGHT) + orders * float(ev.LOYALTY_WEIGHT)
+
+    profiles = ev.user_profiles(table(spark, SF_SMALL, "customer"), table(spark, SF_SMALL, "orders"))
+    events = table(spark, SF_SMALL, "events")
+    scorer = ev.model_scorer(predict, ["event_type", "value", "n_orders"])
+    a = {r.event_id: r.score for r in ev.score_events(ev.enrich_events(events, profiles)).collect()}
+    b = {r.event_id: r.score
+         for r in ev.score_events(ev.enrich_events(events, profiles), score=scorer).collect()}
+    assert a.keys() == b.keys()
+    assert max(abs(a[k] - b[k]) for k in a) < 1e-9

@@ -9,6 +9,7 @@ rows.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -93,10 +94,25 @@ def score_column() -> Column:
     return s.cast("double")
 
 
-def score_events(enriched: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    """Adds ``score`` and ``action``: buy for users in credit, sell for users
-    in debt, nothing below the threshold."""
-    scored = enriched.withColumn("score", score_column())
+def model_scorer(predict, features: list[str]):
+    """Wrap a trained model's ``predict(pandas.DataFrame) -> pandas.Series``
+    as an Arrow-batched pandas UDF over ``features``; returns the score
+    Column to pass to :func:`score_events`.  Batches of rows cross to Python
+    together (never one row at a time); use it only when the model cannot be
+    written as column expressions."""
+    @F.pandas_udf("double")
+    def _score(frame: pd.DataFrame) -> pd.Series:   # one struct column -> a frame per batch
+        return pd.Series(predict(frame[features]), dtype="float64").reset_index(drop=True)
+
+    return _score(F.struct(*[F.col(c) for c in features]))
+
+
+def score_events(enriched: DataFrame, threshold: float = DEFAULT_THRESHOLD,
+                 score: Column | None = None) -> DataFrame:
+    """Adds ``score`` (default: :func:`score_column`; any Column, e.g. from
+    :func:`model_scorer`) and ``action``: buy for users in credit, sell for
+    users in debt, nothing at or below the threshold."""
+    scored = enriched.withColumn("score", score if score is not None else score_column())
     action = (F.when(F.col("score") <= F.lit(threshold), ACTION_NONE)
               .when(F.coalesce(F.col("c_acctbal"), F.lit(0.0)) >= 0, ACTION_BUY)
               .otherwise(ACTION_SELL))
@@ -114,9 +130,9 @@ ALERT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "c_name", "
 
 
 def enriched_alerts(events: DataFrame, profiles: DataFrame,
-                    threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+                    threshold: float = DEFAULT_THRESHOLD, score: Column | None = None) -> DataFrame:
     """S2 -> S3 -> S4 in one chain."""
-    scored = score_events(enrich_events(events, profiles), threshold)
+    scored = score_events(enrich_events(events, profiles), threshold, score)
     return alerts(scored, threshold).select(*ALERT_COLUMNS)
 
 
