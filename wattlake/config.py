@@ -76,6 +76,11 @@ class LakeConfig:
     def exports(self) -> str:
         return self._layer(self.exports_root, "exports")
 
+    def catalog_location(self, db: str) -> str:
+        """Folder of a lake database's own metadata (views); tables are
+        external and stay in their layer folders."""
+        return self._layer(None, f"_catalog/{db}")
+
     @property
     def checkpoints(self) -> str:
         return self._layer(None, "_checkpoints")

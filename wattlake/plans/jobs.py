@@ -160,10 +160,13 @@ def energy_totals(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> b
 def register_layers(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | None = None) -> list[str]:
     """Register every lake dataset that exists; for tables already registered
     add the ``run_date`` partition (or re-list all partitions without one)."""
-    done = catalog.register_layer(spark, cfg.bronze_db, cfg.bronze, BRONZE_DATASETS, run_date=run_date)
-    done += catalog.register_layer(spark, cfg.gold_db, cfg.gold, GOLD_DATASETS, run_date=run_date)
+    done = catalog.register_layer(spark, cfg.bronze_db, cfg.bronze, BRONZE_DATASETS, run_date=run_date,
+                                  db_location=cfg.catalog_location(cfg.bronze_db))
+    done += catalog.register_layer(spark, cfg.gold_db, cfg.gold, GOLD_DATASETS, run_date=run_date,
+                                   db_location=cfg.catalog_location(cfg.gold_db))
     if catalog.register_dataset(spark, cfg.gold_db, "tipo_energia",
-                                cfg.gold_path("analytics/tipo_energia"), partitioned=False):
+                                cfg.gold_path("analytics/tipo_energia"), partitioned=False,
+                                db_location=cfg.catalog_location(cfg.gold_db)):
         done.append(f"{cfg.gold_db}.tipo_energia")
     return done
 

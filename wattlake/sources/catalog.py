@@ -15,8 +15,14 @@ def _partition_spec(run_date: _dt.date) -> str:
     return f"year={run_date.year}, month={run_date.month}, day={run_date.day}"
 
 
+def ensure_database(spark: SparkSession, db: str, location: str | None = None) -> None:
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{loc}")
+
+
 def register_dataset(spark: SparkSession, db: str, name: str, path: str,
-                     partitioned: bool = True, run_date: _dt.date | None = None) -> bool:
+                     partitioned: bool = True, run_date: _dt.date | None = None,
+                     db_location: str | None = None) -> bool:
     """Register the Parquet dataset at ``path`` as external table ``db.name``.
 
     First time: the table is created over the files (schema and partition
@@ -39,7 +45,7 @@ def register_dataset(spark: SparkSession, db: str, name: str, path: str,
         if _is_missing_path(exc):
             return False
         raise
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    ensure_database(spark, db, db_location)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified} USING PARQUET LOCATION '{path}'")
     if partitioned and any(c.isPartition for c in spark.catalog.listColumns(qualified)):
         spark.sql(f"MSCK REPAIR TABLE {qualified}")
@@ -47,13 +53,14 @@ def register_dataset(spark: SparkSession, db: str, name: str, path: str,
 
 
 def register_layer(spark: SparkSession, db: str, root: str, names: Iterable[str],
-                   unpartitioned: Iterable[str] = (), run_date: _dt.date | None = None) -> list[str]:
+                   unpartitioned: Iterable[str] = (), run_date: _dt.date | None = None,
+                   db_location: str | None = None) -> list[str]:
     """Register every dataset of a layer that exists under ``root``."""
     flat = set(unpartitioned)
     done = []
     for n in names:
         if register_dataset(spark, db, n, f"{root.rstrip('/')}/{n}", partitioned=n not in flat,
-                            run_date=run_date):
+                            run_date=run_date, db_location=db_location):
             done.append(f"{db}.{n}")
     return done
 
