@@ -179,3 +179,20 @@ def test_registration_adds_new_day_partition(spark, tmp_root):
     assert spark.table(t).count() == 20
     assert spark.sql(f"SHOW PARTITIONS {t}").count() == 2
     assert spark.table(t).where("day = 2").count() == 10
+
+
+def test_incremental_intake_and_exports_in_daily_run(spark, tmp_root):
+    from tests.sample_data import CONTRATOS_CSV
+    cfg = _cfg(tmp_root, intake="incremental", incremental_exports=True)
+    inbox = f"{cfg.landing}/contratos"
+    os.makedirs(inbox)
+    with open(f"{inbox}/batch1.csv", "w", encoding="utf-8") as f:
+        f.write(CONTRATOS_CSV)
+    rep = daily_run.run_all(spark, cfg, RD)
+    assert set(rep["bronze"]) == {"transacciones", "proveedores", "clientes"}
+    assert read_dataset(spark, cfg.gold_path("transacciones_agg")).count() == 9
+    day = f"year={RD.year}/month={RD.month}/day={RD.day}"
+    assert glob.glob(f"{cfg.exports}/v_ventas/{day}/part-*.csv.gz")
+    assert glob.glob(f"{cfg.exports}/v_clientes/part-*.csv.gz")
+    ventas = spark.read.csv(f"{cfg.exports}/v_ventas/{day}")
+    assert ventas.count() == 5

@@ -32,6 +32,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--landing-staging", choices=["parquet", "persist", "none"], default="parquet")
     p.add_argument("--avg-scale", type=int, default=None)
     p.add_argument("--distinct-providers", action="store_true")
+    p.add_argument("--intake", choices=["batch", "incremental"], default="batch")
+    p.add_argument("--incremental-exports", action="store_true")
     p.add_argument("--no-warehouse", action="store_true", help="skip the warehouse load")
     p.add_argument("--reload", action="store_true", help="warehouse: replace tables with all gold")
     return p
@@ -43,6 +45,7 @@ def config_from_args(a: argparse.Namespace) -> LakeConfig:
         root=a.root, run_date=a.run_date, write_mode=a.write_mode, source_scope=a.source_scope,
         landing_staging=a.landing_staging, avg_scale=a.avg_scale,
         distinct_providers=a.distinct_providers, warehouse_enabled=not a.no_warehouse,
+        intake=a.intake, incremental_exports=a.incremental_exports,
         bronze_db=f"lake_bronze{sfx}", gold_db=f"lake_gold{sfx}",
         dwh_gold_db=f"gold{sfx}", dwh_analytics_db=f"analytics{sfx}",
         landing_root=a.landing_root, bronze_root=a.bronze_root, gold_root=a.gold_root,
@@ -68,7 +71,7 @@ def run(argv: list[str] | None = None, spark=None):
         "proveedores_curated": lambda: jobs.curate_proveedores(spark, cfg, rd),
         "clientes_curated": lambda: jobs.curate_clientes(spark, cfg, rd),
         "analytics": lambda: jobs.energy_totals(spark, cfg, rd),
-        "export_views": lambda: jobs.export_views(spark, cfg),
+        "export_views": lambda: jobs.export_views(spark, cfg, run_date=rd),
         "warehouse": lambda: jobs.load_warehouse(spark, cfg, rd, reload=a.reload),
         "export_warehouse": lambda: jobs.export_warehouse(spark, cfg),
         "all": lambda: daily_run.run_all(spark, cfg, rd),
@@ -80,5 +83,9 @@ def run(argv: list[str] | None = None, spark=None):
     return result
 
 
-if __name__ == "__main__":
+def main() -> None:
     run(sys.argv[1:])
+
+
+if __name__ == "__main__":
+    main()

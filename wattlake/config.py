@@ -44,6 +44,13 @@ class LakeConfig:
     landing_staging: str = "parquet"
     # Keep identical provider rows once in the curated provider dataset.
     distinct_providers: bool = False
+    # Landing intake of the daily run: "batch" reads the landing contract
+    # file; "incremental" streams only files not seen before (exactly once).
+    intake: str = "batch"
+    # View exports: False re-exports each view whole (the original
+    # behaviour); True writes only the run's partition of the date-stamped
+    # views (sales, purchases) under ``year=/month=/day=`` folders.
+    incremental_exports: bool = False
     # Optional per-layer roots (e.g. one bucket per layer); default: sub-
     # folders of ``root``.
     landing_root: str | None = None

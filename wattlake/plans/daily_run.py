@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wattlake.config import LakeConfig
 from wattlake.plans import jobs
 from wattlake.session import resolve_run_date
+from wattlake.sources.incremental import ingest_bronze_incremental
 
 log = logging.getLogger(__name__)
 
@@ -37,7 +38,10 @@ def run_all(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | None = No
         report[name] = out
         return out
 
-    step("bronze", jobs.ingest_bronze, spark, cfg, run_date, contratos=contratos)
+    if cfg.intake == "incremental" and contratos is None:
+        step("bronze", ingest_bronze_incremental, spark, cfg, run_date=run_date)
+    else:
+        step("bronze", jobs.ingest_bronze, spark, cfg, run_date, contratos=contratos)
     step("registered", jobs.register_layers, spark, cfg, run_date)
     step("views", jobs.create_views, spark, cfg)
 
@@ -60,7 +64,7 @@ def run_all(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | None = No
     step("registered_gold", jobs.register_layers, spark, cfg, run_date)
     step("warehouse", jobs.load_warehouse, spark, cfg, run_date)
     if export:
-        step("view_exports", jobs.export_views, spark, cfg)
+        step("view_exports", jobs.export_views, spark, cfg, run_date=run_date)
         if report["warehouse"]:
             step("warehouse_exports", jobs.export_warehouse, spark, cfg)
     log.info("run %s done: %s", run_date, report)

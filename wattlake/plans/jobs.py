@@ -177,11 +177,20 @@ def create_views(spark: SparkSession, cfg: LakeConfig) -> list[str]:
     return views.create_lake_views(spark, cfg.bronze_db, tx, cl)
 
 
-def export_views(spark: SparkSession, cfg: LakeConfig, names=EXPORTED_VIEWS) -> list[str]:
+def export_views(spark: SparkSession, cfg: LakeConfig, names=EXPORTED_VIEWS,
+                 run_date: _dt.date | None = None) -> list[str]:
+    """Each view as delimited text.  With ``cfg.incremental_exports`` and a
+    ``run_date``, views carrying the processing-date columns export only that
+    partition (pruned through the view) into its own folder; views without
+    them (``v_clientes`` aggregates all history) are exported whole."""
     out = []
     for v in names:
+        df = spark.table(f"{cfg.bronze_db}.{v}")
         path = f"{cfg.exports}/{v}"
-        text.export_text(spark.table(f"{cfg.bronze_db}.{v}"), path)
+        if cfg.incremental_exports and run_date is not None and "year" in df.columns:
+            df = df.where(partition_filter(run_date))
+            path = f"{path}/year={run_date.year}/month={run_date.month}/day={run_date.day}"
+        text.export_text(df, path)
         out.append(path)
     return out
 
