@@ -52,8 +52,15 @@ def config_from_args(a: argparse.Namespace) -> LakeConfig:
         dwh_root=a.dwh_root, exports_root=a.exports_root)
 
 
+JOBS = ["bronze", "incremental_bronze", "register", "views", "transacciones_curated",
+        "transacciones_agg", "proveedores_curated", "clientes_curated", "analytics",
+        "export_views", "warehouse", "export_warehouse", "all"]
+
+
 def run(argv: list[str] | None = None, spark=None):
     a = _parser().parse_args(argv)
+    if a.job not in JOBS:
+        raise SystemExit(f"unknown job {a.job!r}; one of {JOBS}")
     from wattlake.plans import daily_run, jobs
     from wattlake.session import build_session, resolve_run_date
     from wattlake.sources.incremental import ingest_bronze_incremental
@@ -76,8 +83,7 @@ def run(argv: list[str] | None = None, spark=None):
         "export_warehouse": lambda: jobs.export_warehouse(spark, cfg),
         "all": lambda: daily_run.run_all(spark, cfg, rd),
     }
-    if a.job not in table:
-        raise SystemExit(f"unknown job {a.job!r}; one of {sorted(table)}")
+    assert set(table) == set(JOBS)
     result = table[a.job]()
     print(json.dumps({"job": a.job, "run_date": rd.isoformat(), "result": result}, default=str))
     return result
