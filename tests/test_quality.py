@@ -39,3 +39,28 @@ def test_sensitive_counts(spark):
     assert not f[3].flagged and f[4].emails == 0
     c = {r.lang: r for r in sensitive.sensitive_counts(docs).collect()}
     assert (c["en"].n_docs, c["en"].n_flagged, c["fr"].n_flagged) == (2, 2, 0)
+
+
+def test_transaction_quality(spark):
+    from wattlake.schemas import CONTRATOS_COLUMNS
+
+    def row(**kw):
+        return tuple(kw.get(c) for c in CONTRATOS_COLUMNS)
+
+    c = spark.createDataFrame([
+        row(id_transaccion="T1", cantidad_kwh="10", precio_kwh="0.1", fecha_transaccion="2024-01-01"),
+        row(id_transaccion="T1", cantidad_kwh="20", precio_kwh="0.1", fecha_transaccion="2024-01-01"),
+        row(id_transaccion="T2", cantidad_kwh="abc", precio_kwh="0.1", fecha_transaccion="2024-01-01"),
+        row(id_transaccion="T3", cantidad_kwh="1", precio_kwh="x", fecha_transaccion="2024-01-01"),
+        row(id_transaccion="T4", cantidad_kwh="1", precio_kwh="0.2", fecha_transaccion="someday"),
+        row(id_transaccion="T5", cantidad_kwh=None, precio_kwh=None, fecha_transaccion=None),
+        row(id_transaccion=None, nombre_proveedor="P"),
+    ], ", ".join(f"{x} string" for x in CONTRATOS_COLUMNS))
+    accepted, quarantined = quality.split_transaction_quality(c)
+    acc = {r.id_transaccion: r for r in accepted.collect()}
+    assert set(acc) == {"T1", "T5"} and acc["T1"].cantidad_kwh == 20.0
+    assert {r.id_transaccion: r.reason for r in quarantined.collect()} == {
+        "T2": quality.REASON_BAD_KWH, "T3": quality.REASON_BAD_PRICE, "T4": quality.REASON_BAD_TX_DATE}
+    counts = {r.reason: r.n for r in quality.transaction_quality_counts(c).collect()}
+    assert counts == {"accepted": 2, quality.REASON_DUPLICATE: 1, quality.REASON_BAD_KWH: 1,
+                      quality.REASON_BAD_PRICE: 1, quality.REASON_BAD_TX_DATE: 1}

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions import safe_date, safe_double
-from wattlake.schemas import PROVEEDOR_COLUMNS
+from wattlake.schemas import PROVEEDOR_COLUMNS, TRANSACCION_COLUMNS
 
 # Fixed value: a provider name that is only a number means the row was
 # shifted by one column at the source.
@@ -21,6 +21,10 @@ NUMERIC_TEXT = r"^\s*-?[0-9]+(\.[0-9]+)?\s*$"
 REASON_SHIFTED = "shifted_row"
 REASON_BAD_CAPACITY = "unparsable_capacidad_mw"
 REASON_BAD_DATE = "unparsable_fecha_contrato"
+REASON_BAD_KWH = "unparsable_cantidad_kwh"
+REASON_BAD_PRICE = "unparsable_precio_kwh"
+REASON_BAD_TX_DATE = "unparsable_fecha_transaccion"
+REASON_DUPLICATE = "duplicate_id_transaccion"
 
 
 def _unparsable(raw: str, typed: Column) -> Column:
@@ -55,3 +59,54 @@ def provider_quality_counts(contratos: DataFrame) -> DataFrame:
     return (contratos.where(F.col("nombre_proveedor").isNotNull())
             .groupBy(F.coalesce(provider_reason(contratos), F.lit("accepted")).alias("reason"))
             .agg(F.count(F.lit(1)).alias("n")))
+
+
+# ---- transactions --------------------------------------------------------
+def transaction_reason() -> Column:
+    """First failed typing rule of a landing transaction row, NULL if none."""
+    return (F.when(_unparsable("cantidad_kwh", safe_double("cantidad_kwh")), REASON_BAD_KWH)
+            .when(_unparsable("precio_kwh", safe_double("precio_kwh")), REASON_BAD_PRICE)
+            .when(_unparsable("fecha_transaccion", safe_date("fecha_transaccion")), REASON_BAD_TX_DATE))
+
+
+def split_transaction_quality(contratos: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted typed transactions, one row per id; quarantined raw rows +
+    ``reason``).
+
+    Rows with a value that is present but does not parse are quarantined.
+    Among the remaining rows, an id seen more than once keeps one survivor
+    (the greatest row, deterministic) and the duplicates are not published.
+    The survivor is a grouped ``max(struct)``, reduced on every mapper, so an
+    id repeated across a third of the data does not collect in one task.
+    """
+    tx = contratos.where(F.col("id_transaccion").isNotNull()).select(*TRANSACCION_COLUMNS)
+    tagged = tx.withColumn("reason", transaction_reason())
+    clean = tagged.where(F.col("reason").isNull()).drop("reason")
+    rest = [c for c in TRANSACCION_COLUMNS if c != "id_transaccion"]
+    survivors = (clean.groupBy("id_transaccion")
+                 .agg(F.max(F.struct(*rest)).alias("_s"))
+                 .select("id_transaccion", *[F.col(f"_s.{c}").alias(c) for c in rest]))
+    accepted = survivors.withColumns({
+        "cantidad_kwh": safe_double("cantidad_kwh"),
+        "precio_kwh": safe_double("precio_kwh"),
+        "fecha_transaccion": safe_date("fecha_transaccion")})
+    return accepted, tagged.where(F.col("reason").isNotNull())
+
+
+def transaction_quality_counts(contratos: DataFrame) -> DataFrame:
+    """Rows per outcome: ``accepted`` (published ids), each typing reason,
+    and ``duplicate_id_transaccion`` (valid rows dropped as repeats).
+
+    One scan: rows are first counted per (id, reason) - pre-reduced on every
+    mapper, so a repeated id never gathers in one task - then rolled up per
+    reason."""
+    per_id = (contratos.where(F.col("id_transaccion").isNotNull())
+              .groupBy("id_transaccion", transaction_reason().alias("reason"))
+              .agg(F.count(F.lit(1)).alias("c")))
+    per_reason = per_id.groupBy("reason").agg(F.sum("c").alias("rows"),
+                                              F.count(F.lit(1)).alias("ids"))
+    outcomes = F.when(F.col("reason").isNull(), F.array(
+        F.struct(F.lit("accepted").alias("reason"), F.col("ids").alias("n")),
+        F.struct(F.lit(REASON_DUPLICATE).alias("reason"), (F.col("rows") - F.col("ids")).alias("n")),
+    )).otherwise(F.array(F.struct(F.col("reason").alias("reason"), F.col("rows").alias("n"))))
+    return per_reason.select(F.explode(outcomes).alias("o")).select("o.reason", "o.n")

@@ -183,6 +183,8 @@ QUERIES.update({
     "flattened_events": lambda s, d: ev.flatten_events(table(s, d, "events")),
     "quarantined_providers": lambda s, d: _quality_tagged(s, d)[1],
     "provider_quality": lambda s, d: quality.provider_quality_counts(_contratos(s, d)),
+    "transaction_quality": lambda s, d: quality.transaction_quality_counts(_contratos(s, d)),
+    "transacciones_validated": lambda s, d: quality.split_transaction_quality(_contratos(s, d))[0],
     "pii_counts": lambda s, d: sensitive.sensitive_counts(table(s, d, "documents")),
 })
 
@@ -290,6 +292,37 @@ SELECT coalesce(reason, 'accepted') AS reason, count(*) AS n FROM (
 GROUP BY coalesce(reason, 'accepted')""",
 })
 
+_TREASON = f"""
+CASE WHEN cantidad_kwh IS NOT NULL AND trim(cantidad_kwh) <> ''
+          AND try_cast(cantidad_kwh AS DOUBLE) IS NULL THEN '{quality.REASON_BAD_KWH}'
+     WHEN precio_kwh IS NOT NULL AND trim(precio_kwh) <> ''
+          AND try_cast(precio_kwh AS DOUBLE) IS NULL THEN '{quality.REASON_BAD_PRICE}'
+     WHEN fecha_transaccion IS NOT NULL AND trim(fecha_transaccion) <> ''
+          AND try_cast(fecha_transaccion AS DATE) IS NULL THEN '{quality.REASON_BAD_TX_DATE}'
+END"""
+
+ORACLE_SQL.update({
+    "transaction_quality": f"""{_CTE},
+tagged AS (SELECT id_transaccion, {_TREASON} AS reason FROM contratos WHERE id_transaccion IS NOT NULL)
+SELECT reason, count(*) AS n FROM tagged WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL SELECT 'accepted' AS reason, count(DISTINCT id_transaccion) AS n FROM tagged WHERE reason IS NULL
+UNION ALL SELECT '{quality.REASON_DUPLICATE}' AS reason,
+                 count(*) - count(DISTINCT id_transaccion) AS n FROM tagged WHERE reason IS NULL""",
+    "transacciones_validated": f"""{_CTE},
+clean AS (SELECT * FROM contratos WHERE id_transaccion IS NOT NULL AND ({_TREASON}) IS NULL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY id_transaccion ORDER BY
+           fecha_transaccion DESC NULLS LAST, tipo_transaccion DESC NULLS LAST,
+           cliente_proveedor DESC NULLS LAST, cantidad_kwh DESC NULLS LAST,
+           precio_kwh DESC NULLS LAST, tipo_energia DESC NULLS LAST,
+           hora_transaccion DESC NULLS LAST, ciudad DESC NULLS LAST) AS rn
+  FROM clean)
+SELECT id_transaccion, try_cast(fecha_transaccion AS DATE) AS fecha_transaccion, tipo_transaccion,
+       cliente_proveedor, try_cast(cantidad_kwh AS DOUBLE) AS cantidad_kwh,
+       try_cast(precio_kwh AS DOUBLE) AS precio_kwh, tipo_energia, hora_transaccion, ciudad
+FROM ranked WHERE rn = 1""",
+})
+
 _PII_COUNTS = ",\n  ".join(
     f"CAST(coalesce(len(regexp_extract_all(text, '{p}')), 0) AS BIGINT) AS {k}"
     for k, p in sensitive.PATTERNS.items())
