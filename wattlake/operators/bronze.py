@@ -11,11 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions import default_if_null, has_columns, safe_date, safe_double
+from wattlake.operators.views import UNKNOWN_CLIENT_TYPE
 from wattlake.schemas import PROVEEDOR_COLUMNS, TRANSACCION_COLUMNS
 
-# Fixed value: client type used when the landing row carries none.
-UNKNOWN_CLIENT_TYPE = "desconocido"
-
 
 def split_transacciones(contratos: DataFrame) -> DataFrame | None:
     """Transaction lines: rows with an id; kWh, price and date typed."""

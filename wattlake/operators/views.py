@@ -16,14 +16,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wattlake.schemas import STAMP_COLUMNS, TRANSACCION_COLUMNS
 
+# Transaction-type words (compared lower-cased) and the client
+# type reported when none is known.
+SALE, PURCHASE = "venta", "compra"
+UNKNOWN_CLIENT_TYPE = "desconocido"
+
 _TX = ", ".join(TRANSACCION_COLUMNS)
 _TX_STAMPED = ", ".join(TRANSACCION_COLUMNS + STAMP_COLUMNS)
 
 # ---- lake views over bronze transacciones / clientes ----------------------
 LAKE_VIEWS = {
     "v_servicio": "SELECT DISTINCT tipo_energia FROM {tx}",
-    "v_ventas": f"SELECT {_TX_STAMPED} FROM {{tx}} WHERE lower(tipo_transaccion) = 'venta'",
-    "v_compras": f"SELECT {_TX_STAMPED} FROM {{tx}} WHERE lower(tipo_transaccion) = 'compra'",
+    "v_ventas": f"SELECT {_TX_STAMPED} FROM {{tx}} WHERE lower(tipo_transaccion) = '{SALE}'",
+    "v_compras": f"SELECT {_TX_STAMPED} FROM {{tx}} WHERE lower(tipo_transaccion) = '{PURCHASE}'",
     # Every counterparty with its greatest client type (default 'desconocido')
     # and greatest city.  max() is lexicographic: 'residencial' > 'industrial'
     # > 'desconocido' > 'comercial', so a client seen both as 'comercial' and
@@ -33,15 +38,15 @@ LAKE_VIEWS = {
     # its per-client N x M fan-out (and without one hot client's rows meeting
     # in a single join task).  max() over strings plans as a partial + final
     # sort aggregate (no fixed-width buffer), still reduced per mapper.
-    "v_clientes": """
+    "v_clientes": f"""
         SELECT t.cliente_proveedor AS cliente,
-               coalesce(c.tipo_cliente, 'desconocido') AS tipo_cliente,
+               coalesce(c.tipo_cliente, '{UNKNOWN_CLIENT_TYPE}') AS tipo_cliente,
                t.ciudad AS ciudad
         FROM (SELECT cliente_proveedor, max(ciudad) AS ciudad
-              FROM {tx} WHERE cliente_proveedor IS NOT NULL
+              FROM {{tx}} WHERE cliente_proveedor IS NOT NULL
               GROUP BY cliente_proveedor) t
         LEFT JOIN (SELECT cliente_proveedor, max(tipo_cliente) AS tipo_cliente
-                   FROM {cl} WHERE cliente_proveedor IS NOT NULL
+                   FROM {{cl}} WHERE cliente_proveedor IS NOT NULL
                    GROUP BY cliente_proveedor) c
           ON t.cliente_proveedor = c.cliente_proveedor
     """,
@@ -49,13 +54,13 @@ LAKE_VIEWS = {
 
 # ---- warehouse views over the warehouse transaction table -----------------
 DWH_VIEWS = {
-    "v_ventas": f"SELECT {_TX} FROM {{tx}} WHERE lower(tipo_transaccion) = 'venta'",
-    "v_compras": f"SELECT {_TX} FROM {{tx}} WHERE lower(tipo_transaccion) = 'compra'",
+    "v_ventas": f"SELECT {_TX} FROM {{tx}} WHERE lower(tipo_transaccion) = '{SALE}'",
+    "v_compras": f"SELECT {_TX} FROM {{tx}} WHERE lower(tipo_transaccion) = '{PURCHASE}'",
     # Only counterparties of sales, no client type.
-    "v_clientes": """
+    "v_clientes": f"""
         SELECT cliente_proveedor AS cliente, max(ciudad) AS ciudad
-        FROM {tx}
-        WHERE lower(tipo_transaccion) = 'venta' AND cliente_proveedor IS NOT NULL
+        FROM {{tx}}
+        WHERE lower(tipo_transaccion) = '{SALE}' AND cliente_proveedor IS NOT NULL
         GROUP BY cliente_proveedor
     """,
 }

@@ -54,11 +54,15 @@ def read_first_existing(spark: SparkSession, paths: Sequence[str],
     return None
 
 
+# Landing file locations, relative to the landing root, in the
+# order they are tried.
+CONTRACT_FILES = ["contratos.csv", "contratos/contratos.csv"]
+RISK_FILES = ["riesgos_precios.csv", "riesgos/riesgos_precios.csv"]
+
+
 def contract_paths(landing_root: str) -> list[str]:
-    root = landing_root.rstrip("/")
-    return [f"{root}/contratos.csv", f"{root}/contratos/contratos.csv"]
+    return [f"{landing_root.rstrip('/')}/{f}" for f in CONTRACT_FILES]
 
 
 def risk_paths(landing_root: str) -> list[str]:
-    root = landing_root.rstrip("/")
-    return [f"{root}/riesgos_precios.csv", f"{root}/riesgos/riesgos_precios.csv"]
+    return [f"{landing_root.rstrip('/')}/{f}" for f in RISK_FILES]
