@@ -59,6 +59,13 @@ def _curated_tx(spark, d):
     return curated.curate_transacciones(_tx_stamped(spark, d))
 
 
+def _v_clientes(spark, d):
+    c = _contratos(spark, d)          # one landing frame feeds both view inputs
+    return views.lake_view(spark, "v_clientes",
+                           stamp(bronze.split_transacciones(c), RUN_DATE),
+                           stamp(bronze.split_clientes(c), RUN_DATE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contratos": _contratos,
     "transacciones": _tx,
@@ -73,8 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "v_servicio": lambda s, d: views.lake_view(s, "v_servicio", _tx_stamped(s, d)),
     "v_ventas": lambda s, d: views.lake_view(s, "v_ventas", _tx_stamped(s, d)),
     "v_compras": lambda s, d: views.lake_view(s, "v_compras", _tx_stamped(s, d)),
-    "v_clientes": lambda s, d: views.lake_view(
-        s, "v_clientes", _tx_stamped(s, d), stamp(_cl(s, d), RUN_DATE)),
+    "v_clientes": lambda s, d: _v_clientes(s, d),
     "dwh_v_ventas": lambda s, d: views.dwh_view(s, "v_ventas", _curated_tx(s, d)),
     "dwh_v_compras": lambda s, d: views.dwh_view(s, "v_compras", _curated_tx(s, d)),
     "dwh_v_clientes": lambda s, d: views.dwh_view(s, "v_clientes", _curated_tx(s, d)),
