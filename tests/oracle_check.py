@@ -93,7 +93,8 @@ def compare(spark, sf_dir, names=None, verbose=True):
             print(f"   TYPES {name}: {type_diff}")
         sh, sl = digest(scols, srows)
         dh, dl = digest(dcols, drows)
-        ok = (sorted(scols) == sorted(dcols) and len(srows) == len(drows) and sh == dh)
+        ok = (sorted(scols) == sorted(dcols) and len(srows) == len(drows) and sh == dh
+              and not type_diff)
         results[name] = ("ok" if ok else "MISMATCH", len(srows), len(drows))
         if verbose:
             print(f"{name:28s} {'ok' if ok else 'MISMATCH'} spark={len(srows)} duck={len(drows)} "
