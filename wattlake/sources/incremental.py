@@ -7,8 +7,11 @@ Parquet file sink whose commit log (``_spark_metadata``) and checkpoint make
 the intake exactly-once across retries, executor loss and driver restarts.
 
 A bronze root written by this intake must not also be written by the batch
-``ingest_bronze`` job: readers of a file-sink folder only see files listed in
-its commit log.
+``ingest_bronze`` job: path readers of a file-sink folder
+(``spark.read.parquet(root)``, which the gold jobs use) only see files listed
+in its commit log.  A catalog table registered over such a folder lists its
+partition folders directly, so files left by a batch that failed before its
+commit would be visible there until the batch is re-run.
 """
 
 from __future__ import annotations
