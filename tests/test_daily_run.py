@@ -196,3 +196,17 @@ def test_incremental_intake_and_exports_in_daily_run(spark, tmp_root):
     assert glob.glob(f"{cfg.exports}/v_clientes/part-*.csv.gz")
     ventas = spark.read.csv(f"{cfg.exports}/v_ventas/{day}")
     assert ventas.count() == 5
+
+
+def test_snapshot_lookup(spark, tmp_root):
+    from wattlake.functions import stamp
+    from wattlake.plans.jobs import _latest_partition_before
+    from wattlake.sinks.parquet import write_partitioned
+    df = spark.createDataFrame([("a",)], "k string")
+    path = f"{tmp_root}/snap"
+    assert _latest_partition_before(spark, path, dt.date(2024, 3, 1)) is None
+    for d in (dt.date(2024, 1, 5), dt.date(2024, 2, 1), dt.date(2024, 3, 9)):
+        write_partitioned(stamp(df, d), path)
+    assert _latest_partition_before(spark, path, dt.date(2024, 3, 1)) == dt.date(2024, 2, 1)
+    assert _latest_partition_before(spark, path, dt.date(2024, 1, 5)) is None
+    assert _latest_partition_before(spark, path, dt.date(2025, 1, 1)) == dt.date(2024, 3, 9)

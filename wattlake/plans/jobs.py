@@ -106,18 +106,22 @@ def curate_proveedores(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date)
     return True
 
 
-def _previous_snapshot(spark: SparkSession, path: str, run_date: _dt.date) -> DataFrame | None:
-    """Rows of the latest partition of ``path`` strictly before ``run_date``."""
+def _latest_partition_before(spark: SparkSession, path: str, run_date: _dt.date) -> _dt.date | None:
+    """Latest ``year/month/day`` partition of ``path`` strictly before
+    ``run_date``, read from the files themselves (partition columns only:
+    footers, no data pages).  The catalog's partition list is not used: a
+    run that failed between writing and registering would make it stale."""
     ds = read_partition(spark, path, None, optional=True)
     if ds is None:
         return None
     part_date = F.make_date("year", "month", "day")
-    earlier = ds.where(part_date < F.lit(run_date))
-    # Partition columns only: answered from file listing and footers.
-    latest = earlier.agg(F.max(part_date).alias("d")).first()["d"]
-    if latest is None:
-        return None
-    return ds.where(partition_filter(latest))
+    return ds.where(part_date < F.lit(run_date)).agg(F.max(part_date).alias("d")).first()["d"]
+
+
+def _previous_snapshot(spark: SparkSession, path: str, run_date: _dt.date) -> DataFrame | None:
+    """Rows of the latest partition of ``path`` before ``run_date``."""
+    latest = _latest_partition_before(spark, path, run_date)
+    return None if latest is None else read_partition(spark, path, latest)
 
 
 def curate_clientes(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> bool:
