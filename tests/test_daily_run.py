@@ -210,3 +210,24 @@ def test_snapshot_lookup(spark, tmp_root):
     assert _latest_partition_before(spark, path, dt.date(2024, 3, 1)) == dt.date(2024, 2, 1)
     assert _latest_partition_before(spark, path, dt.date(2024, 1, 5)) is None
     assert _latest_partition_before(spark, path, dt.date(2025, 1, 1)) == dt.date(2024, 3, 9)
+
+
+def test_client_snapshot_catches_up_a_missed_day(spark, tmp_root):
+    from wattlake.operators import curated
+    cfg = _cfg(tmp_root)
+    header = ("id_transaccion,fecha_transaccion,tipo_transaccion,cliente_proveedor,cantidad_kwh,"
+              "precio_kwh,tipo_energia,hora_transaccion,ciudad,nombre_proveedor,capacidad_mw,"
+              "fecha_contrato,tipo_cliente\n")
+    days = [dt.date(2024, 6, 1), dt.date(2024, 6, 2), dt.date(2024, 6, 3)]
+    for i, d in enumerate(days):
+        write_landing(tmp_root, riesgos=None, contratos=header +
+                      f"T{i},2024-01-01,venta,Client{i},1.0,0.1,solar,10:00:00,Cali,P,1.0,2023-01-01,"
+                      "comercial\n")
+        jobs.ingest_bronze(spark, cfg, d)
+        if i != 1:                      # the gold step of day 2 never ran
+            jobs.curate_clientes(spark, cfg, d)
+    snap = read_dataset(spark, cfg.gold_path("clientes")).where("day = 3")
+    assert sorted(r.cliente_proveedor for r in snap.collect()) == ["Client0", "Client1", "Client2"]
+    full = curated.dedup_clientes(read_dataset(spark, cfg.bronze_path("clientes")))
+    assert sorted(tuple(r) for r in full.collect()) == sorted(
+        tuple(r) for r in snap.select(*full.columns).collect())

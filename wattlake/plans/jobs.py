@@ -128,21 +128,31 @@ def curate_clientes(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) ->
     """One row per client.
 
     With ``source_scope="run_date"`` each gold partition is a full snapshot:
-    the previous snapshot's rows (with their own ``processed_date``) are
-    merged with the day's bronze rows and deduplicated again.  The survivor
-    rule is a ``max``, which is associative, so this equals deduplicating
-    the whole bronze history while reading one snapshot instead of every
-    bronze partition.
+    the latest earlier snapshot (rows keep their ``processed_date``) is
+    merged with every bronze partition after it up to ``run_date`` -
+    normally just the day's - and deduplicated again.  The survivor rule is
+    a ``max``, which is associative, so this equals deduplicating the whole
+    bronze history while reading one snapshot, and a day whose gold step
+    never ran is caught up by the next run instead of being lost.
     """
-    df = _bronze(spark, cfg, "clientes", run_date)
+    if cfg.source_scope != "run_date":
+        df = read_partition(spark, cfg.bronze_path("clientes"), None, optional=True)
+    else:
+        latest = _latest_partition_before(spark, cfg.gold_path("clientes"), run_date)
+        df = read_partition(spark, cfg.bronze_path("clientes"), None, optional=True)
+        if df is not None:
+            day = F.make_date("year", "month", "day")
+            window = day <= F.lit(run_date)
+            if latest is not None:
+                window = window & (day > F.lit(latest))
+            df = df.where(window)                       # partition pruning
+            if latest is not None:
+                prev = read_partition(spark, cfg.gold_path("clientes"), latest)
+                cols = [c for c in df.columns if c not in ("year", "month", "day")]
+                df = df.select(*cols).unionByName(
+                    prev.select(*[c for c in cols if c in prev.columns]), allowMissingColumns=True)
     if df is None:
         return False
-    if cfg.source_scope == "run_date":
-        prev = _previous_snapshot(spark, cfg.gold_path("clientes"), run_date)
-        if prev is not None:
-            cols = [c for c in df.columns if c not in ("year", "month", "day")]
-            df = df.select(*cols).unionByName(prev.select(*[c for c in cols if c in prev.columns]),
-                                              allowMissingColumns=True)
     pq.write_partitioned(stamp(curated.dedup_clientes(df), run_date),
                          cfg.gold_path("clientes"), cfg.write_mode)
     return True
