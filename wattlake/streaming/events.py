@@ -17,8 +17,11 @@ from pyspark.sql.types import ArrayType, StructType
 
 from wattlake.schemas import EVENT_PROPS, EVENTS
 
-# Fixed values of the stand-in scoring model (a linear score in [0, 1]; the
-# deployed model itself is outside this repository).
+# The recommendation actions a score maps to.
+ACTION_BUY, ACTION_SELL, ACTION_NONE = "COMPRAR", "VENDER", "NADA"
+
+# Parameters of the stand-in scoring model, chosen here (a linear score in
+# [0, 1]); a real model plugs in through ``model_scorer``.
 EVENT_TYPE_WEIGHTS = {"purchase": "0.40", "signup": "0.25", "click": "0.15", "view": "0.05",
                       "error": "0.00"}
 VALUE_WEIGHT = "0.004"        # per unit of event value, value capped at 100
@@ -26,7 +29,6 @@ VALUE_CAP = 100
 LOYALTY_WEIGHT = "0.01"       # per past order, capped at 20 orders
 LOYALTY_CAP = 20
 DEFAULT_THRESHOLD = 0.5
-ACTION_BUY, ACTION_SELL, ACTION_NONE = "COMPRAR", "VENDER", "NADA"
 
 
 # ---- S1 source ------------------------------------------------------------
