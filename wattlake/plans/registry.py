@@ -21,6 +21,7 @@ from wattlake.functions import stamp
 from wattlake.session import checkpoint_dir, ensure_checkpoint_dir
 from wattlake.operators import aggregates, bronze, curated, exports, quality, sensitive, views
 from wattlake.sources.driver_tables import CONTRATOS_SQL, contratos_from_tables, table
+from wattlake.sinks import text
 from wattlake.streaming import events as ev
 
 RUN_DATE = _dt.date(2024, 6, 1)
@@ -226,9 +227,29 @@ def _archived_events(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{out}/archive")
 
 
+def _exported_v_ventas(spark: SparkSession, d: str) -> DataFrame:
+    """B3 round trip: the sales view written as gzip text without header by
+    the view-export sink, read back with the view's schema."""
+    view = QUERIES["v_ventas"](spark, d)
+    path = f"{_stream_root(spark, 'export')}/v_ventas"
+    text.export_text(view, path)
+    return spark.read.schema(view.schema).option("header", False).csv(path)
+
+
+def _exported_transacciones_csv(spark: SparkSession, d: str) -> DataFrame:
+    """B4 round trip: the bounded, ordered transaction export written as one
+    CSV file with header, read back with its schema."""
+    top = QUERIES["export_transacciones"](spark, d)
+    path = f"{_stream_root(spark, 'export')}/transacciones"
+    text.export_bounded_csv(top, path)
+    return spark.read.schema(top.schema).option("header", True).csv(path)
+
+
 QUERIES.update({
     "streamed_alerts": _streamed_alerts,
     "archived_events": _archived_events,
+    "exported_v_ventas": _exported_v_ventas,
+    "exported_transacciones_csv": _exported_transacciones_csv,
 })
 
 
@@ -277,6 +298,8 @@ FROM events""",
 })
 
 ORACLE_SQL["streamed_alerts"] = ORACLE_SQL["stream_enriched_alerts"]
+ORACLE_SQL["exported_v_ventas"] = ORACLE_SQL["v_ventas"]
+ORACLE_SQL["exported_transacciones_csv"] = ORACLE_SQL["export_transacciones"]
 
 _QREASON = f"""
 CASE WHEN regexp_matches(nombre_proveedor, '{quality.NUMERIC_TEXT}')
