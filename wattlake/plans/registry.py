@@ -21,7 +21,9 @@ from wattlake.functions import stamp
 from wattlake.session import checkpoint_dir, ensure_checkpoint_dir
 from wattlake.operators import aggregates, bronze, curated, exports, quality, sensitive, views
 from wattlake.sources.driver_tables import CONTRATOS_SQL, contratos_from_tables, table
+from wattlake.sinks import parquet as pq
 from wattlake.sinks import text
+from wattlake.sources.lake import read_partition
 from wattlake.streaming import events as ev
 
 RUN_DATE = _dt.date(2024, 6, 1)
@@ -245,7 +247,17 @@ def _exported_transacciones_csv(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(top.schema).option("header", True).csv(path)
 
 
+def _lake_transacciones(spark: SparkSession, d: str) -> DataFrame:
+    """B1 + A4 round trip: bronze transactions written by the partitioned
+    sink (dynamic partition overwrite, ``year/month/day``) and read back
+    through partition discovery, pruned to the run's partition."""
+    path = f"{_stream_root(spark, 'lake')}/transacciones"
+    pq.write_partitioned(_tx_stamped(spark, d), path)
+    return read_partition(spark, path, RUN_DATE)
+
+
 QUERIES.update({
+    "lake_transacciones": _lake_transacciones,
     "streamed_alerts": _streamed_alerts,
     "archived_events": _archived_events,
     "exported_v_ventas": _exported_v_ventas,
@@ -299,6 +311,7 @@ FROM events""",
 
 ORACLE_SQL["streamed_alerts"] = ORACLE_SQL["stream_enriched_alerts"]
 ORACLE_SQL["exported_v_ventas"] = ORACLE_SQL["v_ventas"]
+ORACLE_SQL["lake_transacciones"] = ORACLE_SQL["stamped_transacciones"]
 ORACLE_SQL["exported_transacciones_csv"] = ORACLE_SQL["export_transacciones"]
 
 _QREASON = f"""
