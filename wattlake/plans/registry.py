@@ -23,6 +23,9 @@ from wattlake.operators import aggregates, bronze, curated, exports, quality, se
 from wattlake.sources.driver_tables import CONTRATOS_SQL, contratos_from_tables, table
 from wattlake.sinks import parquet as pq
 from wattlake.sinks import text
+from wattlake.config import LakeConfig
+from wattlake.plans import jobs
+from wattlake.sources.incremental import ingest_bronze_incremental
 from wattlake.sources.lake import read_partition
 from wattlake.streaming import events as ev
 
@@ -256,7 +259,35 @@ def _lake_transacciones(spark: SparkSession, d: str) -> DataFrame:
     return read_partition(spark, path, RUN_DATE)
 
 
+def _landing_lake(spark: SparkSession, d: str, name: str) -> LakeConfig:
+    """A lake in the shared folder whose landing holds the derived contract
+    lines as CSV text with a header (``landing/contratos.csv/part-*``)."""
+    cfg = LakeConfig(root=_stream_root(spark, name), run_date=RUN_DATE)
+    (_contratos(spark, d).write.mode("overwrite").option("header", True)
+     .csv(f"{cfg.landing}/contratos.csv"))
+    return cfg
+
+
+def _ingested_transacciones(spark: SparkSession, d: str) -> DataFrame:
+    """A1 + A2 + G1: the bronze job reads the landing CSV text (all columns
+    as strings), splits, types and writes the bronze datasets; the day's
+    transaction partition is read back."""
+    cfg = _landing_lake(spark, d, "ingest")
+    jobs.ingest_bronze(spark, cfg, RUN_DATE)
+    return read_partition(spark, cfg.bronze_path("transacciones"), RUN_DATE)
+
+
+def _incremental_transacciones(spark: SparkSession, d: str) -> DataFrame:
+    """The same landing text consumed by the exactly-once streaming
+    intake (file source, ``availableNow``, Parquet file sinks)."""
+    cfg = _landing_lake(spark, d, "incremental")
+    ingest_bronze_incremental(spark, cfg, source_dir=f"{cfg.landing}/contratos.csv", run_date=RUN_DATE)
+    return read_partition(spark, cfg.bronze_path("transacciones"), RUN_DATE)
+
+
 QUERIES.update({
+    "ingested_transacciones": _ingested_transacciones,
+    "incremental_transacciones": _incremental_transacciones,
     "lake_transacciones": _lake_transacciones,
     "streamed_alerts": _streamed_alerts,
     "archived_events": _archived_events,
@@ -312,6 +343,8 @@ FROM events""",
 ORACLE_SQL["streamed_alerts"] = ORACLE_SQL["stream_enriched_alerts"]
 ORACLE_SQL["exported_v_ventas"] = ORACLE_SQL["v_ventas"]
 ORACLE_SQL["lake_transacciones"] = ORACLE_SQL["stamped_transacciones"]
+ORACLE_SQL["ingested_transacciones"] = ORACLE_SQL["stamped_transacciones"]
+ORACLE_SQL["incremental_transacciones"] = ORACLE_SQL["stamped_transacciones"]
 ORACLE_SQL["exported_transacciones_csv"] = ORACLE_SQL["export_transacciones"]
 
 _QREASON = f"""
