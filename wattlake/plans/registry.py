@@ -285,16 +285,16 @@ def _incremental_transacciones(spark: SparkSession, d: str) -> DataFrame:
     return read_partition(spark, cfg.bronze_path("transacciones"), RUN_DATE)
 
 
-def _warehouse_lake(spark: SparkSession, d: str) -> LakeConfig:
-    """Gold datasets of ``RUN_DATE`` written to a lake in the shared folder,
-    then loaded by the warehouse job into uniquely named warehouse schemas."""
+def _warehouse_lake(spark: SparkSession, gold: dict[str, DataFrame]) -> LakeConfig:
+    """The given gold datasets of ``RUN_DATE`` written to a lake in the shared
+    folder, then loaded by the warehouse job (which loads whichever gold
+    datasets exist) into uniquely named warehouse schemas."""
     root = _stream_root(spark, "warehouse")
     tag = root.rsplit("-", 1)[-1]
     cfg = LakeConfig(root=root, run_date=RUN_DATE, dwh_gold_db=f"gold_{tag}",
                      dwh_analytics_db=f"analytics_{tag}")
-    pq.write_partitioned(stamp(_agg(spark, d), RUN_DATE), cfg.gold_path("transacciones_agg"))
-    pq.write_partitioned(stamp(_curated_tx(spark, d), RUN_DATE),
-                         cfg.gold_path("transacciones_curated"))
+    for name, df in gold.items():
+        pq.write_partitioned(stamp(df, RUN_DATE), cfg.gold_path(name))
     jobs.load_warehouse(spark, cfg, RUN_DATE)
     return cfg
 
@@ -302,13 +302,13 @@ def _warehouse_lake(spark: SparkSession, d: str) -> LakeConfig:
 def _warehouse_transacciones_agg(spark: SparkSession, d: str) -> DataFrame:
     """B5 + B6 + G10: typed warehouse table loaded by column name into its
     ``load_date`` partition, read back without the partition column."""
-    cfg = _warehouse_lake(spark, d)
+    cfg = _warehouse_lake(spark, {"transacciones_agg": _agg(spark, d)})
     return spark.table(f"{cfg.dwh_analytics_db}.transacciones_agg").drop("load_date")
 
 
 def _warehouse_v_clientes(spark: SparkSession, d: str) -> DataFrame:
     """B9 + G10: the stored warehouse client view over the loaded table."""
-    cfg = _warehouse_lake(spark, d)
+    cfg = _warehouse_lake(spark, {"transacciones_curated": _curated_tx(spark, d)})
     return spark.table(f"{cfg.dwh_gold_db}.v_clientes")
 
 
