@@ -25,3 +25,12 @@ def test_cli_jobs(spark, tmp_root, capsys):
     views = run(["views", *base], spark)
     assert f"lake_bronze_{env}.v_clientes" in views
     assert '"job": "views"' in capsys.readouterr().out
+
+
+def test_scale_conf():
+    from wattlake.session import scale_conf
+    big = scale_conf(100 * (1 << 40))                       # 100 TB shuffle
+    assert int(big["spark.sql.shuffle.partitions"]) == 819200
+    assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(128 << 20)
+    assert scale_conf(10 << 20)["spark.sql.shuffle.partitions"] == "200"   # floor
+    assert scale_conf(1 << 60)["spark.sql.shuffle.partitions"] == "1000000"  # cap

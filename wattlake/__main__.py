@@ -36,6 +36,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--incremental-exports", action="store_true")
     p.add_argument("--no-warehouse", action="store_true", help="skip the warehouse load")
     p.add_argument("--reload", action="store_true", help="warehouse: replace tables with all gold")
+    p.add_argument("--largest-shuffle-gb", type=float, default=None,
+                   help="size shuffle partitions and scan splits for this much shuffled data")
     return p
 
 
@@ -62,10 +64,12 @@ def run(argv: list[str] | None = None, spark=None):
     if a.job not in JOBS:
         raise SystemExit(f"unknown job {a.job!r}; one of {JOBS}")
     from wattlake.plans import daily_run, jobs
-    from wattlake.session import build_session, resolve_run_date
+    from wattlake.session import apply_conf, build_session, resolve_run_date, scale_conf
     from wattlake.sources.incremental import ingest_bronze_incremental
 
     spark = spark or build_session(app_name=f"wattlake-{a.job}")
+    if a.largest_shuffle_gb:
+        apply_conf(spark, scale_conf(int(a.largest_shuffle_gb * (1 << 30))))
     cfg = config_from_args(a)
     rd = resolve_run_date(spark, cfg.run_date)
     table = {

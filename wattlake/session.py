@@ -33,6 +33,36 @@ def build_session(master: str | None = None, app_name: str = "wattlake",
     return builder.getOrCreate()
 
 
+MB = 1 << 20
+
+
+def scale_conf(largest_shuffle_bytes: int, partition_bytes: int = 128 * MB,
+               max_partitions: int = 1_000_000) -> dict[str, str]:
+    """Shuffle and scan sizing for a run whose largest shuffle moves about
+    ``largest_shuffle_bytes``.
+
+    AQE can merge small post-shuffle partitions but cannot split large ones
+    (apart from skewed join partitions), so the initial partition count is
+    sized for the largest shuffle: ``bytes / partition_bytes``, about 800,000
+    for a 100 TB shuffle at 128 MB.  Smaller shuffles of the same run are
+    coalesced back to ``partition_bytes`` each.  Scan splits use the same
+    target size.
+    """
+    n = max(200, min(max_partitions, -(-largest_shuffle_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
     d = spark.sparkContext.getCheckpointDir()
