@@ -115,3 +115,22 @@ def test_pluggable_model_scorer_matches_expression(spark):
          for r in ev.score_events(ev.enrich_events(events, profiles), score=scorer).collect()}
     assert a.keys() == b.keys()
     assert max(abs(a[k] - b[k]) for k in a) < 1e-9
+
+
+def test_salted_enrichment_equals_plain(spark, tmp_root):
+    profiles = ev.user_profiles(table(spark, SF_SMALL, "customer"), table(spark, SF_SMALL, "orders"))
+    events = table(spark, SF_SMALL, "events")
+    hot = events.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(7))
+                            .otherwise(F.col("user_id")))          # a third of events: one user
+    plain = _rows(ev.enriched_alerts(hot, profiles))
+    salted = _rows(ev.enriched_alerts(hot, profiles, salt_buckets=8))
+    assert plain == salted and len(plain) > 0
+    # and as a stream
+    src = f"{tmp_root}/events_in"
+    os.makedirs(src)
+    shutil.copy(f"{SF_SMALL}/events.parquet", f"{src}/part-0.parquet")
+    q = (ev.enriched_alerts(ev.event_stream(spark, src), profiles, salt_buckets=4).writeStream
+         .format("parquet").option("checkpointLocation", f"{tmp_root}/ck").trigger(availableNow=True)
+         .start(f"{tmp_root}/out"))
+    q.awaitTermination()
+    assert _rows(spark.read.parquet(f"{tmp_root}/out")) == _rows(ev.enriched_alerts(events, profiles))
