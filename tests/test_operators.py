@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from wattlake.functions import exact_avg, has_columns, require_columns, stamp
 from wattlake.operators import aggregates, bronze, curated, exports, views

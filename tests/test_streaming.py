@@ -2,7 +2,6 @@
 chain, archive and dual sinks, flattening."""
 
 import datetime as dt
-import glob
 import os
 import shutil
 
