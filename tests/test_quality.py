@@ -64,3 +64,14 @@ def test_transaction_quality(spark):
     counts = {r.reason: r.n for r in quality.transaction_quality_counts(c).collect()}
     assert counts == {"accepted": 2, quality.REASON_DUPLICATE: 1, quality.REASON_BAD_KWH: 1,
                       quality.REASON_BAD_PRICE: 1, quality.REASON_BAD_TX_DATE: 1}
+
+
+def test_sensitive_scan_is_linear_on_long_junk(spark):
+    import time
+    junk = "a" * 200_000 + " " + ("9" * 100_000) + ' token = "' + "x" * 100_000
+    docs = spark.createDataFrame([(1, "en", junk + " real.person@mail.example.com")],
+                                 "doc_id long, lang string, text string")
+    t0 = time.time()
+    r = sensitive.flag_documents(docs).first()
+    assert time.time() - t0 < 60
+    assert (r.emails, r.secrets) == (1, 0)
