@@ -85,7 +85,10 @@ def exact_avg(c: str | Column, scale: int | None = None) -> Column:
     ``scale=None`` is the plain floating ``avg``.  With a scale the sum is
     taken in ``decimal(18, scale)`` so it is independent of row order (and of
     the engine), then divided by the non-null count.  Values with more
-    fractional digits than ``scale`` are rounded first.
+    fractional digits than ``scale`` are rounded first.  Supported magnitude:
+    below ``10**(18 - scale)`` per value (the cast keeps a compact 64-bit
+    decimal; under ANSI mode a larger value fails the query rather than
+    being dropped silently).  The sum itself widens to 28 digits.
     """
     col = _col(c)
     if scale is None:
