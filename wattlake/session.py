@@ -65,11 +65,14 @@ def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
     try:
-        return spark.conf.get("spark.checkpoint.dir")
+        d = spark.sparkContext.getCheckpointDir()
+        if d:
+            return d
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Connect)
+        pass
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None)
     except Exception:  # noqa: BLE001 - conf absent
         return None
 
@@ -79,8 +82,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     none is configured (local runs and tests)."""
     d = checkpoint_dir(spark)
     if not d:
-        spark.sparkContext.setCheckpointDir(fallback)
-        d = spark.sparkContext.getCheckpointDir() or fallback
+        try:
+            spark.sparkContext.setCheckpointDir(fallback)
+            d = spark.sparkContext.getCheckpointDir() or fallback
+        except Exception:  # noqa: BLE001 - no SparkContext: use the folder as is
+            d = fallback
     return d
 
 
