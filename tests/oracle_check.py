@@ -112,7 +112,9 @@ if __name__ == "__main__":
     from pyspark.sql import SparkSession
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or None
+    import tempfile
     spark = (SparkSession.builder.master("local[8]")
+             .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="wl-wh-"))
              .config("spark.sql.shuffle.partitions", "8")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")

@@ -67,6 +67,7 @@ RETRY_SCRIPT = textwrap.dedent('''
     from pyspark.sql import SparkSession, functions as F, types as T
     from pyspark import TaskContext
     spark = (SparkSession.builder.master("local[4,3]").config("spark.ui.enabled", "false")
+             .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="wl-wh-"))
              .config("spark.sql.shuffle.partitions", "4").getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
     from tests.sample_data import write_landing
