@@ -61,15 +61,16 @@ def spread_scan(df: DataFrame, key: str) -> DataFrame:
     """Spread a small scan over all cores (e.g. one Parquet row group would
     otherwise keep everything before the first shuffle in one task).
 
-    Rows are hash-partitioned on *all* their columns: only fully identical
-    rows share a partition, so a hot key is still spread by its other
-    columns, and the placement is a pure function of the row, so a retried
-    task reproduces it.  (Round-robin gives the same spread but Spark must
-    sort each partition first to make it retry-safe; measured 0.9 s vs
-    0.55 s on the sf0.1 lineitem scan.)"""
+    Round-robin, because every alternative fails one requirement. A hash of
+    the whole row sends identical copies to one partition, and a third of
+    all rows may be copies: the largest partition measured 3x the mean. A
+    hash of a row id is non-deterministic to the optimizer, so filters stop
+    being pushed through the spread. Round-robin stays even with any copies
+    or hot keys and keeps pushdown; Spark sorts each partition first so a
+    retried task reproduces its rows (about 0.4 s per spread on the sf0.1
+    lineitem scan, paid only on small inputs)."""
     if needs_spread(df, key):
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        return df.repartition(cores, *[df[c] for c in df.columns])
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     return df
 
 
