@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from wattlake.llm import exact_dedup, packing, simhash
+from wattlake.llm import exact_dedup, mixing, packing, quality_classifier, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_quality_classifier": quality_classifier.op2_quality_classifier,
     "op6_simhash": simhash.op6_simhash,
+    "op7_mixing": mixing.op7_mixing,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
 
