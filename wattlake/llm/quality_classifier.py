@@ -35,6 +35,7 @@ MAX_FIT_ROWS = 20_000
 EPOCHS, BATCH, STEP, L1, LEAST_GAP = 10, 64, 0.2, 5e-4, 0.1
 KEEP_GRADE, KEEP_PROBABILITY = 2, 0.5
 CACHED_WORDS = 400_000
+MARKS = b"#*$%&|<>!?.,;:"
 
 _SCORES: dict[int, dict[bytes, float]] = {}
 
@@ -48,10 +49,13 @@ def _hash(kind: bytes, value: bytes, bits: int) -> int:
     return zlib.crc32(kind + value) & ((1 << bits) - 1)
 
 
-def word_features(word: bytes, bits: int) -> tuple[int, int, int]:
-    """A lower-cased word and its first four and five characters."""
+def word_features(word: bytes, bits: int) -> tuple[int, ...]:
+    """A lower-cased word, its first four and five characters, and the marks
+    at its end."""
     text = word.decode("utf-8", "replace")
-    return (_hash(b"w", word, bits), _hash(b"4", text[:4].encode(), bits), _hash(b"5", text[:5].encode(), bits))
+    marks = word[len(word.rstrip(MARKS)):]
+    return (_hash(b"w", word, bits), _hash(b"4", text[:4].encode(), bits), _hash(b"5", text[:5].encode(), bits),
+            _hash(b"m", marks, bits))
 
 
 def shape_features(text: bytes, words: list[bytes], bits: int) -> list[int]:
@@ -69,7 +73,9 @@ def shape_features(text: bytes, words: list[bytes], bits: int) -> list[int]:
         b"lines": 1 - len(set(lines)) / len(lines),
         b"triples": 1 - len(set(zip(words, words[1:], words[2:]))) / max(1, n - 2),
     }
-    return [_hash(b"s", b"%s:%d" % (k, min(10, math.ceil(10 * v))), bits) for k, v in shares.items()]
+    found = [_hash(b"s", b"%s:%d" % (k, min(10, math.ceil(10 * v))), bits) for k, v in shares.items()]
+    # each counts as much as the words of a long text can add up to
+    return found * max(1, math.isqrt(n) // 10)
 
 
 def features(text: bytes, bits: int = HASH_BITS) -> list[int]:
