@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wattlake.llm import exact_dedup, mixing, packing, quality_classifier, simhash
+from wattlake.llm import chat, exact_dedup, mixing, packing, quality_classifier, quality_rules, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -10,8 +10,11 @@ QUERIES = {
     "op6_simhash": simhash.op6_simhash,
     "op7_mixing": mixing.op7_mixing,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op9_quality_rules": quality_rules.op9_quality_rules,
+    "op10_chat_formatting": chat.op10_chat_formatting,
 }
 
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op10_chat_formatting": chat.ORACLE,
 }
