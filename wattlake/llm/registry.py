@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from wattlake.llm import chat, exact_dedup, mixing, packing, quality_classifier, quality_rules, simhash
+from wattlake.llm import chat, exact_dedup, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_quality_classifier": quality_classifier.op2_quality_classifier,
+    "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_simhash": simhash.op6_simhash,
     "op7_mixing": mixing.op7_mixing,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
