@@ -24,7 +24,9 @@ repeat, each row is packed for itself; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import os
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -39,41 +41,63 @@ CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 BUCKET_ROWS = 50_000
-#: Words whose ids a worker remembers, and the longest of them in bytes.
-CACHED_WORDS, CACHED_BYTES = 500_000, 64
+#: Words and word bodies whose ids a worker remembers, and the longest in bytes.
+CACHED_WORDS, CACHED_BODIES, CACHED_BYTES = 400_000, 1_200_000, 64
 
 _WORDS: dict[str, tuple] = {}
 
 
 def _tokenizer(path: str) -> tuple:
-    """The tokenizer and its remembered words: one per worker."""
+    """The tokenizer, and the ids of remembered words and word bodies: one per
+    worker."""
     if path not in _WORDS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         from tokenizers import Tokenizer
 
-        _WORDS[path] = (Tokenizer.from_file(path), {})
+        _WORDS[path] = (Tokenizer.from_file(path), {}, {})
     return _WORDS[path]
 
 
+def _body(word: bytes) -> tuple[bytes, bytes]:
+    """A word's body and closing stops, where the tokenizer certainly cuts
+    between them (after a letter or digit), the body in lower case if ASCII."""
+    body = word.rstrip(b".,")
+    if not body or not body.decode()[-1].lower().isalnum():
+        body = word
+    stops = word[len(body):]
+    return (body.lower() if body.isascii() and b"<|" not in body else body), stops
+
+
 def token_ids(texts: list[bytes], path: str) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers.
 
-    The tokenizer drops white space and never joins what it separates, so the
-    ids of a text are those of its words; each word is encoded once and
-    remembered, up to a bound. ``path`` must name a tokenizer of that kind."""
-    tokenizer, known = _tokenizer(path)
+    The tokenizer drops white space, never joins what it separates and lowers
+    case, so the ids of a text are those of its words; each word body is
+    encoded once and remembered, up to a bound. ``path`` must name a tokenizer
+    of that kind."""
+    tokenizer, known, bodies = _tokenizer(path)
     split = [t.split() for t in texts]
-    fresh = list({w for words in split for w in words if w not in known})
+    words = set().union(*split)
+    fresh = words.difference(known)
     if len(known) + len(fresh) > CACHED_WORDS:
         known.clear()
-        fresh = list({w for words in split for w in words})
-    long = {}
-    for i in range(0, len(fresh), 4096):
-        part = fresh[i:i + 4096]
-        for word, found in zip(part, tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-            (known if len(word) <= CACHED_BYTES else long)[word] = np.array(found.ids, "<u4").tobytes()
-    if long:
-        return [b"".join([known.get(w) if w in known else long[w] for w in words]) for words in split]
-    return [b"".join(map(known.__getitem__, words)) for words in split]
+        fresh = words
+    cut = {w: _body(w) for w in fresh}
+    wanted = list({part for pair in cut.values() for part in pair}.difference(bodies))
+    if len(bodies) + len(wanted) > CACHED_BODIES:
+        bodies.clear()
+        wanted = list({part for pair in cut.values() for part in pair})
+    for i in range(0, len(wanted), 4096):
+        some = wanted[i:i + 4096]
+        for part, found in zip(some, tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
+            bodies[part] = array("I", found.ids).tobytes()
+    for word, (body, stops) in cut.items():
+        known[word] = bodies[body] + bodies[stops]
+    ids = [b"".join(map(known.__getitem__, words)) for words in split]
+    for word in [w for w in fresh if len(w) > CACHED_BYTES]:
+        del known[word]
+        bodies.pop(cut[word][0], None)
+    return ids
 
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int = CAPACITY,

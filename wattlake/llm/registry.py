@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from wattlake.llm import chat, exact_dedup, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup
+from wattlake.llm import chat, exact_dedup, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup, suffix_dedup, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_quality_classifier": quality_classifier.op2_quality_classifier,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
+    "op4_warc": warc.op4_warc,
     "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_simhash": simhash.op6_simhash,
     "op7_mixing": mixing.op7_mixing,

@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -270,7 +271,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             text = b" ".join(kept)
             out.append((len(words), removed, spans, hashlib.sha256(text).hexdigest(),
                         text.decode() if with_text else None))
-        ids = pa.compute.if_else(left.column("no_id"), pa.scalar(None, pa.int64()), left.column("id"))
+        ids = pc.if_else(left.column("no_id"), pa.scalar(None, pa.int64()), left.column("id"))
         return pa.table([ids, *(pa.array([r[k] for r in out], kind) for k, kind in enumerate(
             (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())))],
             ["id", "n_words", "n_removed", "n_spans", "kept_sha256", "kept_text"])
