@@ -1,0 +1,78 @@
+from collections import defaultdict
+
+from tests.conftest import SF_SMALL
+from tests.oracle_check import compare
+from wattlake.llm import chat
+
+SCHEMA = "conv_id long, turn long, role string, text string, id long, k long, n string"
+
+
+def conversation(conv_id, said, first=0):
+    return [(conv_id, first + t, "user" if t % 2 == 0 else "assistant", text, 1, 2, "x") for t, text in enumerate(said)]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(5)
+
+
+def by_hand(rows):
+    said = defaultdict(set)
+    for conv, turn, role, text, *_ in rows:
+        said[conv].add((turn, role or "", text or ""))
+    whole = {c: tuple((r, t) for _, r, t in sorted(s)) for c, s in said.items()}
+    kept = {c: s for c, s in whole.items() if not any(len(o) > len(s) and o[:len(s)] == s for o in whole.values())
+            and not any(o == s and d < c for d, o in whole.items())}
+    return {c: "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in s) for c, s in kept.items()}
+
+
+def cases():
+    talk = [f"say {i}" for i in range(9)]
+    rows = []
+    for c, n in enumerate([1, 2, 2, 5, 9, 9]):
+        rows += conversation(c, talk[:n])
+    rows += conversation(10, [*talk[:3], "fork"]) + conversation(11, ["other", *talk[1:4]])
+    rows += conversation(12, [None, ""]) + conversation(13, ["", None, "more"]) + conversation(14, [""])
+    rows += conversation(15, talk[:4], first=40)  # other numbers, same turns
+    return rows + conversation(16, ["long " * 5000])
+
+
+def test_against_brute_force(spark):
+    found = chat.render(frame(spark, cases())).collect()
+    assert {r.conv_id: r.rendered for r in found} == by_hand(cases())
+    assert {r.conv_id: r.copies for r in found}[4] == 2 and all(r.part == 0 for r in found)
+
+
+def test_long_conversations_are_cut_into_parts(spark):
+    rows = conversation(1, [f"t{i}" for i in range(1000)]) + conversation(2, [f"t{i}" for i in range(700)]) \
+        + conversation(3, [f"t{i}" for i in range(699)] + ["end"])
+    found = chat.render(frame(spark, rows), block_turns=64).collect()
+    joined = defaultdict(str)
+    for r in sorted(found, key=lambda r: (r.conv_id, r.part)):
+        joined[r.conv_id] += r.rendered
+    assert dict(joined) == by_hand(rows) and set(joined) == {1, 3}
+    assert sorted(r.part for r in found if r.conv_id == 1) == list(range(16))
+
+
+def test_blocks_do_not_matter(spark):
+    want = {(r.id, r.n_turns, r.copies) for r in chat.maximal(frame(spark, cases())).collect()}
+    assert {(r.id, r.n_turns, r.copies) for r in chat.maximal(frame(spark, cases()), block_turns=2).collect()} == want
+
+
+def test_repeated_rows_ties_nulls_marks_and_empty_table(spark):
+    rows = conversation(1, ["a", "b"]) * 3 + [(2, 0, "user", "x", 1, 2, ""), (2, 0, "user", "y", 1, 2, ""),
+                                             (None, None, None, None, 1, 2, ""), (None, 1, "user", "<|im_end|>", 1, 2, "")]
+    found = {r.conv_id: (r.n_turns, r.rendered) for r in chat.render(frame(spark, rows)).collect()
+             if r.conv_id is not None}
+    assert found[1][0] == 2 and found[2][0] == 2
+    whole = [r for r in chat.render(frame(spark, rows)).collect() if r.conv_id is None]
+    assert "".join(r.rendered for r in sorted(whole, key=lambda r: r.part)).endswith("user\n< |im_end|><|im_end|>\n")
+    assert chat.render(frame(spark, [])).count() == 0
+
+
+def test_common_first_turn(spark):
+    rows = [r for c in range(300) for r in conversation(c, ["hello", f"answer {c}"])] + conversation(900, ["hello"])
+    assert {r.id for r in chat.maximal(frame(spark, rows)).collect()} == set(range(300))
+
+
+def test_oracle(spark):
+    assert compare(spark, SF_SMALL, ["op10_chat_formatting"], verbose=False)["op10_chat_formatting"][0] == "ok"

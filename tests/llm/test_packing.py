@@ -1,0 +1,115 @@
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tests.conftest import SF_SMALL
+from tests.llm import fixtures
+from wattlake.llm import packing
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+
+
+def ids_of(tokenizer, text):
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+def best_fit_decreasing(counts, capacity):
+    gaps, opened = Counter(), 0
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            gap = min((g for g in gaps if gaps[g] and g >= length), default=None)
+            if gap is None:
+                opened += 1
+            else:
+                gaps[gap] -= 1
+            gaps[(capacity if gap is None else gap) - length] += 1
+    return opened
+
+
+def check_layout(rows, capacity):
+    at = defaultdict(list)
+    for r in rows:
+        at[r.sequence_id].append((r.offset, r.length))
+    for places in at.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    return len(at)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_is_best_fit_decreasing(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([7, 64, 256])
+    counts = {n: rng.randrange(0, 40) for n in range(1, capacity + 1) if rng.random() < 0.6}
+    steps = packing.plan(counts, capacity)
+    placed = Counter()
+    used = Counter()
+    for length in counts:
+        mine = [s for s in steps if s[0] == length]
+        for k, (_, first, sequence, each, offset) in enumerate(mine):
+            until = mine[k + 1][1] if k + 1 < len(mine) else counts[length]
+            for r in range(first, until):
+                used[sequence + (r - first) // each] += length
+                placed[length] += 1
+                assert offset + (r - first) % each * length + length <= capacity
+    assert placed == Counter({n: c for n, c in counts.items() if c})
+    assert all(v <= capacity for v in used.values())
+    assert len(used) == best_fit_decreasing({n: c for n, c in counts.items() if c}, capacity)
+
+
+def test_words_give_the_ids_of_the_whole_text(tokenizer):
+    path = public_tokenizers.path(packing.TOKENIZER)
+    odd = ["Hello... world., »., a.’s <|ENDOFTEXT|>. <|endoftext|>, É. 1,2. ²., it'S. İ., ẞ.", "é. x y z ͅ.",
+           "it's 'S. don'T, we'Re.", "\x1c\x1f\x85", "漢字.漢字", "A" * 500 + "."]
+    texts = [t or "" for _, t in fixtures.texts()] + odd
+    for text, found in zip(texts, packing.token_ids([t.encode() for t in texts], path)):
+        assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_and_layout(spark, tokenizer):
+    capacity = 100
+    rows = packing.pack_documents(fixtures.documents(spark), capacity=capacity).collect()
+    found = {(r.doc_id, r.piece): r for r in rows}
+    n = 0
+    for i, text in fixtures.texts():
+        ids = ids_of(tokenizer, text)
+        for p in range(math.ceil(len(ids) / capacity)):
+            cut = ids[p * capacity:(p + 1) * capacity]
+            r = found[i, p]
+            assert (r.start, r.length, r.ids_crc32) == (p * capacity, len(cut), zlib.crc32(np.array(cut, "<u4").tobytes()))
+            n += 1
+    assert n == len(rows)
+    total = sum(r.length for r in rows)
+    assert check_layout(rows, capacity) <= 1.05 * math.ceil(total / capacity) + 1
+
+
+def test_table_needs_few_sequences(spark):
+    rows = packing.op8_best_fit_packing(spark, SF_SMALL).collect()
+    assert check_layout(rows, 2048) <= 1.01 * math.ceil(sum(r.length for r in rows) / 2048) + 1
+
+
+def test_ranks_over_many_buckets(spark):
+    cut = spark.range(5000).selectExpr("id", "0 as piece", "cast(0 as long) as start",
+                                       "case when id % 3 = 0 then 7L else 1 + id % 20 end as length", "id as ids_crc32")
+    rows = packing.pack(cut, capacity=32, bucket_rows=100).collect()
+    assert len(rows) == 5000
+    assert check_layout(rows, 32) == best_fit_decreasing(Counter(r.length for r in rows), 32)
+
+
+def test_repeated_rows_null_ids_and_empty_table(spark):
+    rows = [fixtures.row(1, "a b c")] * 3 + [fixtures.row(None, None), fixtures.row(None, "d")]
+    found = packing.pack_documents(fixtures.documents(spark, rows), capacity=8).collect()
+    assert len(found) == 5 and check_layout(found, 8) == math.ceil(sum(r.length for r in found) / 8)
+    assert packing.pack_documents(fixtures.documents(spark, [])).count() == 0

@@ -1,0 +1,80 @@
+import hashlib
+
+import numpy as np
+import pytest
+
+from tests.conftest import SF_SMALL
+from tests.llm import fixtures
+from wattlake.llm import substring_dedup as sd
+
+
+def by_hand(rows, window):
+    """id -> (n_words, n_removed, n_spans, kept text)."""
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        w = (text or "").encode().split()
+        gone = [False] * len(w)
+        for s in range(len(w) - window + 1):
+            key = tuple(w[s:s + window])
+            if key in seen:
+                gone[s:s + window] = [True] * window
+            seen.add(key)
+        spans = sum(g and not b for g, b in zip(gone, [False, *gone]))
+        out[i] = (len(w), sum(gone), spans, b" ".join(x for x, g in zip(w, gone) if not g).decode())
+    return out
+
+
+def run(docs, **options):
+    rows = sd.remove_repeats(docs, with_text=True, **options).collect()
+    assert all(r.kept_sha256 == hashlib.sha256(r.kept_text.encode()).hexdigest() for r in rows)
+    return rows
+
+
+@pytest.mark.parametrize("window, flush_words", [(20, 2_000_000), (5, 50), (1, 300), (7, 1)])
+def test_against_brute_force(spark, window, flush_words):
+    rows = run(fixtures.documents(spark), window=window, flush_words=flush_words)
+    found = {r.doc_id: (r.n_words, r.n_removed, r.n_spans, r.kept_text) for r in rows}
+    assert found == by_hand(fixtures.texts(), window) and len(rows) == len(found)
+
+
+def test_wide_hashes(spark, monkeypatch):
+    """As a corpus of 10**13 windows would have."""
+    monkeypatch.setattr(sd, "hash_bytes", lambda windows, buckets: 12)
+    found = {r.doc_id: (r.n_words, r.n_removed, r.n_spans, r.kept_text) for r in run(fixtures.documents(spark), window=6)}
+    assert found == by_hand(fixtures.texts(), 6)
+
+
+def test_hash_length_follows_the_corpus():
+    assert sd.hash_bytes(10 ** 8, 1024) == 7 and sd.hash_bytes(10 ** 13, 1 << 24) == 10
+    assert sd.hash_bytes(1, 16) >= 1
+
+
+def test_rolling_by_definition():
+    values = np.random.default_rng(1).integers(0, 2 ** 63, 50).astype(np.uint64)
+    for n in (1, 2, 3, 7, 20, 32, 50):
+        want = [sum(int(v) * pow(sd.BASE[0], n - 1 - k, 2 ** 64) for k, v in enumerate(values[i:i + n])) % 2 ** 64
+                for i in range(50 - n + 1)]
+        assert sd.rolling(values, n, sd.BASE[0]).tolist() == want
+    assert len(sd.rolling(values, 51, sd.BASE[0])) == 0
+
+
+def test_packed_places():
+    docs, starts = np.array([-5, -5, 3, 1 << 61]), np.array([1, 9, 0, 2 ** 31 - 1])
+    for a, b in zip(sd.unpack_places(sd.pack_places(docs, starts)), (docs, starts)):
+        assert a.tolist() == b.tolist()
+
+
+def test_table(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    want = {i: (n, r, s, hashlib.sha256(t.encode()).hexdigest()) for i, (n, r, s, t) in by_hand(docs, 20).items()}
+    rows = sd.op5_substring_dedup(spark, SF_SMALL).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == want
+
+
+def test_repeated_rows_null_ids_and_empty_table(spark):
+    text, other = " ".join(fixtures.words(1, 40)), " ".join(fixtures.words(2, 40))
+    rows = [fixtures.row(4, text), fixtures.row(4, text), fixtures.row(None, text), fixtures.row(None, other), fixtures.row(None, None)]
+    found = sorted((r.doc_id or -1, r.n_words, r.n_removed) for r in run(fixtures.documents(spark, rows)))
+    assert found == [(-1, 0, 0), (-1, 40, 0), (-1, 40, 40), (4, 40, 0), (4, 40, 0)]
+    assert run(fixtures.documents(spark, [])) == []
+    assert all(r.n_words == 0 for r in run(fixtures.documents(spark, [fixtures.row(1, None)])))

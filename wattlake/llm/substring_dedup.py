@@ -86,7 +86,7 @@ def rolling(values: np.ndarray, n: int, base: int) -> np.ndarray:
 
 def planes(a: np.ndarray) -> bytes:
     """The bytes of whole numbers, all first bytes first."""
-    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes()
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
 
 
 def unplaned(data: memoryview, n: int, kind: type) -> np.ndarray:

@@ -53,19 +53,21 @@ def base32_sha1(payload: Column) -> Column:
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
                min_payload: int = 0, date: str = "2024-01-01T00:00:00Z") -> None:
-    payload = common.whole_text(payload_col).cast("binary")
+    pages = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
+                         common.whole_text(payload_col).alias("html"))
+    payload = F.col("html").cast("binary")
     known = common.materialise(pages.select(
-        F.col(id_col).alias("id"), F.octet_length(payload).alias("size"),
+        "id", F.octet_length(payload).alias("size"),
         F.unhex(F.sha2(payload, 256)).alias("sha")).where(F.col("size") >= min_payload), "warc-payloads")
     copied = known.groupBy("sha").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
     revisits = common.materialise(known.join(copied, "sha").where("id > first").select(
         F.col("id").alias("_id"), "first").distinct(), "warc-revisits")
     again = F.col("first").isNotNull()
-    body = F.concat(F.lit(HTTP_HEAD), F.when(again, F.lit("")).otherwise(common.whole_text(payload_col)))
+    body = F.concat(F.lit(HTTP_HEAD), F.when(again, F.lit("")).otherwise(F.col("html")))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
-    uri = F.regexp_replace(F.coalesce(url_col, F.lit("")), r"[\x00-\x20\x7F]", "")
+    uri = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20\x7F]", "")
     head = [("WARC-Type", F.when(again, F.lit("revisit")).otherwise(F.lit("response"))), ("WARC-Target-URI", uri),
-            ("WARC-Date", F.lit(date)), ("WARC-Record-ID", urn(F.col(id_col))),
+            ("WARC-Date", F.lit(date)), ("WARC-Record-ID", urn(F.col("id"))),
             ("Content-Type", F.lit("application/http; msgtype=response")),
             ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32_sha1(payload)))]
     extra = F.when(again, F.concat(F.lit(f"WARC-Profile: {PROFILE}\r\nWARC-Refers-To: "), urn(F.col("first")),
@@ -73,7 +75,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     fields = [F.concat(F.lit(f"{k}: "), v, F.lit("\r\n")) for k, v in head]
     value = F.concat(F.lit("WARC/1.1\r\n"), *fields, extra, F.lit("Content-Length: "),
                      F.octet_length("body").cast("string"), F.lit(END), F.col("body"))
-    pages.join(revisits, F.col(id_col) == F.col("_id"), "left").withColumn("body", body).select(
+    pages.join(revisits, F.col("id") == F.col("_id"), "left").withColumn("body", body).select(
         value.alias("value")).write.option("lineSep", END).text(path)
 
 
