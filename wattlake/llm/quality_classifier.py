@@ -32,7 +32,9 @@ from wattlake.llm import common
 
 HASH_BITS = 18
 MAX_FIT_ROWS = 20_000
-EPOCHS, BATCH, STEP, L1, LEAST_GAP = 10, 64, 0.2, 5e-4, 0.1
+#: Passes go on until this many rows have been seen.
+SEEN_ROWS = 200_000
+BATCH, STEP, L1, LEAST_GAP = 64, 0.2, 1e-3, 0.1
 KEEP_GRADE, KEEP_PROBABILITY = 2, 0.5
 CACHED_WORDS = 400_000
 MARKS = b"#*$%&|<>!?.,;:"
@@ -97,12 +99,14 @@ class OrdinalModel:
 
 def fit(rows: list[np.ndarray], grades: np.ndarray, bits: int = HASH_BITS, seed: int = 7) -> OrdinalModel:
     """Maximum likelihood by mini-batches with per-weight step sizes and an L1
-    shrinkage; thresholds are kept in order."""
+    shrinkage; thresholds are kept in order. The model is the mean over the later
+    half of the passes."""
     top = int(grades.max())
     weights, square = np.zeros(1 << bits), np.full(1 << bits, 1e-8)
     cuts, cut_square = np.linspace(-2, 0, top), np.full(top, 1e-8)
+    mean, mean_cuts, passes = np.zeros(1 << bits), np.zeros(top), math.ceil(SEEN_ROWS / len(rows))
     rng = np.random.default_rng(seed)
-    for _ in range(EPOCHS):
+    for done in range(passes):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), BATCH):
             part = order[at:at + BATCH]
@@ -129,7 +133,10 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, bits: int = HASH_BITS, seed:
             cuts -= STEP * pull / np.sqrt(cut_square)
             for j in range(1, top):
                 cuts[j] = max(cuts[j], cuts[j - 1] + LEAST_GAP)
-    return OrdinalModel(weights.astype(np.float32), cuts, bits)
+        if done >= passes // 2:
+            mean, mean_cuts = mean + weights, mean_cuts + cuts
+    later = passes - passes // 2
+    return OrdinalModel((mean / later).astype(np.float32), mean_cuts / later, bits)
 
 
 def labelled_sample(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str,
