@@ -41,6 +41,19 @@ def test_sensitive_counts(spark):
     assert (c["en"].n_docs, c["en"].n_flagged, c["fr"].n_flagged) == (2, 2, 0)
 
 
+def test_sensitive_patterns_have_no_caps(spark):
+    long = "k" * 300
+    cases = [("secrets", f'TOKEN = "{long}"', 1), ("secrets", 'Api_Key' + " " * 12 + '="x"', 1), ("secrets", 'token = ""', 0),
+             ("cards", "4111 1111 1111 1111", 1), ("cards", "4111-1111-1111-1111.", 1), ("cards", "1" * 32, 0),
+             ("cards", "1" * 17, 0), ("cards", "x" + "2" * 16 + "y", 1), ("emails", "m" * 100 + "@" + "d" * 300 + ".org", 1),
+             ("emails", "a@b", 0), ("emails", "see a.b@c.example.com.", 1), ("ipv4s", "1.2.3.4567", 0), ("ipv4s", "10.0.0.1", 1),
+             ("phones", "+1 (555) 123-45678", 0), ("phones", "+1 (555) 123-4567", 1)]
+    docs = spark.createDataFrame([(i, "en", t) for i, (_, t, _) in enumerate(cases)], "doc_id long, lang string, text string")
+    found = {r.doc_id: r for r in sensitive.flag_documents(docs).collect()}
+    for i, (name, text, want) in enumerate(cases):
+        assert found[i][name] == want, (name, text[:40])
+
+
 def test_transaction_quality(spark):
     from wattlake.schemas import CONTRATOS_COLUMNS
 
