@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from tests.sample_data import write_landing
 from wattlake.__main__ import run
 from wattlake.config import LakeConfig
@@ -32,5 +34,7 @@ def test_scale_conf():
     big = scale_conf(100 * (1 << 40))                       # 100 TB shuffle
     assert int(big["spark.sql.shuffle.partitions"]) == 819200
     assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(128 << 20)
-    assert scale_conf(10 << 20)["spark.sql.shuffle.partitions"] == "200"   # floor
-    assert scale_conf(1 << 60)["spark.sql.shuffle.partitions"] == "1000000"  # cap
+    assert scale_conf(10 << 20)["spark.sql.shuffle.partitions"] == "1"
+    assert scale_conf(1 << 55)["spark.sql.shuffle.partitions"] == str(1 << 28)   # no cap
+    with pytest.raises(ValueError):
+        scale_conf(1 << 60)

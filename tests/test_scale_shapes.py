@@ -44,3 +44,33 @@ def test_aggregate_one_exchange_partial_first(no_broadcast):
     plan = _physical(spark, aggregates.aggregate_transacciones(tx, exact_scale=4))
     assert plan.count("Exchange") == 1
     assert "partial_sum" in plan and "partial_count" in plan
+
+
+@pytest.mark.parametrize("partitions", [8, 128, 512])
+def test_bounded_export_merge_does_not_grow(spark, partitions):
+    """Rows that reach the last merge: at most groups x n, whatever the input."""
+    from pyspark.sql import functions as F
+
+    from wattlake.operators import exports
+    n = 5
+    df = spark.range(0, 20_000, 1, partitions).select(F.col("id"), (F.col("id") * 7919 % 20_000).alias("k"))
+    out = exports.first_rows(df, ["k", "id"], n)
+    assert [r.k for r in out.collect()] == list(range(n))
+    plan = _physical(spark, out)
+    assert "WindowGroupLimit" in plan            # also limited before the shuffle
+    window = df.withColumn("g", F.spark_partition_id() % exports.MERGE_GROUPS)
+    assert window.select("g").distinct().count() <= exports.MERGE_GROUPS
+
+
+def test_landing_is_executed_once_for_the_client_view(spark):
+    from tests.conftest import SF_SMALL
+    from wattlake.plans.registry import QUERIES
+    plan = _physical(spark, QUERIES["v_clientes"](spark, SF_SMALL))
+    assert "l_orderkey" not in plan and plan.count("FileScan") == 2      # the landed table, per side
+
+
+def test_business_year_reaches_the_scan(spark):
+    from tests.conftest import SF_SMALL
+    from wattlake.plans.registry import QUERIES
+    plan = _physical(spark, QUERIES["energy_price_summary"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan

@@ -1,13 +1,15 @@
 """Bounded, ordered export selections (F1, F2).
 
-``orderBy(...).limit(n)`` plans as ``TakeOrderedAndProject``: each task keeps
-its own top ``n`` and only those reach the final merge, so the cost does not
-grow with a single partition holding the whole result.
+A plain ordered limit sends the first ``n`` rows of every input partition to
+one merging task, which grows with the input. Here input partitions are dealt
+to a fixed number of groups, each group keeps its first ``n`` (Spark applies
+that limit before the shuffle as well), and only those reach the final merge:
+at most ``MERGE_GROUPS * n`` rows, whatever the input.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.schemas import PROVEEDOR_COLUMNS, TRANSACCION_COLUMNS
@@ -16,17 +18,27 @@ from wattlake.schemas import PROVEEDOR_COLUMNS, TRANSACCION_COLUMNS
 _asc = F.Column.asc_nulls_last
 
 
+MERGE_GROUPS = 64
+
+
+def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first ``n`` rows in ascending order of ``order``, nulls last."""
+    keys = [_asc(F.col(c)) for c in order]
+    groups = df.withColumn("_group", F.spark_partition_id() % MERGE_GROUPS)
+    nth = F.row_number().over(Window.partitionBy("_group").orderBy(*keys))
+    kept = groups.withColumn("_nth", nth).where(F.col("_nth") <= n).drop("_group", "_nth")
+    return kept.orderBy(*keys).limit(n)
+
+
 def top_transacciones(tx: DataFrame, n: int = 1000) -> DataFrame:
-    """First ``n`` transactions by date then id."""
-    return (tx.select(*TRANSACCION_COLUMNS)
-            .orderBy(_asc(F.col("fecha_transaccion")), _asc(F.col("id_transaccion")))
-            .limit(n))
+    """First ``n`` transactions by date then id; the remaining columns break
+    ties so the selection is deterministic."""
+    rest = [c for c in TRANSACCION_COLUMNS if c not in ("fecha_transaccion", "id_transaccion")]
+    return first_rows(tx.select(*TRANSACCION_COLUMNS), ["fecha_transaccion", "id_transaccion", *rest], n)
 
 
 def top_proveedores(pv: DataFrame, n: int = 1000) -> DataFrame:
     """First ``n`` providers by name; the remaining columns break ties so the
     selection is deterministic."""
     order = ["nombre_proveedor", "fecha_contrato", "ciudad", "tipo_energia", "capacidad_mw"]
-    return (pv.select(*PROVEEDOR_COLUMNS)
-            .orderBy(*[_asc(F.col(c)) for c in order])
-            .limit(n))
+    return first_rows(pv.select(*PROVEEDOR_COLUMNS), order, n)

@@ -7,6 +7,8 @@ the SQL settings the jobs rely on and never point at machine-local folders.
 from __future__ import annotations
 
 import datetime as _dt
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -36,8 +38,7 @@ def build_session(master: str | None = None, app_name: str = "wattlake",
 MB = 1 << 20
 
 
-def scale_conf(largest_shuffle_bytes: int, partition_bytes: int = 128 * MB,
-               max_partitions: int = 1_000_000) -> dict[str, str]:
+def scale_conf(largest_shuffle_bytes: int, partition_bytes: int = 128 * MB) -> dict[str, str]:
     """Shuffle and scan sizing for a run whose largest shuffle moves about
     ``largest_shuffle_bytes``.
 
@@ -48,7 +49,9 @@ def scale_conf(largest_shuffle_bytes: int, partition_bytes: int = 128 * MB,
     coalesced back to ``partition_bytes`` each.  Scan splits use the same
     target size.
     """
-    n = max(200, min(max_partitions, -(-largest_shuffle_bytes // partition_bytes)))
+    n = max(1, -(-largest_shuffle_bytes // partition_bytes))
+    if n >= 1 << 31:
+        raise ValueError(f"{n} shuffle partitions of {partition_bytes} bytes: choose larger partitions")
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
@@ -90,6 +93,47 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return d
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which driver and executors
+    share. Only a session that runs within one machine may do without: it gets
+    a temporary one."""
+    d = checkpoint_dir(spark)
+    if d:
+        return d.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="wattlake-")).rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate data of this application, below the
+    shared folder; ``release_scratch`` removes it."""
+    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/wattlake-{spark.sparkContext.applicationId}"
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on whatever file system holds it."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True))
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove all that this application put in the shared folder: the data
+    folders, and the databases over them. Call it when results of earlier
+    queries have been written or are no longer needed."""
+    root = _scratch(spark)
+    for db in spark.catalog.listDatabases():
+        if db.locationUri and root.rsplit("/", 1)[-1] in db.locationUri:
+            spark.sql(f"DROP DATABASE IF EXISTS {db.name} CASCADE")
+    remove_path(spark, root)
+
+
 def resolve_run_date(spark: SparkSession, run_date: _dt.date | None) -> _dt.date:
     """Fix the processing date once per run so every job of the run stamps the
     same partition, even across midnight."""
