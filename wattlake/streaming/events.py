@@ -20,28 +20,18 @@ from wattlake.schemas import EVENT_PROPS, EVENTS
 # The recommendation actions a score maps to.
 ACTION_BUY, ACTION_SELL, ACTION_NONE = "COMPRAR", "VENDER", "NADA"
 
-# Parameters of the stand-in scoring model, chosen here (a linear score in
-# [0, 1]); a real model plugs in through ``model_scorer``.
-EVENT_TYPE_WEIGHTS = {"purchase": "0.40", "signup": "0.25", "click": "0.15", "view": "0.05",
-                      "error": "0.00"}
-VALUE_WEIGHT = "0.004"        # per unit of event value, value capped at 100
-VALUE_CAP = 100
-LOYALTY_WEIGHT = "0.01"       # per past order, capped at 20 orders
-LOYALTY_CAP = 20
-DEFAULT_THRESHOLD = 0.5
+FILES_PER_TRIGGER = 1000      # bound of a micro-batch
+ARCHIVE_FILES_PER_DATE = 8    # of a micro-batch
 
 
 # ---- S1 source ------------------------------------------------------------
-def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Events as an unbounded stream from a folder of Parquet files (or a
     glob).  A single ``.parquet`` file is turned into a glob matching it,
     since the file source lists a folder or a pattern."""
     if path.endswith(".parquet"):
         path = path + "*"
-    r = spark.readStream.schema(EVENTS)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(path)
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
 
 
 # ---- S2 enrichment ----------------------------------------------------------
@@ -78,10 +68,9 @@ def enrich_events(events: DataFrame, profiles: DataFrame, salt_buckets: int = 1)
     ``salt_buckets > 1`` splits a hot user across that many join partitions:
     each event gets a salt derived from its ``event_id`` (deterministic, so a
     retried task reproduces it) and every profile row is replicated once per
-    salt.  The profile side grows ``salt_buckets``-fold in exchange.  Use it
-    for plain streaming queries, where AQE's skew-join splitting does not run;
-    inside ``foreachBatch`` each micro-batch is a batch query and AQE handles
-    skew without salting."""
+    salt.  The profile side grows ``salt_buckets``-fold in exchange.  On Spark
+    4.1 AQE also splits skewed joins in streams, so this is for sessions that
+    run without it."""
     if salt_buckets <= 1:
         return events.join(profiles, "user_id", "left")
     salted_events = events.withColumn("_salt", F.pmod(F.xxhash64("event_id"), F.lit(salt_buckets)))
@@ -91,24 +80,6 @@ def enrich_events(events: DataFrame, profiles: DataFrame, salt_buckets: int = 1)
 
 
 # ---- S3 scoring -------------------------------------------------------------
-def _dec(s: str) -> Column:
-    return F.lit(s).cast("decimal(4,3)")
-
-
-def score_column() -> Column:
-    """Linear score in exact decimal arithmetic (engine- and order-independent),
-    returned as double."""
-    w = F.lit(None).cast("decimal(4,3)")
-    for etype, weight in EVENT_TYPE_WEIGHTS.items():
-        w = F.when(F.col("event_type") == etype, _dec(weight)).otherwise(w)
-    w = F.coalesce(w, _dec("0"))
-    # Narrow decimal types keep every intermediate within 18 digits.
-    value = F.least(F.greatest(F.col("value"), F.lit(0.0)), F.lit(float(VALUE_CAP))).cast("decimal(5,2)")
-    orders = F.least(F.coalesce(F.col("n_orders"), F.lit(0)), F.lit(LOYALTY_CAP)).cast("decimal(2,0)")
-    s = w + F.coalesce(value, F.lit(0).cast("decimal(5,2)")) * _dec(VALUE_WEIGHT) + orders * _dec(LOYALTY_WEIGHT)
-    return s.cast("double")
-
-
 def model_scorer(predict, features: list[str]):
     """Wrap a trained model's ``predict(pandas.DataFrame) -> pandas.Series``
     as an Arrow-batched pandas UDF over ``features``; returns the score
@@ -122,12 +93,11 @@ def model_scorer(predict, features: list[str]):
     return _score(F.struct(*[F.col(c) for c in features]))
 
 
-def score_events(enriched: DataFrame, threshold: float = DEFAULT_THRESHOLD,
-                 score: Column | None = None) -> DataFrame:
-    """Adds ``score`` (default: :func:`score_column`; any Column, e.g. from
+def score_events(enriched: DataFrame, score: Column, threshold: float) -> DataFrame:
+    """Adds ``score`` (any Column over the enriched event, e.g. from
     :func:`model_scorer`) and ``action``: buy for users in credit, sell for
     users in debt, nothing at or below the threshold."""
-    scored = enriched.withColumn("score", score if score is not None else score_column())
+    scored = enriched.withColumn("score", score)
     action = (F.when(F.col("score") <= F.lit(threshold), ACTION_NONE)
               .when(F.coalesce(F.col("c_acctbal"), F.lit(0.0)) >= 0, ACTION_BUY)
               .otherwise(ACTION_SELL))
@@ -135,7 +105,7 @@ def score_events(enriched: DataFrame, threshold: float = DEFAULT_THRESHOLD,
 
 
 # ---- S4 threshold -------------------------------------------------------------
-def alerts(scored: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+def alerts(scored: DataFrame, threshold: float) -> DataFrame:
     """Events whose score exceeds the threshold (``score > umbral``)."""
     return scored.where(F.col("score") > F.lit(threshold))
 
@@ -144,11 +114,10 @@ ALERT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "c_name", "
                  "n_orders", "score", "action"]
 
 
-def enriched_alerts(events: DataFrame, profiles: DataFrame,
-                    threshold: float = DEFAULT_THRESHOLD, score: Column | None = None,
+def enriched_alerts(events: DataFrame, profiles: DataFrame, score: Column, threshold: float,
                     salt_buckets: int = 1) -> DataFrame:
     """S2 -> S3 -> S4 in one chain."""
-    scored = score_events(enrich_events(events, profiles, salt_buckets), threshold, score)
+    scored = score_events(enrich_events(events, profiles, salt_buckets), score, threshold)
     return alerts(scored, threshold).select(*ALERT_COLUMNS)
 
 
@@ -186,41 +155,44 @@ def flatten_events(events: DataFrame) -> DataFrame:
 
 
 # ---- S5 archive, S6 dual sink -----------------------------------------------------
-def archive_events(stream: DataFrame, path: str, checkpoint: str,
-                   trigger: dict | None = None) -> StreamingQuery:
+def archive_events(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                   files_per_date: int = ARCHIVE_FILES_PER_DATE) -> StreamingQuery:
     """Every raw event, as Parquet partitioned by event date (exactly-once
-    file sink)."""
-    w = (stream.withColumn("event_date", F.to_date("ts")).writeStream.format("parquet")
+    file sink). Events are first brought together by date, each date dealt to
+    ``files_per_date`` tasks by event id, so a micro-batch adds at most so many
+    files to a date and a busy date is not written by one task."""
+    dated = stream.withColumn("event_date", F.to_date("ts"))
+    dealt = dated.repartition(F.col("event_date"), F.pmod(F.xxhash64("event_id"), F.lit(files_per_date)))
+    w = (dealt.writeStream.format("parquet")
          .partitionBy("event_date").option("checkpointLocation", checkpoint))
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start(path)
 
 
-def dual_sink_writer(flat_path: str, ops_path: str, profiles: DataFrame,
-                     threshold: float = DEFAULT_THRESHOLD):
+def dual_sink_writer(flat_path: str, ops_path: str, profiles: DataFrame, score: Column, threshold: float):
     """``foreachBatch`` function writing each micro-batch twice: a flat
     feature set (for model training) and the relational alert rows (for
-    operations).  The batch is persisted once for both writes, and each write
-    overwrites only its ``batch_id`` partition, so a replayed batch replaces
-    its own output instead of duplicating it."""
+    operations).  Events are enriched once, into the flat set; the alerts are
+    derived from what was written.  Each write overwrites only its ``batch_id``
+    partition, so a replayed batch replaces its own output instead of
+    duplicating it."""
+
+    def put(df: DataFrame, path: str) -> None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("batch_id").parquet(path))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            flat = flatten_events(enrich_events(batch, profiles)).withColumn("batch_id", F.lit(batch_id))
-            ops = enriched_alerts(batch, profiles, threshold).withColumn("batch_id", F.lit(batch_id))
-            for df, path in ((flat, flat_path), (ops, ops_path)):
-                (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                   .partitionBy("batch_id").parquet(path))
-        finally:
-            batch.unpersist()
+        flat = flatten_events(enrich_events(batch, profiles)).withColumn("batch_id", F.lit(batch_id))
+        put(flat, flat_path)
+        written = batch.sparkSession.read.schema(flat.schema).parquet(flat_path).where(F.col("batch_id") == batch_id)
+        ops = alerts(score_events(written, score, threshold), threshold).select(*ALERT_COLUMNS, "batch_id")
+        put(ops, ops_path)
 
     return write
 
 
 def start_dual_sink(stream: DataFrame, flat_path: str, ops_path: str, profiles: DataFrame,
-                    checkpoint: str, threshold: float = DEFAULT_THRESHOLD,
-                    trigger: dict | None = None) -> StreamingQuery:
-    w = (stream.writeStream.foreachBatch(dual_sink_writer(flat_path, ops_path, profiles, threshold))
+                    checkpoint: str, score: Column, threshold: float, trigger: dict | None = None) -> StreamingQuery:
+    w = (stream.writeStream.foreachBatch(dual_sink_writer(flat_path, ops_path, profiles, score, threshold))
          .option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"availableNow": True})).start()
