@@ -29,16 +29,16 @@ def test_bronze_transacciones(contratos):
     assert len(rows) == 10
     assert dict(tx.dtypes)["cantidad_kwh"] == "double"
     assert dict(tx.dtypes)["fecha_transaccion"] == "date"
-    assert {r.id_transaccion for r in rows} == {f"TXN{i:03d}" for i in range(1, 11)}
+    assert {r.id_transaccion for r in rows} == {f"OP-{i:02d}" for i in range(1, 11)}
 
 
 def test_bronze_proveedores_keeps_shifted_rows(contratos):
     pv = bronze.split_proveedores(contratos).collect()
     assert len(pv) == 15
     shifted = [r for r in pv if r.capacidad_mw is None]
-    assert sorted(r.nombre_proveedor for r in shifted) == ["175.6", "220.1", "380.2", "450.0", "85.0"]
+    assert sorted(r.nombre_proveedor for r in shifted) == ["18.6", "230.4", "3.2", "41.0", "9.5"]
     assert all(r.fecha_contrato is None for r in shifted)
-    assert "Geotérmica Nariño" in {r.ciudad for r in shifted}
+    assert "Planta Ópalo" in {r.ciudad for r in shifted}
 
 
 def test_bronze_clientes(contratos):
@@ -53,18 +53,18 @@ def test_aggregate_and_totals(contratos):
     agg = aggregates.aggregate_transacciones(tx)
     rows = agg.collect()
     assert len(rows) == 9
-    two = [r for r in rows if r.tipo_energia == "hidroeléctrica"]
+    two = [r for r in rows if r.tipo_energia == "geotérmica"]
     assert len(two) == 1
     r = two[0]
-    assert (r.ciudad, r.fecha_transaccion) == ("Medellín", dt.date(2024, 1, 15))
-    assert r.total_kwh == pytest.approx(10600.8, abs=1e-9)
-    assert r.avg_precio_kwh == pytest.approx(0.13, abs=1e-9)
+    assert (r.ciudad, r.fecha_transaccion) == ("San Óscar", dt.date(2031, 3, 4))
+    assert r.total_kwh == pytest.approx(1310.25, abs=1e-9)
+    assert r.avg_precio_kwh == pytest.approx(0.15, abs=1e-9)
     tot = {r.tipo_energia: r.total_kwh for r in aggregates.energy_totals(agg).collect()}
-    expected = {"eólica": 11967.3, "hidroeléctrica": 10600.8, "nuclear": 13490.5, "solar": 3333.4}
+    expected = {"mareal": 1359.25, "geotérmica": 1310.25, "biogás": 1760.5, "fotónica": 575.0}
     assert tot.keys() == expected.keys()
     for k, v in expected.items():
         assert tot[k] == pytest.approx(v, abs=1e-9)
-    assert sum(tot.values()) == pytest.approx(39392.0, abs=1e-9)
+    assert sum(tot.values()) == pytest.approx(5005.0, abs=1e-9)
     # sum of totals equals input kWh (property)
     assert sum(tot.values()) == pytest.approx(tx.agg(F.sum("cantidad_kwh")).first()[0], abs=1e-9)
 
@@ -84,7 +84,7 @@ def test_views(spark, contratos):
     tx = bronze.split_transacciones(contratos)
     cl = bronze.split_clientes(contratos)
     srv = {r.tipo_energia for r in views.lake_view(spark, "v_servicio", tx).collect()}
-    assert srv == {"eólica", "hidroeléctrica", "nuclear", "solar"}
+    assert srv == {"mareal", "geotérmica", "biogás", "fotónica"}
     from wattlake.functions import stamp
     txs = stamp(tx, dt.date(2024, 6, 1))
     ventas = views.lake_view(spark, "v_ventas", txs).collect()
