@@ -52,7 +52,7 @@ def test_full_run(spark, tmp_root):
     assert a == b and len(a) == 4
     with pytest.raises(Exception):
         run_sql(spark, "SELECT no_such_column FROM transacciones_agg", database=cfg.gold_db)
-    spark.catalog.setCurrentDatabase("default")
+    assert spark.catalog.currentDatabase() == "default"
     # warehouse: typed tables, by-name load (avg/total not swapped)
     agg = spark.table(f"{cfg.dwh_analytics_db}.transacciones_agg")
     assert agg.columns == ["tipo_energia", "ciudad", "fecha_transaccion", "total_kwh", "avg_precio_kwh",
@@ -67,7 +67,7 @@ def test_full_run(spark, tmp_root):
     assert len(files) == 1
     lines = open(files[0], encoding="utf-8").read().splitlines()
     assert lines[0].startswith("id_transaccion,") and len(lines) == 11
-    assert [ln.split(",")[0] for ln in lines[1:]] == [f"TXN{i:03d}" for i in range(1, 11)]
+    assert [ln.split(",")[0] for ln in lines[1:]] == [f"OP-{i:02d}" for i in range(1, 11)]
     assert glob.glob(f"{cfg.exports}/warehouse/proveedores/part-*.csv")
 
     # rerun of the same day: partition overwrite changes nothing, lake or warehouse
@@ -129,17 +129,17 @@ def test_parquet_staging_and_client_snapshots(spark, tmp_root):
     csv = ("id_transaccion,fecha_transaccion,tipo_transaccion,cliente_proveedor,cantidad_kwh,"
            "precio_kwh,tipo_energia,hora_transaccion,ciudad,nombre_proveedor,capacidad_mw,"
            "fecha_contrato,tipo_cliente\n"
-           "TXN100,2024-02-01,venta,Textiles Colombia SA,1.0,0.1,solar,10:00:00,Cali,P,1.0,2023-01-01,"
+           "OP-90,2024-02-01,venta,Panadería Íñigo,1.0,0.1,solar,10:00:00,Cali,P,1.0,2023-01-01,"
            "residencial\n"
-           "TXN101,2024-02-01,venta,Nuevo,1.0,0.1,solar,10:00:00,Cali,P,1.0,2023-01-01,comercial\n")
+           "OP-91,2024-02-01,venta,Nuevo,1.0,0.1,solar,10:00:00,Cali,P,1.0,2023-01-01,comercial\n")
     write_landing(tmp_root, contratos=csv, riesgos=None)
     jobs.ingest_bronze(spark, cfg, d2)
     jobs.curate_clientes(spark, cfg, d2)
     snap = read_dataset(spark, cfg.gold_path("clientes")).where("day = 2")
     rows = {r.cliente_proveedor: r for r in snap.collect()}
     assert len(rows) == 11                      # 10 from day 1 + 1 new
-    assert rows["Textiles Colombia SA"].tipo_cliente == "residencial"   # latest day wins
-    assert rows["Juan Pérez Residencial"].tipo_cliente == "residencial"  # carried over
+    assert rows["Panadería Íñigo"].tipo_cliente == "residencial"   # latest day wins
+    assert rows["Taller Ñandú"].tipo_cliente == "residencial"  # carried over
     # equals a dedup of the whole bronze history
     from wattlake.operators import curated
     full = curated.dedup_clientes(read_dataset(spark, cfg.bronze_path("clientes")))
@@ -182,14 +182,16 @@ def test_registration_adds_new_day_partition(spark, tmp_root):
 
 
 def test_incremental_intake_and_exports_in_daily_run(spark, tmp_root):
-    from tests.sample_data import CONTRATOS_CSV
+    from tests.sample_data import CONTRATOS_CSV, RIESGOS_CSV
     cfg = _cfg(tmp_root, intake="incremental", incremental_exports=True)
     inbox = f"{cfg.landing}/contratos"
     os.makedirs(inbox)
     with open(f"{inbox}/batch1.csv", "w", encoding="utf-8") as f:
         f.write(CONTRATOS_CSV)
+    with open(f"{cfg.landing}/riesgos_precios.csv", "w", encoding="utf-8") as f:
+        f.write(RIESGOS_CSV)
     rep = daily_run.run_all(spark, cfg, RD)
-    assert set(rep["bronze"]) == {"transacciones", "proveedores", "clientes"}
+    assert set(rep["bronze"]) == {"transacciones", "proveedores", "clientes", "riesgos_precios"}
     assert read_dataset(spark, cfg.gold_path("transacciones_agg")).count() == 9
     day = f"year={RD.year}/month={RD.month}/day={RD.day}"
     assert glob.glob(f"{cfg.exports}/v_ventas/{day}/part-*.csv.gz")
@@ -198,18 +200,86 @@ def test_incremental_intake_and_exports_in_daily_run(spark, tmp_root):
     assert ventas.count() == 5
 
 
-def test_snapshot_lookup(spark, tmp_root):
-    from wattlake.functions import stamp
-    from wattlake.plans.jobs import _latest_partition_before
-    from wattlake.sinks.parquet import write_partitioned
-    df = spark.createDataFrame([("a",)], "k string")
-    path = f"{tmp_root}/snap"
-    assert _latest_partition_before(spark, path, dt.date(2024, 3, 1)) is None
-    for d in (dt.date(2024, 1, 5), dt.date(2024, 2, 1), dt.date(2024, 3, 9)):
-        write_partitioned(stamp(df, d), path)
-    assert _latest_partition_before(spark, path, dt.date(2024, 3, 1)) == dt.date(2024, 2, 1)
-    assert _latest_partition_before(spark, path, dt.date(2024, 1, 5)) is None
-    assert _latest_partition_before(spark, path, dt.date(2025, 1, 1)) == dt.date(2024, 3, 9)
+def test_base_snapshot_is_the_last_that_still_stands(spark, tmp_root):
+    import time
+
+    from wattlake.plans.jobs import _base_snapshot
+    cfg = _cfg(tmp_root)
+    write_landing(tmp_root, riesgos=None)
+    days = [dt.date(2024, 1, 5), dt.date(2024, 2, 1), dt.date(2024, 3, 9)]
+    assert _base_snapshot(spark, cfg, days[0]) is None
+    for d in days:
+        jobs.ingest_bronze(spark, cfg, d)
+        jobs.curate_clientes(spark, cfg, d)
+    assert _base_snapshot(spark, cfg, dt.date(2024, 4, 1)) == days[2]
+    assert _base_snapshot(spark, cfg, days[2]) == days[1]
+    assert _base_snapshot(spark, cfg, days[0]) is None
+    time.sleep(0.05)
+    jobs.ingest_bronze(spark, cfg, days[1])              # written again
+    assert _base_snapshot(spark, cfg, dt.date(2024, 4, 1)) == days[0]
+
+
+def test_totals_do_not_grow_on_an_unchanged_landing(spark, tmp_root):
+    write_landing(tmp_root)
+    for options in ({}, {"source_scope": "all"}):
+        cfg = _cfg(tmp_root, **options)
+        for d in (RD, RD + dt.timedelta(days=1), RD + dt.timedelta(days=2)):
+            daily_run.run_all(spark, cfg, d, export=False)
+            totals = read_dataset(spark, cfg.gold_path("analytics/tipo_energia"))
+            assert sum(r.total_kwh for r in totals.collect()) == pytest.approx(5005.0)
+            assert spark.table(f"{cfg.bronze_db}.v_ventas").count() == 5
+            assert spark.table(f"{cfg.dwh_gold_db}.v_ventas").count() == 5
+
+
+def test_warehouse_gate_and_missing_table(spark, tmp_root):
+    cfg = _cfg(tmp_root, warehouse_enabled=False)
+    assert jobs.load_warehouse(spark, cfg, RD) == []
+    assert jobs.export_warehouse(spark, cfg, RD) == []
+    assert not spark.catalog.databaseExists(cfg.dwh_gold_db)
+
+
+def test_no_staging_is_left(spark, tmp_root):
+    write_landing(tmp_root)
+    cfg = _cfg(tmp_root)
+    jobs.ingest_bronze(spark, cfg, RD)
+    assert not glob.glob(f"{cfg.bronze}/_staging/contratos/*")
+
+
+def test_queries_leave_nothing_after_release(spark):
+    from tests.conftest import SF_SMALL
+    from wattlake.plans.registry import QUERIES
+    from wattlake.session import release_scratch, shared_folder
+
+    def held():
+        return sorted(os.listdir(shared_folder(spark).removeprefix("file:"))), {d.name for d in spark.catalog.listDatabases()}
+
+    release_scratch(spark)
+    before = held()
+    for _ in range(2):
+        for name in ("job_warehouse_v_compras", "streamed_flat", "job_v_servicio"):
+            QUERIES[name](spark, SF_SMALL).count()
+        release_scratch(spark)
+        assert held() == before
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from wattlake import session
+
+    class Cluster:
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(*_):
+                return None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Cluster)
 
 
 def test_client_snapshot_catches_up_a_missed_day(spark, tmp_root):

@@ -12,9 +12,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_and_clean_names():
+    from wattlake.plans.registry import ORACLE_SQL, QUERIES
+
     q, o = E.queries(), E.oracle_sql()
-    assert set(q) == set(o)
-    for name in q:
+    assert set(QUERIES) == set(ORACLE_SQL) and set(QUERIES) <= set(q) and set(ORACLE_SQL) <= set(o)
+    for name in QUERIES:
         assert re.fullmatch(r"[a-z][a-z0-9_]*", name)
         assert not re.match(r"op\d+_", name) and name != "pipeline"
         assert callable(q[name]) and o[name].strip()

@@ -127,8 +127,3 @@ def test_price_summary_partition_year(spark):
     assert [(r.tipo_energia, r.cnt) for r in rows] == [("solar", 2), ("eólica", 1)]
     assert rows[0].avg_price == pytest.approx(0.2)
 
-
-def test_equals_ignore_case(spark):
-    from wattlake.functions import equals_ignore_case
-    df = spark.createDataFrame([("VENTA",), ("Venta",), ("compra",), (None,)], "t string")
-    assert df.where(equals_ignore_case("t", "venta")).count() == 2

@@ -9,10 +9,12 @@ from tests.conftest import SF_SMALL
 
 @pytest.fixture(scope="module")
 def results(spark):
-    return oracle_check.compare(spark, SF_SMALL, verbose=False)
+    from wattlake.plans.registry import QUERIES
+
+    return oracle_check.compare(spark, SF_SMALL, list(QUERIES), verbose=False)
 
 
 def test_all_queries_match_oracle(results):
     bad = {k: v for k, v in results.items() if v[0] != "ok"}
     assert not bad, bad
-    assert len(results) >= 29
+    assert len(results) >= 55

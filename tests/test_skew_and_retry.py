@@ -105,19 +105,3 @@ def test_writes_survive_task_retries(tmp_root):
     assert line, out.stderr[-3000:]
     assert line[0].split()[1:] == ["10", "10", "15"]
 
-
-def test_spread_is_even_with_a_third_copies(spark, tmp_root):
-    from pyspark.sql import functions as F
-
-    from wattlake.sources.driver_tables import spread_scan
-    n = 30_000
-    df = spark.range(n).select(
-        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
-        F.when(F.col("id") % 3 == 0, F.lit("copy")).otherwise(F.col("id").cast("string")).alias("v"))
-    path = f"{tmp_root}/one_file"
-    df.coalesce(1).write.parquet(path)
-    spread = spread_scan(spark.read.parquet(path), path)
-    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
-    assert sum(sizes) == n
-    assert len(sizes) == spark.sparkContext.defaultParallelism
-    assert max(sizes) <= 1.2 * min(sizes)

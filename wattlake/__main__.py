@@ -29,6 +29,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--env", default=None, help="suffix for catalog database names")
     p.add_argument("--write-mode", choices=[OVERWRITE_PARTITIONS, APPEND], default=OVERWRITE_PARTITIONS)
     p.add_argument("--source-scope", choices=["run_date", "all"], default="run_date")
+    p.add_argument("--landing-content", choices=["snapshot", "delta"], default="snapshot")
     p.add_argument("--landing-staging", choices=["parquet", "persist", "none"], default="parquet")
     p.add_argument("--avg-scale", type=int, default=None)
     p.add_argument("--distinct-providers", action="store_true")
@@ -45,7 +46,7 @@ def config_from_args(a: argparse.Namespace) -> LakeConfig:
     sfx = f"_{a.env}" if a.env else ""
     return LakeConfig(
         root=a.root, run_date=a.run_date, write_mode=a.write_mode, source_scope=a.source_scope,
-        landing_staging=a.landing_staging, avg_scale=a.avg_scale,
+        landing_staging=a.landing_staging, landing_content=a.landing_content, avg_scale=a.avg_scale,
         distinct_providers=a.distinct_providers, warehouse_enabled=not a.no_warehouse,
         intake=a.intake, incremental_exports=a.incremental_exports,
         bronze_db=f"lake_bronze{sfx}", gold_db=f"lake_gold{sfx}",
@@ -76,7 +77,7 @@ def run(argv: list[str] | None = None, spark=None):
         "bronze": lambda: jobs.ingest_bronze(spark, cfg, rd),
         "incremental_bronze": lambda: ingest_bronze_incremental(spark, cfg, run_date=rd),
         "register": lambda: jobs.register_layers(spark, cfg),
-        "views": lambda: (jobs.register_layers(spark, cfg), jobs.create_views(spark, cfg))[1],
+        "views": lambda: (jobs.register_layers(spark, cfg), jobs.create_views(spark, cfg, rd))[1],
         "transacciones_curated": lambda: jobs.curate_transacciones(spark, cfg, rd),
         "transacciones_agg": lambda: jobs.aggregate_transacciones(spark, cfg, rd),
         "proveedores_curated": lambda: jobs.curate_proveedores(spark, cfg, rd),
@@ -84,7 +85,7 @@ def run(argv: list[str] | None = None, spark=None):
         "analytics": lambda: jobs.energy_totals(spark, cfg, rd),
         "export_views": lambda: jobs.export_views(spark, cfg, run_date=rd),
         "warehouse": lambda: jobs.load_warehouse(spark, cfg, rd, reload=a.reload),
-        "export_warehouse": lambda: jobs.export_warehouse(spark, cfg),
+        "export_warehouse": lambda: jobs.export_warehouse(spark, cfg, rd),
         "all": lambda: daily_run.run_all(spark, cfg, rd),
     }
     assert set(table) == set(JOBS)

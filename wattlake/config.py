@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Write modes understood by the partitioned sinks.
 OVERWRITE_PARTITIONS = "overwrite_partitions"  # idempotent re-run of one run_date
@@ -26,8 +26,14 @@ class LakeConfig:
     gold_db: str = "lake_gold"
     dwh_gold_db: str = "gold"
     dwh_analytics_db: str = "analytics"
-    # Bronze -> gold input scope: "run_date" reads only the partition of the
-    # current run_date (partition pruning); "all" re-reads every partition.
+    # What a landing file holds: "snapshot" - every contract line to date, so
+    # each day's bronze partition is complete and only the latest counts;
+    # "delta" - new lines only, so all partitions add up.  The incremental
+    # intake is always a delta.
+    landing_content: str = "snapshot"
+    # Bronze -> gold input scope of delta landings: "run_date" reads only the
+    # partition of the current run_date (partition pruning); "all" re-reads
+    # every partition. A snapshot's latest partition is all of it.
     source_scope: str = "run_date"
     # Warehouse load gate (B8): the load is skipped when disabled.
     warehouse_enabled: bool = True
@@ -45,7 +51,8 @@ class LakeConfig:
     # Keep identical provider rows once in the curated provider dataset.
     distinct_providers: bool = False
     # Landing intake of the daily run: "batch" reads the landing contract
-    # file; "incremental" streams only files not seen before (exactly once).
+    # file; "incremental" streams only contract files not seen before (exactly
+    # once). Both ingest the risk file.
     intake: str = "batch"
     # View exports: False re-exports each view whole (the original
     # behaviour); True writes only the run's partition of the date-stamped
@@ -58,7 +65,11 @@ class LakeConfig:
     gold_root: str | None = None
     dwh_root: str | None = None
     exports_root: str | None = None
-    extra: dict = field(default_factory=dict)
+
+    @property
+    def is_snapshot(self) -> bool:
+        """Each day's bronze partition holds all contract lines to date."""
+        return self.landing_content == "snapshot" and self.intake == "batch"
 
     def _layer(self, override: str | None, name: str) -> str:
         return (override or "/".join([self.root.rstrip("/"), name])).rstrip("/")

@@ -2,7 +2,6 @@
 
 from wattlake.functions.columns import (
     default_if_null,
-    equals_ignore_case,
     exact_avg,
     has_columns,
     missing_columns,
@@ -14,7 +13,7 @@ from wattlake.functions.columns import (
 )
 
 __all__ = [
-    "default_if_null", "equals_ignore_case", "exact_avg", "has_columns",
+    "default_if_null", "exact_avg", "has_columns",
     "missing_columns", "require_columns", "safe_date", "safe_double", "stamp",
     "stamp_columns",
 ]

@@ -55,11 +55,6 @@ def default_if_null(c: str | Column, value) -> Column:
     return F.coalesce(_col(c), F.lit(value))
 
 
-# ---- case-insensitive equality (C11) --------------------------------------
-def equals_ignore_case(c: str | Column, value: str) -> Column:
-    return F.lower(_col(c)) == F.lit(value.lower())
-
-
 # ---- processing-date stamp (C10) ------------------------------------------
 def stamp_columns(run_date: _dt.date | None = None) -> list[Column]:
     """``processed_date`` plus its unpadded ``year/month/day`` parts."""

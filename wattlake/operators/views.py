@@ -84,19 +84,26 @@ def dwh_view(spark: SparkSession, name: str, tx: DataFrame) -> DataFrame:
     return view_frame(spark, DWH_VIEWS[name], tx=tx)
 
 
-def create_lake_views(spark: SparkSession, view_db: str, tx_table: str, cl_table: str) -> list[str]:
-    """Store the four lake views in ``view_db`` over the given tables."""
+def current_rows(table: str, only: str | None) -> str:
+    """A table, or its rows that satisfy ``only``, as a FROM item."""
+    return f"(SELECT * FROM {table} WHERE {only})" if only else table
+
+
+def create_lake_views(spark: SparkSession, view_db: str, tx_table: str, cl_table: str,
+                      only: str | None = None) -> list[str]:
+    """Store the four lake views in ``view_db`` over the given tables, or over
+    their rows that satisfy ``only`` (a predicate on the partition columns)."""
     created = []
     for name, text in LAKE_VIEWS.items():
-        body = text.format(tx=tx_table, cl=cl_table)
+        body = text.format(tx=current_rows(tx_table, only), cl=current_rows(cl_table, only))
         spark.sql(f"CREATE OR REPLACE VIEW {view_db}.{name} AS {body}")
         created.append(f"{view_db}.{name}")
     return created
 
 
-def create_dwh_views(spark: SparkSession, view_db: str, tx_table: str) -> list[str]:
+def create_dwh_views(spark: SparkSession, view_db: str, tx_table: str, only: str | None = None) -> list[str]:
     created = []
     for name, text in DWH_VIEWS.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {view_db}.{name} AS {text.format(tx=tx_table)}")
+        spark.sql(f"CREATE OR REPLACE VIEW {view_db}.{name} AS {text.format(tx=current_rows(tx_table, only))}")
         created.append(f"{view_db}.{name}")
     return created

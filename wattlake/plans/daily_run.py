@@ -43,7 +43,7 @@ def run_all(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | None = No
     else:
         step("bronze", jobs.ingest_bronze, spark, cfg, run_date, contratos=contratos)
     step("registered", jobs.register_layers, spark, cfg, run_date)
-    step("views", jobs.create_views, spark, cfg)
+    step("views", jobs.create_views, spark, cfg, run_date)
 
     gold_jobs = {
         "transacciones_curated": jobs.curate_transacciones,
@@ -66,6 +66,6 @@ def run_all(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | None = No
     if export:
         step("view_exports", jobs.export_views, spark, cfg, run_date=run_date)
         if report["warehouse"]:
-            step("warehouse_exports", jobs.export_warehouse, spark, cfg)
+            step("warehouse_exports", jobs.export_warehouse, spark, cfg, run_date)
     log.info("run %s done: %s", run_date, report)
     return report

@@ -8,29 +8,36 @@ import datetime as _dt
 import logging
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.config import LakeConfig
 from wattlake.functions import stamp
 from wattlake.operators import aggregates, bronze, curated, exports, views
-from wattlake.session import resolve_run_date
+from wattlake.schemas import BRONZE_SCHEMAS, GOLD_SCHEMAS
+from wattlake.session import remove_path, resolve_run_date
 from wattlake.sinks import parquet as pq
 from wattlake.sinks import text, warehouse
 from wattlake.sources import catalog
-from wattlake.sources.lake import partition_filter, read_partition
+from wattlake.sources.lake import partition_filter, partition_times, read_partition
 from wattlake.sources.landing import contract_paths, read_first_existing, risk_paths
 
 log = logging.getLogger(__name__)
 
-BRONZE_DATASETS = ["transacciones", "proveedores", "clientes", "riesgos_precios"]
 GOLD_DATASETS = ["transacciones_curated", "transacciones_agg", "proveedores", "clientes"]
 EXPORTED_VIEWS = ["v_clientes", "v_ventas", "v_compras"]
 
 
 def _scope(cfg: LakeConfig, run_date: _dt.date) -> _dt.date | None:
-    return run_date if cfg.source_scope == "run_date" else None
+    """The bronze partition a gold job reads; None: all of them. A snapshot
+    landing's partitions hold the same lines again, so only the latest counts."""
+    return run_date if cfg.is_snapshot or cfg.source_scope == "run_date" else None
+
+
+def _current(cfg: LakeConfig, run_date: _dt.date) -> str | None:
+    """Predicate of the lake rows that count, on the partition columns."""
+    d = run_date
+    return f"year = {d.year} AND month = {d.month} AND day = {d.day}" if cfg.is_snapshot else None
 
 
 # ---- G1 bronze ------------------------------------------------------------
@@ -46,9 +53,9 @@ def ingest_bronze(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | Non
         contratos = read_first_existing(spark, contract_paths(cfg.landing))
     if riesgos is None:
         riesgos = read_first_existing(spark, risk_paths(cfg.landing))
-    written = []
+    written: list[str] = []
     if contratos is not None:
-        cached = False
+        cached, staged = False, None
         shared = len(bronze.split_contratos(contratos)) > 1   # schema-only check
         if shared and cfg.landing_staging == "parquet":
             staged = f"{cfg.bronze}/_staging/contratos/run_date={run_date.isoformat()}"
@@ -65,18 +72,26 @@ def ingest_bronze(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | Non
         finally:
             if cached:
                 contratos.unpersist()
+            if staged:
+                remove_path(spark, staged)
     else:
         log.warning("no contract file under %s; bronze contract datasets skipped", cfg.landing)
-    if riesgos is not None:
-        pq.write_partitioned(stamp(bronze.type_riesgos(riesgos), run_date),
-                             cfg.bronze_path("riesgos_precios"), cfg.write_mode)
-        written.append("riesgos_precios")
-    return written
+    return written + write_riesgos(cfg, riesgos, run_date)
+
+
+def write_riesgos(cfg: LakeConfig, riesgos: DataFrame | None, run_date: _dt.date) -> list[str]:
+    """The risk table, a small snapshot, as the bronze partition of the day."""
+    if riesgos is None:
+        return []
+    pq.write_partitioned(stamp(bronze.type_riesgos(riesgos), run_date),
+                         cfg.bronze_path("riesgos_precios"), cfg.write_mode)
+    return ["riesgos_precios"]
 
 
 # ---- G2-G5 gold ------------------------------------------------------------
 def _bronze(spark, cfg, name, run_date):
-    return read_partition(spark, cfg.bronze_path(name), _scope(cfg, run_date), optional=True)
+    return read_partition(spark, cfg.bronze_path(name), _scope(cfg, run_date), optional=True,
+                          schema=BRONZE_SCHEMAS[name])
 
 
 def curate_transacciones(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> bool:
@@ -106,53 +121,43 @@ def curate_proveedores(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date)
     return True
 
 
-def _latest_partition_before(spark: SparkSession, path: str, run_date: _dt.date) -> _dt.date | None:
-    """Latest ``year/month/day`` partition of ``path`` strictly before
-    ``run_date``, read from the files themselves (partition columns only:
-    footers, no data pages).  The catalog's partition list is not used: a
-    run that failed between writing and registering would make it stale."""
-    ds = read_partition(spark, path, None, optional=True)
-    if ds is None:
-        return None
-    part_date = F.make_date("year", "month", "day")
-    return ds.where(part_date < F.lit(run_date)).agg(F.max(part_date).alias("d")).first()["d"]
-
-
-def _previous_snapshot(spark: SparkSession, path: str, run_date: _dt.date) -> DataFrame | None:
-    """Rows of the latest partition of ``path`` before ``run_date``."""
-    latest = _latest_partition_before(spark, path, run_date)
-    return None if latest is None else read_partition(spark, path, latest)
+def _base_snapshot(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> _dt.date | None:
+    """The latest client snapshot before ``run_date`` that still stands: no
+    bronze partition of its days has been written since. Both layers are known
+    from their folder listings."""
+    gold = partition_times(spark, cfg.gold_path("clientes"))
+    bronze_days = partition_times(spark, cfg.bronze_path("clientes"))
+    for day in sorted((d for d in gold if d < run_date), reverse=True):
+        if all(last <= gold[day][0] for d, (_, last) in bronze_days.items() if d <= day):
+            return day
+    return None
 
 
 def curate_clientes(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> bool:
     """One row per client.
 
     With ``source_scope="run_date"`` each gold partition is a full snapshot:
-    the latest earlier snapshot (rows keep their ``processed_date``) is
-    merged with every bronze partition after it up to ``run_date`` -
-    normally just the day's - and deduplicated again.  The survivor rule is
-    a ``max``, which is associative, so this equals deduplicating the whole
-    bronze history while reading one snapshot, and a day whose gold step
-    never ran is caught up by the next run instead of being lost.
+    the latest earlier snapshot that still stands is merged with every bronze partition after it up to
+    ``run_date`` - normally just the day's - and deduplicated again.  The
+    survivor rule is a ``max``, which is associative, so this equals
+    deduplicating the whole bronze history while reading one snapshot.  A day
+    whose gold step never ran is caught up by the next run; a bronze day that
+    is written again after later snapshots were made takes these out of use,
+    and the next run rebuilds from the last snapshot before it.
     """
-    if cfg.source_scope != "run_date":
-        df = read_partition(spark, cfg.bronze_path("clientes"), None, optional=True)
-    else:
-        latest = _latest_partition_before(spark, cfg.gold_path("clientes"), run_date)
-        df = read_partition(spark, cfg.bronze_path("clientes"), None, optional=True)
-        if df is not None:
-            day = F.make_date("year", "month", "day")
-            window = day <= F.lit(run_date)
-            if latest is not None:
-                window = window & (day > F.lit(latest))
-            df = df.where(window)                       # partition pruning
-            if latest is not None:
-                prev = read_partition(spark, cfg.gold_path("clientes"), latest)
-                cols = [c for c in df.columns if c not in ("year", "month", "day")]
-                df = df.select(*cols).unionByName(
-                    prev.select(*[c for c in cols if c in prev.columns]), allowMissingColumns=True)
+    schema = BRONZE_SCHEMAS["clientes"]
+    df = read_partition(spark, cfg.bronze_path("clientes"), None, optional=True, schema=schema)
     if df is None:
         return False
+    day = F.make_date("year", "month", "day")
+    window = day <= F.lit(run_date)
+    base = _base_snapshot(spark, cfg, run_date) if cfg.source_scope == "run_date" else None
+    if base is not None:
+        window = window & (day > F.lit(base))
+    df = df.where(window)                               # partition pruning
+    if base is not None:
+        df = df.unionByName(read_partition(spark, cfg.gold_path("clientes"), base,
+                                           schema=GOLD_SCHEMAS["clientes"]))
     pq.write_partitioned(stamp(curated.dedup_clientes(df), run_date),
                          cfg.gold_path("clientes"), cfg.write_mode)
     return True
@@ -160,12 +165,16 @@ def curate_clientes(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) ->
 
 # ---- G9 analytics ------------------------------------------------------------
 def energy_totals(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> bool:
-    """kWh per energy type over the whole aggregate history (one partition
-    per processing date, free of duplicate days under partition overwrite);
-    the aggregate is far smaller than the transactions it summarises."""
-    agg = read_partition(spark, cfg.gold_path("transacciones_agg"), None, optional=True)
+    """kWh per energy type, each contract line counted once. Where the run's
+    aggregate already covers all lines (a snapshot landing, or a delta landing
+    re-read whole) that partition alone is summed; otherwise the partitions of
+    all days up to it add up."""
+    whole = cfg.is_snapshot or cfg.source_scope == "all"
+    agg = read_partition(spark, cfg.gold_path("transacciones_agg"), run_date if whole else None, optional=True,
+                         schema=GOLD_SCHEMAS["transacciones_agg"])
     if agg is None:
         return False
+    agg = agg.where(F.make_date("year", "month", "day") <= F.lit(run_date))
     pq.write_dataset(aggregates.energy_totals(agg), cfg.gold_path("analytics/tipo_energia"))
     return True
 
@@ -174,21 +183,24 @@ def energy_totals(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> b
 def register_layers(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | None = None) -> list[str]:
     """Register every lake dataset that exists; for tables already registered
     add the ``run_date`` partition (or re-list all partitions without one)."""
-    done = catalog.register_layer(spark, cfg.bronze_db, cfg.bronze, BRONZE_DATASETS, run_date=run_date,
+    done = catalog.register_layer(spark, cfg.bronze_db, cfg.bronze, BRONZE_SCHEMAS, run_date=run_date,
                                   db_location=cfg.catalog_location(cfg.bronze_db))
-    done += catalog.register_layer(spark, cfg.gold_db, cfg.gold, GOLD_DATASETS, run_date=run_date,
-                                   db_location=cfg.catalog_location(cfg.gold_db))
-    if catalog.register_dataset(spark, cfg.gold_db, "tipo_energia",
-                                cfg.gold_path("analytics/tipo_energia"), partitioned=False,
+    done += catalog.register_layer(spark, cfg.gold_db, cfg.gold, {n: GOLD_SCHEMAS[n] for n in GOLD_DATASETS},
+                                   run_date=run_date, db_location=cfg.catalog_location(cfg.gold_db))
+    if catalog.register_dataset(spark, cfg.gold_db, "tipo_energia", cfg.gold_path("analytics/tipo_energia"),
+                                GOLD_SCHEMAS["tipo_energia"], partitioned=False,
                                 db_location=cfg.catalog_location(cfg.gold_db)):
         done.append(f"{cfg.gold_db}.tipo_energia")
     return done
 
 
-def create_views(spark: SparkSession, cfg: LakeConfig) -> list[str]:
+def create_views(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | None = None) -> list[str]:
+    """The lake views; over a snapshot landing, of the partition of ``run_date``
+    (each run moves them on)."""
+    run_date = resolve_run_date(spark, run_date or cfg.run_date)
     tx, cl = f"{cfg.bronze_db}.transacciones", f"{cfg.bronze_db}.clientes"
     catalog.require_tables(spark, [tx, cl])
-    return views.create_lake_views(spark, cfg.bronze_db, tx, cl)
+    return views.create_lake_views(spark, cfg.bronze_db, tx, cl, _current(cfg, run_date))
 
 
 def export_views(spark: SparkSession, cfg: LakeConfig, names=EXPORTED_VIEWS,
@@ -216,7 +228,8 @@ def load_warehouse(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date,
 
     Default: the gold rows of ``run_date`` replace the ``load_date =
     run_date`` partition (idempotent on re-run or retry).  ``reload=True``
-    replaces each table with the whole gold dataset.
+    replaces each table with the whole gold dataset.  Over a snapshot landing
+    each load holds all lines, and the views show the latest.
     """
     if not cfg.warehouse_enabled:
         log.info("warehouse load disabled; skipped")
@@ -230,7 +243,7 @@ def load_warehouse(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date,
     }
     loaded = []
     for table, ds in sources.items():
-        df = read_partition(spark, cfg.gold_path(ds), scope, optional=True)
+        df = read_partition(spark, cfg.gold_path(ds), scope, optional=True, schema=GOLD_SCHEMAS[ds])
         if df is None:
             continue
         if reload:
@@ -238,22 +251,27 @@ def load_warehouse(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date,
         else:
             warehouse.load_table(spark, df, table, run_date)
         loaded.append(table)
-    views.create_dwh_views(spark, cfg.dwh_gold_db, f"{cfg.dwh_gold_db}.transacciones")
+    only = f"{warehouse.LOAD_DATE} = DATE '{run_date.isoformat()}'" if cfg.is_snapshot else None
+    views.create_dwh_views(spark, cfg.dwh_gold_db, f"{cfg.dwh_gold_db}.transacciones", only)
     return loaded
 
 
 # ---- G11 warehouse export --------------------------------------------------------
-def export_warehouse(spark: SparkSession, cfg: LakeConfig) -> list[str]:
+def export_warehouse(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | None = None) -> list[str]:
+    """Bounded exports of the warehouse tables (over a snapshot landing, of the
+    load of ``run_date``). A table that was never created is left out; any
+    other error ends the job."""
+    run_date = resolve_run_date(spark, run_date or cfg.run_date)
     out = []
-    tx = spark.table(f"{cfg.dwh_gold_db}.transacciones")
-    path = f"{cfg.exports}/warehouse/transacciones"
-    text.export_bounded_csv(exports.top_transacciones(tx, cfg.export_limit), path)
-    out.append(path)
-    try:  # the provider export is best-effort
-        pv = spark.table(f"{cfg.dwh_gold_db}.proveedores")
-        path = f"{cfg.exports}/warehouse/proveedores"
-        text.export_bounded_csv(exports.top_proveedores(pv, cfg.export_limit), path)
+    for name, select in (("transacciones", exports.top_transacciones), ("proveedores", exports.top_proveedores)):
+        table = f"{cfg.dwh_gold_db}.{name}"
+        if not spark.catalog.tableExists(table):
+            log.warning("no table %s; its export is skipped", table)
+            continue
+        df = spark.table(table)
+        if cfg.is_snapshot:
+            df = df.where(F.col(warehouse.LOAD_DATE) == F.lit(run_date))
+        path = f"{cfg.exports}/warehouse/{name}"
+        text.export_bounded_csv(select(df, cfg.export_limit), path)
         out.append(path)
-    except AnalysisException as exc:
-        log.warning("provider export skipped: %s", exc)
     return out

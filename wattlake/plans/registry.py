@@ -10,23 +10,23 @@ oracle agree to the last bit.
 from __future__ import annotations
 
 import datetime as _dt
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.functions import stamp
-from wattlake.session import checkpoint_dir, ensure_checkpoint_dir
+from wattlake.session import scratch_path
 from wattlake.operators import aggregates, bronze, curated, exports, quality, sensitive, views
 from wattlake.sources.driver_tables import CONTRATOS_SQL, contratos_from_tables, table
 from wattlake.sinks import parquet as pq
 from wattlake.sinks import text
 from wattlake.config import LakeConfig
-from wattlake.plans import jobs
+from wattlake.plans import daily_run, jobs
+from wattlake.sources.catalog import run_sql
 from wattlake.sources.incremental import ingest_bronze_incremental
-from wattlake.sources.lake import read_partition
+from wattlake.sources.lake import read_dataset, read_partition
+from wattlake.schemas import CONTRATOS_RAW, GOLD_SCHEMAS, PROVEEDOR_COLUMNS, TRANSACCION_COLUMNS
 from wattlake.streaming import events as ev
 
 RUN_DATE = _dt.date(2024, 6, 1)
@@ -65,13 +65,34 @@ def _curated_tx(spark, d):
     return curated.curate_transacciones(_tx_stamped(spark, d))
 
 
+def _landed(spark, d):
+    """The landing frame written once, for queries that use it more than once."""
+    path = scratch_path(spark, "landed")
+    _contratos(spark, d).write.parquet(path)
+    return spark.read.schema(CONTRATOS_RAW).parquet(path)
+
+
 def _v_clientes(spark, d):
-    c = _contratos(spark, d)          # one landing frame feeds both view inputs
+    c = _landed(spark, d)
     return views.lake_view(spark, "v_clientes",
                            stamp(bronze.split_transacciones(c), RUN_DATE),
                            stamp(bronze.split_clientes(c), RUN_DATE))
 
 
+def _v_clientes_unmatched(spark, d):
+    """The client table lacks clients whose number ends in 7."""
+    c = _landed(spark, d)
+    return views.lake_view(spark, "v_clientes", bronze.split_transacciones(c),
+                           bronze.split_clientes(c).where(~F.col("cliente_proveedor").endswith("7")))
+
+
+def _price_summary(spark, d):
+    """Of one business year: the date range reaches the orders scan."""
+    c = contratos_from_tables(spark, d, (f"{SUMMARY_YEAR}-01-01", f"{SUMMARY_YEAR}-12-31"))
+    agg = aggregates.aggregate_transacciones(bronze.split_transacciones(c), exact_scale=AVG_SCALE)
+    return aggregates.price_summary(agg, SUMMARY_YEAR, F.year("fecha_transaccion"), exact_scale=AVG_OF_AVG_SCALE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contratos": _contratos,
     "transacciones": _tx,
@@ -90,8 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dwh_v_ventas": lambda s, d: views.dwh_view(s, "v_ventas", _curated_tx(s, d)),
     "dwh_v_compras": lambda s, d: views.dwh_view(s, "v_compras", _curated_tx(s, d)),
     "dwh_v_clientes": lambda s, d: views.dwh_view(s, "v_clientes", _curated_tx(s, d)),
-    "energy_price_summary": lambda s, d: aggregates.price_summary(
-        _agg(s, d), SUMMARY_YEAR, F.year("fecha_transaccion"), exact_scale=AVG_OF_AVG_SCALE),
+    "v_clientes_unmatched": _v_clientes_unmatched,
+    "energy_price_summary": _price_summary,
     "export_transacciones": lambda s, d: exports.top_transacciones(_curated_tx(s, d), EXPORT_LIMIT),
     "export_proveedores": lambda s, d: exports.top_proveedores(
         curated.curate_proveedores(_pv(s, d)), EXPORT_LIMIT),
@@ -150,12 +171,15 @@ ORACLE_SQL: dict[str, str] = {
     "v_ventas": f"{_CTE} SELECT {_TXS_COLS} FROM txs WHERE lower(tipo_transaccion) = 'venta'",
     "v_compras": f"{_CTE} SELECT {_TXS_COLS} FROM txs WHERE lower(tipo_transaccion) = 'compra'",
     "v_clientes": f"""{_CTE}
-        SELECT t.cliente_proveedor AS cliente,
-               coalesce(max(c.tipo_cliente), 'desconocido') AS tipo_cliente,
-               max(t.ciudad) AS ciudad
-        FROM txs t LEFT JOIN cl c ON t.cliente_proveedor = c.cliente_proveedor
-        WHERE t.cliente_proveedor IS NOT NULL
-        GROUP BY t.cliente_proveedor""",
+        SELECT cliente, coalesce((SELECT max(tipo_cliente) FROM cl WHERE cl.cliente_proveedor = k.cliente), 'desconocido')
+                 AS tipo_cliente,
+               (SELECT max(ciudad) FROM tx WHERE tx.cliente_proveedor = k.cliente) AS ciudad
+        FROM (SELECT DISTINCT cliente_proveedor AS cliente FROM tx WHERE cliente_proveedor IS NOT NULL) k""",
+    "v_clientes_unmatched": f"""{_CTE}
+        SELECT cliente, coalesce((SELECT max(tipo_cliente) FROM cl WHERE cl.cliente_proveedor = k.cliente
+                                  AND right(cl.cliente_proveedor, 1) <> '7'), 'desconocido') AS tipo_cliente,
+               (SELECT max(ciudad) FROM tx WHERE tx.cliente_proveedor = k.cliente) AS ciudad
+        FROM (SELECT DISTINCT cliente_proveedor AS cliente FROM tx WHERE cliente_proveedor IS NOT NULL) k""",
     "dwh_v_ventas": f"{_CTE} SELECT {_TXCOLS} FROM tx WHERE lower(tipo_transaccion) = 'venta'",
     "dwh_v_compras": f"{_CTE} SELECT {_TXCOLS} FROM tx WHERE lower(tipo_transaccion) = 'compra'",
     "dwh_v_clientes": f"""{_CTE}
@@ -170,7 +194,8 @@ ORACLE_SQL: dict[str, str] = {
         GROUP BY tipo_energia ORDER BY cnt DESC, tipo_energia ASC NULLS LAST LIMIT 50""",
     "export_transacciones": f"""{_CTE}
         SELECT {_TXCOLS} FROM tx
-        ORDER BY fecha_transaccion ASC NULLS LAST, id_transaccion ASC NULLS LAST
+        ORDER BY {', '.join(f"{c} ASC NULLS LAST" for c in ["fecha_transaccion", "id_transaccion", *[
+            c for c in TRANSACCION_COLUMNS if c not in ("fecha_transaccion", "id_transaccion")]])}
         LIMIT {EXPORT_LIMIT}""",
     "export_proveedores": f"""{_CTE}
         SELECT * FROM pv
@@ -181,6 +206,14 @@ ORACLE_SQL: dict[str, str] = {
 
 
 # ---- stream, quality and sensitive-data queries ---------------------------
+ALERT_THRESHOLD = 5.0
+
+
+def event_score():
+    """Score of the registered stream queries: value of the event for each
+    order of the user, this one included."""
+    return F.coalesce("value", F.lit(0.0)) / (F.coalesce("n_orders", F.lit(0)) + 1)
+
 
 def _profiles(spark, d):
     return ev.user_profiles(table(spark, d, "customer"), table(spark, d, "orders"))
@@ -191,7 +224,8 @@ def _quality_tagged(spark, d):
 
 
 QUERIES.update({
-    "stream_enriched_alerts": lambda s, d: ev.enriched_alerts(table(s, d, "events"), _profiles(s, d)),
+    "stream_enriched_alerts": lambda s, d: ev.enriched_alerts(
+        table(s, d, "events"), _profiles(s, d), event_score(), ALERT_THRESHOLD),
     "flattened_events": lambda s, d: ev.flatten_events(table(s, d, "events")),
     "quarantined_providers": lambda s, d: _quality_tagged(s, d)[1],
     "provider_quality": lambda s, d: quality.provider_quality_counts(_contratos(s, d)),
@@ -201,31 +235,30 @@ QUERIES.update({
 })
 
 
-def _stream_root(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder (set to a
-    temporary one only when the session names none, as in local runs)."""
-    base = checkpoint_dir(spark)
-    if not base:
-        base = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="wattlake-ckpt-"))
-    return f"{base.rstrip('/')}/wattlake-streams/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def _streamed_alerts(spark: SparkSession, d: str) -> DataFrame:
+def _dual_sink(spark: SparkSession, d: str) -> str:
     """S1-S4 + S6 on the streaming engine: the events file is consumed as a
     stream (``availableNow``), each micro-batch is enriched against the
-    materialised profile table, scored, thresholded and written by the
-    ``foreachBatch`` dual sink; the relational output is read back."""
-    out = _stream_root(spark, "alerts")
+    materialised profile table and written flat; scored alerts are derived
+    from that by the ``foreachBatch`` dual sink."""
+    out = scratch_path(spark, "alerts")
     profiles = ev.materialize_profiles(_profiles(spark, d), f"{out}/profiles")
     q = ev.start_dual_sink(ev.event_stream(spark, f"{d.rstrip('/')}/events.parquet"),
-                           f"{out}/flat", f"{out}/ops", profiles, f"{out}/_checkpoint")
+                           f"{out}/flat", f"{out}/ops", profiles, f"{out}/_checkpoint", event_score(), ALERT_THRESHOLD)
     q.awaitTermination()
-    return spark.read.parquet(f"{out}/ops").drop("batch_id")
+    return out
+
+
+def _streamed_alerts(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{_dual_sink(spark, d)}/ops").drop("batch_id")
+
+
+def _streamed_flat(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{_dual_sink(spark, d)}/flat").drop("batch_id")
 
 
 def _archived_events(spark: SparkSession, d: str) -> DataFrame:
     """S5 on the streaming engine: every event archived by date."""
-    out = _stream_root(spark, "archive")
+    out = scratch_path(spark, "archive")
     q = ev.archive_events(ev.event_stream(spark, f"{d.rstrip('/')}/events.parquet"),
                           f"{out}/archive", f"{out}/_checkpoint")
     q.awaitTermination()
@@ -236,7 +269,7 @@ def _exported_v_ventas(spark: SparkSession, d: str) -> DataFrame:
     """B3 round trip: the sales view written as gzip text without header by
     the view-export sink, read back with the view's schema."""
     view = QUERIES["v_ventas"](spark, d)
-    path = f"{_stream_root(spark, 'export')}/v_ventas"
+    path = f"{scratch_path(spark, 'export')}/v_ventas"
     text.export_text(view, path)
     return spark.read.schema(view.schema).option("header", False).csv(path)
 
@@ -245,7 +278,7 @@ def _exported_transacciones_csv(spark: SparkSession, d: str) -> DataFrame:
     """B4 round trip: the bounded, ordered transaction export written as one
     CSV file with header, read back with its schema."""
     top = QUERIES["export_transacciones"](spark, d)
-    path = f"{_stream_root(spark, 'export')}/transacciones"
+    path = f"{scratch_path(spark, 'export')}/transacciones"
     text.export_bounded_csv(top, path)
     return spark.read.schema(top.schema).option("header", True).csv(path)
 
@@ -254,45 +287,219 @@ def _lake_transacciones(spark: SparkSession, d: str) -> DataFrame:
     """B1 + A4 round trip: bronze transactions written by the partitioned
     sink (dynamic partition overwrite, ``year/month/day``) and read back
     through partition discovery, pruned to the run's partition."""
-    path = f"{_stream_root(spark, 'lake')}/transacciones"
+    path = f"{scratch_path(spark, 'lake')}/transacciones"
     pq.write_partitioned(_tx_stamped(spark, d), path)
     return read_partition(spark, path, RUN_DATE)
 
 
-def _landing_lake(spark: SparkSession, d: str, name: str) -> LakeConfig:
-    """A lake in the shared folder whose landing holds the derived contract
-    lines as CSV text with a header (``landing/contratos.csv/part-*``)."""
-    cfg = LakeConfig(root=_stream_root(spark, name), run_date=RUN_DATE)
-    (_contratos(spark, d).write.mode("overwrite").option("header", True)
-     .csv(f"{cfg.landing}/contratos.csv"))
+def _lake(spark: SparkSession, name: str, **options) -> LakeConfig:
+    """A lake in the shared folder, with databases of its own."""
+    root = scratch_path(spark, name)
+    tag = root.rsplit("-", 1)[-1]
+    return LakeConfig(root=root, run_date=RUN_DATE, bronze_db=f"bronze_{tag}", gold_db=f"lake_{tag}",
+                      dwh_gold_db=f"gold_{tag}", dwh_analytics_db=f"analytics_{tag}", **options)
+
+
+def _riesgos(spark: SparkSession, d: str) -> DataFrame:
+    """A landing risk table, as text: one line per customer segment."""
+    return table(spark, d, "customer").groupBy(F.lower("c_mktsegment").alias("tipo_cliente")).agg(
+        F.concat(F.count(F.lit(1)) % 97, F.lit(".5")).alias("riesgo_pct"),
+        F.concat(F.lit("clientes "), F.count(F.lit(1))).alias("comentario"))
+
+
+def _landing_lake(spark: SparkSession, d: str, name: str, contracts: str = "contratos.csv", **options) -> LakeConfig:
+    """A lake whose landing holds the derived contract and risk lines as CSV
+    text with a header."""
+    cfg = _lake(spark, name, **options)
+    for df, file in ((_contratos(spark, d), contracts), (_riesgos(spark, d), "riesgos_precios.csv")):
+        df.write.mode("overwrite").option("header", True).csv(f"{cfg.landing}/{file}")
+    return cfg
+
+
+def _ingested(name: str, contracts: str = "contratos.csv"):
+    """A1 + A2 + G1: the bronze job reads the landing text (all columns as
+    strings; the first place that exists), splits, types and writes the bronze
+    datasets; the day's partition of one is read back."""
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        cfg = _landing_lake(spark, d, "ingest", contracts)
+        jobs.ingest_bronze(spark, cfg, RUN_DATE)
+        return read_partition(spark, cfg.bronze_path(name), RUN_DATE)
+    return query
+
+
+def _incremental(name: str):
+    """The same landing text consumed by the exactly-once intake."""
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        cfg = _landing_lake(spark, d, "incremental", intake="incremental")
+        ingest_bronze_incremental(spark, cfg, run_date=RUN_DATE)
+        return read_partition(spark, cfg.bronze_path(name), RUN_DATE)
+    return query
+
+
+# ---- the jobs users run daily, each read back from what it wrote ----------
+DAY_2, DAY_3 = RUN_DATE + _dt.timedelta(days=1), RUN_DATE + _dt.timedelta(days=2)
+
+
+def _bronze_lake(spark: SparkSession, d: str, name: str, **options) -> LakeConfig:
+    cfg = _lake(spark, name, **options)
+    jobs.ingest_bronze(spark, cfg, RUN_DATE, contratos=_contratos(spark, d))
+    return cfg
+
+
+def _gold(job, dataset: str, columns: list[str]):
+    """One gold job over the day's bronze partition."""
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        cfg = _bronze_lake(spark, d, "gold")
+        job(spark, cfg, RUN_DATE)
+        return read_partition(spark, cfg.gold_path(dataset), RUN_DATE, schema=GOLD_SCHEMAS[dataset]).select(*columns)
+    return query
+
+
+def _job_agg(spark: SparkSession, d: str) -> DataFrame:
+    """G3 with the default (floating) mean, to nine digits."""
+    df = _gold(jobs.aggregate_transacciones, "transacciones_agg", [
+        "tipo_energia", "ciudad", "fecha_transaccion", "total_kwh", "avg_precio_kwh"])(spark, d)
+    return df.withColumn("avg_precio_kwh", F.round("avg_precio_kwh", 9))
+
+
+def _energy_totals_two_days(spark: SparkSession, d: str) -> DataFrame:
+    """G9 + B2: the same landing ingested on two days counts once."""
+    cfg = _lake(spark, "totals")
+    landed = _landed(spark, d)
+    for day in (RUN_DATE, DAY_2):
+        jobs.ingest_bronze(spark, cfg, day, contratos=landed)
+        jobs.aggregate_transacciones(spark, cfg, day)
+        jobs.energy_totals(spark, cfg, day)
+    return read_dataset(spark, cfg.gold_path("analytics/tipo_energia"))
+
+
+def _energy_totals_delta(spark: SparkSession, d: str) -> DataFrame:
+    """G9 over a delta landing: two days with half of the lines each add up."""
+    cfg = _lake(spark, "totals", landing_content="delta")
+    landed = _landed(spark, d)
+    first = F.coalesce(F.col("id_transaccion"), F.lit("")) < "3"
+    for day, part in ((RUN_DATE, landed.where(first)), (DAY_2, landed.where(~first))):
+        jobs.ingest_bronze(spark, cfg, day, contratos=part)
+        jobs.aggregate_transacciones(spark, cfg, day)
+        jobs.energy_totals(spark, cfg, day)
+    return read_dataset(spark, cfg.gold_path("analytics/tipo_energia"))
+
+
+def _clients_ending(*digits: str):
+    """Contract lines of clients whose number ends so."""
+    return F.right("cliente_proveedor", F.lit(1)).isin(*digits)
+
+
+def _clientes_restated_day(spark: SparkSession, d: str) -> DataFrame:
+    """The first day is written again, with clients it lacked, after gold
+    snapshots of two days were made; the third day's snapshot has them."""
+    cfg = _lake(spark, "restated")
+    landed = _landed(spark, d)
+    for day, digits, gold in ((RUN_DATE, "1", True), (DAY_2, "2", True), (RUN_DATE, "13", False), (DAY_3, "4", True)):
+        jobs.ingest_bronze(spark, cfg, day, contratos=landed.where(_clients_ending(*digits)))
+        if gold:
+            jobs.curate_clientes(spark, cfg, day)
+    return read_partition(spark, cfg.gold_path("clientes"), DAY_3).select("cliente_proveedor", "tipo_cliente", "ciudad")
+
+
+def _clientes_schema_drift(spark: SparkSession, d: str) -> DataFrame:
+    """A4 + B7 + C3: the first day's landing has no city (so no transactions
+    either); the next day's has, and it reaches gold and the catalog."""
+    cfg = _lake(spark, "drift")
+    landed = _landed(spark, d)
+    for day, df in ((RUN_DATE, landed.where(_clients_ending("1")).drop("ciudad")),
+                    (DAY_2, landed.where(_clients_ending("2")))):
+        jobs.ingest_bronze(spark, cfg, day, contratos=df)
+        jobs.curate_clientes(spark, cfg, day)
+        jobs.register_layers(spark, cfg, day)
+    return spark.table(f"{cfg.gold_db}.clientes").where(F.col("day") == DAY_2.day).select(
+        "cliente_proveedor", "tipo_cliente", "ciudad")
+
+
+def _registered(spark: SparkSession, d: str, name: str) -> LakeConfig:
+    """Two days of bronze, registered, with the stored views of the second."""
+    cfg = _lake(spark, name)
+    landed = _landed(spark, d)
+    for day in (RUN_DATE, DAY_2):
+        jobs.ingest_bronze(spark, cfg, day, contratos=landed)
+        jobs.register_layers(spark, cfg, day)
+        jobs.create_views(spark, cfg, day)
+    return cfg
+
+
+def _job_view(name: str):
+    """A7 + B7 + G7: a stored lake view."""
+    return lambda spark, d: spark.table(f"{_registered(spark, d, 'views').bronze_db}.{name}")
+
+
+def _job_view_export(name: str):
+    """B3 + G8: a stored view exported by the job, read back."""
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        cfg = _registered(spark, d, "exports")
+        path, = jobs.export_views(spark, cfg, [name], DAY_2)
+        schema = spark.table(f"{cfg.bronze_db}.{name}").schema
+        return spark.read.schema(schema).option("header", False).csv(path)
+    return query
+
+
+def _adhoc_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The summary as ad-hoc SQL on the registered aggregate, pruned by
+    the processing year."""
+    cfg = _bronze_lake(spark, d, "adhoc", avg_scale=AVG_SCALE)
+    jobs.aggregate_transacciones(spark, cfg, RUN_DATE)
+    jobs.register_layers(spark, cfg, RUN_DATE)
+    return run_sql(spark, f"""
+        SELECT tipo_energia, count(*) AS cnt, round(sum(total_kwh), 3) AS kwh FROM transacciones_agg
+        WHERE year = {RUN_DATE.year} GROUP BY tipo_energia""", database=cfg.gold_db)
+
+
+def _pruned_days(spark: SparkSession, d: str) -> DataFrame:
+    """A4 + C12: one of three partitions, by a predicate on their columns."""
+    path = f"{scratch_path(spark, 'lake')}/transacciones"
+    tx = bronze.split_transacciones(_landed(spark, d))
+    for day, kind in ((RUN_DATE, "compra"), (DAY_2, "venta"), (DAY_3, "ajuste")):
+        pq.write_partitioned(stamp(tx.where(F.lower("tipo_transaccion") == kind), day), path)
+    return read_dataset(spark, path).where(F.col("day") == DAY_2.day).select(*TRANSACCION_COLUMNS)
+
+
+def _warehouse_two_days(spark: SparkSession, d: str) -> LakeConfig:
+    """B6 on two days and a re-run, over the same landing."""
+    cfg = _lake(spark, "warehouse", export_limit=EXPORT_LIMIT)
+    landed = _landed(spark, d)
+    for day in (RUN_DATE, DAY_2, DAY_2):
+        jobs.ingest_bronze(spark, cfg, day, contratos=landed)
+        jobs.curate_transacciones(spark, cfg, day)
+        jobs.curate_proveedores(spark, cfg, day)
+        jobs.load_warehouse(spark, cfg, day)
     return cfg
 
 
-def _ingested_transacciones(spark: SparkSession, d: str) -> DataFrame:
-    """A1 + A2 + G1: the bronze job reads the landing CSV text (all columns
-    as strings), splits, types and writes the bronze datasets; the day's
-    transaction partition is read back."""
-    cfg = _landing_lake(spark, d, "ingest")
-    jobs.ingest_bronze(spark, cfg, RUN_DATE)
-    return read_partition(spark, cfg.bronze_path("transacciones"), RUN_DATE)
+def _job_warehouse_view(spark: SparkSession, d: str) -> DataFrame:
+    return spark.table(f"{_warehouse_two_days(spark, d).dwh_gold_db}.v_compras")
+
+
+def _job_warehouse_export(name: str):
+    """B4 + G11: the bounded CSV of one warehouse table, read back."""
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        cfg = _warehouse_two_days(spark, d)
+        jobs.export_warehouse(spark, cfg, DAY_2)
+        schema = spark.table(f"{cfg.dwh_gold_db}.{name}").drop("load_date").schema
+        return spark.read.schema(schema).option("header", True).csv(f"{cfg.exports}/warehouse/{name}")
+    return query
 
 
-def _incremental_transacciones(spark: SparkSession, d: str) -> DataFrame:
-    """The same landing text consumed by the exactly-once streaming
-    intake (file source, ``availableNow``, Parquet file sinks)."""
-    cfg = _landing_lake(spark, d, "incremental")
-    ingest_bronze_incremental(spark, cfg, source_dir=f"{cfg.landing}/contratos.csv", run_date=RUN_DATE)
-    return read_partition(spark, cfg.bronze_path("transacciones"), RUN_DATE)
+def _daily_run(spark: SparkSession, d: str) -> DataFrame:
+    """The whole run, from landing text to the warehouse aggregate."""
+    cfg = _landing_lake(spark, d, "daily", "contratos/contratos.csv", avg_scale=AVG_SCALE)
+    daily_run.run_all(spark, cfg, RUN_DATE)
+    return spark.table(f"{cfg.dwh_analytics_db}.transacciones_agg").drop("load_date")
 
 
 def _warehouse_lake(spark: SparkSession, gold: dict[str, DataFrame]) -> LakeConfig:
     """The given gold datasets of ``RUN_DATE`` written to a lake in the shared
     folder, then loaded by the warehouse job (which loads whichever gold
-    datasets exist) into uniquely named warehouse schemas."""
-    root = _stream_root(spark, "warehouse")
-    tag = root.rsplit("-", 1)[-1]
-    cfg = LakeConfig(root=root, run_date=RUN_DATE, dwh_gold_db=f"gold_{tag}",
-                     dwh_analytics_db=f"analytics_{tag}")
+    datasets exist) into warehouse schemas of its own."""
+    cfg = _lake(spark, "warehouse")
     for name, df in gold.items():
         pq.write_partitioned(stamp(df, RUN_DATE), cfg.gold_path(name))
     jobs.load_warehouse(spark, cfg, RUN_DATE)
@@ -315,22 +522,38 @@ def _warehouse_v_clientes(spark: SparkSession, d: str) -> DataFrame:
 QUERIES.update({
     "warehouse_transacciones_agg": _warehouse_transacciones_agg,
     "warehouse_v_clientes": _warehouse_v_clientes,
-    "ingested_transacciones": _ingested_transacciones,
-    "incremental_transacciones": _incremental_transacciones,
+    "ingested_transacciones": _ingested("transacciones"),
+    "ingested_riesgos": _ingested("riesgos_precios"),
+    "ingested_from_fallback_path": _ingested("clientes", "contratos/contratos.csv"),
+    "incremental_transacciones": _incremental("transacciones"),
+    "incremental_riesgos": _incremental("riesgos_precios"),
+    "job_transacciones_curated": _gold(jobs.curate_transacciones, "transacciones_curated", TRANSACCION_COLUMNS),
+    "job_transacciones_agg": _job_agg,
+    "job_proveedores_curated": _gold(jobs.curate_proveedores, "proveedores", PROVEEDOR_COLUMNS),
+    "job_clientes_curated": _gold(jobs.curate_clientes, "clientes", ["cliente_proveedor", "tipo_cliente", "ciudad"]),
+    "energy_totals_two_days": _energy_totals_two_days,
+    "energy_totals_delta": _energy_totals_delta,
+    "clientes_restated_day": _clientes_restated_day,
+    "clientes_schema_drift": _clientes_schema_drift,
+    "job_v_servicio": _job_view("v_servicio"),
+    "job_v_clientes": _job_view("v_clientes"),
+    "job_export_v_clientes": _job_view_export("v_clientes"),
+    "job_export_v_compras": _job_view_export("v_compras"),
+    "adhoc_summary": _adhoc_summary,
+    "pruned_days": _pruned_days,
+    "job_warehouse_v_compras": _job_warehouse_view,
+    "job_export_transacciones": _job_warehouse_export("transacciones"),
+    "job_export_proveedores": _job_warehouse_export("proveedores"),
+    "daily_run_transacciones_agg": _daily_run,
     "lake_transacciones": _lake_transacciones,
     "streamed_alerts": _streamed_alerts,
+    "streamed_flat": _streamed_flat,
     "archived_events": _archived_events,
     "exported_v_ventas": _exported_v_ventas,
     "exported_transacciones_csv": _exported_transacciones_csv,
 })
 
 
-def _case_weights() -> str:
-    arms = " ".join(f"WHEN '{k}' THEN CAST({v} AS DECIMAL(4,3))"
-                    for k, v in ev.EVENT_TYPE_WEIGHTS.items())
-    return f"CASE event_type {arms} END"
-
-
 _PROFILES_SQL = """
 portfolio AS (
   SELECT o_custkey, count(*) AS n_orders,
@@ -341,25 +564,21 @@ prof AS (
          coalesce(n_orders, 0) AS n_orders, coalesce(spent_units, 0) AS spent_units
   FROM customer LEFT JOIN portfolio ON c_custkey = o_custkey)"""
 
-_T = ev.DEFAULT_THRESHOLD
 ORACLE_SQL.update({
     "stream_enriched_alerts": f"""
 WITH {_PROFILES_SQL},
 sc AS (
-  SELECT e.event_id, e.ts, e.user_id, e.event_type, e.value, p.c_name, p.c_mktsegment,
-         p.c_acctbal, p.n_orders,
-         CAST(coalesce({_case_weights()}, CAST(0 AS DECIMAL(4,3)))
-              + coalesce(CAST(least(greatest(e.value, 0.0), {float(ev.VALUE_CAP)}) AS DECIMAL(5,2)),
-                         CAST(0 AS DECIMAL(5,2))) * CAST({ev.VALUE_WEIGHT} AS DECIMAL(4,3))
-              + CAST(least(coalesce(p.n_orders, 0), {ev.LOYALTY_CAP}) AS DECIMAL(2,0))
-                * CAST({ev.LOYALTY_WEIGHT} AS DECIMAL(4,3))
-              AS DOUBLE) AS score
+  SELECT e.*, p.c_name, p.c_mktsegment, p.c_acctbal, p.n_orders,
+         coalesce(e.value, 0.0) / (coalesce(p.n_orders, 0) + 1) AS score
   FROM events e LEFT JOIN prof p ON e.user_id = p.user_id)
 SELECT event_id, ts, user_id, event_type, value, c_name, c_mktsegment, n_orders, score,
-       CASE WHEN score <= {_T} THEN '{ev.ACTION_NONE}'
-            WHEN coalesce(c_acctbal, 0.0) >= 0 THEN '{ev.ACTION_BUY}'
-            ELSE '{ev.ACTION_SELL}' END AS action
-FROM sc WHERE score > {_T}""",
+       CASE WHEN coalesce(c_acctbal, 0.0) >= 0 THEN 'COMPRAR' ELSE 'VENDER' END AS action
+FROM sc WHERE score > {ALERT_THRESHOLD}""",
+    "streamed_flat": f"""
+WITH {_PROFILES_SQL}
+SELECT e.user_id, event_id, ts, event_type, value, CAST(json_extract(props, '$.k') AS INTEGER) AS props_k,
+       c_name, c_mktsegment, c_acctbal, n_orders, spent_units
+FROM events e LEFT JOIN prof p ON e.user_id = p.user_id""",
     "archived_events": """
 SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS event_date
 FROM events""",
@@ -378,8 +597,51 @@ ORACLE_SQL["warehouse_v_clientes"] = ORACLE_SQL["dwh_v_clientes"]
 ORACLE_SQL["incremental_transacciones"] = ORACLE_SQL["stamped_transacciones"]
 ORACLE_SQL["exported_transacciones_csv"] = ORACLE_SQL["export_transacciones"]
 
+_RIESGOS_SQL = f"""
+SELECT lower(c_mktsegment) AS tipo_cliente, CAST(count(*) % 97 + 0.5 AS DOUBLE) AS riesgo_pct,
+       'clientes ' || count(*) AS comentario, {_STAMP_SQL}
+FROM customer GROUP BY lower(c_mktsegment)"""
+_CLIENTS_SQL = """
+SELECT cliente_proveedor, max(tipo_cliente) AS tipo_cliente, {city} AS ciudad
+FROM cl a WHERE right(cliente_proveedor, 1) IN ({digits})
+  AND tipo_cliente = (SELECT max(tipo_cliente) FROM cl b WHERE a.cliente_proveedor = b.cliente_proveedor)
+GROUP BY cliente_proveedor"""
+
+ORACLE_SQL.update({
+    "ingested_riesgos": _RIESGOS_SQL,
+    "incremental_riesgos": _RIESGOS_SQL,
+    "ingested_from_fallback_path": f"{_CTE} SELECT cl.*, {_STAMP_SQL} FROM cl",
+    "job_transacciones_curated": ORACLE_SQL["transacciones_curated"],
+    "job_transacciones_agg": f"""{_CTE}
+        SELECT tipo_energia, ciudad, fecha_transaccion, sum(cantidad_kwh) AS total_kwh,
+               round(avg(precio_kwh), 9) AS avg_precio_kwh
+        FROM tx GROUP BY tipo_energia, ciudad, fecha_transaccion""",
+    "job_proveedores_curated": ORACLE_SQL["proveedores_curated"],
+    "job_clientes_curated": ORACLE_SQL["clientes_curated"],
+    "energy_totals_two_days": f"{_CTE} SELECT tipo_energia, sum(cantidad_kwh) AS total_kwh FROM tx GROUP BY tipo_energia",
+    "energy_totals_delta": f"{_CTE} SELECT tipo_energia, sum(cantidad_kwh) AS total_kwh FROM tx GROUP BY tipo_energia",
+    "clientes_restated_day": _CTE + _CLIENTS_SQL.format(city="max(ciudad)", digits="'1', '2', '3', '4'"),
+    "clientes_schema_drift": f"""{_CTE}
+        {_CLIENTS_SQL.format(city="CAST(NULL AS VARCHAR)", digits="'1'")} UNION ALL
+        {_CLIENTS_SQL.format(city="max(ciudad)", digits="'2'")}""",
+    "job_v_servicio": ORACLE_SQL["v_servicio"],
+    "job_v_clientes": ORACLE_SQL["v_clientes"],
+    "job_export_v_clientes": ORACLE_SQL["v_clientes"],
+    "job_export_v_compras": ORACLE_SQL["v_compras"].replace(_RD, f"DATE '{DAY_2.isoformat()}'")
+    .replace(f"{RUN_DATE.day} AS day", f"{DAY_2.day} AS day"),
+    "adhoc_summary": f"""{_CTE}
+        SELECT tipo_energia, count(*) AS cnt, round(sum(total_kwh), 3) AS kwh FROM agg GROUP BY tipo_energia""",
+    "pruned_days": f"{_CTE} SELECT * FROM tx WHERE lower(tipo_transaccion) = 'venta'",
+    "job_warehouse_v_compras": ORACLE_SQL["dwh_v_compras"],
+    "job_export_transacciones": ORACLE_SQL["export_transacciones"],
+    "job_export_proveedores": ORACLE_SQL["export_proveedores"],
+    "daily_run_transacciones_agg": ORACLE_SQL["transacciones_agg"],
+})
+
+# a provider name that is only a number, as RE2 finds it
+_NUMBER_ONLY = "^[ \\t\\n\\r\\f\\v]*-?\\d+(?:[.]\\d+)?[ \\t\\n\\r\\f\\v]*$"
 _QREASON = f"""
-CASE WHEN regexp_matches(nombre_proveedor, '{quality.NUMERIC_TEXT}')
+CASE WHEN regexp_matches(nombre_proveedor, '{_NUMBER_ONLY}')
           AND try_cast(capacidad_mw AS DOUBLE) IS NULL THEN '{quality.REASON_SHIFTED}'
      WHEN capacidad_mw IS NOT NULL AND trim(capacidad_mw) <> ''
           AND try_cast(capacidad_mw AS DOUBLE) IS NULL THEN '{quality.REASON_BAD_CAPACITY}'
@@ -429,14 +691,23 @@ SELECT id_transaccion, try_cast(fecha_transaccion AS DATE) AS fecha_transaccion,
 FROM ranked WHERE rn = 1""",
 })
 
+# Stated apart from the operator's patterns, for an engine without look-around:
+# what may not stand next to a number is matched as a neighbour, in a text whose
+# other characters are doubled so that two numbers can share none.
+_PII = {
+    "emails": ("text", r"[\w.%+-]+@(?:[0-9A-Za-z-]+[.])+[A-Za-z][A-Za-z]+"),
+    "phones": ("wide", r"[+][+]\d\d?\d?  [(][(]\d{3}[)][)]  \d{3}--\d{4}(?:\D|$)"),
+    "cards": ("wide", r"(?:^|\D)\d{4}(?:  |--)?\d{4}(?:  |--)?\d{4}(?:  |--)?\d{4}(?:\D|$)"),
+    "ipv4s": ("wide", r"(?:^|\D)\d{1,3}[.][.]\d{1,3}[.][.]\d{1,3}[.][.]\d{1,3}(?:\D|$)"),
+    "secrets": ("text", r'(?i)(?:api_key|password|secret|token)[ \t\n\v\f\r]*=[ \t\n\v\f\r]*"[^"]+"'),
+}
 _PII_COUNTS = ",\n  ".join(
-    f"CAST(coalesce(len(regexp_extract_all(text, '{p}')), 0) AS BIGINT) AS {k}"
-    for k, p in sensitive.PATTERNS.items())
-_PII_FLAG = " OR ".join(f"{k} > 0" for k in sensitive.PATTERNS)
-_PII_SUMS = ", ".join(f"CAST(sum({k}) AS BIGINT) AS {k}" for k in sensitive.PATTERNS)
+    f"CAST(coalesce(len(regexp_extract_all({column}, '{p}')), 0) AS BIGINT) AS {k}" for k, (column, p) in _PII.items())
+_PII_FLAG = " OR ".join(f"{k} > 0" for k in _PII)
+_PII_SUMS = ", ".join(f"CAST(sum({k}) AS BIGINT) AS {k}" for k in _PII)
 ORACLE_SQL["pii_counts"] = f"""
 SELECT lang, count(*) AS n_docs, count(*) FILTER (WHERE {_PII_FLAG}) AS n_flagged, {_PII_SUMS}
 FROM (SELECT lang,
   {_PII_COUNTS}
-  FROM documents)
+  FROM (SELECT lang, text, regexp_replace(text, '([^0-9])', '\\1\\1', 'g') AS wide FROM documents))
 GROUP BY lang"""

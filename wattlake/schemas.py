@@ -18,6 +18,7 @@ CONTRATOS_COLUMNS = [
     "cantidad_kwh", "precio_kwh", "tipo_energia", "hora_transaccion", "ciudad",
     "nombre_proveedor", "capacidad_mw", "fecha_contrato", "tipo_cliente",
 ]
+# Column names of the landing risk file.
 RIESGOS_COLUMNS = ["tipo_cliente", "riesgo_pct", "comentario"]
 
 CONTRATOS_RAW = _all_strings(CONTRATOS_COLUMNS)
@@ -25,8 +26,8 @@ RIESGOS_RAW = _all_strings(RIESGOS_COLUMNS)
 
 # ---- business column lists ------------------------------------------------
 TRANSACCION_COLUMNS = CONTRATOS_COLUMNS[:9]
+# The columns of a provider line.
 PROVEEDOR_COLUMNS = ["nombre_proveedor", "tipo_energia", "capacidad_mw", "ciudad", "fecha_contrato"]
-CLIENTE_COLUMNS = ["cliente_proveedor", "tipo_cliente", "ciudad"]
 AGG_KEYS = ["tipo_energia", "ciudad", "fecha_transaccion"]
 STAMP_COLUMNS = ["processed_date", "year", "month", "day"]
 PARTITION_COLUMNS = ["year", "month", "day"]
@@ -70,6 +71,17 @@ def stamped(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + list(STAMP.fields))
 
 
+# What the lake reads and registers, whatever a day's files happen to hold.
+BRONZE_SCHEMAS = {
+    "transacciones": stamped(TRANSACCIONES), "proveedores": stamped(PROVEEDORES),
+    "clientes": stamped(CLIENTES), "riesgos_precios": stamped(RIESGOS),
+}
+GOLD_SCHEMAS = {
+    "transacciones_curated": stamped(TRANSACCIONES), "transacciones_agg": stamped(TRANSACCIONES_AGG),
+    "proveedores": stamped(PROVEEDORES), "clientes": stamped(CLIENTES), "tipo_energia": TIPO_ENERGIA_TOTALS,
+}
+
+
 # ---- warehouse DDL (fixed values: column types of the warehouse tables) ----
 DWH_TRANSACCIONES_DDL = """
   id_transaccion VARCHAR(64),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.config import LakeConfig
+from wattlake.functions import require_columns
 from wattlake.schemas import DWH_AGG_DDL, DWH_PROVEEDORES_DDL, DWH_TRANSACCIONES_DDL
 
 
@@ -43,9 +44,7 @@ def create_warehouse(spark: SparkSession, cfg: LakeConfig) -> list[str]:
 
 def _business_columns(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
     target = [c for c in spark.table(table).columns if c != LOAD_DATE]
-    missing = [c for c in target if c not in df.columns]
-    if missing:
-        raise ValueError(f"load into {table}: input lacks columns {missing}")
+    require_columns(df, target, f"load into {table}")
     return target
 
 

@@ -7,7 +7,9 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
+from wattlake.schemas import PARTITION_COLUMNS
 from wattlake.sources.landing import _is_missing_path
 
 
@@ -20,16 +22,16 @@ def ensure_database(spark: SparkSession, db: str, location: str | None = None) -
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{loc}")
 
 
-def register_dataset(spark: SparkSession, db: str, name: str, path: str,
+def register_dataset(spark: SparkSession, db: str, name: str, path: str, schema: StructType,
                      partitioned: bool = True, run_date: _dt.date | None = None,
                      db_location: str | None = None) -> bool:
     """Register the Parquet dataset at ``path`` as external table ``db.name``.
 
-    First time: the table is created over the files (schema and partition
-    columns discovered) and every partition folder is picked up
-    (``MSCK REPAIR``).  Afterwards, with ``run_date`` given, only that day's
-    partition is added - a catalog update, not a listing of years of
-    partition folders.  Returns ``False`` when nothing exists at ``path``."""
+    First time: the table is created over the files with its declared
+    ``schema`` and every partition folder is picked up (``MSCK REPAIR``).
+    Afterwards, with ``run_date`` given, only that day's partition is added - a
+    catalog update, not a listing of years of partition folders.  Returns
+    ``False`` when nothing exists at ``path``."""
     qualified = f"{db}.{name}"
     if spark.catalog.tableExists(qualified):
         if not partitioned:
@@ -40,27 +42,27 @@ def register_dataset(spark: SparkSession, db: str, name: str, path: str,
             spark.sql(f"MSCK REPAIR TABLE {qualified}")
         return True
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - existence + schema probe
+        spark.read.schema(schema).parquet(path)
     except AnalysisException as exc:
         if _is_missing_path(exc):
             return False
         raise
     ensure_database(spark, db, db_location)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified} USING PARQUET LOCATION '{path}'")
-    if partitioned and any(c.isPartition for c in spark.catalog.listColumns(qualified)):
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by = f" PARTITIONED BY ({', '.join(PARTITION_COLUMNS)})" if partitioned else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified} ({columns}) USING PARQUET{by} LOCATION '{path}'")
+    if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {qualified}")
     return True
 
 
-def register_layer(spark: SparkSession, db: str, root: str, names: Iterable[str],
-                   unpartitioned: Iterable[str] = (), run_date: _dt.date | None = None,
-                   db_location: str | None = None) -> list[str]:
+def register_layer(spark: SparkSession, db: str, root: str, schemas: dict[str, StructType],
+                   run_date: _dt.date | None = None, db_location: str | None = None) -> list[str]:
     """Register every dataset of a layer that exists under ``root``."""
-    flat = set(unpartitioned)
     done = []
-    for n in names:
-        if register_dataset(spark, db, n, f"{root.rstrip('/')}/{n}", partitioned=n not in flat,
-                            run_date=run_date, db_location=db_location):
+    for n, schema in schemas.items():
+        if register_dataset(spark, db, n, f"{root.rstrip('/')}/{n}", schema, run_date=run_date,
+                            db_location=db_location):
             done.append(f"{db}.{n}")
     return done
 
@@ -73,7 +75,14 @@ def require_tables(spark: SparkSession, tables: Iterable[str]) -> None:
 
 
 def run_sql(spark: SparkSession, sql: str, database: str | None = None) -> DataFrame:
-    """Ad-hoc SQL against the catalog; errors propagate unchanged."""
-    if database:
-        spark.catalog.setCurrentDatabase(database)
-    return spark.sql(sql)
+    """Ad-hoc SQL against the catalog; errors propagate unchanged. Names are
+    resolved in ``database`` while the query is analysed; the session's current
+    database stays what it was."""
+    if not database:
+        return spark.sql(sql)
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        return spark.sql(sql)
+    finally:
+        spark.catalog.setCurrentDatabase(before)

@@ -15,6 +15,10 @@ with the scale factor.  Mapping (one contract line per ``lineitem`` row):
 * ``tipo_energia``      part type; ``ciudad`` the supplier's nation
 * ``nombre_proveedor``/``capacidad_mw``  supplier name / account balance
 
+Real landing files are dirty, so some order keys give broken lines, by
+divisibility (``DIRTY``): missing or repeated ids, values that do not parse,
+missing cities, and provider-only lines shifted by one column.
+
 Join shape: ``orders`` is joined to ``customer`` *before* meeting
 ``lineitem``, so the lineitem-sized side is shuffled on at most three keys
 (order, part, supplier) instead of four; ``nation`` (a fixed 25-row
@@ -31,49 +35,6 @@ from pyspark.sql import functions as F
 from wattlake.schemas import DRIVER_TABLES
 
 
-# Tables whose rows drive the work of a query (facts and text); their scans
-# are spread over the cluster when the files alone would give too few tasks.
-FACT_TABLES = {"lineitem", "orders", "events", "documents"}
-
-
-_SPREAD: dict[tuple[str, int], bool] = {}
-
-
-def needs_spread(df: DataFrame, key: str) -> bool:
-    """True when a scan has both fewer input files and fewer planned input
-    partitions than the cluster has cores.  Large tables span many files or
-    splits and never qualify, so the extra spreading shuffle is only ever
-    paid on inputs smaller than ``cores x maxPartitionBytes``.  The answer
-    is memoised per path and core count."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Connect)
-        return False
-    k = (key, cores)
-    if k not in _SPREAD:
-        # Planned split count first (one number); the file list is fetched
-        # only for inputs already known to be small.
-        _SPREAD[k] = df.rdd.getNumPartitions() < cores and len(df.inputFiles()) < cores
-    return _SPREAD[k]
-
-
-def spread_scan(df: DataFrame, key: str) -> DataFrame:
-    """Spread a small scan over all cores (e.g. one Parquet row group would
-    otherwise keep everything before the first shuffle in one task).
-
-    Round-robin, because every alternative fails one requirement. A hash of
-    the whole row sends identical copies to one partition, and a third of
-    all rows may be copies: the largest partition measured 3x the mean. A
-    hash of a row id is non-deterministic to the optimizer, so filters stop
-    being pushed through the spread. Round-robin stays even with any copies
-    or hot keys and keeps pushdown; Spark sorts each partition first so a
-    retried task reproduces its rows (about 0.4 s per spread on the sf0.1
-    lineitem scan, paid only on small inputs)."""
-    if needs_spread(df, key):
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     reader = spark.read
@@ -82,7 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     df = reader.parquet(path)
     if columns:
         df = df.select(*columns)
-    return spread_scan(df, path) if name in FACT_TABLES else df
+    return df
 
 
 def _as_text(c: str):
@@ -93,11 +54,21 @@ def _date_text(c: str):
     return F.col(c).cast("date").cast("string")
 
 
-def contratos_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: What is broken -> lines with an order key divisible by this number have it.
+DIRTY = {"no_id": 97, "same_id": 31, "kwh": 41, "price": 43, "date": 47, "shifted": 53, "no_city": 59,
+         "capacity": 61, "contract_date": 67}
+
+
+def contratos_from_tables(spark: SparkSession, sf_dir: str, order_dates: tuple[str, str] | None = None) -> DataFrame:
+    """The landing frame; ``order_dates`` (first, last day) limits it to
+    orders of that range, at the scan."""
     li = table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_discount", "l_returnflag", "l_shipdate"])
     orders = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    if order_dates is not None:
+        first, last = (F.lit(d).cast("timestamp_ntz") for d in order_dates)
+        orders = orders.where((F.col("o_orderdate") >= first) & (F.col("o_orderdate") < last + F.expr("INTERVAL 1 DAY")))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal", "s_nationkey")
@@ -111,38 +82,51 @@ def contratos_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(nation, F.col("s_nationkey") == nation.n_nationkey))
 
     flag = F.col("l_returnflag")
+    dirty = {k: F.col("l_orderkey") % n == 0 for k, n in DIRTY.items()}
+    shifted, nothing = dirty["shifted"], F.lit(None).cast("string")
+    order, line = _as_text("l_orderkey"), _as_text("l_linenumber")
+    own_id = F.concat(order, F.lit("-"), line, F.lit("-"), _as_text("l_partkey"), F.lit("-"), _as_text("l_suppkey"))
+    unless = lambda bad, value, instead=nothing: F.when(bad, instead).otherwise(value)
     return j.select(
-        F.concat(_as_text("l_orderkey"), F.lit("-"), _as_text("l_linenumber"), F.lit("-"),
-                 _as_text("l_partkey"), F.lit("-"), _as_text("l_suppkey")).alias("id_transaccion"),
-        _date_text("o_orderdate").alias("fecha_transaccion"),
+        unless(shifted | dirty["no_id"], F.when(dirty["same_id"], F.concat(order, F.lit("-again"))).otherwise(own_id))
+        .alias("id_transaccion"),
+        unless(dirty["date"], _date_text("o_orderdate"), F.lit("sin fecha")).alias("fecha_transaccion"),
         F.when(flag == "A", "Compra").when(flag == "R", "VENTA").otherwise("ajuste")
          .alias("tipo_transaccion"),
-        F.col("c_name").alias("cliente_proveedor"),
-        _as_text("l_quantity").alias("cantidad_kwh"),
-        _as_text("l_discount").alias("precio_kwh"),
+        unless(shifted, F.col("c_name")).alias("cliente_proveedor"),
+        unless(dirty["kwh"], _as_text("l_quantity"), F.lit("n/d")).alias("cantidad_kwh"),
+        unless(dirty["price"], _as_text("l_discount"), F.lit("gratis")).alias("precio_kwh"),
         F.col("p_type").alias("tipo_energia"),
         F.lit("12:00:00").alias("hora_transaccion"),
-        F.col("n_name").alias("ciudad"),
-        F.col("s_name").alias("nombre_proveedor"),
-        _as_text("s_acctbal").alias("capacidad_mw"),
-        _date_text("l_shipdate").alias("fecha_contrato"),
-        F.when(F.col("l_linenumber") % 5 == 0, F.lit(None).cast("string"))
+        F.when(shifted, F.col("s_name")).when(dirty["no_city"], nothing).otherwise(F.col("n_name")).alias("ciudad"),
+        unless(shifted, F.col("s_name"), _as_text("s_acctbal")).alias("nombre_proveedor"),
+        F.when(shifted, _date_text("l_shipdate")).when(dirty["capacity"], F.lit("alta"))
+         .otherwise(_as_text("s_acctbal")).alias("capacidad_mw"),
+        F.when(shifted, nothing).when(dirty["contract_date"], F.lit("ayer"))
+         .otherwise(_date_text("l_shipdate")).alias("fecha_contrato"),
+        F.when((F.col("l_linenumber") % 5 == 0) | shifted, nothing)
          .otherwise(F.lower("c_mktsegment")).alias("tipo_cliente"),
     )
 
 
 # The same mapping as SQL, for the DuckDB oracle (tables pre-registered).
 CONTRATOS_SQL = """
-select concat(cast(l_orderkey as varchar),'-',cast(l_linenumber as varchar),'-',
-              cast(l_partkey as varchar),'-',cast(l_suppkey as varchar)) as id_transaccion,
-       cast(cast(o_orderdate as date) as varchar) as fecha_transaccion,
+select case when l_orderkey % 53 = 0 or l_orderkey % 97 = 0 then null
+            when l_orderkey % 31 = 0 then concat(cast(l_orderkey as varchar), '-again')
+            else concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) end as id_transaccion,
+       case when l_orderkey % 47 = 0 then 'sin fecha' else cast(cast(o_orderdate as date) as varchar) end as fecha_transaccion,
        case l_returnflag when 'A' then 'Compra' when 'R' then 'VENTA' else 'ajuste' end as tipo_transaccion,
-       c_name as cliente_proveedor, cast(l_quantity as varchar) as cantidad_kwh,
-       cast(l_discount as varchar) as precio_kwh, p_type as tipo_energia,
-       '12:00:00' as hora_transaccion, n_name as ciudad, s_name as nombre_proveedor,
-       cast(s_acctbal as varchar) as capacidad_mw,
-       cast(cast(l_shipdate as date) as varchar) as fecha_contrato,
-       case when l_linenumber % 5 = 0 then null else lower(c_mktsegment) end as tipo_cliente
+       if(l_orderkey % 53 = 0, null, c_name) as cliente_proveedor,
+       if(l_orderkey % 41 = 0, 'n/d', cast(l_quantity as varchar)) as cantidad_kwh,
+       if(l_orderkey % 43 = 0, 'gratis', cast(l_discount as varchar)) as precio_kwh, p_type as tipo_energia,
+       '12:00:00' as hora_transaccion,
+       case when l_orderkey % 53 = 0 then s_name when l_orderkey % 59 = 0 then null else n_name end as ciudad,
+       if(l_orderkey % 53 = 0, cast(s_acctbal as varchar), s_name) as nombre_proveedor,
+       case when l_orderkey % 53 = 0 then cast(cast(l_shipdate as date) as varchar)
+            when l_orderkey % 61 = 0 then 'alta' else cast(s_acctbal as varchar) end as capacidad_mw,
+       case when l_orderkey % 53 = 0 then null when l_orderkey % 67 = 0 then 'ayer'
+            else cast(cast(l_shipdate as date) as varchar) end as fecha_contrato,
+       case when l_linenumber % 5 = 0 or l_orderkey % 53 = 0 then null else lower(c_mktsegment) end as tipo_cliente
 from lineitem
 join orders on l_orderkey = o_orderkey
 join customer on o_custkey = c_custkey

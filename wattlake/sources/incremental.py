@@ -1,59 +1,77 @@
-"""Incremental landing intake (A6): only files not seen before are ingested.
+"""Incremental landing intake (A6): only contract files not seen before are
+ingested; the risk table, a small snapshot, is ingested as in the batch form.
 
-A Structured Streaming file source over the landing contract folder, run with
+A Structured Streaming file source over the landing contract files, run with
 ``trigger(availableNow=True)``: each run processes every file that arrived
-since the last run and stops.  Each bronze split is written by its own
-Parquet file sink whose commit log (``_spark_metadata``) and checkpoint make
-the intake exactly-once across retries, executor loss and driver restarts.
-
-A bronze root written by this intake must not also be written by the batch
-``ingest_bronze`` job: path readers of a file-sink folder
-(``spark.read.parquet(root)``, which the gold jobs use) only see files listed
-in its commit log.  A catalog table registered over such a folder lists its
-partition folders directly, so files left by a batch that failed before its
-commit would be visible there until the batch is re-run.
+since the last run, a bounded number at a time, and stops.  Each micro-batch is
+parsed once and kept as typed-by-name text in the intake table, in a folder of
+its batch id that a replay overwrites, so retries, executor loss and driver
+restarts neither lose nor repeat a line.  The day's bronze partitions are then
+split from the intake rows of the day, and replace what an earlier attempt of
+the same day has written.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wattlake.config import LakeConfig
 from wattlake.functions import stamp
 from wattlake.operators import bronze
-from wattlake.schemas import CONTRATOS_RAW, PARTITION_COLUMNS
-
-
-def start_incremental_bronze(spark: SparkSession, cfg: LakeConfig, source_dir: str | None = None,
-                             run_date: _dt.date | None = None,
-                             max_files_per_trigger: int | None = None) -> dict[str, StreamingQuery]:
-    src_dir = source_dir or f"{cfg.landing}/contratos"
-    reader = (spark.readStream.schema(CONTRATOS_RAW).option("header", True)
-              .option("enforceSchema", False))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    contratos = reader.csv(src_dir)
-    queries = {}
-    for name, df in bronze.split_contratos(contratos).items():
-        queries[name] = (stamp(df, run_date or cfg.run_date).writeStream
-                         .format("parquet")
-                         .partitionBy(*PARTITION_COLUMNS)
-                         .option("checkpointLocation", f"{cfg.checkpoints}/incremental_bronze/{name}")
-                         .trigger(availableNow=True)
-                         .queryName(f"incremental_bronze_{name}")
-                         .start(cfg.bronze_path(name)))
-    return queries
+from wattlake.schemas import CONTRATOS_RAW
+from wattlake.session import resolve_run_date
+from wattlake.sinks import parquet as pq
+from wattlake.sources.lake import read_dataset
+from wattlake.sources.landing import read_first_existing, risk_paths
+
+FILES_PER_TRIGGER = 1000
+
+
+def intake_path(cfg: LakeConfig) -> str:
+    return f"{cfg.bronze}/_intake/contratos"
+
+
+def start_intake(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date, source_dir: str | None = None,
+                 max_files_per_trigger: int = FILES_PER_TRIGGER) -> StreamingQuery:
+    """New contract files -> intake rows with the date they came in. The same
+    places are looked at as in the batch form, each a file or a folder."""
+    source = source_dir or f"{cfg.landing}/{{contratos.csv,contratos}}"
+    contratos = (spark.readStream.schema(CONTRATOS_RAW).option("header", True).option("enforceSchema", False)
+                 .option("maxFilesPerTrigger", max_files_per_trigger).csv(source))
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("intake_date", F.lit(run_date)).write.mode("overwrite")
+         .parquet(f"{intake_path(cfg)}/batch_id={batch_id}"))
+
+    return (contratos.writeStream.foreachBatch(keep).queryName("incremental_bronze")
+            .option("checkpointLocation", f"{cfg.checkpoints}/incremental_bronze")
+            .trigger(availableNow=True).start())
 
 
 def ingest_bronze_incremental(spark: SparkSession, cfg: LakeConfig, source_dir: str | None = None,
-                              run_date: _dt.date | None = None) -> list[str]:
-    """Run the intake until all currently available files are processed."""
-    qs = start_incremental_bronze(spark, cfg, source_dir, run_date)
-    for q in qs.values():
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(f"{q.name} failed: {q.exception()}")
-    return list(qs)
+                              run_date: _dt.date | None = None,
+                              max_files_per_trigger: int = FILES_PER_TRIGGER) -> list[str]:
+    """Run the intake until all currently available files are processed, then
+    write the day's bronze partitions."""
+    run_date = resolve_run_date(spark, run_date or cfg.run_date)
+    q = start_intake(spark, cfg, run_date, source_dir, max_files_per_trigger)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"{q.name} failed: {q.exception()}")
+    written = []
+    kept = read_dataset(spark, intake_path(cfg), optional=True)
+    if kept is not None:
+        today = kept.where(F.col("intake_date") == F.lit(run_date)).select(*CONTRATOS_RAW.names)
+        for name, df in bronze.split_contratos(today).items():
+            pq.write_partitioned(stamp(df, run_date), cfg.bronze_path(name))
+            written.append(name)
+    riesgos = read_first_existing(spark, risk_paths(cfg.landing))
+    if riesgos is not None:
+        pq.write_partitioned(stamp(bronze.type_riesgos(riesgos), run_date), cfg.bronze_path("riesgos_precios"),
+                             cfg.write_mode)
+        written.append("riesgos_precios")
+    return written

@@ -27,16 +27,34 @@ def read_dataset(spark: SparkSession, root: str, schema: StructType | None = Non
         raise
 
 
+def partition_times(spark: SparkSession, root: str) -> dict[_dt.date, tuple]:
+    """Day -> (first, last) time at which files of its partition were written,
+    from the folder listing alone; no file is opened. One entry per day."""
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+    except AnalysisException as exc:
+        if _is_missing_path(exc):
+            return {}
+        raise
+    if not {"year", "month", "day"} <= set(files.columns):
+        return {}
+    days = files.groupBy("year", "month", "day").agg(
+        F.min("modificationTime").alias("first"), F.max("modificationTime").alias("last")).collect()
+    return {_dt.date(r["year"], r["month"], r["day"]): (r["first"], r["last"]) for r in days}
+
+
 def partition_filter(run_date: _dt.date):
     return ((F.col("year") == run_date.year) & (F.col("month") == run_date.month)
             & (F.col("day") == run_date.day))
 
 
 def read_partition(spark: SparkSession, root: str, run_date: _dt.date | None,
-                   optional: bool = False) -> DataFrame | None:
+                   optional: bool = False, schema: StructType | None = None) -> DataFrame | None:
     """Read one processing-date partition (pruned at listing time), or the
-    whole dataset when ``run_date`` is ``None``."""
-    df = read_dataset(spark, root, optional=optional)
+    whole dataset when ``run_date`` is ``None``. With a declared ``schema``,
+    columns that some days lack come back as NULL for them, and columns that
+    only some days have are not lost."""
+    df = read_dataset(spark, root, schema, optional)
     if df is None or run_date is None:
         return df
     return df.where(partition_filter(run_date))
