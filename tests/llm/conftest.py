@@ -5,6 +5,6 @@ import pytest
 def tidy(spark):
     """Intermediate tables are gone after each test."""
     yield
-    from wattlake.llm.common import release
+    from wattlake.session import release_scratch
 
-    release(spark)
+    release_scratch(spark)

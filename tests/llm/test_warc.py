@@ -4,7 +4,9 @@ import hashlib
 import pytest
 
 from tests.conftest import SF_SMALL
-from wattlake.llm import common, warc
+from tests.oracle_check import compare
+from wattlake.llm import warc
+from wattlake.session import scratch_path
 
 SCHEMA = "page_id long, url string, html string, first long, body string, path string"
 
@@ -41,7 +43,7 @@ def digest(rows):
 
 @pytest.mark.parametrize("split_bytes", [64, 1000, 16 << 20])
 def test_round_trip(spark, split_bytes):
-    path = common.shared_path(spark, "test-warc")
+    path = scratch_path(spark, "test-warc")
     warc.write_warc(pages(spark), path)
     records = warc.read_warc(spark, path, split_bytes)
     rows = warc.resolved(records).collect()
@@ -49,7 +51,7 @@ def test_round_trip(spark, split_bytes):
 
 
 def test_payloads_come_back(spark):
-    path = common.shared_path(spark, "test-warc")
+    path = scratch_path(spark, "test-warc")
     warc.write_warc(pages(spark), path)
     read = warc.read_payloads(warc.read_warc(spark, path, 500)).where("type = 'response'").collect()
     want = {r.page_id: (r.html or "").encode() for r in pages(spark).collect()}
@@ -94,7 +96,7 @@ def test_base32(spark):
 
 
 def test_smallest_payload_that_is_collapsed(spark):
-    path = common.shared_path(spark, "test-warc")
+    path = scratch_path(spark, "test-warc")
     warc.write_warc(pages(spark), path, min_payload=20)
     rows = digest(warc.resolved(warc.read_warc(spark, path)).collect())
     assert all(rows[i][2] == "response" for i in (1, 2, 3, 4, 10)) and rows[11][2:] == ("revisit", 6)
@@ -102,12 +104,12 @@ def test_smallest_payload_that_is_collapsed(spark):
 
 def test_null_ids_repeated_rows_and_empty_table(spark):
     rows = [(None, "u", "same"), (3, "u", "same"), (3, "u", "same"), (5, "u", "same"), (None, None, None)]
-    path = common.shared_path(spark, "test-warc")
+    path = scratch_path(spark, "test-warc")
     warc.write_warc(pages(spark, rows), path)
     found = warc.resolved(warc.read_warc(spark, path)).collect()
     assert len(found) == 5 and [r.refers_to for r in found if r.page_id == 5] == [3]
     assert [r.record_type for r in found if r.page_id == 3] == ["response"] * 2
-    path = common.shared_path(spark, "test-warc")
+    path = scratch_path(spark, "test-warc")
     warc.write_warc(pages(spark, []), path)
     assert warc.resolved(warc.read_warc(spark, path)).count() == 0
 
@@ -115,3 +117,7 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
 def test_table(spark):
     rows = spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()
     assert digest(warc.op4_warc(spark, SF_SMALL).collect()) == by_hand([(r.page_id, r.url, r.html) for r in rows])
+
+
+def test_oracle(spark):
+    assert compare(spark, SF_SMALL, ["op4_warc"], verbose=False)["op4_warc"][0] == "ok"

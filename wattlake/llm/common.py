@@ -11,7 +11,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.session import checkpoint_dir
+from wattlake.session import scratch_path
 
 #: The white space that separates words, and a word.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -29,32 +29,14 @@ def whole_text(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the one the cluster names in
-    ``spark.checkpoint.dir``, by application, so that ``release`` finds it."""
-    base = checkpoint_dir(spark)
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return f"{base.rstrip('/')}/wattlake-llm-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
-
-
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage,
     survives lost executors, and gives later joins the table's real size."""
-    path = shared_path(df.sparkSession, label)
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> bool:
-    """Delete every intermediate table of this application. Call it when the
-    results of earlier calls have been written or are no longer needed."""
-    base = checkpoint_dir(spark)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/wattlake-llm-{spark.sparkContext.applicationId}")
-    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
-
-
 def ship(spark: SparkSession) -> None:
     """Give the executors this package (once per application), so that Python
     workers can import it wherever the driver was started."""

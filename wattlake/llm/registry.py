@@ -19,5 +19,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op4_warc": warc.ORACLE,
+    "op5_substring_dedup": substring_dedup.ORACLE,
     "op10_chat_formatting": chat.ORACLE,
 }

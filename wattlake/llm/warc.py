@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm import common
+from wattlake.session import scratch_path
 
 SPLIT_BYTES = 16 << 20
 HEADER_BYTES = 1 << 16
@@ -225,6 +226,19 @@ def resolved(records: DataFrame) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = common.shared_path(spark, "warc-archive")
+    path = scratch_path(spark, "warc-archive")
     write_warc(common.table(spark, sf_dir, "pages"), path)
     return resolved(read_warc(spark, path))
+
+
+ORACLE = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+f AS (SELECT *, sha1(body) AS sha, min(page_id) OVER (PARTITION BY body) AS first FROM p)
+SELECT page_id, strlen(body) AS payload_bytes,
+       translate(concat(to_base(CAST('0x' || sha[1:10] AS BIGINT), 32, 8), to_base(CAST('0x' || sha[11:20] AS BIGINT), 32, 8),
+                        to_base(CAST('0x' || sha[21:30] AS BIGINT), 32, 8), to_base(CAST('0x' || sha[31:40] AS BIGINT), 32, 8)),
+                 '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
