@@ -2,7 +2,7 @@
 ``length`` bytes which also starts anywhere else.
 
 1. Winnowing finds what has to be compared. Each window of ``length`` bytes has
-   an anchor: its leftmost 32-byte string of least hash. Equal windows have
+   an anchor: its leftmost 128-byte string of least hash. Equal windows have
    equal anchors, so windows whose anchor occurs once in the corpus are single,
    exactly. Neighbouring windows with one anchor form a segment; segments are
    known by anchor and digest, in narrow rows.
@@ -43,7 +43,7 @@ from wattlake.llm import common
 from wattlake.llm.substring_dedup import BASE, CHUNK_BYTES, chunk_column, place_key, rolling
 
 LENGTH = 400
-GRAM = 32
+GRAM = 128
 BLOCK = 1 << 19
 SHARD_BYTES = 1 << 21
 CROWDED_BYTES = 1 << 20
@@ -118,34 +118,32 @@ def suffix_array(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     at each of ``ends`` (ascending, the last place included), where a string
     ends; an end sorts before all bytes (use values from 1), and ends by place."""
     size = len(text)
-    owner = np.searchsorted(ends, np.arange(size))
-    rest = ends[owner] - np.arange(size)  # bytes before the string's end
-    padded = np.r_[text, np.zeros(FIRST, text.dtype)].astype(np.uint64)
-    key = np.zeros(size, np.uint64)
-    for i in range(FIRST):  # values up to 256: nine bits each
-        key = (key << np.uint64(9)) | np.where(rest > i, padded[i:i + size], np.uint64(0))
-    # a suffix that ends within the key is told apart by its string
-    tie = np.where(rest < FIRST, owner + 1, 0)
-    order = np.lexsort((tie, key))
+    end_of = np.repeat(ends, np.diff(ends, prepend=-1))
+    rest = end_of - np.arange(size)  # bytes before the string's end
+    key = text.astype(np.uint64)
+    for i in range(1, FIRST):  # values up to 256: nine bits each
+        key <<= np.uint64(9)
+        key[:size - i] |= np.where(rest[:size - i] >= i, text[i:], 0).astype(np.uint64)
+    inside = np.flatnonzero(rest)
+    order = np.concatenate([ends, inside[np.argsort(key[inside])]])
     new = np.ones(size, bool)
-    new[1:] = (key[order][1:] != key[order][:-1]) | (tie[order][1:] != tie[order][:-1])
+    new[1:] = key[order[1:]] != key[order[:-1]]
+    new[:len(ends)] = True
     rank = np.empty(size, np.int64)
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(size), 0))
-    h = FIRST
+    where, fresh, h = np.arange(size), new, FIRST
     while True:
-        heads = np.r_[np.flatnonzero(new), size]
-        tied = np.repeat(np.diff(heads) > 1, np.diff(heads))
-        where = np.flatnonzero(tied)  # places in the order that are not settled
+        # places in the order whose suffix is still tied with a neighbour
+        where = where[~(fresh & np.r_[fresh[1:], True])]
         if not len(where):
             return order, rank
         who = order[where]
-        group, follow = rank[who], rank[who + h]
-        dealt = np.lexsort((follow, group))
-        who, group, follow = who[dealt], group[dealt], follow[dealt]
+        both = rank[who] * size + rank[np.minimum(who + h, end_of[who])]
+        dealt = np.argsort(both)
+        who, both = who[dealt], both[dealt]
         order[where] = who
         fresh = np.ones(len(who), bool)
-        fresh[1:] = (group[1:] != group[:-1]) | (follow[1:] != follow[:-1])
-        new[where] = fresh
+        fresh[1:] = both[1:] != both[:-1]
         rank[who] = np.maximum.accumulate(np.where(fresh, where, 0))
         h *= 2
 
@@ -153,42 +151,34 @@ def suffix_array(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
 def common_prefixes(text: np.ndarray, ends: np.ndarray, order: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """By place in the text: how many bytes a suffix shares with the one before
     it in the suffix array. Kasai's method: going through a string, the shared
-    length falls by one at most a step; all strings advance side by side."""
+    length falls by one at most a step; all strings advance side by side, and
+    eight bytes are compared at a time."""
     size = len(text)
     before = np.full(size, -1, np.int64)
     before[order[1:]] = order[:-1]
     starts = np.r_[0, ends[:-1] + 1]
     rest = np.repeat(ends, ends - starts + 1) - np.arange(size)
+    eight = np.zeros(size, np.uint64)  # the next bytes, the first one lowest
+    for i in range(min(8, size)):
+        eight[:size - i] |= ((text[i:].astype(np.uint64) - np.uint64(1)) & np.uint64(255)) << np.uint64(8 * i)
     shared = np.zeros(size, np.int64)
-    at, left = starts.copy(), ends - starts
-    have = np.zeros(len(at), np.int64)
+    at, have = starts[starts < ends], np.zeros((starts < ends).sum(), np.int64)
     while len(at):
-        go = left > 0
-        at, left, have = at[go], left[go], have[go]
-        if not len(at):
-            break
         other = before[at]
-        live = np.flatnonzero(other >= 0)
         have[other < 0] = 0
+        most = np.minimum(rest[at], rest[other])
+        live = np.flatnonzero((other >= 0) & (have < most))
         while len(live):
-            a, b, k = at[live], other[live], have[live]
-            ok = (k < rest[a]) & (k < rest[b])
-            ok[ok] = text[a[ok] + k[ok]] == text[b[ok] + k[ok]]
-            live = live[ok]
-            have[live] += 1
-            # long runs: eight at a time while they agree
-            while len(live):
-                a, b, k = at[live], other[live], have[live]
-                far = np.flatnonzero((k + 8 <= rest[a]) & (k + 8 <= rest[b]))
-                if not len(far):
-                    break
-                step = np.arange(8)
-                equal = (text[(a[far] + k[far])[:, None] + step] == text[(b[far] + k[far])[:, None] + step]).all(axis=1)
-                if not equal.any():
-                    break
-                have[live[far[equal]]] += 8
+            k = have[live]
+            differ = eight[at[live] + k] ^ eight[other[live] + k]
+            lowest = differ & (~differ + np.uint64(1))
+            same = np.where(differ == 0, 8, np.bitwise_count(lowest - np.uint64(1)) >> 3)
+            have[live] = np.minimum(k + same, most[live])
+            live = live[(differ == 0) & (have[live] < most[live])]
         shared[at] = have
-        at, left, have = at + 1, left - 1, np.maximum(have - 1, 0)
+        at, have = at + 1, np.maximum(have - 1, 0)
+        go = rest[at] > 0
+        at, have = at[go], have[go]
     return shared
 
 
@@ -217,36 +207,56 @@ def _ranges(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shard_windows(length: int):
-    """Of the segments of a shard: rows with the windows [lo, hi) of a segment
-    that are repeated. Where the anchor is split over shards, also the digests
-    of windows: those single here, and one of each that is not (with lo = hi,
-    for other shards to find)."""
+    """Of the segments of a shard: one row each with its repeated windows, as
+    packed ranges. Where the anchor is split over shards, also the digests of
+    windows, for the other shards: those single here with their places, and one
+    of each that is not, without."""
     def run(table: pa.Table) -> pa.Table:
         strings = table.column("bytes").to_pylist()
         out, told = [], set()
         for anchor, part, sig, crowded, s, flag in zip(
                 *(table.column(c).to_pylist() for c in ("anchor", "part", "sig", "crowded")),
                 strings, repeated_windows(strings, length)):
-            lo, hi = _ranges(flag)
-            out += [(anchor, part, sig, a, b, None) for a, b in zip(lo.tolist(), hi.tolist())]
+            windows = []
             if crowded:
                 for a, again in enumerate(flag.tolist()):
                     window = digest(s[a:a + length])
-                    if not again:
-                        out.append((anchor, part, sig, a, a + 1, window))
-                    elif window not in told:
+                    if not again or window not in told:
+                        windows.append((window, -1 if again else a))
                         told.add(window)
-                        out.append((anchor, part, sig, a, a, window))
-        return pa.table([pa.array([r[k] for r in out], pa.int64()) for k in range(6)],
-                        ["anchor", "part", "sig", "lo", "hi", "window"])
+            out.append((anchor, part, sig, np.stack(_ranges(flag), 1).astype("<i4").tobytes(),
+                        np.array(windows, "<i8").tobytes() if windows else None))
+        return pa.table([pa.array([r[k] for r in out], kind) for k, kind in enumerate(
+            (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
+            ["anchor", "part", "sig", "ranges", "windows"])
 
     return run
 
 
+def deal_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (anchor, part, sig, windows): a sorted run for each range of window
+    digests, packed: (anchor, range, part, sig, windows)."""
+    for batch in batches:
+        out = []
+        for anchor, part, sig, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "part", "sig", "windows"))):
+            windows = np.frombuffer(data, "<i8").reshape(-1, 2)
+            windows = windows[np.argsort(windows[:, 0])]
+            group = (windows[:, 0] >> 58) + (RANGES >> 1)  # the top bits
+            for g in np.unique(group).tolist():
+                out.append((anchor, g, part, sig, windows[group == g].tobytes()))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(
+                (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                ["anchor", "range", "part", "sig", "windows"])
+
+
 def merge(table: pa.Table) -> pa.Table:
-    """Windows of one range of digests, a sorted run from each shard: those
-    that another run also has, found by bisection."""
-    window, part = (table.column(c).to_numpy() for c in ("window", "part"))
+    """Of one range of an anchor's window digests, in runs: the windows that
+    another shard also has, found by bisection; packed by segment."""
+    runs = [np.frombuffer(w, "<i8").reshape(-1, 2) for w in table.column("windows").to_pylist()]
+    part = np.repeat(table.column("part").to_numpy(), [len(r) for r in runs])
+    row = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
+    window, place = np.concatenate(runs).T
     everything, hit = np.sort(window), np.zeros(len(window), bool)
     for p in np.unique(part):
         mine = np.flatnonzero(part == p)
@@ -254,15 +264,21 @@ def merge(table: pa.Table) -> pa.Table:
         here = np.searchsorted(run, window[mine], "right") - np.searchsorted(run, window[mine])
         total = np.searchsorted(everything, window[mine], "right") - np.searchsorted(everything, window[mine])
         hit[mine] = total > here
-    hit &= table.column("hi").to_numpy() > table.column("lo").to_numpy()
-    return table.filter(pa.array(hit)).select(["anchor", "sig", "lo", "hi"])
+    hit &= place >= 0
+    found, first = np.unique(row[hit], return_index=True)
+    places = np.split(place[hit], first[1:]) if len(found) else []
+    ranges = [np.stack([p, p + 1], 1).astype("<i4").tobytes() for p in places]
+    chosen = table.take(pa.array(found))
+    return pa.table([chosen.column("anchor"), chosen.column("sig"), pa.array(ranges, pa.binary())],
+                    ["anchor", "sig", "ranges"])
 
 
 def repeated(chunked: DataFrame, chunks: int, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES,
              crowded_bytes: int = CROWDED_BYTES) -> DataFrame:
-    """(id, lo, hi): the windows of (chunk, id, text) that start at [lo, hi)
-    also start elsewhere."""
-    found = common.materialise(segments(chunked.select("id", "text"), length, gram), "suffix-segments")
+    """(id, at, n, ranges): the segments of (chunk, id, text), at [at, at + n),
+    of whose windows some ranges, or all, also start elsewhere."""
+    rows = chunked.select("id", "text")
+    found = common.materialise(segments(rows, length, min(gram, length)), "suffix-segments")
     shared = found.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
     found = common.materialise(found.join(shared, "anchor", "left_semi"), "suffix-shared")
     place = (F.min("id") < F.max("id")) | (F.min("at") < F.max("at"))
@@ -293,18 +309,35 @@ def repeated(chunked: DataFrame, chunks: int, length: int = LENGTH, gram: int =
     fetched = chunked.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(
         fetch, "anchor bigint, sig bigint, part bigint, crowded boolean, shard bigint, bytes binary")
     judged = common.materialise(fetched.groupBy("crowded", "shard").applyInArrow(
-        shard_windows(length), "anchor bigint, part bigint, sig bigint, lo bigint, hi bigint, window bigint"),
+        shard_windows(length), "anchor bigint, part bigint, sig bigint, ranges binary, windows binary"),
         "suffix-windows")
-    merged = judged.where("window is not null").withColumn("range", F.pmod(F.col("window"), F.lit(RANGES))) \
-        .groupBy("anchor", "range").applyInArrow(merge, "anchor bigint, sig bigint, lo bigint, hi bigint")
+    merged = judged.where("windows is not null").select("anchor", "part", "sig", "windows").mapInArrow(
+        deal_windows, "anchor bigint, range bigint, part bigint, sig bigint, windows binary").groupBy(
+        "anchor", "range").applyInArrow(merge, "anchor bigint, sig bigint, ranges binary")
 
     # back to every document that holds the segment
-    whole = kinds.where("twice").select("anchor", "sig", F.lit(0).cast("long").alias("lo"), F.col("n").alias("hi"))
+    whole = kinds.where("twice").select("anchor", "sig", F.lit(None).cast("binary").alias("ranges"))
     once = kinds.where("not twice").select("anchor", "sig")
-    some = judged.where("window is null").select("anchor", "sig", "lo", "hi").unionByName(merged).join(
-        once, ["anchor", "sig"], "left_semi")
-    return found.join(whole.unionByName(some), ["anchor", "sig"]).select(
-        "id", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi"))
+    some = judged.select("anchor", "sig", "ranges").unionByName(merged).where(
+        F.octet_length("ranges") > 0).join(once, ["anchor", "sig"], "left_semi")
+    return found.join(whole.unionByName(some), ["anchor", "sig"]).select("id", "at", "n", "ranges")
+
+
+def starts(at: np.ndarray, n: np.ndarray, ranges: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """First and one past the last window of each repeated range, in the
+    document; no ranges mean all of a segment's."""
+    lo, hi = [], []
+    for a, k, data in zip(at.tolist(), n.tolist(), ranges):
+        if data is None:
+            lo.append([a])
+            hi.append([a + k])
+        else:
+            both = np.frombuffer(data, "<i4").reshape(-1, 2)
+            lo.append(a + both[:, 0])
+            hi.append(a + both[:, 1])
+    if not lo:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(lo).astype(np.int64), np.concatenate(hi).astype(np.int64)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -321,17 +354,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     gone = repeated(chunked, chunks, length, **options).withColumn("chunk", chunk_column("id", chunks))
 
     def cut(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        doc, lo, hi = (right.column(c).to_numpy() for c in ("id", "lo", "hi"))
-        order = np.argsort(doc, kind="stable")
-        doc, lo, hi = doc[order], lo[order], hi[order]
+        order = np.argsort(right.column("id").to_numpy(), kind="stable")
+        right = right.take(pa.array(order))
+        doc = right.column("id").to_numpy()
         out = []
         for i, t in zip(left.column("id").to_pylist(), left.column("text")):
             data = t.as_py()
-            a, b = np.searchsorted(doc, i), np.searchsorted(doc, i, "right")
-            a = a + np.flatnonzero(hi[a:b] + length - 1 <= len(data))
+            a, b = int(np.searchsorted(doc, i)), int(np.searchsorted(doc, i, "right"))
+            mine = right.slice(a, b - a)
+            lo, hi = starts(mine.column("at").to_numpy(), mine.column("n").to_numpy(), mine.column("ranges").to_pylist())
+            fits = hi + length - 1 <= len(data)
+            lo, hi = lo[fits], hi[fits]
             edge = np.zeros(len(data) + 1, np.int64)
-            np.add.at(edge, lo[a], 1)
-            np.add.at(edge, hi[a] + length - 1, -1)
+            np.add.at(edge, lo, 1)
+            np.add.at(edge, hi + length - 1, -1)
             gone = np.cumsum(edge[:-1]) > 0
             n = int(gone.sum())
             kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if n else data
