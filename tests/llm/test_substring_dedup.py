@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from tests.conftest import SF_SMALL
+from tests.oracle_check import compare
 from tests.llm import fixtures
 from wattlake.llm import substring_dedup as sd
 
@@ -78,3 +79,7 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert found == [(-1, 0, 0), (-1, 40, 0), (-1, 40, 40), (4, 40, 0), (4, 40, 0)]
     assert run(fixtures.documents(spark, [])) == []
     assert all(r.n_words == 0 for r in run(fixtures.documents(spark, [fixtures.row(1, None)])))
+
+
+def test_oracle(spark):
+    assert compare(spark, SF_SMALL, ["op5_substring_dedup"], verbose=False)["op5_substring_dedup"][0] == "ok"

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from wattlake.llm import common
 
 WINDOW = 20
-FLUSH_WORDS = 2_000_000
+FLUSH_WORDS = 1_000_000
 BUCKET_WINDOWS = 1 << 18
 CHUNK_BYTES = 4 << 20
 CACHED_WORDS = 400_000
@@ -111,12 +111,13 @@ def hash_bytes(windows: int, buckets: int) -> int:
     return min(16, max(1, math.ceil((2 * math.log2(max(windows, 2)) + 10 - math.log2(buckets)) / 8)))
 
 
-def _flush(ids: list[int], texts: list[list[bytes]], window: int, bits: int, width: int) -> pa.RecordBatch | None:
+def _flush(ids: list[int], texts: list[np.ndarray], window: int, bits: int, width: int) -> pa.RecordBatch | None:
+    """Packed windows of some documents, given as word codes."""
     order = sorted(range(len(ids)), key=ids.__getitem__)
     sizes = np.array([len(texts[k]) for k in order], np.int64)
-    value = codes([w for k in order for w in texts[k]])
-    if len(value) < window:
+    if sizes.sum() < window:
         return None
+    value = np.concatenate([texts[k] for k in order])
     doc = np.repeat(np.arange(len(order)), sizes)
     start = np.arange(len(value)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     at = np.flatnonzero(start <= sizes[doc] - window)
@@ -167,10 +168,9 @@ def windows(rows: DataFrame, window: int, bits: int, width: int, flush_words: in
         ids, texts, n = [], [], 0
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = t.as_py().split()
                 ids.append(i)
-                texts.append(words)
-                n += len(words)
+                texts.append(codes(t.as_py().split()))
+                n += len(texts[-1])
                 if n >= flush_words:
                     if (out := _flush(ids, texts, window, bits, width)) is not None:
                         yield out
@@ -285,3 +285,30 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(common.table(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS said
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d)),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY said ORDER BY doc_id, i) AS nth FROM windows) WHERE nth > 1),
+gone AS (
+  SELECT doc_id, i AS place, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before
+  FROM (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS i FROM later)),
+per AS (
+  SELECT doc_id, list(place) AS places, count(*) AS n_removed,
+         count(*) FILTER (WHERE before IS NULL OR before < place - 1) AS n_spans
+  FROM gone GROUP BY doc_id),
+words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM d),
+kept AS (
+  SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.place) AS text
+  FROM words w ANTI JOIN gone g ON g.doc_id = w.doc_id AND g.place = w.place GROUP BY w.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN per ON per.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
