@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm import common
-from wattlake.llm.substring_dedup import BASE, CHUNK_BYTES, chunk_column, place_key, rolling
+from wattlake.llm.substring_dedup import BASE, CHUNK_BYTES, chunk_column, pack_places, place_key, rolling, unpack_places
 
 LENGTH = 400
 GRAM = 128
@@ -48,6 +48,7 @@ BLOCK = 1 << 19
 SHARD_BYTES = 1 << 21
 CROWDED_BYTES = 1 << 20
 RANGES = 64
+FLUSH_SEGMENTS = 200_000
 #: Places that the first sort looks at.
 FIRST = 7
 
@@ -86,16 +87,32 @@ def anchors(text: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nd
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """(anchor, sig, id, at, n) of each segment of (id, text): the windows that
-    start at [at, at + n) have this anchor; sig is a digest of their bytes."""
-    def pack(out: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)],
-                                          ["anchor", "sig", "id", "at", "n"])
+def collapse(out: list[tuple]) -> pa.RecordBatch:
+    """One row for each different segment of some documents: its first place,
+    and the others packed. Rows that repeat a place add none."""
+    h, sig, ids, at, n = (np.concatenate(x) for x in zip(*out))
+    order = np.lexsort((at, ids, sig, h))
+    h, sig, ids, at, n = h[order], sig[order], ids[order], at[order], n[order]
+    kind = np.ones(len(h), bool)
+    kind[1:] = (h[1:] != h[:-1]) | (sig[1:] != sig[:-1])
+    kept = kind.copy()
+    kept[1:] |= (ids[1:] != ids[:-1]) | (at[1:] != at[:-1])
+    h, sig, ids, at, n, kind = h[kept], sig[kept], ids[kept], at[kept], n[kept], kind[kept]
+    first = np.flatnonzero(kind)
+    more = [pack_places(ids[a + 1:b], at[a + 1:b]) if b > a + 1 else None
+            for a, b in zip(first.tolist(), np.r_[first[1:], len(h)].tolist())]
+    return pa.RecordBatch.from_arrays([*(pa.array(x[first]) for x in (h, sig, ids, at, n)), pa.array(more, pa.binary())],
+                                      ["anchor", "sig", "id", "at", "n", "more"])
+
 
+def segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """(anchor, sig, id, at, n, more) of the segments of (id, text): the windows
+    that start at [at, at + n) have this anchor; sig is a digest of their bytes;
+    more are further places that the task has met. So a segment that a third of
+    the corpus repeats reaches the shuffle about once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
         for batch in batches:
-            out, held = [], 0
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = t.as_py()
                 if len(data) < length:
@@ -104,13 +121,29 @@ def segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
                 sig = np.array([digest(data[a:b]) for a, b in zip(at.tolist(), (at + n + length - 1).tolist())], np.int64)
                 out.append((h, sig, np.full(len(h), i), at, n))
                 held += len(h)
-                if held > 100_000:
-                    yield pack(out)
+                if held > FLUSH_SEGMENTS:
+                    yield collapse(out)
                     out, held = [], 0
-            if out:
-                yield pack(out)
+        if out:
+            yield collapse(out)
 
-    return rows.mapInArrow(run, "anchor bigint, sig bigint, id bigint, at bigint, n bigint")
+    return rows.mapInArrow(run, "anchor bigint, sig bigint, id bigint, at bigint, n bigint, more binary")
+
+
+def all_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, at, n, ranges) for each place of (id, at, n, more, ranges)."""
+    for batch in batches:
+        row, ids, at = [np.arange(batch.num_rows)], [batch.column(0).to_numpy()], [batch.column(1).to_numpy()]
+        for k, data in enumerate(batch.column(3).to_pylist()):
+            if data is not None:
+                doc, start = unpack_places(data)
+                row.append(np.full(len(doc), k))
+                ids.append(doc)
+                at.append(start)
+        row = pa.array(np.concatenate(row))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(ids)), pa.array(np.concatenate(at)), batch.column(2).take(row),
+             batch.column(4).take(row)], ["id", "at", "n", "ranges"])
 
 
 def suffix_array(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -279,11 +312,13 @@ def repeated(chunked: DataFrame, chunks: int, length: int = LENGTH, gram: int =
     of whose windows some ranges, or all, also start elsewhere."""
     rows = chunked.select("id", "text")
     found = common.materialise(segments(rows, length, min(gram, length)), "suffix-segments")
-    shared = found.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
+    many = F.max(F.col("more").isNotNull())
+    shared = found.groupBy("anchor").agg(F.count("*").alias("c"), many.alias("many")).where(
+        "c > 1 or many").select("anchor")
     found = common.materialise(found.join(shared, "anchor", "left_semi"), "suffix-shared")
-    place = (F.min("id") < F.max("id")) | (F.min("at") < F.max("at"))
+    twice = many | (F.min("id") < F.max("id")) | (F.min("at") < F.max("at"))
     kinds = found.groupBy("anchor", "sig").agg(
-        F.min("id").alias("id"), F.min_by("at", "id").alias("at"), F.first("n").alias("n"), place.alias("twice"))
+        F.min("id").alias("id"), F.min_by("at", "id").alias("at"), F.first("n").alias("n"), twice.alias("twice"))
     counted = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"),
                                           F.sum(F.col("n") + (length - 1)).alias("bytes"))
     kinds = common.materialise(kinds.join(counted, "anchor"), "suffix-kinds")
@@ -320,7 +355,8 @@ def repeated(chunked: DataFrame, chunks: int, length: int = LENGTH, gram: int =
     once = kinds.where("not twice").select("anchor", "sig")
     some = judged.select("anchor", "sig", "ranges").unionByName(merged).where(
         F.octet_length("ranges") > 0).join(once, ["anchor", "sig"], "left_semi")
-    return found.join(whole.unionByName(some), ["anchor", "sig"]).select("id", "at", "n", "ranges")
+    return found.join(whole.unionByName(some), ["anchor", "sig"]).select("id", "at", "n", "more", "ranges").mapInArrow(
+        all_places, "id bigint, at bigint, n bigint, ranges binary")
 
 
 def starts(at: np.ndarray, n: np.ndarray, ranges: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
