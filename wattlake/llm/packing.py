@@ -42,7 +42,9 @@ END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 BUCKET_ROWS = 50_000
 #: Words and word bodies whose ids a worker remembers, and the longest in bytes.
-CACHED_WORDS, CACHED_BODIES, CACHED_BYTES = 400_000, 1_200_000, 64
+CACHED_WORDS, CACHED_BODIES, CACHED_BYTES = 600_000, 1_000_000, 64
+#: Fixed value: how the tokenizer's tokens end a word. Words encoded in one string.
+WORD_END, JOINED = "</w>", 128
 
 _WORDS: dict[str, tuple] = {}
 
@@ -54,10 +56,36 @@ def _tokenizer(path: str) -> tuple:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         from tokenizers import Tokenizer
 
-        _WORDS[path] = (Tokenizer.from_file(path), {}, {})
+        tokenizer = Tokenizer.from_file(path)
+        closing = np.zeros(tokenizer.get_vocab_size(), bool)  # ids that end a word
+        for token, i in tokenizer.get_vocab().items():
+            closing[i] = token.endswith(WORD_END)
+        _WORDS[path] = (tokenizer, {}, {}, closing)
     return _WORDS[path]
 
 
+def _encode(parts: list[bytes], tokenizer, closing: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+    """(word, ids). Words of letters only are one unit to the tokenizer, and
+    its last id says that it ends: many are encoded in one string."""
+    texts = [p.decode() for p in parts]
+    plain = [t for t in texts if t.isalpha() and t.lower().isalpha()]
+    for i in range(0, len(plain), 4096):
+        lots = [plain[k:k + JOINED] for k in range(i, min(i + 4096, len(plain)), JOINED)]
+        for lot, found in zip(lots, tokenizer.encode_batch_fast(list(map(" ".join, lots)), add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            ends = (4 * (np.flatnonzero(closing[ids]) + 1)).tolist()
+            if len(ends) != len(lot):
+                raise ValueError(f"the tokenizer does not end each word with {WORD_END}")
+            data = ids.tobytes()
+            for word, a, b in zip(lot, [0, *ends], ends):
+                yield word.encode(), data[a:b]
+    others = [t for t in texts if not (t.isalpha() and t.lower().isalpha())]
+    for i in range(0, len(others), 4096):
+        some = others[i:i + 4096]
+        for word, found in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+            yield word.encode(), array("I", found.ids).tobytes()
+
+
 def _body(word: bytes) -> tuple[bytes, bytes]:
     """A word's body and closing stops, where the tokenizer certainly cuts
     between them (after a letter or digit), the body in lower case if ASCII."""
@@ -74,8 +102,8 @@ def token_ids(texts: list[bytes], path: str) -> list[bytes]:
     The tokenizer drops white space, never joins what it separates and lowers
     case, so the ids of a text are those of its words; each word body is
     encoded once and remembered, up to a bound. ``path`` must name a tokenizer
-    of that kind."""
-    tokenizer, known, bodies = _tokenizer(path)
+    of that kind, which marks the ends of words."""
+    tokenizer, known, bodies, closing = _tokenizer(path)
     split = [t.split() for t in texts]
     words = set().union(*split)
     fresh = words.difference(known)
@@ -87,10 +115,7 @@ def token_ids(texts: list[bytes], path: str) -> list[bytes]:
     if len(bodies) + len(wanted) > CACHED_BODIES:
         bodies.clear()
         wanted = list({part for pair in cut.values() for part in pair})
-    for i in range(0, len(wanted), 4096):
-        some = wanted[i:i + 4096]
-        for part, found in zip(some, tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-            bodies[part] = array("I", found.ids).tobytes()
+    bodies.update(_encode(wanted, tokenizer, closing))
     for word, (body, stops) in cut.items():
         known[word] = bodies[body] + bodies[stops]
     ids = [b"".join(map(known.__getitem__, words)) for words in split]
