@@ -15,7 +15,7 @@ only for conversations that stay.
 
 Defined results: turns are ordered by number (null first), then by hash; rows
 that repeat conversation, turn, role and text count once; null role or text
-is empty; rows with null conversation ids form one conversation; long
+is empty; rows with null conversation ids form one conversation (last among equals); long
 conversations are rendered in parts, one for each block of turn numbers; an
 empty table gives an empty result; other columns are not looked at.
 """
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from wattlake.llm import common
 
@@ -33,68 +34,70 @@ TURN_START, TURN_END = "<|im_start|>", "<|im_end|>\n"
 
 
 def _turns(conversations: DataFrame, id_col: str, block_turns: int) -> DataFrame:
+    """Turns with a never-null conversation key (no_id, id) and their block."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    kind = conversations.schema[id_col].dataType
+    nothing = F.lit("" if isinstance(kind, StringType) else 0).cast(kind)
     return conversations.select(
-        F.col(id_col).alias("id"), "turn", role.alias("role"), text.alias("text"),
+        F.col(id_col).isNull().alias("no_id"), F.coalesce(F.col(id_col), nothing).alias("id"), "turn",
+        role.alias("role"), text.alias("text"),
         F.coalesce(F.floor(F.col("turn") / block_turns), F.lit(-(1 << 40))).cast("long").alias("block"),
         F.xxhash64(role, text).alias("h1"), F.xxhash64(text, F.lit("\x1f"), role).alias("h2"))
 
 
+CONVERSATION = ["no_id", "id"]
+BLOCK = [*CONVERSATION, "block"]
+
+
 def prefixes(conversations: DataFrame, id_col: str = "conv_id", block_turns: int = BLOCK_TURNS) -> DataFrame:
-    """One row per turn: id, k (its position from 1), n (turns of the
-    conversation) and the prefix signature (s1, s2)."""
-    turns = common.materialise(_turns(conversations, id_col, block_turns).select(
-        "id", "turn", "block", "h1", "h2").distinct(), "chat-turns")
-    block = turns.groupBy("id", "block").agg(F.count("*").alias("size"))
-    by_block = Window.partitionBy("id").orderBy("block")
-    block = block.select("id", "block", (F.sum("size").over(by_block) - F.col("size")).alias("before"),
-                         F.sum("size").over(Window.partitionBy("id")).alias("n"))
-    same_block = [F.col("a.id").eqNullSafe(F.col("b.id")), F.col("a.block") == F.col("b.block")]
-    order = Window.partitionBy("id", "block").orderBy("turn", "h1", "h2")
-    numbered = turns.withColumn("r", F.row_number().over(order)).alias("a").join(
-        block.alias("b"), same_block).select(
-        "a.id", "a.block", "n", (F.col("before") + F.col("r")).alias("k"), "h1", "h2")
+    """One row per turn: no_id, id, k (its position from 1), n (turns of the
+    conversation) and the prefix signature (s1, s2). Turns are dealt once, by
+    block of a conversation; numbering, sums and joins stay within that."""
     exact = "decimal(38,0)"
-    numbered = common.materialise(numbered.select(
-        "id", "block", "n", "k", F.xxhash64("k", "h1", "h2").cast(exact).alias("g1"),
-        F.xxhash64("h2", "k", "h1").cast(exact).alias("g2")), "chat-numbered")
-    so_far = Window.partitionBy("id", "block").orderBy("k")
-    sums = numbered.groupBy("id", "block").agg(F.sum("g1").alias("t1"), F.sum("g2").alias("t2")).select(
-        "id", "block", *[(F.sum(t).over(by_block) - F.col(t)).alias(t) for t in ("t1", "t2")])
-    running = numbered.select("id", "block", "n", "k", *[
-        F.sum(g).over(so_far).alias(g) for g in ("g1", "g2")])
-    return running.alias("a").join(sums.alias("b"), same_block).select(
-        "a.id", "k", "n", (F.col("g1") + F.col("t1")).cast(exact).alias("s1"),
+    turns = _turns(conversations, id_col, block_turns).select(*BLOCK, "turn", "h1", "h2").repartition(*BLOCK).distinct()
+    by_block = Window.partitionBy(*CONVERSATION).orderBy("block")
+    place = turns.groupBy(*BLOCK).agg(F.count("*").alias("size")).select(
+        *BLOCK, (F.sum("size").over(by_block) - F.col("size")).alias("before"),
+        F.sum("size").over(Window.partitionBy(*CONVERSATION)).alias("n"))
+    nth = F.row_number().over(Window.partitionBy(*BLOCK).orderBy("turn", "h1", "h2"))
+    numbered = turns.withColumn("nth", nth).join(place, BLOCK).withColumn("k", F.col("before") + F.col("nth")).select(
+        *BLOCK, "n", "k", F.xxhash64("k", "h1", "h2").cast(exact).alias("g1"),
+        F.xxhash64("h2", "k", "h1").cast(exact).alias("g2"))
+    sums = numbered.groupBy(*BLOCK).agg(F.sum("g1").alias("t1"), F.sum("g2").alias("t2")).select(
+        *BLOCK, *[(F.sum(t).over(by_block) - F.col(t)).alias(t) for t in ("t1", "t2")])
+    so_far = Window.partitionBy(*BLOCK).orderBy("k")
+    running = numbered.select(*BLOCK, "n", "k", *[F.sum(g).over(so_far).alias(g) for g in ("g1", "g2")])
+    return running.join(sums, BLOCK).select(
+        *CONVERSATION, "k", "n", (F.col("g1") + F.col("t1")).cast(exact).alias("s1"),
         (F.col("g2") + F.col("t2")).cast(exact).alias("s2"))
 
 
 def maximal(conversations: DataFrame, id_col: str = "conv_id", block_turns: int = BLOCK_TURNS) -> DataFrame:
-    """(id, n_turns, copies) of the conversations that are no proper prefix of
-    another, one for each group of equal ones."""
+    """(no_id, id, n_turns, copies) of the conversations that are no proper
+    prefix of another, one for each group of equal ones."""
     all_prefixes = common.materialise(prefixes(conversations, id_col, block_turns), "chat-prefixes")
     whole = all_prefixes.where("k = n").groupBy("k", "s1", "s2").agg(
-        F.min("id").alias("id"), F.count("*").alias("copies"))
+        F.min(F.struct(*CONVERSATION)).alias("first"), F.count("*").alias("copies"))
     proper = all_prefixes.where("k < n").select("k", "s1", "s2").distinct()
     return whole.join(proper, ["k", "s1", "s2"], "left_anti").select(
-        "id", F.col("k").cast("long").alias("n_turns"), "copies")
+        "first.no_id", "first.id", F.col("k").cast("long").alias("n_turns"), "copies")
 
 
 def render(conversations: DataFrame, id_col: str = "conv_id", block_turns: int = BLOCK_TURNS) -> DataFrame:
     """One row per part of each maximal conversation: id, part (from 0),
     n_turns and copies of the conversation, rendered. Turn marks within a text
     are broken up."""
-    chosen = common.materialise(maximal(conversations, id_col, block_turns), "chat-maximal").alias("m")
-    turns = _turns(conversations, id_col, block_turns).alias("t")
-    plain = lambda c: F.replace(c, F.lit("<|"), F.lit("< |"))
-    kept = turns.join(chosen, F.col("t.id").eqNullSafe(F.col("m.id"))).select(
-        "t.id", "n_turns", "copies", "block", "turn", "h1", "h2",
-        F.concat(F.lit(TURN_START), plain(F.col("role")), F.lit("\n"), plain(F.col("text")), F.lit(TURN_END)).alias("one"))
-    grouped = kept.groupBy("id", "block").agg(
+    chosen = common.materialise(maximal(conversations, id_col, block_turns), "chat-maximal")
+    plain = lambda c: F.replace(F.col(c), F.lit("<|"), F.lit("< |"))
+    kept = _turns(conversations, id_col, block_turns).join(chosen, CONVERSATION).select(
+        *BLOCK, "n_turns", "copies", "turn", "h1", "h2",
+        F.concat(F.lit(TURN_START), plain("role"), F.lit("\n"), plain("text"), F.lit(TURN_END)).alias("one"))
+    grouped = kept.groupBy(*BLOCK).agg(
         F.first("n_turns").alias("n_turns"), F.first("copies").alias("copies"),
         F.sort_array(F.collect_set(F.struct("turn", "h1", "h2", "one"))).alias("turns"))
-    part = F.row_number().over(Window.partitionBy("id").orderBy("block")) - 1
-    return grouped.select(F.col("id").alias(id_col), part.cast("int").alias("part"), "n_turns", "copies",
-                          F.array_join("turns.one", "").alias("rendered"))
+    part = F.row_number().over(Window.partitionBy(*CONVERSATION).orderBy("block")) - 1
+    return grouped.select(F.when(~F.col("no_id"), F.col("id")).alias(id_col), part.cast("int").alias("part"), "n_turns",
+                          "copies", F.array_join("turns.one", "").alias("rendered"))
 
 
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
