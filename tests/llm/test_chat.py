@@ -54,8 +54,9 @@ def test_long_conversations_are_cut_into_parts(spark):
 
 
 def test_blocks_do_not_matter(spark):
-    want = {(r.id, r.n_turns, r.copies) for r in chat.maximal(frame(spark, cases())).collect()}
-    assert {(r.id, r.n_turns, r.copies) for r in chat.maximal(frame(spark, cases()), block_turns=2).collect()} == want
+    for_block = lambda **b: {(r.id, r.n_turns, r.copies) for r in chat.maximal(
+        chat.prefixes(frame(spark, cases()), **b)).collect()}
+    assert for_block(block_turns=2) == for_block() and len(for_block()) > 3
 
 
 def test_repeated_rows_ties_nulls_marks_and_empty_table(spark):
@@ -71,7 +72,7 @@ def test_repeated_rows_ties_nulls_marks_and_empty_table(spark):
 
 def test_common_first_turn(spark):
     rows = [r for c in range(300) for r in conversation(c, ["hello", f"answer {c}"])] + conversation(900, ["hello"])
-    assert {r.id for r in chat.maximal(frame(spark, rows)).collect()} == set(range(300))
+    assert {r.id for r in chat.maximal(chat.prefixes(frame(spark, rows))).collect()} == set(range(300))
 
 
 def test_oracle(spark):

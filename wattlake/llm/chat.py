@@ -50,7 +50,7 @@ BLOCK = [*CONVERSATION, "block"]
 
 
 def prefixes(conversations: DataFrame, id_col: str = "conv_id", block_turns: int = BLOCK_TURNS) -> DataFrame:
-    """One row per turn: no_id, id, k (its position from 1), n (turns of the
+    """One row per turn: no_id, id, block, k (its position from 1), n (turns of the
     conversation) and the prefix signature (s1, s2). Turns are dealt once, by
     block of a conversation; numbering, sums and joins stay within that."""
     exact = "decimal(38,0)"
@@ -68,14 +68,13 @@ def prefixes(conversations: DataFrame, id_col: str = "conv_id", block_turns: int
     so_far = Window.partitionBy(*BLOCK).orderBy("k")
     running = numbered.select(*BLOCK, "n", "k", *[F.sum(g).over(so_far).alias(g) for g in ("g1", "g2")])
     return running.join(sums, BLOCK).select(
-        *CONVERSATION, "k", "n", (F.col("g1") + F.col("t1")).cast(exact).alias("s1"),
+        *BLOCK, "k", "n", (F.col("g1") + F.col("t1")).cast(exact).alias("s1"),
         (F.col("g2") + F.col("t2")).cast(exact).alias("s2"))
 
 
-def maximal(conversations: DataFrame, id_col: str = "conv_id", block_turns: int = BLOCK_TURNS) -> DataFrame:
+def maximal(all_prefixes: DataFrame) -> DataFrame:
     """(no_id, id, n_turns, copies) of the conversations that are no proper
     prefix of another, one for each group of equal ones."""
-    all_prefixes = common.materialise(prefixes(conversations, id_col, block_turns), "chat-prefixes")
     whole = all_prefixes.where("k = n").groupBy("k", "s1", "s2").agg(
         F.min(F.struct(*CONVERSATION)).alias("first"), F.count("*").alias("copies"))
     proper = all_prefixes.where("k < n").select("k", "s1", "s2").distinct()
@@ -87,17 +86,19 @@ def render(conversations: DataFrame, id_col: str = "conv_id", block_turns: int =
     """One row per part of each maximal conversation: id, part (from 0),
     n_turns and copies of the conversation, rendered. Turn marks within a text
     are broken up."""
-    chosen = common.materialise(maximal(conversations, id_col, block_turns), "chat-maximal")
+    all_prefixes = common.materialise(prefixes(conversations, id_col, block_turns), "chat-prefixes")
+    part = F.row_number().over(Window.partitionBy(*CONVERSATION).orderBy("block")) - 1
+    chosen = common.materialise(all_prefixes.select(*BLOCK).distinct().join(
+        maximal(all_prefixes), CONVERSATION).withColumn("part", part.cast("int")), "chat-maximal")
     plain = lambda c: F.replace(F.col(c), F.lit("<|"), F.lit("< |"))
-    kept = _turns(conversations, id_col, block_turns).join(chosen, CONVERSATION).select(
-        *BLOCK, "n_turns", "copies", "turn", "h1", "h2",
+    kept = _turns(conversations, id_col, block_turns).join(chosen, BLOCK).select(
+        *BLOCK, "part", "n_turns", "copies", "turn", "h1", "h2",
         F.concat(F.lit(TURN_START), plain("role"), F.lit("\n"), plain("text"), F.lit(TURN_END)).alias("one"))
     grouped = kept.groupBy(*BLOCK).agg(
-        F.first("n_turns").alias("n_turns"), F.first("copies").alias("copies"),
+        F.first("part").alias("part"), F.first("n_turns").alias("n_turns"), F.first("copies").alias("copies"),
         F.sort_array(F.collect_set(F.struct("turn", "h1", "h2", "one"))).alias("turns"))
-    part = F.row_number().over(Window.partitionBy(*CONVERSATION).orderBy("block")) - 1
-    return grouped.select(F.when(~F.col("no_id"), F.col("id")).alias(id_col), part.cast("int").alias("part"), "n_turns",
-                          "copies", F.array_join("turns.one", "").alias("rendered"))
+    return grouped.select(F.when(~F.col("no_id"), F.col("id")).alias(id_col), "part", "n_turns", "copies",
+                          F.array_join("turns.one", "").alias("rendered"))
 
 
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
