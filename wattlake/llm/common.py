@@ -17,6 +17,9 @@ from wattlake.session import scratch_path
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bound of what ``join_groups`` broadcasts, in rows.
+HEAVY_KEYS = 10_000
+
 _SHIPPED: set[str] = set()
 
 
@@ -37,6 +40,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, total: int) -> DataFrame:
+    """Inner join of rows with a table of their groups: one row a key, column
+    ``size`` tells how many rows have it, ``total`` how many rows there are.
+
+    Keys that hold more than 1 / HEAVY_KEYS of all rows, so fewer than
+    HEAVY_KEYS, are sent to the rows; only rows of the other keys are shuffled,
+    and none of these keys makes a large task."""
+    heavy = F.col(size) * HEAVY_KEYS > total
+    sent = groups.where(heavy)
+    hot = rows.join(F.broadcast(sent), on)
+    rest = rows.join(F.broadcast(sent.select(*on)), on, "left_anti").join(groups.where(~heavy), on)
+    return hot.unionByName(rest)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package (once per application), so that Python
     workers can import it wherever the driver was started."""

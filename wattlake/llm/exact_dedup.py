@@ -33,10 +33,11 @@ def survivors(docs: DataFrame, id_col: str, text_col: str, prefix_chars: int = P
         F.col(id_col).alias("id"), norm.alias("norm")).select(
         "id", F.length("norm").alias("len"),
         F.xxhash64(F.substring("norm", 1, prefix_chars)).alias("prefix")), "exact-keys")
-    lengths = keys.groupBy("len").count().where("count > 1").select("len")
-    same_length = keys.join(lengths, "len", "left_semi")
-    prefixes = same_length.groupBy("len", "prefix").count().where("count > 1").select("len", "prefix")
-    found = same_length.join(prefixes, ["len", "prefix"], "left_semi").select("id").distinct()
+    total = keys.count()
+    lengths = common.materialise(keys.groupBy("len").count().where("count > 1"), "exact-lengths")
+    same_length = common.join_groups(keys, lengths, ["len"], "count", total).drop("count")
+    prefixes = common.materialise(same_length.groupBy("len", "prefix").count().where("count > 1"), "exact-prefixes")
+    found = common.join_groups(keys, prefixes, ["len", "prefix"], "count", total).select("id").distinct()
     return common.materialise(found, "exact-survivors")
 
 
@@ -61,10 +62,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "id", "sha", F.coalesce("hit", F.lit(False)).alias("hit"),
         F.monotonically_increasing_id().alias("tag")), "exact-hashed")
     shared = hashed.where("hit")
-    groups = shared.groupBy("sha").agg(
+    groups = common.materialise(shared.groupBy("sha").agg(
         F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "tag")).alias("first"),
-        F.count("*").alias("n"))
-    dup = shared.join(groups, "sha").select(
+        F.count("*").alias("n")), "exact-groups")
+    dup = common.join_groups(shared, groups, ["sha"], "n", hashed.count()).select(
         F.col("id").alias(id_col), F.col("first.id").alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("tag") == F.col("first.tag")).alias("kept"), F.col("sha").alias("text_sha256"))
     alone = hashed.where(~F.col("hit")).select(

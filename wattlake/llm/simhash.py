@@ -192,14 +192,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: id, fingerprint (16 hex digits), component_id
     (smallest id reachable over links of at most ``max_bits`` bits)."""
     of = common.materialise(fingerprints(docs, id_col, text_col, shingle_words), "simhash-fingerprints")
-    distinct = common.materialise(of.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
+    distinct = common.materialise(of.groupBy("fp").agg(
+        F.min("id").alias("least"), F.count("*").alias("rows")), "simhash-distinct")
     found = common.materialise(links(distinct, max_bits).distinct(), "simhash-links")
     root = connected_components(found)
     rooted = distinct.join(root, distinct["fp"] == root["u"], "left").select(
-        "fp", "least", F.coalesce("v", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    component = rooted.join(least, "root").select("fp", "component_id")
-    return of.join(component, "fp").select(
+        "fp", "least", "rows", F.coalesce("v", "fp").alias("root"))
+    rooted = common.materialise(rooted, "simhash-rooted")
+    least = common.materialise(rooted.groupBy("root").agg(
+        F.min("least").alias("component_id"), F.count("*").alias("fps")), "simhash-least")
+    component = common.materialise(common.join_groups(rooted, least, ["root"], "fps", distinct.count()).select(
+        "fp", "component_id", "rows"), "simhash-component")
+    return common.join_groups(of, component, ["fp"], "rows", of.count()).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -60,8 +60,9 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     known = common.materialise(pages.select(
         "id", F.octet_length(payload).alias("size"),
         F.unhex(F.sha2(payload, 256)).alias("sha")).where(F.col("size") >= min_payload), "warc-payloads")
-    copied = known.groupBy("sha").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    revisits = common.materialise(known.join(copied, "sha").where("id > first").select(
+    copied = common.materialise(known.groupBy("sha").agg(
+        F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1"), "warc-copied")
+    revisits = common.materialise(common.join_groups(known, copied, ["sha"], "n", known.count()).where("id > first").select(
         F.col("id").alias("_id"), "first").distinct(), "warc-revisits")
     again = F.col("first").isNotNull()
     body = F.concat(F.lit(HTTP_HEAD), F.when(again, F.lit("")).otherwise(F.col("html")))
