@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from wattlake.llm import common
 
 HASH_BITS = 18
-MAX_FIT_ROWS = 20_000
+MAX_FIT_ROWS = 12_000
 #: Passes go on until this many rows have been seen.
 SEEN_ROWS = 200_000
 BATCH, STEP, L1, LEAST_GAP = 64, 0.2, 1e-3, 0.1
@@ -166,11 +166,12 @@ def labelled_sample(docs: DataFrame, ratings: DataFrame, id_col: str, text_col:
 def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           max_rows: int = MAX_FIT_ROWS) -> OrdinalModel | None:
     """``ratings``: id, grade (0, 1, ...). None without two different grades."""
-    rows = sorted(labelled_sample(docs, ratings, id_col, text_col, max_rows).collect(), key=lambda r: (r[0], r[2]))
-    grades = np.array([r["grade"] for r in rows], np.int64)
+    rows = labelled_sample(docs, ratings, id_col, text_col, max_rows).toArrow().sort_by(
+        [("id", "ascending"), ("features", "ascending")])
+    grades = rows.column("grade").to_numpy().astype(np.int64)
     if len(np.unique(grades)) < 2:
         return None
-    return fit([np.frombuffer(bytes(r["features"]), np.int32) for r in rows], grades)
+    return fit([np.frombuffer(f.as_buffer(), np.int32) for f in rows.column("features")], grades)
 
 
 def score_text(text: bytes, weights: np.ndarray, bits: int, known: dict[bytes, float]) -> float:
