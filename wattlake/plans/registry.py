@@ -402,6 +402,18 @@ def _clientes_restated_day(spark: SparkSession, d: str) -> DataFrame:
     return read_partition(spark, cfg.gold_path("clientes"), DAY_3).select("cliente_proveedor", "tipo_cliente", "ciudad")
 
 
+def _clientes_latest_day(spark: SparkSession, d: str) -> DataFrame:
+    """E4 in the job: what the latest day says of a client wins, although the
+    day before had a greater type."""
+    cfg = _lake(spark, "latest")
+    landed = _landed(spark, d).where(_clients_ending("1", "2"))
+    later = landed.where(_clients_ending("1")).withColumn("tipo_cliente", F.lit("agente"))
+    for day, df in ((RUN_DATE, landed), (DAY_2, later)):
+        jobs.ingest_bronze(spark, cfg, day, contratos=df)
+        jobs.curate_clientes(spark, cfg, day)
+    return read_partition(spark, cfg.gold_path("clientes"), DAY_2).select("cliente_proveedor", "tipo_cliente", "ciudad")
+
+
 def _clientes_schema_drift(spark: SparkSession, d: str) -> DataFrame:
     """A4 + B7 + C3: the first day's landing has no city (so no transactions
     either); the next day's has, and it reaches gold and the catalog."""
@@ -535,6 +547,7 @@ QUERIES.update({
     "energy_totals_delta": _energy_totals_delta,
     "clientes_restated_day": _clientes_restated_day,
     "clientes_schema_drift": _clientes_schema_drift,
+    "clientes_latest_day": _clientes_latest_day,
     "job_v_servicio": _job_view("v_servicio"),
     "job_v_clientes": _job_view("v_clientes"),
     "job_export_v_clientes": _job_view_export("v_clientes"),
@@ -624,6 +637,10 @@ ORACLE_SQL.update({
     "clientes_schema_drift": f"""{_CTE}
         {_CLIENTS_SQL.format(city="CAST(NULL AS VARCHAR)", digits="'1'")} UNION ALL
         {_CLIENTS_SQL.format(city="max(ciudad)", digits="'2'")}""",
+    "clientes_latest_day": f"""{_CTE}
+        SELECT cliente_proveedor, 'agente' AS tipo_cliente, max(ciudad) AS ciudad FROM cl
+        WHERE right(cliente_proveedor, 1) = '1' GROUP BY cliente_proveedor UNION ALL
+        {_CLIENTS_SQL.format(city="max(ciudad)", digits="'2'")}""",
     "job_v_servicio": ORACLE_SQL["v_servicio"],
     "job_v_clientes": ORACLE_SQL["v_clientes"],
     "job_export_v_clientes": ORACLE_SQL["v_clientes"],
