@@ -23,12 +23,14 @@ repeat, each row is packed for itself; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
 import math
 import os
 import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,7 @@ BUCKET_ROWS = 50_000
 #: Words and word bodies whose ids a worker remembers, and the longest in bytes.
 CACHED_WORDS, CACHED_BODIES, CACHED_BYTES = 600_000, 1_000_000, 64
 #: Fixed value: how the tokenizer's tokens end a word. Words encoded in one string.
-WORD_END, JOINED = "</w>", 128
+WORD_END, JOINED, STOPS = "</w>", 128, b".,"
 
 _WORDS: dict[str, tuple] = {}
 
@@ -64,38 +66,58 @@ def _tokenizer(path: str) -> tuple:
     return _WORDS[path]
 
 
-def _encode(parts: list[bytes], tokenizer, closing: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
-    """(word, ids). Words of letters only are one unit to the tokenizer, and
-    its last id says that it ends: many are encoded in one string."""
-    texts = [p.decode() for p in parts]
-    plain = [t for t in texts if t.isalpha() and t.lower().isalpha()]
-    for i in range(0, len(plain), 4096):
-        lots = [plain[k:k + JOINED] for k in range(i, min(i + 4096, len(plain)), JOINED)]
-        for lot, found in zip(lots, tokenizer.encode_batch_fast(list(map(" ".join, lots)), add_special_tokens=False)):
+def _encode(parts: list[bytes], tokenizer, closing: np.ndarray, known: dict[bytes, bytes]) -> None:
+    """Put the ids of words in ``known``. Words of letters only are one unit to
+    the tokenizer, and its last id says that it ends: many are encoded in one
+    string."""
+    plain, others = [], []
+    for part in parts:
+        if part.isalpha():  # ASCII letters
+            plain.append(part)
+        else:
+            text = part.decode()
+            (plain if text.isalpha() and text.lower().isalpha() else others).append(part)
+    for i in range(0, len(plain), 8192):
+        lots = [plain[k:k + JOINED] for k in range(i, min(i + 8192, len(plain)), JOINED)]
+        for lot, found in zip(lots, tokenizer.encode_batch_fast([b" ".join(x).decode() for x in lots],
+                                                                add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
             ends = (4 * (np.flatnonzero(closing[ids]) + 1)).tolist()
             if len(ends) != len(lot):
                 raise ValueError(f"the tokenizer does not end each word with {WORD_END}")
             data = ids.tobytes()
-            for word, a, b in zip(lot, [0, *ends], ends):
-                yield word.encode(), data[a:b]
-    others = [t for t in texts if not (t.isalpha() and t.lower().isalpha())]
+            known.update(zip(lot, [data[a:b] for a, b in zip([0, *ends], ends)]))
     for i in range(0, len(others), 4096):
         some = others[i:i + 4096]
-        for word, found in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-            yield word.encode(), array("I", found.ids).tobytes()
+        for part, found in zip(some, tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)):
+            known[part] = array("I", found.ids).tobytes()
 
 
 def _body(word: bytes) -> tuple[bytes, bytes]:
     """A word's body and closing stops, where the tokenizer certainly cuts
     between them (after a letter or digit), the body in lower case if ASCII."""
-    body = word.rstrip(b".,")
-    if not body or not body.decode()[-1].lower().isalnum():
-        body = word
-    stops = word[len(body):]
-    return (body.lower() if body.isascii() and b"<|" not in body else body), stops
-
-
+    body = word
+    if word[-1] in STOPS:
+        body = word.rstrip(STOPS)
+        if not body or not body.decode()[-1].lower().isalnum():
+            body = word
+    return (body.lower() if body.isascii() and b"<|" not in body else body), word[len(body):]
+
+
+@contextmanager
+def _no_collector():
+    """Without the cyclic garbage collector: nothing here makes cycles, and it
+    would walk the remembered words again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+@_no_collector()
 def token_ids(texts: list[bytes], path: str) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers.
 
@@ -111,13 +133,13 @@ def token_ids(texts: list[bytes], path: str) -> list[bytes]:
         known.clear()
         fresh = words
     cut = {w: _body(w) for w in fresh}
-    wanted = list({part for pair in cut.values() for part in pair}.difference(bodies))
+    wanted = list({part for pair in cut.values() for part in pair if part}.difference(bodies))
     if len(bodies) + len(wanted) > CACHED_BODIES:
         bodies.clear()
-        wanted = list({part for pair in cut.values() for part in pair})
-    bodies.update(_encode(wanted, tokenizer, closing))
+        wanted = list({part for pair in cut.values() for part in pair if part})
+    _encode(wanted, tokenizer, closing, bodies)
     for word, (body, stops) in cut.items():
-        known[word] = bodies[body] + bodies[stops]
+        known[word] = bodies[body] + bodies[stops] if stops else bodies[body]
     ids = [b"".join(map(known.__getitem__, words)) for words in split]
     for word in [w for w in fresh if len(w) > CACHED_BYTES]:
         del known[word]
