@@ -21,6 +21,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 HEAVY_KEYS = 10_000
 
 _SHIPPED: set[str] = set()
+_CACHES: dict[str, object] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +55,15 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, to
     return hot.unionByName(rest)
 
 
+def worker_cache(name: str, make):
+    """What a Python worker remembers for an operator; asking for another one's
+    drops it, since workers outlive stages and memory is for one at a time."""
+    if name not in _CACHES:
+        _CACHES.clear()
+        _CACHES[name] = make()
+    return _CACHES[name]
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package (once per application), so that Python
     workers can import it wherever the driver was started."""

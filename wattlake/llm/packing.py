@@ -14,8 +14,9 @@ finds no gap opens new sequences.  The result is that of best-fit decreasing.
 Only class counts reach the driver (at most ``capacity`` numbers); the step
 table that goes back holds rank intervals, whose number depends on the
 capacity and not on the data.  Pieces find their rank in parallel: a hash
-deals each length over many buckets, bucket counts give each bucket's first
-rank, and pieces are numbered within their bucket only.
+deals each length over as many buckets as its count asks for, bucket counts
+give each bucket's first rank, and pieces are numbered within their bucket
+only.
 
 Defined results: null text is empty, so one end token; ids may be null or
 repeat, each row is packed for itself; an empty table gives an empty result.
@@ -42,28 +43,27 @@ from wattlake.llm import common
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 1000
 #: Words and word bodies whose ids a worker remembers, and the longest in bytes.
-CACHED_WORDS, CACHED_BODIES, CACHED_BYTES = 600_000, 1_000_000, 64
+CACHED_WORDS, CACHED_BODIES, CACHED_BYTES = 500_000, 600_000, 64
 #: Fixed value: how the tokenizer's tokens end a word. Words encoded in one string.
 WORD_END, JOINED, STOPS = "</w>", 128, b".,"
 
-_WORDS: dict[str, tuple] = {}
-
 
 def _tokenizer(path: str) -> tuple:
-    """The tokenizer, and the ids of remembered words and word bodies: one per
-    worker."""
-    if path not in _WORDS:
+    """The tokenizer, the ids of remembered words and word bodies, and which
+    ids end a word: one per worker."""
+    def load() -> tuple:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        closing = np.zeros(tokenizer.get_vocab_size(), bool)  # ids that end a word
+        closing = np.zeros(tokenizer.get_vocab_size(), bool)
         for token, i in tokenizer.get_vocab().items():
             closing[i] = token.endswith(WORD_END)
-        _WORDS[path] = (tokenizer, {}, {}, closing)
-    return _WORDS[path]
+        return tokenizer, {}, {}, closing
+
+    return common.worker_cache(f"packing {path}", load)
 
 
 def _encode(parts: list[bytes], tokenizer, closing: np.ndarray, known: dict[bytes, bytes]) -> None:
@@ -222,8 +222,11 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, bucket_rows: int = BUCKET_ROW
     spark = cut.sparkSession
     cut = common.materialise(cut, "packing-pieces")
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    buckets = max(1, math.ceil(sum(counts.values()) / bucket_rows))
-    dealt = cut.withColumn("bucket", F.pmod(F.xxhash64("id", "piece", "start", "ids_crc32"), F.lit(buckets)))
+    # at most ``capacity`` rows
+    buckets = spark.createDataFrame([(n, math.ceil(c / bucket_rows)) for n, c in counts.items()],
+                                    "length bigint, buckets bigint")
+    dealt = cut.join(F.broadcast(buckets), "length").withColumn(
+        "bucket", F.pmod(F.xxhash64("id", "piece", "start", "ids_crc32"), F.col("buckets")))
     first = dealt.groupBy("length", "bucket").count().select(
         "length", "bucket", (F.sum("count").over(Window.partitionBy("length").orderBy("bucket"))
                              - F.col("count")).alias("first"))

@@ -39,8 +39,6 @@ KEEP_GRADE, KEEP_PROBABILITY = 2, 0.5
 CACHED_WORDS = 400_000
 MARKS = b"#*$%&|<>!?.,;:"
 
-_SCORES: dict[int, dict[bytes, float]] = {}
-
 
 def rating(quality: str = "quality", toxic: str = "toxic") -> Column:
     """Grade of a labelled document: 0 toxic, 1 poor, 2 good."""
@@ -194,9 +192,7 @@ def _scorer(spark: SparkSession, model: OrdinalModel):
 
     def tails(texts: pa.Array) -> np.ndarray:
         weights, thresholds, bits = sent.value
-        if key not in _SCORES:
-            _SCORES.clear()
-        known = _SCORES.setdefault(key, {})
+        known = common.worker_cache(f"classifier {key}", dict)
         scores = np.array([score_text(t.as_py(), weights, bits, known) for t in texts], float).reshape(-1)
         return OrdinalModel(weights, thresholds, bits).tails(scores)
 

@@ -73,6 +73,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle_words: int
     rows = docs.select(F.col(id_col).alias("id"), common.whole_text(text_col).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.worker_cache("simhash", dict)  # nothing, and nothing of other operators
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), shingle_words) for t in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])

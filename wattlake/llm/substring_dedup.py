@@ -42,8 +42,6 @@ CACHED_WORDS = 400_000
 #: Multipliers of the two hash streams (odd).
 BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
-_CODES: dict[bytes, int] = {}
-
 
 def place_key(id_col: str, text_col: str) -> Column:
     """The id, or for a null one a number above all ids, from the text."""
@@ -54,13 +52,14 @@ def place_key(id_col: str, text_col: str) -> Column:
 def codes(words: list[bytes]) -> np.ndarray:
     import xxhash
 
-    fresh = set(words).difference(_CODES)
-    if len(_CODES) + len(fresh) > CACHED_WORDS:
-        _CODES.clear()
+    known = common.worker_cache("word codes", dict)
+    fresh = set(words).difference(known)
+    if len(known) + len(fresh) > CACHED_WORDS:
+        known.clear()
         fresh = set(words)
     for w in fresh:
-        _CODES[w] = xxhash.xxh64_intdigest(w, 1)
-    return np.fromiter(map(_CODES.__getitem__, words), np.uint64, len(words))
+        known[w] = xxhash.xxh64_intdigest(w, 1)
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
 def rolling(values: np.ndarray, n: int, base: int) -> np.ndarray:

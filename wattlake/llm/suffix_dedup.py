@@ -111,6 +111,7 @@ def segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
     more are further places that the task has met. So a segment that a third of
     the corpus repeats reaches the shuffle about once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.worker_cache("suffix", dict)  # nothing, and nothing of other operators
         out, held = [], 0
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
