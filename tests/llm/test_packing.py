@@ -1,5 +1,6 @@
 import math
 import random
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -78,6 +79,25 @@ def test_words_give_the_ids_of_the_whole_text(tokenizer):
         assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_letters_that_the_tokenizer_splits(tokenizer):
+    """NFC makes letter and mark of some letters: no unit, and joined to stops."""
+    path = public_tokenizers.path(packing.TOKENIZER)
+    split = [c for c in map(chr, range(0x110000)) if c.isalpha() and not unicodedata.normalize("NFC", c).isalpha()]
+    texts = ["\u0958\u0932\u092e", "\u092a\u0947\u095c, x", "e\u0301, \u00c9.", *split,
+             *(f"x{c}, {c}x. {c}{c},. x{c}" for c in split)]
+    assert len(split) > 40
+    for text, found in zip(texts, packing.token_ids([t.encode() for t in texts], path)):
+        assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_a_lot_with_other_ends_is_encoded_by_word(tokenizer):
+    closing = np.zeros(tokenizer.get_vocab_size(), bool)  # no id ends a word
+    found = {}
+    packing._encode([b"some", b"words"], tokenizer, closing, found)
+    assert {w: np.frombuffer(ids, "<u4").tolist() for w, ids in found.items()} == {
+        w: tokenizer.encode(w.decode(), add_special_tokens=False).ids for w in (b"some", b"words")}
+
+
 def test_pieces_and_layout(spark, tokenizer):
     capacity = 100
     rows = packing.pack_documents(fixtures.documents(spark), capacity=capacity).collect()

@@ -27,6 +27,7 @@ from __future__ import annotations
 import gc
 import math
 import os
+import unicodedata
 import zlib
 from array import array
 from collections import defaultdict
@@ -66,17 +67,24 @@ def _tokenizer(path: str) -> tuple:
     return common.worker_cache(f"packing {path}", load)
 
 
+def _normal(text: str) -> str:
+    """As the tokenizer reads a word: NFC, which splits some letters into letter
+    and mark, then lower case."""
+    return unicodedata.normalize("NFC", text).lower()
+
+
 def _encode(parts: list[bytes], tokenizer, closing: np.ndarray, known: dict[bytes, bytes]) -> None:
     """Put the ids of words in ``known``. Words of letters only are one unit to
     the tokenizer, and its last id says that it ends: many are encoded in one
-    string."""
+    string. Where the ends are not as many as the words, as where the tokenizer
+    knows fewer letters, each word is encoded for itself."""
     plain, others = [], []
     for part in parts:
         if part.isalpha():  # ASCII letters
             plain.append(part)
         else:
             text = part.decode()
-            (plain if text.isalpha() and text.lower().isalpha() else others).append(part)
+            (plain if text.isalpha() and _normal(text).isalpha() else others).append(part)
     for i in range(0, len(plain), 8192):
         lots = [plain[k:k + JOINED] for k in range(i, min(i + 8192, len(plain)), JOINED)]
         for lot, found in zip(lots, tokenizer.encode_batch_fast([b" ".join(x).decode() for x in lots],
@@ -84,7 +92,8 @@ def _encode(parts: list[bytes], tokenizer, closing: np.ndarray, known: dict[byte
             ids = np.array(found.ids, "<u4")
             ends = (4 * (np.flatnonzero(closing[ids]) + 1)).tolist()
             if len(ends) != len(lot):
-                raise ValueError(f"the tokenizer does not end each word with {WORD_END}")
+                others += lot
+                continue
             data = ids.tobytes()
             known.update(zip(lot, [data[a:b] for a, b in zip([0, *ends], ends)]))
     for i in range(0, len(others), 4096):
@@ -99,7 +108,7 @@ def _body(word: bytes) -> tuple[bytes, bytes]:
     body = word
     if word[-1] in STOPS:
         body = word.rstrip(STOPS)
-        if not body or not body.decode()[-1].lower().isalnum():
+        if not body or not _normal(body.decode())[-1].isalnum():
             body = word
     return (body.lower() if body.isascii() and b"<|" not in body else body), word[len(body):]
 
