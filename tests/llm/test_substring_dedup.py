@@ -50,6 +50,41 @@ def test_hash_length_follows_the_corpus():
     assert sd.hash_bytes(1, 16) >= 1
 
 
+@pytest.mark.parametrize("n, bits", [(10 ** 9, 12), (5 * 10 ** 9, 15), (10 ** 11, 19), (10 ** 13, 24)])
+def test_bucket_and_bytes_hold_the_wanted_bits(n, bits):
+    """Each wanted bit counts once: what the bucket tells is not sent again."""
+    width = sd.hash_bytes(n, 1 << bits)
+    assert sd.two_streams(n, width) and bits + 8 * width >= sd.hash_bits(n) > 64
+    zero, one = np.zeros(64, np.uint64), np.uint64(1) << np.arange(64, dtype=np.uint64)
+    told = {tuple(np.flatnonzero(r)) for r in np.unpackbits(sd._sent(one, zero, bits, width), axis=1)}
+    told |= {tuple(np.flatnonzero(r)) for r in np.unpackbits(sd._sent(zero, one, bits, width), axis=1)}
+    assert len(told - {()}) == 8 * width
+    top = np.flatnonzero(np.unpackbits(sd._sent(one, zero, bits, width), axis=1).any(axis=1))
+    assert top.max() < 64 - bits
+
+
+def test_windows_alike_in_one_stream_differ_in_two(spark, monkeypatch):
+    """A first stream that tells nothing, as a collision of it: only the second
+    tells windows apart, also where no more than eight bytes are sent."""
+    plain, rolling = sd.rolling, lambda values, n, base: (
+        plain(values, n, base) * np.uint64(base != sd.BASE[0]))
+    monkeypatch.setattr(sd, "rolling", rolling)
+    monkeypatch.setattr(sd, "hash_bits", lambda windows: 68)
+    words = [np.array([sd.codes(t.split(), True)]).reshape(-1, 2) for t in (b"a b c d e f", b"g h i j k l")]
+    width = sd.hash_bytes(10, 16)
+    out = sd._flush([1, 2], words, 6, 4, width, sd.two_streams(10, width))
+    assert width == 8 and out.num_rows == 1 and len(out.column("lost")[0].as_py()) == 0
+    sent = np.frombuffer(out.column("hashes")[0].as_py(), np.uint8).reshape(width, -1).T
+    assert len(sent) == 2 and (sent[0] != sent[1]).any()
+
+
+def test_two_streams_in_eight_bytes(spark, monkeypatch):
+    monkeypatch.setattr(sd, "hash_bits", lambda windows: 68)
+    assert sd.hash_bytes(10, 16) == 8 and sd.two_streams(10, 8)
+    found = {r.doc_id: (r.n_words, r.n_removed, r.n_spans, r.kept_text) for r in run(fixtures.documents(spark), window=6)}
+    assert found == by_hand(fixtures.texts(), 6)
+
+
 def test_rolling_by_definition():
     values = np.random.default_rng(1).integers(0, 2 ** 63, 50).astype(np.uint64)
     for n in (1, 2, 3, 7, 20, 32, 50):

@@ -1,7 +1,8 @@
 """Substring deduplication over fixed-length token windows.
 
 Every window of ``window`` words gets a Rabin-Karp hash (a polynomial over
-64-bit word codes), and Spark counts the windows: tasks deal them into buckets
+64-bit word codes; where 64 bits are too few, a second one over second codes
+joins it), and Spark counts the windows: tasks deal them into buckets
 by hash, a bucket sorts its windows, and all but the earliest of each repeated
 one are given back to their documents, where they merge into maximal removal
 intervals.  A task that meets a window twice sends the earlier one only and
@@ -11,7 +12,8 @@ hold reaches its bucket once a task.
 Windows travel packed: the part of the hash that the bucket does not tell, and
 byte planes of document and place differences, which compress.  The hash is as
 long as it takes to keep the expected number of wrong matches below a
-thousandth, whatever the size of the corpus.
+thousandth, whatever the size of the corpus, at six bytes a word or more (three
+times the windows a byte, as one-letter words have, give nine times that).
 
 Defined results: null text has no words; windows never cross documents; ids are
 whole numbers, earlier means a smaller id or an earlier start; a null id counts
@@ -39,8 +41,9 @@ FLUSH_WORDS = 1_000_000
 BUCKET_WINDOWS = 1 << 18
 CHUNK_BYTES = 4 << 20
 CACHED_WORDS = 400_000
-#: Multipliers of the two hash streams (odd).
+#: Multipliers of the two hash streams (odd), and the bits of the first.
 BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+ONE_STREAM = 64
 
 
 def place_key(id_col: str, text_col: str) -> Column:
@@ -49,14 +52,19 @@ def place_key(id_col: str, text_col: str) -> Column:
         F.xxhash64(common.whole_text(text_col)), F.lit((1 << 62) - 1)))
 
 
-def codes(words: list[bytes]) -> np.ndarray:
+def codes(words: list[bytes], two: bool = False) -> np.ndarray:
+    """A code for each word, or a row of two with unlike seeds."""
     import xxhash
 
-    known = common.worker_cache("word codes", dict)
+    known = common.worker_cache(f"word codes {1 + two}", dict)
     fresh = set(words).difference(known)
     if len(known) + len(fresh) > CACHED_WORDS:
         known.clear()
         fresh = set(words)
+    if two:
+        for w in fresh:
+            known[w] = xxhash.xxh64_intdigest(w, 1), xxhash.xxh64_intdigest(w, 2)
+        return np.array(list(map(known.__getitem__, words)), np.uint64).reshape(-1, 2)
     for w in fresh:
         known[w] = xxhash.xxh64_intdigest(w, 1)
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
@@ -104,13 +112,37 @@ def unpack_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(unplaned(view[:8 * n], n, np.int64)), unplaned(view[8 * n:], n, np.int32).astype(np.int64)
 
 
+def hash_bits(windows: int) -> float:
+    """Bits of hash to compare: twice those of the number of windows and ten more."""
+    return 2 * math.log2(max(windows, 2)) + 10
+
+
 def hash_bytes(windows: int, buckets: int) -> int:
-    """Bytes of hash to send: twice the bits of the number of windows and ten
-    more, without those that the bucket tells."""
-    return min(16, max(1, math.ceil((2 * math.log2(max(windows, 2)) + 10 - math.log2(buckets)) / 8)))
+    """Bytes of hash to send: without the bits that the bucket tells."""
+    return min(16, max(1, math.ceil((hash_bits(windows) - math.log2(buckets)) / 8)))
+
+
+def two_streams(windows: int, width: int) -> bool:
+    """Whether the first stream is shorter than the hash."""
+    return hash_bits(windows) > ONE_STREAM or width > 8
 
 
-def _flush(ids: list[int], texts: list[np.ndarray], window: int, bits: int, width: int) -> pa.RecordBatch | None:
+def _sent(h: np.ndarray, h2: np.ndarray | None, bits: int, width: int) -> np.ndarray:
+    """A row of ``width`` bytes for each hash. With a second stream its top bits
+    take the place of those that the bucket tells, so that bucket and bytes hold
+    ``bits + 8 * width`` bits; without one the bytes are the low ones of the
+    first stream, whose 64 bits may reach into the bucket's."""
+    low = h
+    if h2 is not None and bits:
+        low = h << np.uint64(bits) | h2 >> np.uint64(64 - bits)
+    both = low.view(np.uint8).reshape(-1, 8)
+    if width > 8:
+        both = np.hstack([both, h2.view(np.uint8).reshape(-1, 8)])
+    return both[:, :width]
+
+
+def _flush(ids: list[int], texts: list[np.ndarray], window: int, bits: int, width: int,
+           two: bool) -> pa.RecordBatch | None:
     """Packed windows of some documents, given as word codes."""
     order = sorted(range(len(ids)), key=ids.__getitem__)
     sizes = np.array([len(texts[k]) for k in order], np.int64)
@@ -122,13 +154,14 @@ def _flush(ids: list[int], texts: list[np.ndarray], window: int, bits: int, widt
     at = np.flatnonzero(start <= sizes[doc] - window)
     if not len(at):
         return None
-    h = rolling(value, window, BASE[0])[at]
+    h = rolling(value[:, 0] if two else value, window, BASE[0])[at]
+    h2 = None
     doc, start = np.array([ids[k] for k in order], np.int64)[doc[at]], start[at]
     by_hash = np.argsort(h, kind="stable")
     same = np.zeros(len(h), bool)  # as an earlier one here
     same[by_hash[1:]] = h[by_hash[1:]] == h[by_hash[:-1]]
-    if width > 8:
-        h2 = rolling(value, window, BASE[1])[at]
+    if two:
+        h2 = rolling(value[:, 1], window, BASE[1])[at]
         by_hash = np.lexsort((h2, h))
         same[:] = False
         same[by_hash[1:]] = (h[by_hash[1:]] == h[by_hash[:-1]]) & (h2[by_hash[1:]] == h2[by_hash[:-1]])
@@ -149,10 +182,7 @@ def _flush(ids: list[int], texts: list[np.ndarray], window: int, bits: int, widt
     hashes, places, lost = [], [], []
     for i in range(len(rows)):
         mine, its = send[a[i]:b[i]], gone[c[i]:d[i]]
-        part = np.ascontiguousarray(h[mine].view(np.uint8).reshape(-1, 8)[:, :min(width, 8)].T).tobytes()
-        if width > 8:
-            part += np.ascontiguousarray(h2[mine].view(np.uint8).reshape(-1, 8)[:, :width - 8].T).tobytes()
-        hashes.append(part)
+        hashes.append(np.ascontiguousarray(_sent(h[mine], h2[mine] if two else None, bits, width).T).tobytes())
         places.append(pack_places(doc[mine], start[mine]))
         lost.append(pack_places(doc[its], start[its]))
     return pa.RecordBatch.from_arrays(
@@ -160,7 +190,8 @@ def _flush(ids: list[int], texts: list[np.ndarray], window: int, bits: int, widt
          pa.array(lost, pa.binary())], ["bucket", "hashes", "places", "lost"])
 
 
-def windows(rows: DataFrame, window: int, bits: int, width: int, flush_words: int = FLUSH_WORDS) -> DataFrame:
+def windows(rows: DataFrame, window: int, bits: int, width: int, two: bool,
+            flush_words: int = FLUSH_WORDS) -> DataFrame:
     """Packed windows of (id, text): bucket, hashes, places, and lost: places
     already known to repeat an earlier window."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,13 +199,13 @@ def windows(rows: DataFrame, window: int, bits: int, width: int, flush_words: in
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids.append(i)
-                texts.append(codes(t.as_py().split()))
+                texts.append(codes(t.as_py().split(), two))
                 n += len(texts[-1])
                 if n >= flush_words:
-                    if (out := _flush(ids, texts, window, bits, width)) is not None:
+                    if (out := _flush(ids, texts, window, bits, width, two)) is not None:
                         yield out
                     ids, texts, n = [], [], 0
-        if (out := _flush(ids, texts, window, bits, width)) is not None:
+        if (out := _flush(ids, texts, window, bits, width, two)) is not None:
             yield out
 
     return rows.mapInArrow(run, "bucket int, hashes binary, places binary, lost binary")
@@ -250,8 +281,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n = max(1, size // 6)
     bits = max(4, math.ceil(math.log2(n / BUCKET_WINDOWS))) if n > BUCKET_WINDOWS else 4
     width = hash_bytes(n, 1 << bits)
+    two = two_streams(n, width)
     chunks = max(1, math.ceil(size / CHUNK_BYTES))
-    gone = repeated(windows(rows.select("id", "text"), window, bits, width, flush_words), width, chunks)
+    gone = repeated(windows(rows.select("id", "text"), window, bits, width, two, flush_words), width, chunks)
 
     def cut(_, left: pa.Table, right: pa.Table) -> pa.Table:
         starts = {}
