@@ -87,6 +87,33 @@ def test_long_header(spark, tmp_root):
     assert warc.read_warc(spark, tmp_root, 50_000).count() == 3
 
 
+@pytest.mark.parametrize("split_bytes", [100_000, 16 << 20])
+def test_url_of_any_length(spark, split_bytes):
+    """Records after one with a header of several MiB are read too."""
+    rows = [(1, "http://a/1", "one"), (2, "data:" + "u" * (5 << 20), "two"), (3, "http://a/3", "three"), (4, "u", "two")]
+    path = scratch_path(spark, "test-warc")
+    warc.write_warc(pages(spark, rows).coalesce(1), path)
+    found = warc.read_warc(spark, path, split_bytes).collect()
+    assert sorted((r.uri, r.type) for r in found) == sorted((u, "revisit" if i == 4 else "response") for i, u, _ in rows)
+
+
+def test_headers_by_the_piece(tmp_path, monkeypatch):
+    """As if the whole file were searched and parsed, wherever reads end."""
+    data = (b"WARC/1.1\r\nA: b\r\nContent-Length: 2\r\n\r\nok\r\n\r\nWARC/1.1\r\nno colon\r\nA: b\r\n\r\n"
+            b"WARC/1.1x\r\n\r\nWARC/1.0\r\nContent-Length: 0\r\n\r\n\r\n\r\nWARC/1.1\r\n: x\r\n\r\nWARC/1.1\r\nA: b\r\n")
+    path = str(tmp_path / "a")
+    with open(path, "wb") as f:
+        f.write(data)
+    for step in range(1, 40):
+        monkeypatch.setattr(warc, "HEADER_BYTES", step)
+        with warc._open(path) as file:
+            for at in (i for i in range(len(data)) if data.startswith(warc.MAGIC, i)):
+                stop = data.find(b"\r\n\r\n", at)
+                want = warc.parse(data[at:stop]) if stop >= 0 else None
+                found = warc.header(file, data[at:at + step], at, len(data))
+                assert (warc.parse(found) if found is not None else None) == want
+
+
 def test_base32(spark):
     from pyspark.sql import functions as F
 

@@ -16,7 +16,7 @@ entered; and each split retains what its entry reaches.
 Defined results: null html is an empty payload; null or unprintable urls are
 written as such characters removed; a null id is written as an empty one, and
 such a page is always a response; of rows that repeat the smallest id of a
-payload each is a response; a header that cannot be parsed, or a record that
+payload each is a response; a header may be of any length; one that cannot be parsed, or a record that
 does not end in two line ends within the file, is no candidate; an empty table
 gives an archive without records; other columns are not looked at.
 """
@@ -105,6 +105,26 @@ def parse(head: bytes) -> dict[str, str] | None:
     return fields if re.fullmatch("[0-9]+", fields.get("content-length", "")) else None
 
 
+def header(file, start: bytes, offset: int, size: int) -> bytes | None:
+    """The header of the candidate at ``offset``, whose first bytes are given,
+    up to its blank line, read on as far as that is; None if the file ends
+    before, or at the first line that ``parse`` would refuse."""
+    head, line, seen = start, 0, 0
+    if not re.match(rb"WARC/1\.[0-9]\r\n", head if len(head) >= 10 else file.read_at(min(10, size - offset), offset)):
+        return None
+    while (stop := head.find(END.encode(), max(0, seen - 3))) < 0:
+        until = head.rfind(b"\r\n", max(0, seen - 1))
+        if until >= 0:
+            if any(x.find(b":") < 1 for x in head[line:until].split(b"\r\n")[0 if line else 1:]):
+                return None
+            line = until + 2
+        seen, at = len(head), offset + len(head)
+        if at >= size:
+            return None
+        head += file.read_at(min(max(seen, HEADER_BYTES), size - at), at)
+    return head[:stop]
+
+
 def candidates(path: str, split: int, begin: int, end: int, size: int) -> list[tuple]:
     """Rows as of RECORD, of the magic that starts in [begin, end)."""
     found = []
@@ -112,14 +132,11 @@ def candidates(path: str, split: int, begin: int, end: int, size: int) -> list[t
         data = file.read_at(min(size, end + len(MAGIC)) - begin, begin)
         at = data.find(MAGIC)
         while 0 <= at < end - begin:
-            offset, want = begin + at, HEADER_BYTES
-            head = data[at:at + HEADER_BYTES]
-            while (stop := head.find(b"\r\n\r\n")) < 0 and offset + len(head) < size and len(head) < 16 * HEADER_BYTES:
-                head = file.read_at(min(want, size - offset), offset)
-                want *= 2
-            fields = parse(head[:stop]) if stop >= 0 else None
+            offset = begin + at
+            head = header(file, data[at:at + HEADER_BYTES], offset, size)
+            fields = parse(head) if head is not None else None
             if fields is not None:
-                block, n = offset + stop + 4, int(fields["content-length"])
+                block, n = offset + len(head) + 4, int(fields["content-length"])
                 if block + n + 4 <= size:
                     inside = block + n + 4 <= begin + len(data)
                     body = data[block - begin:block - begin + n + 4] if inside else file.read_at(n + 4, block)
