@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wattlake.llm import chat, exact_dedup, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup, suffix_dedup, warc
+from wattlake.llm import chat, exact_dedup, mixing, packing, quality_classifier, quality_rules, simhash, spelling, substring_dedup, suffix_dedup, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_chat_formatting": chat.op10_chat_formatting,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
 }
 
 ORACLE_SQL = {
