@@ -5,7 +5,7 @@ from wattlake.llm.registry import ORACLE_SQL, QUERIES
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == [*range(1, 12), 13]
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(ORACLE_SQL) <= set(E.oracle_sql())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wattlake.llm import chat, exact_dedup, mixing, packing, quality_classifier, quality_rules, simhash, spelling, substring_dedup, suffix_dedup, trie, warc
+from wattlake.llm import chat, exact_dedup, language_id, mixing, packing, quality_classifier, quality_rules, simhash, spelling, substring_dedup, suffix_dedup, trie, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_chat_formatting": chat.op10_chat_formatting,
     "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_language_id": language_id.op12_language_id,
     "op13_conversation_trie": trie.op13_conversation_trie,
 }
 

@@ -375,7 +375,7 @@ totals AS (
   FROM full_node u JOIN path up ON up.conv_id = u.conv_id AND up.depth <= u.depth GROUP BY up.so_far)
 SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, v.n_convs,
        CAST(v.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
-       sha256(coalesce(ended, '')) AS ends_sha256
+       sha256(coalesce(v.ended, '')) AS ends_sha256
 FROM full_node v JOIN totals ON totals.so_far = v.so_far
 LEFT JOIN node p ON v.depth > 0 AND p.so_far = list_slice(v.so_far, 1, v.depth - 1)
 """
