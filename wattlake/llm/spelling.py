@@ -44,6 +44,7 @@ WORDS_PER_BLOCK, BLOCK_WORDS, BITS = 32, 8, 7     # blocks of 512 bits, 16 a wor
 PART_BLOCKS = 256
 ROUND_BYTES = 32 << 20
 CELLS = 1 << 20
+PROBES_PER_TASK = 10_000_000
 _ODD = 0x9E3779B97F4A7C15
 _BACK = pow(_ODD, -1, 1 << 64)
 
@@ -249,9 +250,8 @@ def near_candidates(vocabulary: DataFrame, round_bytes: int = ROUND_BYTES) -> Da
     letters = vocabulary.select(F.explode(F.split("word", "")).alias("c")).where("c <> ''").distinct().collect()
     alphabet = np.array(sorted(ord(r["c"]) for r in letters), np.uint8)   # 90 at most
     probes = sum(size * n for size, n in lengths.items()) * (len(alphabet) + 1)
-    tasks = max(2 * spark.sparkContext.defaultParallelism, probes // 50_000_000)
-    dealt = common.materialise(vocabulary.repartition(tasks, "word"), "spelling-dealt")
-    parts = common.materialise(filter_parts(dealt, lengths), "spelling-filters")
+    tasks = max(2 * spark.sparkContext.defaultParallelism, probes // PROBES_PER_TASK)
+    parts = common.materialise(filter_parts(vocabulary, lengths), "spelling-filters")
     found = []
     for shards in rounds(lengths, round_bytes):
         wanted = F.lit(False)
@@ -275,7 +275,8 @@ def near_candidates(vocabulary: DataFrame, round_bytes: int = ROUND_BYTES) -> Da
                             pa.array([joined[k:k + size] for k in range(0, len(joined), size)], pa.string())],
                             ["word", "n", "other"])
 
-        probed = dealt.where(F.length("word").isin(reach)).select("word", "n").mapInArrow(
+        # dealt out by work, not by bytes: short rows, many probes each
+        probed = vocabulary.where(F.length("word").isin(reach)).select("word", "n").repartition(tasks, "word").mapInArrow(
             run, "word string, n bigint, other string")
         found.append(common.materialise(probed, "spelling-candidates"))
     out = found[0]
