@@ -1,34 +1,34 @@
-"""A small landing file with invented names: ten contract lines and five
-provider-only lines that are shifted by one column (12 fields), so the provider
-name sits in ``ciudad`` and the capacity in ``nombre_proveedor``.  It has
-accents, mixed case and one energy/city/date group of two lines.
+"""A small landing file made for the tests: what each line is for stands beside
+it. Lines are built from parts, so that a test's expectation can be read off here.
 """
 
-CONTRATOS_CSV = """\
-id_transaccion,fecha_transaccion,tipo_transaccion,cliente_proveedor,cantidad_kwh,precio_kwh,tipo_energia,hora_transaccion,ciudad,nombre_proveedor,capacidad_mw,fecha_contrato,tipo_cliente
-OP-01,2031-03-04,compra,Granja Ágata,700.0,0.21,mareal,07:05:00,Puerto Luz,Faro Mareal,31.5,2029-02-01,industrial
-OP-02,2031-03-04,venta,Taller Ñandú,120.5,0.34,mareal,07:45:00,Villa Ñandú,Faro Mareal,31.5,2029-02-01,residencial
-OP-03,2031-03-04,compra,Vapor Azul,910.0,0.12,geotérmica,08:10:00,San Óscar,Vapor Azul,77.0,2028-09-09,industrial
-OP-04,2031-03-04,VENTA,Panadería Íñigo,400.25,0.18,geotérmica,08:55:00,San Óscar,Vapor Azul,77.0,2028-09-09,comercial
-OP-05,2031-03-05,Compra,Lodo Verde,1500.0,0.07,biogás,09:00:00,Río Claro,Lodo Verde,12.25,2030-01-17,industrial
-OP-06,2031-03-05,venta,Hotel Brújula,260.5,0.29,biogás,09:30:00,Puerto Luz,Lodo Verde,12.25,2030-01-17,comercial
-OP-07,2031-03-05,compra,Molino Tres,333.0,0.15,mareal,10:20:00,Alto Cedro,Molino Tres,8.75,2027-06-30,industrial
-OP-08,2031-03-05,venta,Mercado Índigo,205.75,0.31,mareal,11:00:00,Villa Ñandú,Molino Tres,8.75,2027-06-30,comercial
-OP-09,2031-03-06,compra,Espejo Sur,480.0,0.11,fotónica,12:15:00,Campo Raso,Espejo Sur,64.0,2030-10-05,industrial
-OP-10,2031-03-06,venta,Fábrica Lúmina,95.0,0.27,fotónica,13:40:00,Puerto Luz,Espejo Sur,64.0,2030-10-05,industrial
-,,,,,,,,"Caldera Gris",41.0,2029-05-05,
-,,,,,,,,"Planta Ópalo",9.5,2028-12-24,
-,,,,,,,,"Dique Norte",230.4,2030-07-19,
-,,,,,,,,"Aspa Roja",18.6,2029-11-02,
-,,,,,,,,"Hoja Seca",3.2,2027-04-14,
-"""
+_HEADER = ("id_transaccion,fecha_transaccion,tipo_transaccion,cliente_proveedor,cantidad_kwh,precio_kwh,"
+           "tipo_energia,hora_transaccion,ciudad,nombre_proveedor,capacidad_mw,fecha_contrato,tipo_cliente")
 
-RIESGOS_CSV = """\
-tipo_cliente,riesgo_pct,comentario
-residencial,0.4,poca variación
-comercial,1.25,depende de la temporada
-industrial,2.0,contratos largos
-"""
+
+def _line(n, day, kind, client, kwh, price, energy, city, provider, client_type, capacity="50", contract="2019-12-31"):
+    return f"K{n},{day},{kind},{client},{kwh},{price},{energy},00:{n:02d}:00,{city},{provider},{capacity},{contract},{client_type}"
+
+
+_LINES = [
+    # three lines of one energy, city and day: 10 + 20 + 30 kWh, mean price 0.2
+    _line(1, "2040-01-01", "venta", "Zoo", 10, 0.1, "hidro", "Oslo", "Norte", "comercial"),
+    _line(2, "2040-01-01", "Venta", "Zoo", 20, 0.2, "hidro", "Oslo", "Norte", "comercial"),
+    _line(3, "2040-01-01", "compra", "Yate", 30, 0.3, "hidro", "Oslo", "Norte", "industrial"),
+    # the same energy elsewhere and on another day; a client seen with two types
+    _line(4, "2040-01-02", "VENTA", "Zoo", 5.5, 1, "hidro", "Oslo", "Norte", "residencial"),
+    _line(5, "2040-01-01", "compra", "Xilófono", 4.5, 1, "hidro", "Ærø", "Sur", "industrial"),
+    # another energy, neither sale nor purchase; no client type
+    _line(6, "2040-02-29", "ajuste", "Wanda", 100, 0.5, "solar", "Ærø", "Sur", ""),
+    _line(7, "2040-02-29", "COMPRA", "Ñu", 0, 0.25, "solar", "Ærø", "Sur", "comercial"),
+    # provider lines shifted by one column, between the others
+    ",,,,,,,,Oeste,7.5,2018-01-01,",
+    _line(8, "2040-03-01", "venta", "Ñu", 1.25, 0.75, "solar", "Łódź", "Este", "comercial"),
+    ",,,,,,,,Centro,-3,2018-01-02,",
+]
+CONTRATOS_CSV = "\n".join([_HEADER, *_LINES]) + "\n"
+
+RIESGOS_CSV = "tipo_cliente,riesgo_pct,comentario\ncomercial,3,\nindustrial,0.125,sin cambios\n"
 
 
 def write_landing(root: str, contratos: str = CONTRATOS_CSV, riesgos: str | None = RIESGOS_CSV,

@@ -23,7 +23,7 @@ def test_cli_jobs(spark, tmp_root, capsys):
             "--gold-root", f"{tmp_root}/gold_bucket"]
     assert len(run(["bronze", *base], spark)) == 4
     assert run(["transacciones_agg", *base], spark) is True
-    assert read_dataset(spark, f"{tmp_root}/gold_bucket/transacciones_agg").count() == 9
+    assert read_dataset(spark, f"{tmp_root}/gold_bucket/transacciones_agg").count() == 5
     views = run(["views", *base], spark)
     assert f"lake_bronze_{env}.v_clientes" in views
     assert '"job": "views"' in capsys.readouterr().out

@@ -26,19 +26,19 @@ def test_full_run(spark, tmp_root):
     rep = daily_run.run_all(spark, cfg)
     assert set(rep["bronze"]) == {"transacciones", "proveedores", "clientes", "riesgos_precios"}
     assert all(rep["gold"].values())
-    assert read_dataset(spark, cfg.bronze_path("transacciones")).count() == 10
-    assert read_dataset(spark, cfg.gold_path("clientes")).count() == 10
-    assert read_dataset(spark, cfg.gold_path("transacciones_agg")).count() == 9
-    assert read_dataset(spark, cfg.gold_path("analytics/tipo_energia")).count() == 4
+    assert read_dataset(spark, cfg.bronze_path("transacciones")).count() == 8
+    assert read_dataset(spark, cfg.gold_path("clientes")).count() == 5
+    assert read_dataset(spark, cfg.gold_path("transacciones_agg")).count() == 5
+    assert read_dataset(spark, cfg.gold_path("analytics/tipo_energia")).count() == 2
     risks = read_dataset(spark, cfg.bronze_path("riesgos_precios"))
-    assert dict(risks.dtypes)["riesgo_pct"] == "double" and risks.count() == 3
+    assert dict(risks.dtypes)["riesgo_pct"] == "double" and risks.count() == 2
     # catalog views
-    assert spark.table(f"{cfg.bronze_db}.v_clientes").count() == 10
-    assert spark.table(f"{cfg.bronze_db}.v_servicio").count() == 4
+    assert spark.table(f"{cfg.bronze_db}.v_clientes").count() == 5
+    assert spark.table(f"{cfg.bronze_db}.v_servicio").count() == 2
     # partition pruning of the sample query on the processing-date partition
     q = spark.sql(f"SELECT tipo_energia, count(*) AS cnt FROM {cfg.gold_db}.transacciones_agg "
                   f"WHERE year = {RD.year} GROUP BY tipo_energia")
-    assert q.count() == 4
+    assert q.count() == 2
     # ad-hoc SQL against the catalog (A8): the summary query on the aggregate
     from wattlake.operators import aggregates
     from wattlake.sources.catalog import run_sql
@@ -49,7 +49,7 @@ def test_full_run(spark, tmp_root):
     framed = aggregates.price_summary(spark.table(f"{cfg.gold_db}.transacciones_agg"), RD.year)
     a = {r.tipo_energia: (r.cnt, round(r.avg_price, 12)) for r in adhoc.collect()}
     b = {r.tipo_energia: (r.cnt, round(r.avg_price, 12)) for r in framed.collect()}
-    assert a == b and len(a) == 4
+    assert a == b and len(a) == 2
     with pytest.raises(Exception):
         run_sql(spark, "SELECT no_such_column FROM transacciones_agg", database=cfg.gold_db)
     assert spark.catalog.currentDatabase() == "default"
@@ -58,28 +58,28 @@ def test_full_run(spark, tmp_root):
     assert agg.columns == ["tipo_energia", "ciudad", "fecha_transaccion", "total_kwh", "avg_precio_kwh",
                            "load_date"]
     assert agg.where("total_kwh < 1").count() == 0
-    assert spark.table(f"{cfg.dwh_gold_db}.transacciones").count() == 10
-    assert spark.table(f"{cfg.dwh_gold_db}.v_clientes").count() == 5
+    assert spark.table(f"{cfg.dwh_gold_db}.transacciones").count() == 8
+    assert spark.table(f"{cfg.dwh_gold_db}.v_clientes").count() == 2
     # exports
     for v in ["v_clientes", "v_ventas", "v_compras"]:
         assert glob.glob(f"{cfg.exports}/{v}/part-*.csv.gz")
     files = glob.glob(f"{cfg.exports}/warehouse/transacciones/part-*.csv")
     assert len(files) == 1
     lines = open(files[0], encoding="utf-8").read().splitlines()
-    assert lines[0].startswith("id_transaccion,") and len(lines) == 11
-    assert [ln.split(",")[0] for ln in lines[1:]] == [f"OP-{i:02d}" for i in range(1, 11)]
+    assert lines[0].startswith("id_transaccion,") and len(lines) == 9
+    assert [ln.split(",")[0] for ln in lines[1:]] == ["K1", "K2", "K3", "K5", "K4", "K6", "K7", "K8"]
     assert glob.glob(f"{cfg.exports}/warehouse/proveedores/part-*.csv")
 
     # rerun of the same day: partition overwrite changes nothing, lake or warehouse
     daily_run.run_all(spark, cfg, export=False)
-    assert read_dataset(spark, cfg.bronze_path("transacciones")).count() == 10
-    assert read_dataset(spark, cfg.gold_path("transacciones_agg")).count() == 9
-    assert spark.table(f"{cfg.dwh_gold_db}.transacciones").count() == 10
-    assert spark.table(f"{cfg.dwh_analytics_db}.transacciones_agg").count() == 9
+    assert read_dataset(spark, cfg.bronze_path("transacciones")).count() == 8
+    assert read_dataset(spark, cfg.gold_path("transacciones_agg")).count() == 5
+    assert spark.table(f"{cfg.dwh_gold_db}.transacciones").count() == 8
+    assert spark.table(f"{cfg.dwh_analytics_db}.transacciones_agg").count() == 5
     # a full reload rebuilds the same content
     jobs.load_warehouse(spark, cfg, RD, reload=True)
-    assert spark.table(f"{cfg.dwh_gold_db}.transacciones").count() == 10
-    assert spark.table(f"{cfg.dwh_gold_db}.proveedores").count() == 15
+    assert spark.table(f"{cfg.dwh_gold_db}.transacciones").count() == 8
+    assert spark.table(f"{cfg.dwh_gold_db}.proveedores").count() == 10
 
 
 def test_append_mode_duplicates_like_the_original(spark, tmp_root):
@@ -87,7 +87,7 @@ def test_append_mode_duplicates_like_the_original(spark, tmp_root):
     cfg = _cfg(tmp_root, write_mode=APPEND)
     jobs.ingest_bronze(spark, cfg, RD)
     jobs.ingest_bronze(spark, cfg, RD)
-    assert read_dataset(spark, cfg.bronze_path("transacciones")).count() == 20
+    assert read_dataset(spark, cfg.bronze_path("transacciones")).count() == 16
 
 
 def test_nested_path_fallback_and_missing_risks(spark, tmp_root):
@@ -123,23 +123,23 @@ def test_parquet_staging_and_client_snapshots(spark, tmp_root):
     cfg = _cfg(tmp_root, landing_staging="parquet")
     d1, d2 = dt.date(2024, 6, 1), dt.date(2024, 6, 2)
     assert len(jobs.ingest_bronze(spark, cfg, d1)) == 4
-    assert read_dataset(spark, cfg.bronze_path("proveedores")).count() == 15
+    assert read_dataset(spark, cfg.bronze_path("proveedores")).count() == 10
     jobs.curate_clientes(spark, cfg, d1)
     # day 2: one known client changes type, one new client appears
     csv = ("id_transaccion,fecha_transaccion,tipo_transaccion,cliente_proveedor,cantidad_kwh,"
            "precio_kwh,tipo_energia,hora_transaccion,ciudad,nombre_proveedor,capacidad_mw,"
            "fecha_contrato,tipo_cliente\n"
-           "OP-90,2024-02-01,venta,Panadería Íñigo,1.0,0.1,solar,10:00:00,Cali,P,1.0,2023-01-01,"
+           "K90,2024-02-01,venta,Ñu,1.0,0.1,solar,10:00:00,Cali,P,1.0,2023-01-01,"
            "residencial\n"
-           "OP-91,2024-02-01,venta,Nuevo,1.0,0.1,solar,10:00:00,Cali,P,1.0,2023-01-01,comercial\n")
+           "K91,2024-02-01,venta,Nuevo,1.0,0.1,solar,10:00:00,Cali,P,1.0,2023-01-01,comercial\n")
     write_landing(tmp_root, contratos=csv, riesgos=None)
     jobs.ingest_bronze(spark, cfg, d2)
     jobs.curate_clientes(spark, cfg, d2)
     snap = read_dataset(spark, cfg.gold_path("clientes")).where("day = 2")
     rows = {r.cliente_proveedor: r for r in snap.collect()}
-    assert len(rows) == 11                      # 10 from day 1 + 1 new
-    assert rows["Panadería Íñigo"].tipo_cliente == "residencial"   # latest day wins
-    assert rows["Taller Ñandú"].tipo_cliente == "residencial"  # carried over
+    assert len(rows) == 6                       # 5 from day 1 + 1 new
+    assert rows["Ñu"].tipo_cliente == "residencial"     # latest day wins
+    assert rows["Yate"].tipo_cliente == "industrial"    # carried over
     # equals a dedup of the whole bronze history
     from wattlake.operators import curated
     full = curated.dedup_clientes(read_dataset(spark, cfg.bronze_path("clientes")))
@@ -173,12 +173,12 @@ def test_registration_adds_new_day_partition(spark, tmp_root):
     jobs.ingest_bronze(spark, cfg, d1)
     jobs.register_layers(spark, cfg, d1)
     t = f"{cfg.bronze_db}.transacciones"
-    assert spark.table(t).count() == 10
+    assert spark.table(t).count() == 8
     jobs.ingest_bronze(spark, cfg, d2)
     jobs.register_layers(spark, cfg, d2)
-    assert spark.table(t).count() == 20
+    assert spark.table(t).count() == 16
     assert spark.sql(f"SHOW PARTITIONS {t}").count() == 2
-    assert spark.table(t).where("day = 2").count() == 10
+    assert spark.table(t).where("day = 2").count() == 8
 
 
 def test_incremental_intake_and_exports_in_daily_run(spark, tmp_root):
@@ -192,31 +192,35 @@ def test_incremental_intake_and_exports_in_daily_run(spark, tmp_root):
         f.write(RIESGOS_CSV)
     rep = daily_run.run_all(spark, cfg, RD)
     assert set(rep["bronze"]) == {"transacciones", "proveedores", "clientes", "riesgos_precios"}
-    assert read_dataset(spark, cfg.gold_path("transacciones_agg")).count() == 9
+    assert read_dataset(spark, cfg.gold_path("transacciones_agg")).count() == 5
     day = f"year={RD.year}/month={RD.month}/day={RD.day}"
     assert glob.glob(f"{cfg.exports}/v_ventas/{day}/part-*.csv.gz")
     assert glob.glob(f"{cfg.exports}/v_clientes/part-*.csv.gz")
     ventas = spark.read.csv(f"{cfg.exports}/v_ventas/{day}")
-    assert ventas.count() == 5
+    assert ventas.count() == 4
 
 
 def test_base_snapshot_is_the_last_that_still_stands(spark, tmp_root):
-    import time
-
     from wattlake.plans.jobs import _base_snapshot
+    from wattlake.sources import versions
     cfg = _cfg(tmp_root)
     write_landing(tmp_root, riesgos=None)
     days = [dt.date(2024, 1, 5), dt.date(2024, 2, 1), dt.date(2024, 3, 9)]
-    assert _base_snapshot(spark, cfg, days[0]) is None
+
+    def base(run_date):
+        now = versions.current(spark, cfg.bronze_path("clientes"))
+        found = _base_snapshot(spark, cfg, run_date, {d: v for d, v in now.items() if d <= run_date})
+        return found and found.day
+
+    assert base(days[0]) is None
     for d in days:
         jobs.ingest_bronze(spark, cfg, d)
         jobs.curate_clientes(spark, cfg, d)
-    assert _base_snapshot(spark, cfg, dt.date(2024, 4, 1)) == days[2]
-    assert _base_snapshot(spark, cfg, days[2]) == days[1]
-    assert _base_snapshot(spark, cfg, days[0]) is None
-    time.sleep(0.05)
+    assert base(dt.date(2024, 4, 1)) == days[2]
+    assert base(days[2]) == days[1]
+    assert base(days[0]) is None
     jobs.ingest_bronze(spark, cfg, days[1])              # written again
-    assert _base_snapshot(spark, cfg, dt.date(2024, 4, 1)) == days[0]
+    assert base(dt.date(2024, 4, 1)) == days[0]
 
 
 def test_totals_do_not_grow_on_an_unchanged_landing(spark, tmp_root):
@@ -226,9 +230,9 @@ def test_totals_do_not_grow_on_an_unchanged_landing(spark, tmp_root):
         for d in (RD, RD + dt.timedelta(days=1), RD + dt.timedelta(days=2)):
             daily_run.run_all(spark, cfg, d, export=False)
             totals = read_dataset(spark, cfg.gold_path("analytics/tipo_energia"))
-            assert sum(r.total_kwh for r in totals.collect()) == pytest.approx(5005.0)
-            assert spark.table(f"{cfg.bronze_db}.v_ventas").count() == 5
-            assert spark.table(f"{cfg.dwh_gold_db}.v_ventas").count() == 5
+            assert sum(r.total_kwh for r in totals.collect()) == pytest.approx(171.25)
+            assert spark.table(f"{cfg.bronze_db}.v_ventas").count() == 4
+            assert spark.table(f"{cfg.dwh_gold_db}.v_ventas").count() == 4
 
 
 def test_warehouse_gate_and_missing_table(spark, tmp_root):

@@ -10,11 +10,11 @@ def test_shifted_rows_quarantined(spark, tmp_root):
     c = read_landing_csv(spark, f"{landing}/contratos.csv")
     accepted, quarantined = quality.split_provider_quality(c)
     q = quarantined.collect()
-    assert len(q) == 5 and {r.reason for r in q} == {quality.REASON_SHIFTED}
-    assert accepted.count() == 10
+    assert len(q) == 2 and {r.reason for r in q} == {quality.REASON_SHIFTED}
+    assert accepted.count() == 8
     assert accepted.where("capacidad_mw IS NULL").count() == 0
     counts = {r.reason: r.n for r in quality.provider_quality_counts(c).collect()}
-    assert counts == {"accepted": 10, quality.REASON_SHIFTED: 5}
+    assert counts == {"accepted": 8, quality.REASON_SHIFTED: 2}
 
 
 def test_unparsable_values_have_their_own_reason(spark):

@@ -46,20 +46,51 @@ def test_aggregate_one_exchange_partial_first(no_broadcast):
     assert "partial_sum" in plan and "partial_count" in plan
 
 
-@pytest.mark.parametrize("partitions", [8, 128, 512])
-def test_bounded_export_merge_does_not_grow(spark, partitions):
-    """Rows that reach the last merge: at most groups x n, whatever the input."""
+@pytest.mark.parametrize("partitions", [8, 128, 2048])
+@pytest.mark.parametrize("hot", [False, True])
+def test_rows_that_an_export_sorts_do_not_grow(spark, partitions, hot):
+    """At most (1 + SLACK) x n rows pass the cut-off, whatever the partitions and
+    also when a third of all rows share the first key."""
     from pyspark.sql import functions as F
 
     from wattlake.operators import exports
     n = 5
-    df = spark.range(0, 20_000, 1, partitions).select(F.col("id"), (F.col("id") * 7919 % 20_000).alias("k"))
-    out = exports.first_rows(df, ["k", "id"], n)
-    assert [r.k for r in out.collect()] == list(range(n))
-    plan = _physical(spark, out)
-    assert "WindowGroupLimit" in plan            # also limited before the shuffle
-    window = df.withColumn("g", F.spark_partition_id() % exports.MERGE_GROUPS)
-    assert window.select("g").distinct().count() <= exports.MERGE_GROUPS
+    k = (F.col("id") * 7919 % 20_000).cast("int")
+    df = spark.range(0, 20_000, 1, partitions).select(
+        (F.when(F.col("id") % 3 == 0, 0).otherwise(k) if hot else k).alias("k"), F.col("id").cast("string").alias("name"), "id")
+    rows, repeated, _ = exports.candidates(df, ["k", "name", "id"], n)
+    assert repeated is None and n <= rows.count() <= (1 + exports.SLACK) * n
+    want = sorted((r.k, r.name, r.id) for r in df.collect())[:n]
+    assert [tuple(r) for r in exports.first_rows(df, ["k"], n).collect()] == want
+
+
+def test_export_of_identical_rows_counts_them(spark):
+    from wattlake.operators import exports
+    df = spark.range(0, 9000, 1, 16).selectExpr("if(id % 3 = 0, 'a', concat('b', id % 7)) AS name", "1.5D AS mw")
+    rows, repeated, copies = exports.candidates(df, ["name", "mw"], 10)
+    assert rows.count() == 0 and repeated.count() == 3000 and copies == 10
+    assert [tuple(r) for r in exports.first_rows(df, ["name"], 10).collect()] == [("a", 1.5)] * 10
+
+
+def test_export_order_of_awkward_values(spark):
+    """Against a plain ordered limit: nulls, NaN, infinities, long numbers, text
+    that begins alike."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from wattlake.operators import exports
+    rng = random.Random(4)
+    doubles = [None, float("nan"), float("inf"), -float("inf"), 0.0, 1e-320, -1e300, 1e300, 2.5, 2.5000001, -7.0]
+    longs = [None, 2 ** 53, 2 ** 53 + 1, -2 ** 62, 2 ** 62, 2 ** 62 + 1, 0]
+    texts = [None, "", "Customer#000000012", "Customer#000000021", "Customer#0000", "é", "漢", "Z", "a"]
+    rows = [(rng.choice(doubles), rng.choice(longs), rng.choice(texts)) for _ in range(700)]
+    df = spark.createDataFrame(rows, "d double, l long, t string").repartition(9)
+    for order in (["d", "l", "t"], ["t", "d", "l"], ["l", "t", "d"]):
+        for n in (1, 3, 20, 60, 150, 800):
+            got = [str(tuple(r)) for r in exports.first_rows(df.select(*order), order, n).collect()]
+            want = df.select(*order).orderBy(*[F.asc_nulls_last(c) for c in order]).limit(n).collect()
+            assert got == [str(tuple(r)) for r in want], (order, n)
 
 
 def test_landing_is_executed_once_for_the_client_view(spark):

@@ -6,22 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions import safe_date, safe_double
-from wattlake.schemas import STAMP_COLUMNS
+from wattlake.schemas import STAMP_COLUMNS, TRANSACCIONES
 
 
 def curate_transacciones(bronze: DataFrame) -> DataFrame:
-    """The nine business columns, re-typed (idempotent on typed input)."""
-    return bronze.select(
-        F.col("id_transaccion").cast("string"),
-        safe_date("fecha_transaccion").alias("fecha_transaccion"),
-        F.col("tipo_transaccion").cast("string"),
-        F.col("cliente_proveedor").cast("string"),
-        safe_double("cantidad_kwh").alias("cantidad_kwh"),
-        safe_double("precio_kwh").alias("precio_kwh"),
-        F.col("tipo_energia").cast("string"),
-        F.col("hora_transaccion").cast("string"),
-        F.col("ciudad").cast("string"),
-    )
+    """The business columns, re-typed as declared (idempotent on typed input); a
+    value that does not convert is NULL."""
+    return bronze.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in TRANSACCIONES.fields])
 
 
 def curate_proveedores(bronze: DataFrame, distinct: bool = False) -> DataFrame:

@@ -18,8 +18,8 @@ from wattlake.schemas import BRONZE_SCHEMAS, GOLD_SCHEMAS
 from wattlake.session import remove_path, resolve_run_date
 from wattlake.sinks import parquet as pq
 from wattlake.sinks import text, warehouse
-from wattlake.sources import catalog
-from wattlake.sources.lake import partition_filter, partition_times, read_partition
+from wattlake.sources import catalog, versions
+from wattlake.sources.lake import partition_filter, read_partition
 from wattlake.sources.landing import contract_paths, read_first_existing, risk_paths
 
 log = logging.getLogger(__name__)
@@ -67,7 +67,7 @@ def ingest_bronze(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | Non
         splits = bronze.split_contratos(contratos)
         try:
             for name, df in splits.items():
-                pq.write_partitioned(stamp(df, run_date), cfg.bronze_path(name), cfg.write_mode)
+                pq.write_day(stamp(df, run_date), cfg.bronze_path(name), run_date, cfg.write_mode)
                 written.append(name)
         finally:
             if cached:
@@ -83,84 +83,87 @@ def write_riesgos(cfg: LakeConfig, riesgos: DataFrame | None, run_date: _dt.date
     """The risk table, a small snapshot, as the bronze partition of the day."""
     if riesgos is None:
         return []
-    pq.write_partitioned(stamp(bronze.type_riesgos(riesgos), run_date),
-                         cfg.bronze_path("riesgos_precios"), cfg.write_mode)
+    pq.write_day(stamp(bronze.type_riesgos(riesgos), run_date), cfg.bronze_path("riesgos_precios"), run_date,
+                 cfg.write_mode)
     return ["riesgos_precios"]
 
 
 # ---- G2-G5 gold ------------------------------------------------------------
 def _bronze(spark, cfg, name, run_date):
-    return read_partition(spark, cfg.bronze_path(name), _scope(cfg, run_date), optional=True,
-                          schema=BRONZE_SCHEMAS[name])
+    """The bronze rows that a gold job reads, and the versions that they are."""
+    root, scope = cfg.bronze_path(name), _scope(cfg, run_date)
+    now = versions.current(spark, root)
+    if not now:
+        return None, {}
+    now = {d: v for d, v in now.items() if scope is None or d == scope}
+    return versions.read(spark, root, list(now.values()), BRONZE_SCHEMAS[name]), {f"bronze/{name}": versions.names(now)}
+
+
+def _write_gold(df, cfg, name, run_date, inputs):
+    pq.write_day(stamp(df, run_date), cfg.gold_path(name), run_date, cfg.write_mode, inputs)
+    return True
 
 
 def curate_transacciones(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> bool:
-    df = _bronze(spark, cfg, "transacciones", run_date)
+    df, inputs = _bronze(spark, cfg, "transacciones", run_date)
     if df is None:
         return False
-    pq.write_partitioned(stamp(curated.curate_transacciones(df), run_date),
-                         cfg.gold_path("transacciones_curated"), cfg.write_mode)
-    return True
+    return _write_gold(curated.curate_transacciones(df), cfg, "transacciones_curated", run_date, inputs)
 
 
 def aggregate_transacciones(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> bool:
-    df = _bronze(spark, cfg, "transacciones", run_date)
+    df, inputs = _bronze(spark, cfg, "transacciones", run_date)
     if df is None:
         return False
     agg = aggregates.aggregate_transacciones(df, exact_scale=cfg.avg_scale)
-    pq.write_partitioned(stamp(agg, run_date), cfg.gold_path("transacciones_agg"), cfg.write_mode)
-    return True
+    return _write_gold(agg, cfg, "transacciones_agg", run_date, inputs)
 
 
 def curate_proveedores(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> bool:
-    df = _bronze(spark, cfg, "proveedores", run_date)
+    df, inputs = _bronze(spark, cfg, "proveedores", run_date)
     if df is None:
         return False
-    out = curated.curate_proveedores(df, distinct=cfg.distinct_providers)
-    pq.write_partitioned(stamp(out, run_date), cfg.gold_path("proveedores"), cfg.write_mode)
-    return True
+    return _write_gold(curated.curate_proveedores(df, distinct=cfg.distinct_providers), cfg, "proveedores", run_date,
+                       inputs)
 
 
-def _base_snapshot(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> _dt.date | None:
-    """The latest client snapshot before ``run_date`` that still stands: no
-    bronze partition of its days has been written since. Both layers are known
-    from their folder listings."""
-    gold = partition_times(spark, cfg.gold_path("clientes"))
-    bronze_days = partition_times(spark, cfg.bronze_path("clientes"))
+def _base_snapshot(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date, now: dict) -> versions.Version | None:
+    """The latest client snapshot before ``run_date`` that still stands: it was
+    made from the versions of all bronze days up to it that are current. ``now``:
+    bronze day -> version."""
+    root = cfg.gold_path("clientes")
+    gold = versions.current(spark, root)
     for day in sorted((d for d in gold if d < run_date), reverse=True):
-        if all(last <= gold[day][0] for d, (_, last) in bronze_days.items() if d <= day):
-            return day
+        made_from = versions.details(spark, root, gold[day])["inputs"].get("bronze/clientes")
+        if made_from == versions.names({d: v for d, v in now.items() if d <= day}):
+            return gold[day]
     return None
 
 
 def curate_clientes(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date) -> bool:
     """One row per client.
 
-    With ``source_scope="run_date"`` each gold partition is a full snapshot:
-    the latest earlier snapshot that still stands is merged with every bronze partition after it up to
-    ``run_date`` - normally just the day's - and deduplicated again.  The
-    survivor rule is a ``max``, which is associative, so this equals
-    deduplicating the whole bronze history while reading one snapshot.  A day
-    whose gold step never ran is caught up by the next run; a bronze day that
-    is written again after later snapshots were made takes these out of use,
-    and the next run rebuilds from the last snapshot before it.
+    With ``source_scope="run_date"`` each gold partition is a full snapshot: the
+    latest earlier snapshot that still stands is merged with every bronze day
+    after it up to ``run_date`` - normally just the day's - and deduplicated again.
+    The survivor rule is a ``max``, which is associative, so this equals
+    deduplicating the whole bronze history while reading one snapshot.  Each
+    snapshot records the bronze versions that are in it, those that its base was
+    made from included. A day whose gold step never ran is caught up by the next
+    run; a bronze day that is written again, also while a snapshot is being made,
+    takes the snapshots without it out of use, and the next run rebuilds from the
+    last one before it.
     """
-    schema = BRONZE_SCHEMAS["clientes"]
-    df = read_partition(spark, cfg.bronze_path("clientes"), None, optional=True, schema=schema)
-    if df is None:
+    root = cfg.bronze_path("clientes")
+    now = {d: v for d, v in versions.current(spark, root).items() if d <= run_date}
+    if not now:
         return False
-    day = F.make_date("year", "month", "day")
-    window = day <= F.lit(run_date)
-    base = _base_snapshot(spark, cfg, run_date) if cfg.source_scope == "run_date" else None
+    base = _base_snapshot(spark, cfg, run_date, now) if cfg.source_scope == "run_date" else None
+    later = [v for d, v in now.items() if base is None or d > base.day]
+    df = versions.read(spark, root, later, BRONZE_SCHEMAS["clientes"])
     if base is not None:
-        window = window & (day > F.lit(base))
-    df = df.where(window)                               # partition pruning
-    if base is not None:
-        df = df.unionByName(read_partition(spark, cfg.gold_path("clientes"), base,
-                                           schema=GOLD_SCHEMAS["clientes"]))
-    pq.write_partitioned(stamp(curated.dedup_clientes(df), run_date),
-                         cfg.gold_path("clientes"), cfg.write_mode)
-    return True
+        df = df.unionByName(versions.read(spark, cfg.gold_path("clientes"), [base], GOLD_SCHEMAS["clientes"]))
+    return _write_gold(curated.dedup_clientes(df), cfg, "clientes", run_date, {"bronze/clientes": versions.names(now)})
 
 
 # ---- G9 analytics ------------------------------------------------------------

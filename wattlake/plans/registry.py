@@ -26,7 +26,7 @@ from wattlake.plans import daily_run, jobs
 from wattlake.sources.catalog import run_sql
 from wattlake.sources.incremental import ingest_bronze_incremental
 from wattlake.sources.lake import read_dataset, read_partition
-from wattlake.schemas import CONTRATOS_RAW, GOLD_SCHEMAS, PROVEEDOR_COLUMNS, TRANSACCION_COLUMNS
+from wattlake.schemas import BRONZE_SCHEMAS, CONTRATOS_RAW, GOLD_SCHEMAS, PROVEEDOR_COLUMNS, TRANSACCION_COLUMNS
 from wattlake.streaming import events as ev
 
 RUN_DATE = _dt.date(2024, 6, 1)
@@ -113,9 +113,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dwh_v_clientes": lambda s, d: views.dwh_view(s, "v_clientes", _curated_tx(s, d)),
     "v_clientes_unmatched": _v_clientes_unmatched,
     "energy_price_summary": _price_summary,
-    "export_transacciones": lambda s, d: exports.top_transacciones(_curated_tx(s, d), EXPORT_LIMIT),
-    "export_proveedores": lambda s, d: exports.top_proveedores(
-        curated.curate_proveedores(_pv(s, d)), EXPORT_LIMIT),
+    "export_transacciones": lambda s, d: exports.top_transacciones(curated.curate_transacciones(
+        bronze.split_transacciones(_landed(s, d))), EXPORT_LIMIT),
+    "export_proveedores": lambda s, d: exports.top_proveedores(curated.curate_proveedores(
+        bronze.split_proveedores(_landed(s, d))), EXPORT_LIMIT),
 }
 
 
@@ -386,16 +387,17 @@ def _energy_totals_delta(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _clients_ending(*digits: str):
-    """Contract lines of clients whose number ends so."""
-    return F.right("cliente_proveedor", F.lit(1)).isin(*digits)
+    """Contract lines of clients whose number ends so; those without a client go
+    with 0. The days of a scenario share out all ten digits."""
+    return F.right(F.coalesce("cliente_proveedor", F.lit("0")), F.lit(1)).isin(*digits)
 
 
 def _clientes_restated_day(spark: SparkSession, d: str) -> DataFrame:
     """The first day is written again, with clients it lacked, after gold
-    snapshots of two days were made; the third day's snapshot has them."""
+    snapshots of two days were made; the third day's snapshot has all clients."""
     cfg = _lake(spark, "restated")
     landed = _landed(spark, d)
-    for day, digits, gold in ((RUN_DATE, "1", True), (DAY_2, "2", True), (RUN_DATE, "13", False), (DAY_3, "4", True)):
+    for day, digits, gold in ((RUN_DATE, "01", True), (DAY_2, "234", True), (RUN_DATE, "0156", False), (DAY_3, "789", True)):
         jobs.ingest_bronze(spark, cfg, day, contratos=landed.where(_clients_ending(*digits)))
         if gold:
             jobs.curate_clientes(spark, cfg, day)
@@ -406,8 +408,8 @@ def _clientes_latest_day(spark: SparkSession, d: str) -> DataFrame:
     """E4 in the job: what the latest day says of a client wins, although the
     day before had a greater type."""
     cfg = _lake(spark, "latest")
-    landed = _landed(spark, d).where(_clients_ending("1", "2"))
-    later = landed.where(_clients_ending("1")).withColumn("tipo_cliente", F.lit("agente"))
+    landed = _landed(spark, d)
+    later = landed.where(_clients_ending(*"13579")).withColumn("tipo_cliente", F.lit("agente"))
     for day, df in ((RUN_DATE, landed), (DAY_2, later)):
         jobs.ingest_bronze(spark, cfg, day, contratos=df)
         jobs.curate_clientes(spark, cfg, day)
@@ -419,8 +421,8 @@ def _clientes_schema_drift(spark: SparkSession, d: str) -> DataFrame:
     either); the next day's has, and it reaches gold and the catalog."""
     cfg = _lake(spark, "drift")
     landed = _landed(spark, d)
-    for day, df in ((RUN_DATE, landed.where(_clients_ending("1")).drop("ciudad")),
-                    (DAY_2, landed.where(_clients_ending("2")))):
+    for day, df in ((RUN_DATE, landed.where(_clients_ending(*"01234")).drop("ciudad")),
+                    (DAY_2, landed.where(_clients_ending(*"56789")))):
         jobs.ingest_bronze(spark, cfg, day, contratos=df)
         jobs.curate_clientes(spark, cfg, day)
         jobs.register_layers(spark, cfg, day)
@@ -428,6 +430,32 @@ def _clientes_schema_drift(spark: SparkSession, d: str) -> DataFrame:
         "cliente_proveedor", "tipo_cliente", "ciudad")
 
 
+def _proveedores_type_drift(spark: SparkSession, d: str) -> DataFrame:
+    """A4 + B7: three days of providers whose files hold the capacity as text, as
+    a whole number and as declared; together they are read as declared."""
+    root = f"{scratch_path(spark, 'types')}/proveedores"
+    pv = bronze.split_proveedores(_landed(spark, d))
+    share = F.pmod(F.xxhash64("nombre_proveedor", "fecha_contrato"), F.lit(3))
+    for k, (day, kind) in enumerate(((RUN_DATE, "string"), (DAY_2, "int"), (DAY_3, "double"))):
+        # whole kilowatts, so that every type holds the same value
+        kw = F.round(F.col("capacidad_mw") * 10).cast("int").cast(kind)
+        pq.write_day(stamp(pv.where(share == k).withColumn("capacidad_mw", kw), day), root, day)
+    return read_dataset(spark, root, BRONZE_SCHEMAS["proveedores"]).select(*PROVEEDOR_COLUMNS)
+
+
+def _rerun_empty_day(spark: SparkSession, d: str) -> DataFrame:
+    """B1: of two days, the second is run again on a landing without lines; the
+    lake and the catalog then hold the first day only."""
+    cfg = _lake(spark, "rerun", landing_content="delta")
+    landed = _landed(spark, d)
+    late = F.coalesce("id_transaccion", F.lit("")) >= "3"
+    for day, df in ((RUN_DATE, landed.where(~late)), (DAY_2, landed.where(late)), (DAY_2, landed.limit(0))):
+        jobs.ingest_bronze(spark, cfg, day, contratos=df)
+        jobs.curate_transacciones(spark, cfg, day)
+        jobs.register_layers(spark, cfg, day)
+    return spark.table(f"{cfg.gold_db}.transacciones_curated").select(*TRANSACCION_COLUMNS)
+
+
 def _registered(spark: SparkSession, d: str, name: str) -> LakeConfig:
     """Two days of bronze, registered, with the stored views of the second."""
     cfg = _lake(spark, name)
@@ -513,7 +541,7 @@ def _warehouse_lake(spark: SparkSession, gold: dict[str, DataFrame]) -> LakeConf
     datasets exist) into warehouse schemas of its own."""
     cfg = _lake(spark, "warehouse")
     for name, df in gold.items():
-        pq.write_partitioned(stamp(df, RUN_DATE), cfg.gold_path(name))
+        pq.write_day(stamp(df, RUN_DATE), cfg.gold_path(name), RUN_DATE)
     jobs.load_warehouse(spark, cfg, RUN_DATE)
     return cfg
 
@@ -548,6 +576,8 @@ QUERIES.update({
     "clientes_restated_day": _clientes_restated_day,
     "clientes_schema_drift": _clientes_schema_drift,
     "clientes_latest_day": _clientes_latest_day,
+    "proveedores_type_drift": _proveedores_type_drift,
+    "rerun_empty_day": _rerun_empty_day,
     "job_v_servicio": _job_view("v_servicio"),
     "job_v_clientes": _job_view("v_clientes"),
     "job_export_v_clientes": _job_view_export("v_clientes"),
@@ -616,7 +646,7 @@ SELECT lower(c_mktsegment) AS tipo_cliente, CAST(count(*) % 97 + 0.5 AS DOUBLE)
 FROM customer GROUP BY lower(c_mktsegment)"""
 _CLIENTS_SQL = """
 SELECT cliente_proveedor, max(tipo_cliente) AS tipo_cliente, {city} AS ciudad
-FROM cl a WHERE right(cliente_proveedor, 1) IN ({digits})
+FROM cl a WHERE {which}
   AND tipo_cliente = (SELECT max(tipo_cliente) FROM cl b WHERE a.cliente_proveedor = b.cliente_proveedor)
 GROUP BY cliente_proveedor"""
 
@@ -633,14 +663,18 @@ ORACLE_SQL.update({
     "job_clientes_curated": ORACLE_SQL["clientes_curated"],
     "energy_totals_two_days": f"{_CTE} SELECT tipo_energia, sum(cantidad_kwh) AS total_kwh FROM tx GROUP BY tipo_energia",
     "energy_totals_delta": f"{_CTE} SELECT tipo_energia, sum(cantidad_kwh) AS total_kwh FROM tx GROUP BY tipo_energia",
-    "clientes_restated_day": _CTE + _CLIENTS_SQL.format(city="max(ciudad)", digits="'1', '2', '3', '4'"),
+    "clientes_restated_day": _CTE + _CLIENTS_SQL.format(city="max(ciudad)", which="true"),
     "clientes_schema_drift": f"""{_CTE}
-        {_CLIENTS_SQL.format(city="CAST(NULL AS VARCHAR)", digits="'1'")} UNION ALL
-        {_CLIENTS_SQL.format(city="max(ciudad)", digits="'2'")}""",
+        {_CLIENTS_SQL.format(city="CAST(NULL AS VARCHAR)", which="right(cliente_proveedor, 1) < '5'")} UNION ALL
+        {_CLIENTS_SQL.format(city="max(ciudad)", which="right(cliente_proveedor, 1) >= '5'")}""",
     "clientes_latest_day": f"""{_CTE}
         SELECT cliente_proveedor, 'agente' AS tipo_cliente, max(ciudad) AS ciudad FROM cl
-        WHERE right(cliente_proveedor, 1) = '1' GROUP BY cliente_proveedor UNION ALL
-        {_CLIENTS_SQL.format(city="max(ciudad)", digits="'2'")}""",
+        WHERE ascii(right(cliente_proveedor, 1)) % 2 = 1 GROUP BY cliente_proveedor UNION ALL
+        {_CLIENTS_SQL.format(city="max(ciudad)", which="ascii(right(cliente_proveedor, 1)) % 2 = 0")}""",
+    "proveedores_type_drift": f"""{_CTE}
+        SELECT nombre_proveedor, tipo_energia, CAST(round(capacidad_mw * 10) AS DOUBLE) AS capacidad_mw, ciudad,
+               fecha_contrato FROM pv""",
+    "rerun_empty_day": f"{_CTE} SELECT * FROM tx WHERE id_transaccion < '3'",
     "job_v_servicio": ORACLE_SQL["v_servicio"],
     "job_v_clientes": ORACLE_SQL["v_clientes"],
     "job_export_v_clientes": ORACLE_SQL["v_clientes"],

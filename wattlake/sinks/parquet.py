@@ -1,9 +1,12 @@
-"""Parquet dataset sinks (B1 partitioned, B2 full overwrite).
+"""Parquet dataset sinks (B1 by day and partitioned, B2 full overwrite).
 
-Partitioned writes default to *dynamic partition overwrite*: re-running a
-day replaces exactly that day's ``year/month/day`` folder, so retries and
-re-runs are idempotent (a failed attempt leaves no partial partition once the
-retry commits).  ``mode="append"`` reproduces the original append behaviour.
+``write_day``, which the jobs use, writes a day to a folder of its own and then
+commits it (``sources.versions``): a rerun replaces exactly that day, also by
+nothing, and readers see the old rows or the new ones. ``mode="append"``
+reproduces the original append behaviour.
+
+``write_partitioned`` is plain dynamic partition overwrite: it replaces the
+partitions that the written rows name, so days without rows stay as they were.
 
 No repartition by the partition columns is done before writing: a run writes a
 single ``run_date`` partition, and shuffling on it would funnel the whole run
@@ -12,10 +15,30 @@ through one task.  Each task writes its own file into the partition instead.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame
 
 from wattlake.config import APPEND, OVERWRITE_PARTITIONS
 from wattlake.schemas import PARTITION_COLUMNS
+from wattlake.sources import versions
+
+
+def write_day(df: DataFrame, root: str, day: _dt.date, mode: str = OVERWRITE_PARTITIONS,
+              inputs: dict | None = None) -> versions.Version:
+    """Replace ``day`` of the dataset by ``df`` in one step. ``inputs``: the
+    versions of other datasets that the rows were made from, by dataset."""
+    if mode not in (APPEND, OVERWRITE_PARTITIONS):
+        raise ValueError(f"unknown write mode {mode!r}")
+    spark, rows = df.sparkSession, df.drop(*PARTITION_COLUMNS)
+    now = versions.current(spark, root).get(day)
+    if mode == APPEND and now is not None:
+        rows.write.mode("append").parquet(now.folder(root))
+        return now
+    version = versions.new_version(spark, root, day, rows.schema)
+    rows.write.parquet(version.folder(root))
+    versions.commit(spark, root, version, rows.schema, inputs)
+    return version
 
 
 def write_partitioned(df: DataFrame, path: str, mode: str = OVERWRITE_PARTITIONS,

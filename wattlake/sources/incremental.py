@@ -67,11 +67,11 @@ def ingest_bronze_incremental(spark: SparkSession, cfg: LakeConfig, source_dir:
     if kept is not None:
         today = kept.where(F.col("intake_date") == F.lit(run_date)).select(*CONTRATOS_RAW.names)
         for name, df in bronze.split_contratos(today).items():
-            pq.write_partitioned(stamp(df, run_date), cfg.bronze_path(name))
+            pq.write_day(stamp(df, run_date), cfg.bronze_path(name), run_date)
             written.append(name)
     riesgos = read_first_existing(spark, risk_paths(cfg.landing))
     if riesgos is not None:
-        pq.write_partitioned(stamp(bronze.type_riesgos(riesgos), run_date), cfg.bronze_path("riesgos_precios"),
-                             cfg.write_mode)
+        pq.write_day(stamp(bronze.type_riesgos(riesgos), run_date), cfg.bronze_path("riesgos_precios"), run_date,
+                     cfg.write_mode)
         written.append("riesgos_precios")
     return written

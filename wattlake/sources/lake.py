@@ -9,13 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from wattlake.sources import versions
 from wattlake.sources.landing import _is_missing_path
 
 
 def read_dataset(spark: SparkSession, root: str, schema: StructType | None = None,
                  optional: bool = False) -> DataFrame | None:
     """Read a Hive-partitioned Parquet dataset; ``year/month/day`` come back as
-    ints.  With ``optional`` a missing root returns ``None``."""
+    ints.  With ``optional`` a missing root returns ``None``. Of a dataset with
+    committed versions, the current one of each day is read."""
+    now = versions.current(spark, root)
+    if now:
+        return versions.read(spark, root, sorted(now.values()), schema)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
@@ -27,22 +32,6 @@ def read_dataset(spark: SparkSession, root: str, schema: StructType | None = Non
         raise
 
 
-def partition_times(spark: SparkSession, root: str) -> dict[_dt.date, tuple]:
-    """Day -> (first, last) time at which files of its partition were written,
-    from the folder listing alone; no file is opened. One entry per day."""
-    try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
-    except AnalysisException as exc:
-        if _is_missing_path(exc):
-            return {}
-        raise
-    if not {"year", "month", "day"} <= set(files.columns):
-        return {}
-    days = files.groupBy("year", "month", "day").agg(
-        F.min("modificationTime").alias("first"), F.max("modificationTime").alias("last")).collect()
-    return {_dt.date(r["year"], r["month"], r["day"]): (r["first"], r["last"]) for r in days}
-
-
 def partition_filter(run_date: _dt.date):
     return ((F.col("year") == run_date.year) & (F.col("month") == run_date.month)
             & (F.col("day") == run_date.day))
@@ -54,6 +43,9 @@ def read_partition(spark: SparkSession, root: str, run_date: _dt.date | None,
     whole dataset when ``run_date`` is ``None``. With a declared ``schema``,
     columns that some days lack come back as NULL for them, and columns that
     only some days have are not lost."""
+    now = versions.current(spark, root) if run_date is not None else {}
+    if now:
+        return versions.read(spark, root, [v for d, v in now.items() if d == run_date], schema)
     df = read_dataset(spark, root, schema, optional)
     if df is None or run_date is None:
         return df
