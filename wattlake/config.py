@@ -50,9 +50,15 @@ class LakeConfig:
     landing_staging: str = "parquet"
     # Keep identical provider rows once in the curated provider dataset.
     distinct_providers: bool = False
+    # Zone quality: validate landing lines before bronze; lines that fail, or
+    # whose id the zone already has, go to the quarantine dataset.
+    quarantine: bool = False
+    # Buckets of the index of accepted ids: about its bytes / 128 MB.
+    index_buckets: int = 16
     # Landing intake of the daily run: "batch" reads the landing contract
     # file; "incremental" streams only contract files not seen before (exactly
-    # once). Both ingest the risk file.
+    # once); "ledger" takes new files, and files written again under their
+    # name as restatements. All ingest the risk file.
     intake: str = "batch"
     # View exports: False re-exports each view whole (the original
     # behaviour); True writes only the run's partition of the date-stamped
@@ -103,6 +109,10 @@ class LakeConfig:
     def checkpoints(self) -> str:
         return self._layer(None, "_checkpoints")
 
+    @property
+    def runs(self) -> str:
+        return self._layer(None, "_runs")
+
     def bronze_path(self, name: str) -> str:
         return f"{self.bronze}/{name}"
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions import safe_date, safe_double
-from wattlake.schemas import PROVEEDOR_COLUMNS, TRANSACCION_COLUMNS
+from wattlake.schemas import CONTRATOS_COLUMNS, PROVEEDOR_COLUMNS, TRANSACCION_COLUMNS
 
 # Fixed value: a provider name that is only a number means the row was
 # shifted by one column at the source.
@@ -25,6 +25,7 @@ REASON_BAD_KWH = "unparsable_cantidad_kwh"
 REASON_BAD_PRICE = "unparsable_precio_kwh"
 REASON_BAD_TX_DATE = "unparsable_fecha_transaccion"
 REASON_DUPLICATE = "duplicate_id_transaccion"
+REASON_ACCEPTED_BEFORE = "accepted_on_another_day"
 
 
 def _unparsable(raw: str, typed: Column) -> Column:
@@ -110,3 +111,47 @@ def transaction_quality_counts(contratos: DataFrame) -> DataFrame:
         F.struct(F.lit(REASON_DUPLICATE).alias("reason"), (F.col("rows") - F.col("ids")).alias("n")),
     )).otherwise(F.array(F.struct(F.col("reason").alias("reason"), F.col("rows").alias("n"))))
     return per_reason.select(F.explode(outcomes).alias("o")).select("o.reason", "o.n")
+
+
+# ---- whole landing lines, for the jobs ------------------------------------
+def whole_lines(contratos: DataFrame) -> DataFrame:
+    """All landing columns; those that the file lacks are NULL."""
+    return contratos.select(*[F.col(c) if c in contratos.columns else F.lit(None).cast("string").alias(c)
+                              for c in CONTRATOS_COLUMNS])
+
+
+def rejected(lines: DataFrame, dataset: str, reason: Column | str) -> DataFrame:
+    """Quarantine rows: the whole line, the dataset that it was kept from, why."""
+    reason = F.lit(reason) if isinstance(reason, str) else reason
+    return lines.select(F.lit(dataset).alias("dataset"), reason.alias("reason"), *CONTRATOS_COLUMNS)
+
+
+def split_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(one whole line per transaction id, quarantine rows). Of the valid lines
+    of an id the greatest stays, each other one is quarantined. Lines are counted
+    by content first, so repeats of a line meet as one row with a count."""
+    tagged = lines.where(F.col("id_transaccion").isNotNull()).withColumn("reason", transaction_reason())
+    clean = tagged.where(F.col("reason").isNull()).drop("reason")
+    rest = [*TRANSACCION_COLUMNS[1:], *(c for c in CONTRATOS_COLUMNS if c not in TRANSACCION_COLUMNS)]
+    best = clean.groupBy("id_transaccion").agg(F.max(F.struct(*rest)).alias("_best"))
+    accepted = best.select("id_transaccion", *[F.col(f"_best.{c}").alias(c) for c in rest])
+    counted = clean.groupBy(*CONTRATOS_COLUMNS).agg(F.count(F.lit(1)).alias("_n"))
+    spare = counted.join(best, "id_transaccion").withColumn(
+        "_n", F.col("_n") - F.struct(*rest).eqNullSafe(F.col("_best")).cast("long")).where("_n > 0").select(
+        *CONTRATOS_COLUMNS, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_k"))
+    wrong = rejected(tagged.where(F.col("reason").isNotNull()), "transacciones", F.col("reason"))
+    return accepted, wrong.unionByName(rejected(spare, "transacciones", REASON_DUPLICATE))
+
+
+def typed_transactions(lines: DataFrame) -> DataFrame:
+    return lines.select(*TRANSACCION_COLUMNS).withColumns({
+        "cantidad_kwh": safe_double("cantidad_kwh"), "precio_kwh": safe_double("precio_kwh"),
+        "fecha_transaccion": safe_date("fecha_transaccion")})
+
+
+def split_provider_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(typed accepted providers, quarantine rows of the others)."""
+    accepted, _ = split_provider_quality(lines)
+    wrong = lines.where(F.col("nombre_proveedor").isNotNull()).withColumn("reason", provider_reason(lines)).where(
+        F.col("reason").isNotNull())
+    return accepted, rejected(wrong, "proveedores", F.col("reason"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wattlake.config import LakeConfig
 from wattlake.functions import stamp
 from wattlake.operators import aggregates, bronze, curated, exports, views
+from wattlake.plans import zone
 from wattlake.schemas import BRONZE_SCHEMAS, GOLD_SCHEMAS
 from wattlake.session import remove_path, resolve_run_date
 from wattlake.sinks import parquet as pq
@@ -64,11 +65,8 @@ def ingest_bronze(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | Non
         elif shared and cfg.landing_staging == "persist":
             contratos.persist(StorageLevel.MEMORY_AND_DISK)
             cached = True
-        splits = bronze.split_contratos(contratos)
         try:
-            for name, df in splits.items():
-                pq.write_day(stamp(df, run_date), cfg.bronze_path(name), run_date, cfg.write_mode)
-                written.append(name)
+            written += write_lines(spark, cfg, contratos, run_date)
         finally:
             if cached:
                 contratos.unpersist()
@@ -79,6 +77,27 @@ def ingest_bronze(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | Non
     return written + write_riesgos(cfg, riesgos, run_date)
 
 
+def write_lines(spark: SparkSession, cfg: LakeConfig, contratos: DataFrame, run_date: _dt.date) -> list[str]:
+    """The bronze datasets of a day's contract lines; with ``cfg.quarantine``,
+    only lines that pass the zone's rules reach transactions and providers."""
+    written: list[str] = []
+
+    def write(name: str, df: DataFrame) -> None:
+        pq.write_day(stamp(df, run_date), cfg.bronze_path(name), run_date, cfg.write_mode)
+        written.append(name)
+
+    splits = bronze.split_contratos(contratos)
+    if cfg.quarantine:
+        zone.validated(spark, cfg, contratos, run_date, write)
+        if not cfg.is_snapshot:
+            zone.record(spark, cfg, read_partition(spark, cfg.bronze_path("transacciones"), run_date,
+                                                   schema=BRONZE_SCHEMAS["transacciones"]), run_date)
+    for name, df in splits.items():
+        if name not in written:
+            write(name, df)
+    return written
+
+
 def write_riesgos(cfg: LakeConfig, riesgos: DataFrame | None, run_date: _dt.date) -> list[str]:
     """The risk table, a small snapshot, as the bronze partition of the day."""
     if riesgos is None:

@@ -22,7 +22,7 @@ from wattlake.sources.driver_tables import CONTRATOS_SQL, contratos_from_tables,
 from wattlake.sinks import parquet as pq
 from wattlake.sinks import text
 from wattlake.config import LakeConfig
-from wattlake.plans import daily_run, jobs
+from wattlake.plans import daily_run, intake, jobs
 from wattlake.sources.catalog import run_sql
 from wattlake.sources.incremental import ingest_bronze_incremental
 from wattlake.sources.lake import read_dataset, read_partition
@@ -456,6 +456,61 @@ def _rerun_empty_day(spark: SparkSession, d: str) -> DataFrame:
     return spark.table(f"{cfg.gold_db}.transacciones_curated").select(*TRANSACCION_COLUMNS)
 
 
+def _two_halves(spark: SparkSession, d: str, name: str, days, **options) -> LakeConfig:
+    """A delta lake with validation: purchases come in on the first day, all other
+    lines on the second; ids given twice fall on both. ``days``: in what order."""
+    cfg = _lake(spark, name, landing_content="delta", quarantine=True, **options)
+    landed = _landed(spark, d)
+    bought = F.col("tipo_transaccion") == "Compra"
+    for day in days:
+        jobs.ingest_bronze(spark, cfg, day, contratos=landed.where(bought if day == RUN_DATE else ~bought))
+    return cfg
+
+
+def _daily_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """S8 in the bronze job: what two days' landings leave in quarantine."""
+    cfg = _two_halves(spark, d, "quarantine", (RUN_DATE, DAY_2))
+    return read_dataset(spark, cfg.bronze_path("cuarentena"), BRONZE_SCHEMAS["cuarentena"]).drop(
+        "processed_date", "year", "month")
+
+
+def _zone_unique_ids(spark: SparkSession, d: str) -> DataFrame:
+    """S8 across days: bronze transactions of both days, the first day run again
+    after the second; no id twice."""
+    cfg = _two_halves(spark, d, "unique", (RUN_DATE, DAY_2, RUN_DATE))
+    return read_dataset(spark, cfg.bronze_path("transacciones"), BRONZE_SCHEMAS["transacciones"]).select(
+        *TRANSACCION_COLUMNS, "day")
+
+
+def _incremental_restated_file(spark: SparkSession, d: str) -> DataFrame:
+    """Four landing files come in with wrong amounts and are written again
+    under their names; the next intake restates the first day."""
+    cfg = _lake(spark, "ledger", landing_content="delta", intake="ledger")
+    landed = _landed(spark, d)
+    sold = landed.where("tipo_transaccion = 'VENTA'")
+    rest = landed.where("tipo_transaccion <> 'VENTA'").repartition(4, "id_transaccion", "nombre_proveedor", "fecha_contrato")
+    sold.write.option("header", True).csv(f"{cfg.landing}/contratos/ventas")
+    rest.withColumn("cantidad_kwh", F.lit("0")).write.option("header", True).csv(f"{cfg.landing}/contratos/otros")
+    intake.ingest_bronze_ledger(spark, cfg, RUN_DATE)
+    rest.write.option("header", True).csv(f"{cfg.root}/again")
+    _replace_files(spark, f"{cfg.root}/again", f"{cfg.landing}/contratos/otros")
+    intake.ingest_bronze_ledger(spark, cfg, DAY_2)
+    return read_dataset(spark, cfg.bronze_path("transacciones"), BRONZE_SCHEMAS["transacciones"])
+
+
+def _replace_files(spark: SparkSession, new: str, old: str) -> None:
+    """Move each file of one folder over that of another with the same part number."""
+    sc = spark.sparkContext
+    fs = (path := sc._jvm.org.apache.hadoop.fs.Path)(old).getFileSystem(sc._jsc.hadoopConfiguration())
+    part = lambda f: f.getPath().getName()[:10]
+    names = {part(f): f.getPath() for f in fs.listStatus(path(old)) if f.getPath().getName().startswith("part-")}
+    for f in fs.listStatus(path(new)):
+        if f.getPath().getName().startswith("part-"):
+            target = names.get(part(f), path(f"{old}/{f.getPath().getName()}"))
+            fs.delete(target, False)
+            fs.rename(f.getPath(), target)
+
+
 def _registered(spark: SparkSession, d: str, name: str) -> LakeConfig:
     """Two days of bronze, registered, with the stored views of the second."""
     cfg = _lake(spark, name)
@@ -578,6 +633,9 @@ QUERIES.update({
     "clientes_latest_day": _clientes_latest_day,
     "proveedores_type_drift": _proveedores_type_drift,
     "rerun_empty_day": _rerun_empty_day,
+    "daily_quarantine": _daily_quarantine,
+    "zone_unique_ids": _zone_unique_ids,
+    "incremental_restated_file": _incremental_restated_file,
     "job_v_servicio": _job_view("v_servicio"),
     "job_v_clientes": _job_view("v_clientes"),
     "job_export_v_clientes": _job_view_export("v_clientes"),
@@ -742,6 +800,31 @@ SELECT id_transaccion, try_cast(fecha_transaccion AS DATE) AS fecha_transaccion,
 FROM ranked WHERE rn = 1""",
 })
 
+_TX_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in [*TRANSACCION_COLUMNS[1:], *CONTRATOS_RAW.names[9:]])
+_TWO_DAYS = f"""{_CTE},
+dealt AS (SELECT *, if(tipo_transaccion = 'Compra', {RUN_DATE.day}, {DAY_2.day}) AS day FROM contratos),
+judged AS (SELECT *, {_TREASON} AS reason FROM dealt WHERE id_transaccion IS NOT NULL),
+nth AS (SELECT *, row_number() OVER (PARTITION BY day, id_transaccion ORDER BY {_TX_ORDER}) AS rn
+        FROM judged WHERE reason IS NULL),
+first_day AS (SELECT id_transaccion FROM nth WHERE day = {RUN_DATE.day}),
+late AS (SELECT *, day = {DAY_2.day} AND id_transaccion IN (SELECT id_transaccion FROM first_day) AS again
+         FROM nth WHERE rn = 1)"""
+_LINE = ", ".join(CONTRATOS_RAW.names)
+ORACLE_SQL.update({
+    "daily_quarantine": f"""{_TWO_DAYS}
+SELECT 'transacciones' AS dataset, reason, {_LINE}, day FROM judged WHERE reason IS NOT NULL UNION ALL
+SELECT 'transacciones', '{quality.REASON_DUPLICATE}', {_LINE}, day FROM nth WHERE rn > 1 UNION ALL
+SELECT 'transacciones', '{quality.REASON_ACCEPTED_BEFORE}', {_LINE}, day FROM late WHERE again UNION ALL
+SELECT 'proveedores', r, {_LINE}, day FROM (
+  SELECT *, {_QREASON} AS r FROM dealt WHERE nombre_proveedor IS NOT NULL) WHERE r IS NOT NULL""",
+    "zone_unique_ids": f"""{_TWO_DAYS}
+SELECT id_transaccion, try_cast(fecha_transaccion AS DATE) AS fecha_transaccion, tipo_transaccion,
+       cliente_proveedor, try_cast(cantidad_kwh AS DOUBLE) AS cantidad_kwh,
+       try_cast(precio_kwh AS DOUBLE) AS precio_kwh, tipo_energia, hora_transaccion, ciudad, day
+FROM late WHERE NOT again""",
+    "incremental_restated_file": ORACLE_SQL["stamped_transacciones"],
+})
+
 # Stated apart from the operator's patterns, for an engine without look-around:
 # what may not stand next to a number is matched as a neighbour, in a text whose
 # other characters are doubled so that two numbers can share none.

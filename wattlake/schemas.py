@@ -61,6 +61,7 @@ TRANSACCIONES_AGG = T.StructType([
 TIPO_ENERGIA_TOTALS = T.StructType([
     T.StructField("tipo_energia", S), T.StructField("total_kwh", D),
 ])
+QUARANTINE = T.StructType([T.StructField("dataset", S), T.StructField("reason", S), *CONTRATOS_RAW.fields])
 STAMP = T.StructType([
     T.StructField("processed_date", DT), T.StructField("year", I),
     T.StructField("month", I), T.StructField("day", I),
@@ -74,7 +75,7 @@ def stamped(schema: T.StructType) -> T.StructType:
 # What the lake reads and registers, whatever a day's files happen to hold.
 BRONZE_SCHEMAS = {
     "transacciones": stamped(TRANSACCIONES), "proveedores": stamped(PROVEEDORES),
-    "clientes": stamped(CLIENTES), "riesgos_precios": stamped(RIESGOS),
+    "clientes": stamped(CLIENTES), "riesgos_precios": stamped(RIESGOS), "cuarentena": stamped(QUARANTINE),
 }
 GOLD_SCHEMAS = {
     "transacciones_curated": stamped(TRANSACCIONES), "transacciones_agg": stamped(TRANSACCIONES_AGG),

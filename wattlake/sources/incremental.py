@@ -20,11 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wattlake.config import LakeConfig
-from wattlake.functions import stamp
-from wattlake.operators import bronze
+from wattlake.plans import jobs
 from wattlake.schemas import CONTRATOS_RAW
 from wattlake.session import resolve_run_date
-from wattlake.sinks import parquet as pq
 from wattlake.sources.lake import read_dataset
 from wattlake.sources.landing import read_first_existing, risk_paths
 
@@ -66,12 +64,5 @@ def ingest_bronze_incremental(spark: SparkSession, cfg: LakeConfig, source_dir:
     kept = read_dataset(spark, intake_path(cfg), optional=True)
     if kept is not None:
         today = kept.where(F.col("intake_date") == F.lit(run_date)).select(*CONTRATOS_RAW.names)
-        for name, df in bronze.split_contratos(today).items():
-            pq.write_day(stamp(df, run_date), cfg.bronze_path(name), run_date)
-            written.append(name)
-    riesgos = read_first_existing(spark, risk_paths(cfg.landing))
-    if riesgos is not None:
-        pq.write_day(stamp(bronze.type_riesgos(riesgos), run_date), cfg.bronze_path("riesgos_precios"), run_date,
-                     cfg.write_mode)
-        written.append("riesgos_precios")
-    return written
+        written += jobs.write_lines(spark, cfg, today, run_date)
+    return written + jobs.write_riesgos(cfg, read_first_existing(spark, risk_paths(cfg.landing)), run_date)
