@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from wattlake.functions import stamp
 from wattlake.session import scratch_path
-from wattlake.operators import aggregates, bronze, curated, exports, quality, sensitive, views
+from wattlake.operators import aggregates, bronze, curated, detection, exports, quality, sensitive, views
 from wattlake.sources.driver_tables import CONTRATOS_SQL, contratos_from_tables, table
 from wattlake.sinks import parquet as pq
 from wattlake.sinks import text
@@ -27,9 +27,11 @@ from wattlake.sources.catalog import run_sql
 from wattlake.sources.incremental import ingest_bronze_incremental
 from wattlake.sources.lake import read_dataset, read_partition
 from wattlake.schemas import BRONZE_SCHEMAS, CONTRATOS_RAW, GOLD_SCHEMAS, PROVEEDOR_COLUMNS, TRANSACCION_COLUMNS
+from wattlake.streaming import asof
 from wattlake.streaming import events as ev
 
 RUN_DATE = _dt.date(2024, 6, 1)
+DAY_2, DAY_3 = RUN_DATE + _dt.timedelta(days=1), RUN_DATE + _dt.timedelta(days=2)
 SUMMARY_YEAR = 1998          # business year used by the price summary
 AVG_SCALE = 4                # decimal scale of unit prices
 AVG_OF_AVG_SCALE = 6         # decimal scale of per-group mean prices
@@ -257,6 +259,30 @@ def _streamed_flat(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{_dual_sink(spark, d)}/flat").drop("batch_id")
 
 
+def _profile_history(spark: SparkSession, d: str) -> DataFrame:
+    """Profile versions: each order of a user, some hours into the events' month,
+    makes its price and priority the user's current ones."""
+    hours = F.col("o_orderkey") % 700
+    return table(spark, d, "orders").select(
+        F.col("o_custkey").alias("user_id"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hours.cast("int"))).alias("valid_from"),
+        F.col("o_totalprice").alias("last_price"), F.col("o_orderpriority").alias("last_priority"))
+
+
+def _events_asof_profile(spark: SparkSession, d: str) -> DataFrame:
+    """S2 on the streaming engine: each event with the profile of its time, from
+    a profile table that comes in on two days."""
+    out = scratch_path(spark, "asof")
+    history = _profile_history(spark, d)
+    first = F.col("valid_from") < F.lit("2024-01-15").cast("timestamp_ntz")
+    for day, part in ((RUN_DATE, history.where(first)), (DAY_2, history.where(~first))):
+        pq.write_day(stamp(part, day), f"{out}/history", day)
+    q = asof.start_asof_sink(ev.event_stream(spark, f"{d.rstrip('/')}/events.parquet"), f"{out}/history", f"{out}/rows",
+                             f"{out}/_checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/rows").drop("batch_id", "props")
+
+
 def _archived_events(spark: SparkSession, d: str) -> DataFrame:
     """S5 on the streaming engine: every event archived by date."""
     out = scratch_path(spark, "archive")
@@ -338,7 +364,6 @@ def _incremental(name: str):
 
 
 # ---- the jobs users run daily, each read back from what it wrote ----------
-DAY_2, DAY_3 = RUN_DATE + _dt.timedelta(days=1), RUN_DATE + _dt.timedelta(days=2)
 
 
 def _bronze_lake(spark: SparkSession, d: str, name: str, **options) -> LakeConfig:
@@ -615,6 +640,8 @@ def _warehouse_v_clientes(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES.update({
+    "events_asof_profile": _events_asof_profile,
+    "sensitive_validated": lambda s, d: detection.validated_counts(table(s, d, "documents")),
     "warehouse_transacciones_agg": _warehouse_transacciones_agg,
     "warehouse_v_clientes": _warehouse_v_clientes,
     "ingested_transacciones": _ingested("transacciones"),
@@ -845,3 +872,25 @@ FROM (SELECT lang,
   {_PII_COUNTS}
   FROM (SELECT lang, text, regexp_replace(text, '([^0-9])', '\\1\\1', 'g') AS wide FROM documents))
 GROUP BY lang"""
+
+ORACLE_SQL["events_asof_profile"] = """
+WITH versions AS (
+  SELECT o_custkey AS user_id, TIMESTAMP '2024-01-01' + to_hours(CAST(o_orderkey % 700 AS INTEGER)) AS valid_from,
+         o_totalprice AS last_price, o_orderpriority AS last_priority FROM orders),
+one AS (
+  SELECT * FROM versions QUALIFY row_number() OVER (
+    PARTITION BY user_id, valid_from ORDER BY last_price DESC NULLS LAST, last_priority DESC NULLS LAST) = 1)
+SELECT e.event_id, e.ts, e.user_id, e.event_type, e.value, o.valid_from, o.last_price, o.last_priority
+FROM events e ASOF LEFT JOIN one o ON e.user_id = o.user_id AND e.ts >= o.valid_from"""
+
+_DIGIT = "CAST(substr(x, CAST(i AS INTEGER), 1) AS INTEGER)"
+_LUHN = f"""list_sum(list_transform(range(1, 17), lambda i: if(i % 2 = 0, {_DIGIT},
+  if({_DIGIT} > 4, 2 * {_DIGIT} - 9, 2 * {_DIGIT})))) % 10 = 0 AND substr(x, 1, 1) BETWEEN '2' AND '6'"""
+_FOUND = {k: f"regexp_extract_all({column}, '{p}')" for k, (column, p) in _PII.items()}
+_FOUND["cards"] = (f"list_filter(list_transform({_FOUND['cards']}, lambda m: regexp_replace(m, '[^0-9]', '', 'g')), "
+                   f"lambda x: {_LUHN})")
+_FOUND["ipv4s"] = (f"list_filter({_FOUND['ipv4s']}, lambda m: len(list_filter(regexp_extract_all(m, '[0-9]+'), "
+                   "lambda x: CAST(x AS INTEGER) > 255)) = 0)")
+ORACLE_SQL["sensitive_validated"] = f"""
+SELECT doc_id, {", ".join(f"CAST(coalesce(len({v}), 0) AS BIGINT) AS {k}" for k, v in _FOUND.items())}
+FROM (SELECT doc_id, text, regexp_replace(text, '([^0-9])', '\\1\\1', 'g') AS wide FROM documents)"""
