@@ -138,11 +138,12 @@ def sample(known: DataFrame, max_rows: int = MAX_FIT_ROWS, max_features: int = M
     ``known`` (lang, order, text), as many of each language where it has them, and
     of at most ``max_features`` distinct n-grams in all (one document at least).
     ``order``: the smallest are taken, a number from 0 to 2**40."""
-    per_lang = known.groupBy("lang").agg(F.count("*").alias("n"))
-    quota = max(1, max_rows // max(1, per_lang.count()))
+    per_lang = common.materialise(known.groupBy("lang").agg(F.count("*").alias("n")), "language-counts")
+    langs, total = per_lang.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    quota = max(1, max_rows // max(1, langs))
     # about 1.2 times the quota of each language passes, so no window gathers more
     near = F.lit(1.2 * quota + 50) / F.col("n") * F.lit(float(1 << 40))
-    chosen = known.join(per_lang, "lang").where(F.col("order") <= near)
+    chosen = common.join_groups(known, per_lang, ["lang"], "n", total).where(F.col("order") <= near)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
