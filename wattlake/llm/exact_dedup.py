@@ -76,15 +76,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, all columns. A row without an id cannot be referred
-    to and stays; rows that repeat both id and text give one row."""
+    to and stays; of rows that repeat both id and text one stays; of an id with
+    several texts, only the rows whose text is a copy go."""
     decided = exact_dedup(docs, id_col, text_col)
     gone = common.materialise(decided.where("not kept and keep_id is not null").where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("_gone"), (F.col(id_col) == F.col("keep_id")).alias("_same")).distinct(), "exact-gone")
-    match = F.col(id_col) == F.col("_gone")
-    others = docs.join(gone.where("not _same").select("_gone"), match, "left_anti")
-    repeated = gone.where("_same").select("_gone")
+        F.col(id_col).alias("_gone"), F.col("text_sha256").alias("_gone_sha"),
+        (F.col(id_col) == F.col("keep_id")).alias("_same")).distinct(), "exact-gone")
+    sha = F.sha2(normalised(text_col).cast("binary"), 256)
+    match = (F.col(id_col) == F.col("_gone")) & (F.col("_sha") == F.col("_gone_sha"))
+    rows = docs.withColumn("_sha", sha)
+    others = rows.join(gone.where("not _same"), match, "left_anti")
+    repeated = gone.where("_same")
     return others.join(repeated, match, "left_anti").unionByName(
-        others.join(repeated, match, "left_semi").dropDuplicates([id_col, text_col]))
+        others.join(repeated, match, "left_semi").dropDuplicates([id_col, "_sha"])).select(*[f"`{c}`" for c in docs.columns])
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

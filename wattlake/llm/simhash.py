@@ -210,10 +210,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The document with the smallest id of each component, all columns; rows
-    without an id cannot be referred to and stay."""
-    found = near_duplicates(docs, id_col, text_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    without an id cannot be referred to and stay. Of an id with several texts,
+    only the rows whose text has a representative with another id go."""
+    found = common.materialise(near_duplicates(docs, id_col, text_col).select(
+        F.col(id_col).alias("_id"), F.col("fingerprint").alias("_fp"),
+        F.coalesce(F.col(id_col) != F.col("component_id"), F.lit(False)).alias("_gone")), "simhash-found")
+    by_id = common.materialise(found.where("_id is not null").groupBy("_id").agg(
+        F.min("_gone").alias("_all"), F.max("_gone").alias("_any")).where("_any"), "simhash-gone")
+    match = F.col(id_col) == F.col("_id")
+    kept = docs.join(by_id, match, "left_anti")
+    mixed = by_id.where("not _all")
+    if not mixed.limit(1).count():
+        return kept
+    # ids of which some rows go: these rows are told apart by their fingerprints
+    unclear = common.materialise(docs.join(mixed.select("_id"), match, "left_semi"), "simhash-mixed")
+    texts = unclear.select(F.col(text_col).alias("_text")).distinct()
+    prints = fingerprints(texts, "_text", "_text").select(
+        F.col("id").alias("_text"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("_own"))
+    gone = found.where("_gone").select("_id", "_fp").distinct()
+    rest = unclear.join(prints, F.col(text_col).eqNullSafe(F.col("_text"))).join(
+        gone, match & (F.col("_own") == F.col("_fp")), "left_anti")
+    return kept.unionByName(rest.select(*[f"`{c}`" for c in docs.columns]))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
