@@ -78,17 +78,25 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows that stay, all columns. A row without an id cannot be referred
     to and stays; of rows that repeat both id and text one stays; of an id with
     several texts, only the rows whose text is a copy go."""
-    decided = exact_dedup(docs, id_col, text_col)
-    gone = common.materialise(decided.where("not kept and keep_id is not null").where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("_gone"), F.col("text_sha256").alias("_gone_sha"),
-        (F.col(id_col) == F.col("keep_id")).alias("_same")).distinct(), "exact-gone")
-    sha = F.sha2(normalised(text_col).cast("binary"), 256)
-    match = (F.col(id_col) == F.col("_gone")) & (F.col("_sha") == F.col("_gone_sha"))
-    rows = docs.withColumn("_sha", sha)
-    others = rows.join(gone.where("not _same"), match, "left_anti")
-    repeated = gone.where("_same")
-    return others.join(repeated, match, "left_anti").unionByName(
-        others.join(repeated, match, "left_semi").dropDuplicates([id_col, "_sha"])).select(*[f"`{c}`" for c in docs.columns])
+    found = common.materialise(exact_dedup(docs, id_col, text_col).where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"), F.col("kept").alias("_kept")), "exact-found")
+    by_id = common.materialise(found.groupBy("_id").agg(F.max("_kept").alias("_some"), F.min("_kept").alias("_all")).where(
+        "not _all"), "exact-gone")
+    match = F.col(id_col) == F.col("_id")
+    # only ids meet the texts: those of which no row, or not every row, stays
+    kept = docs.join(by_id.select("_id"), match, "left_anti")
+    mixed = by_id.where("_some").select("_id")
+    if not mixed.limit(1).count():
+        return kept
+    unclear = docs.join(mixed, match, "left_semi").withColumn("_own", F.sha2(normalised(text_col).cast("binary"), 256))
+    stay = found.join(mixed, "_id").where("_kept").select("_id", "_sha").distinct()
+    # a digest that length or prefix settled is null: that text is no copy
+    settled = stay.where("_sha is null").select(F.col("_id").alias("_settled")).distinct()
+    known = found.join(mixed, "_id").where("_sha is not null").select(F.col("_id").alias("_kid"), F.col("_sha").alias("_ksha")).distinct()
+    named = unclear.join(stay, match & (F.col("_own") == F.col("_sha")), "left_semi").dropDuplicates([id_col, "_own"])
+    alone = unclear.join(settled, F.col(id_col) == F.col("_settled"), "left_semi").join(
+        known, (F.col(id_col) == F.col("_kid")) & (F.col("_own") == F.col("_ksha")), "left_anti")
+    return kept.unionByName(named.unionByName(alone).select(*[f"`{c}`" for c in docs.columns]))
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
