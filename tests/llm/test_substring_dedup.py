@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.conftest import SF_SMALL
@@ -118,3 +119,27 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
 
 def test_oracle(spark):
     assert compare(spark, SF_SMALL, ["op5_substring_dedup"], verbose=False)["op5_substring_dedup"][0] == "ok"
+
+
+def test_word_codes_of_texts():
+    """Each text's words as bytes.split has them, whatever stands next to it; equal words and only these have equal codes."""
+    texts = [b"", b"one two", b"three", b" \t\n\x0b\x0c\r ", b"one\x0btwo\x1c x\x00 x", "é ß 漢字  ".encode(), b"", b"a" * 8,
+             b"a" * 9 + b" " + b"a" * 16 + b" " + b"a" * 17, b"z" * sd.LONG_WORD, b"z" * (sd.LONG_WORD + 1) + b"  " + b"z" * 5000, b""]
+    for kind in (pa.binary(), pa.large_binary()):
+        for column in (pa.array(texts, kind), pa.array([b"cut off ", *texts, b" end"], kind).slice(1, len(texts))):
+            for two in (False, True):
+                found = list(sd.text_codes(column, two))
+                assert [len(f) for f in found] == [len(t.split()) for t in texts]
+                of, words = {}, [w for t in texts for w in t.split()]
+                for w, c in zip(words, np.concatenate(found)):
+                    assert of.setdefault(w, c.tolist()) == c.tolist()
+                assert len({str(c) for c in of.values()}) == len(set(words))
+                assert np.array_equal(sd.codes(words, two), np.concatenate(found))
+
+
+def test_word_codes_in_pieces(monkeypatch):
+    texts = [" ".join(fixtures.words(k, 30 * k)).encode() for k in range(12)]
+    whole = list(sd.text_codes(pa.array(texts)))
+    monkeypatch.setattr(sd, "CHUNK_BYTES", 700)
+    for a, b in zip(sd.text_codes(pa.array(texts)), whole, strict=True):
+        assert np.array_equal(a, b)

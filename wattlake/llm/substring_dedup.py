@@ -40,7 +40,9 @@ WINDOW = 20
 FLUSH_WORDS = 1_000_000
 BUCKET_WINDOWS = 1 << 18
 CHUNK_BYTES = 4 << 20
-CACHED_WORDS = 400_000
+#: Bytes of a word beyond which it is hashed apart, and masks of a word's last bytes.
+LONG_WORD = 512
+LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 #: Multipliers of the two hash streams (odd), and the bits of the first.
 BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 ONE_STREAM = 64
@@ -52,22 +54,71 @@ def place_key(id_col: str, text_col: str) -> Column:
         F.xxhash64(common.whole_text(text_col)), F.lit((1 << 62) - 1)))
 
 
-def codes(words: list[bytes], two: bool = False) -> np.ndarray:
-    """A code for each word, or a row of two with unlike seeds."""
+def word_places(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and one past the last of each word of texts laid end to end:
+    text k is data[bounds[k]:bounds[k + 1]]."""
+    inside = np.zeros(len(data) + 1, bool)
+    inside[:-1] = (data != 32) & (data - np.uint8(9) > 4)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[bounds] = True
+    first = inside[:-1].copy()
+    first[1:] &= ~inside[:-2] | edge[1:-1]
+    last = inside[:-1] & (~inside[1:] | edge[1:])
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    """A one-to-one scrambling of 64 bits."""
+    h = (h ^ h >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ h >> np.uint64(33)) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ h >> np.uint64(33)
+
+
+def word_codes(data: np.ndarray, first: np.ndarray, end: np.ndarray, two: bool = False) -> np.ndarray:
+    """A code for each word data[first:end], or a row of two with unlike seeds.
+    The length and then eight bytes at a time are mixed in, for all words side
+    by side; very long words are hashed one by one."""
     import xxhash
 
-    known = common.worker_cache(f"word codes {1 + two}", dict)
-    fresh = set(words).difference(known)
-    if len(known) + len(fresh) > CACHED_WORDS:
-        known.clear()
-        fresh = set(words)
-    if two:
-        for w in fresh:
-            known[w] = xxhash.xxh64_intdigest(w, 1), xxhash.xxh64_intdigest(w, 2)
-        return np.array(list(map(known.__getitem__, words)), np.uint64).reshape(-1, 2)
-    for w in fresh:
-        known[w] = xxhash.xxh64_intdigest(w, 1)
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    size = end - first
+    out = np.empty((len(first), 1 + two), np.uint64)
+    for seed in range(1 + two):
+        h = mix(size.astype(np.uint64) + (np.uint64(seed + 1) << np.uint64(56)))
+        live = np.flatnonzero(size <= LONG_WORD)
+        at, left = first[live], size[live]
+        while len(live):
+            h[live] = mix(h[live] ^ eight[at] & LOW_BYTES[np.minimum(left, 8)])
+            more = left > 8
+            live, at, left = live[more], at[more] + 8, left[more] - 8
+        for k in np.flatnonzero(size > LONG_WORD).tolist():
+            h[k] = xxhash.xxh64_intdigest(data[first[k]:end[k]].tobytes(), seed + 1)
+        out[:, seed] = h
+    return out if two else out[:, 0]
+
+
+def codes(words: list[bytes], two: bool = False) -> np.ndarray:
+    """As ``word_codes``, of words given one by one."""
+    end = np.cumsum([len(w) for w in words], dtype=np.int64)
+    return word_codes(np.frombuffer(b"".join(words), np.uint8), np.r_[0, end[:-1]].astype(np.int64)[:len(words)], end, two)
+
+
+def text_codes(column: pa.Array, two: bool = False) -> Iterator[np.ndarray]:
+    """Word codes of each text of a binary column, some MB of texts at a time."""
+    if not len(column):
+        return
+    offsets = np.frombuffer(column.buffers()[1], np.int64 if pa.types.is_large_binary(column.type) else np.int32)
+    offsets = offsets[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    everything = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    a = 0
+    while a < len(column):
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + CHUNK_BYTES, "right")) - 1)
+        bounds = offsets[a:b + 1] - offsets[a]
+        data = everything[offsets[a]:offsets[b]]
+        first, end = word_places(data, bounds)
+        yield from np.split(word_codes(data, first, end, two), np.searchsorted(first, bounds[1:-1]))
+        a = b
 
 
 def rolling(values: np.ndarray, n: int, base: int) -> np.ndarray:
@@ -195,12 +246,13 @@ def windows(rows: DataFrame, window: int, bits: int, width: int, two: bool,
     """Packed windows of (id, text): bucket, hashes, places, and lost: places
     already known to repeat an earlier window."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.worker_cache("windows", dict)  # nothing, and nothing of other operators
         ids, texts, n = [], [], 0
         for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for i, words in zip(batch.column(0).to_pylist(), text_codes(batch.column(1), two)):
                 ids.append(i)
-                texts.append(codes(t.as_py().split(), two))
-                n += len(texts[-1])
+                texts.append(words)
+                n += len(words)
                 if n >= flush_words:
                     if (out := _flush(ids, texts, window, bits, width, two)) is not None:
                         yield out
