@@ -3,6 +3,8 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tests.conftest import SF_SMALL
@@ -38,6 +40,7 @@ def digest(rows):
 
 @pytest.mark.parametrize("length, options", [
     (100, {}), (50, {"gram": 16}), (60, {"gram": 8, "crowded_bytes": 300, "shard_bytes": 2000}),
+    (60, {"gram": 8, "crowded_bytes": 300, "shard_bytes": 2000, "range_bytes": 500}),
     (400, {"crowded_bytes": 1000})])
 def test_against_brute_force(spark, length, options):
     rows = run(fixtures.documents(spark), length=length, **options)
@@ -52,6 +55,21 @@ def test_common_passage_in_many_contexts(spark):
     assert digest(rows) == by_hand(texts, 60)
 
 
+def test_merge_ranges_follow_the_bytes():
+    """However many windows one anchor has, a merging group gets its share; equal windows meet."""
+    rng = np.random.default_rng(3)
+    windows = rng.integers(-2 ** 63, 2 ** 63, 20_000)
+    sent = {p: np.stack([windows[p::2] if p < 2 else windows[:500], np.arange(10_000 if p < 2 else 500)], 1) for p in range(3)}
+    columns = {"anchor": [9] * 3, "part": [*sent], "sig": [*sent], "cuts": [64] * 3, "windows": [s.astype("<i8").tobytes() for s in sent.values()]}
+    table = pa.concat_tables([pa.Table.from_batches([b]) for b in sd.deal_windows(iter(pa.table(columns).to_batches()))])
+    sizes, hits = {}, 0
+    for r in set(table.column("range").to_pylist()):
+        group = table.filter(pc.equal(table.column("range"), r))
+        sizes[r] = sum(map(len, group.column("windows").to_pylist())) // 16
+        hits += sum(len(x) // 8 for x in sd.merge(group).column("ranges").to_pylist())
+    assert set(sizes) == set(range(64)) and max(sizes.values()) < 2 * 20_500 / 64 and hits == 1000
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_suffix_array_and_common_prefixes(seed):
     rng = random.Random(seed)

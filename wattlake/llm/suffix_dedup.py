@@ -16,8 +16,8 @@
    array are repeated.
 4. Segments of a crowded anchor are split over several shards. Windows that are
    single there are merged across shards: each shard sends the digests of its
-   distinct ones in sorted order, cut into ranges, and a range searches each
-   run in the others by bisection.
+   distinct ones in sorted order, cut into as many ranges as the anchor's bytes
+   ask for, and a range searches each run in the others by bisection.
 5. Repeated windows return to their documents, which are cut.
 
 Defined results: null text is empty; strings never cross documents; ids are
@@ -47,7 +47,8 @@ GRAM = 128
 BLOCK = 1 << 19
 SHARD_BYTES = 1 << 21
 CROWDED_BYTES = 1 << 20
-RANGES = 64
+#: Bytes of window digests that one merging group is to hold.
+RANGE_BYTES = 1 << 22
 FLUSH_SEGMENTS = 200_000
 #: Places that the first sort looks at.
 FIRST = 7
@@ -248,34 +249,35 @@ def shard_windows(length: int):
     def run(table: pa.Table) -> pa.Table:
         strings = table.column("bytes").to_pylist()
         out, told = [], set()
-        for anchor, part, sig, crowded, s, flag in zip(
-                *(table.column(c).to_pylist() for c in ("anchor", "part", "sig", "crowded")),
+        for anchor, part, sig, cuts, s, flag in zip(
+                *(table.column(c).to_pylist() for c in ("anchor", "part", "sig", "cuts")),
                 strings, repeated_windows(strings, length)):
             windows = []
-            if crowded:
+            if cuts:
                 for a, again in enumerate(flag.tolist()):
                     window = digest(s[a:a + length])
                     if not again or window not in told:
                         windows.append((window, -1 if again else a))
                         told.add(window)
-            out.append((anchor, part, sig, np.stack(_ranges(flag), 1).astype("<i4").tobytes(),
+            out.append((anchor, part, sig, cuts, np.stack(_ranges(flag), 1).astype("<i4").tobytes(),
                         np.array(windows, "<i8").tobytes() if windows else None))
         return pa.table([pa.array([r[k] for r in out], kind) for k, kind in enumerate(
-            (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
-            ["anchor", "part", "sig", "ranges", "windows"])
+            (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
+            ["anchor", "part", "sig", "cuts", "ranges", "windows"])
 
     return run
 
 
 def deal_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (anchor, part, sig, windows): a sorted run for each range of window
-    digests, packed: (anchor, range, part, sig, windows)."""
+    """Of (anchor, part, sig, cuts, windows): a sorted run for each of ``cuts``
+    even ranges of window digests, packed: (anchor, range, part, sig, windows)."""
     for batch in batches:
         out = []
-        for anchor, part, sig, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "part", "sig", "windows"))):
+        for anchor, part, sig, cuts, data in zip(
+                *(batch.column(c).to_pylist() for c in ("anchor", "part", "sig", "cuts", "windows"))):
             windows = np.frombuffer(data, "<i8").reshape(-1, 2)
             windows = windows[np.argsort(windows[:, 0])]
-            group = (windows[:, 0] >> 58) + (RANGES >> 1)  # the top bits
+            group = ((windows[:, 0] >> 32) + (1 << 31)) * cuts >> 32  # by the top 32 bits
             for g in np.unique(group).tolist():
                 out.append((anchor, g, part, sig, windows[group == g].tobytes()))
         if out:
@@ -308,30 +310,32 @@ def merge(table: pa.Table) -> pa.Table:
 
 
 def repeated(chunked: DataFrame, chunks: int, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES,
-             crowded_bytes: int = CROWDED_BYTES) -> DataFrame:
+             crowded_bytes: int = CROWDED_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(id, at, n, ranges): the segments of (chunk, id, text), at [at, at + n),
     of whose windows some ranges, or all, also start elsewhere."""
     rows = chunked.select("id", "text")
     found = common.materialise(segments(rows, length, min(gram, length)), "suffix-segments")
-    many = F.max(F.col("more").isNotNull())
-    shared = found.groupBy("anchor").agg(F.count("*").alias("c"), many.alias("many")).where(
-        "c > 1 or many").select("anchor")
-    found = common.materialise(found.join(shared, "anchor", "left_semi"), "suffix-shared")
-    twice = many | (F.min("id") < F.max("id")) | (F.min("at") < F.max("at"))
-    kinds = found.groupBy("anchor", "sig").agg(
-        F.min("id").alias("id"), F.min_by("at", "id").alias("at"), F.first("n").alias("n"), twice.alias("twice"))
-    counted = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"),
-                                          F.sum(F.col("n") + (length - 1)).alias("bytes"))
-    kinds = common.materialise(kinds.join(counted, "anchor"), "suffix-kinds")
+    total = found.count()
+    several = F.max(F.col("more").isNotNull())
+    shared = common.materialise(found.groupBy("anchor").agg(F.count("*").alias("rows"), several.alias("many")).where(
+        "rows > 1 or many").select("anchor", "rows"), "suffix-anchors")
+    found = common.materialise(common.join_groups(found, shared, ["anchor"], "rows", total).drop("rows"), "suffix-shared")
+    twice = several | (F.min("id") < F.max("id")) | (F.min("at") < F.max("at"))
+    kinds = common.materialise(found.groupBy("anchor", "sig").agg(
+        F.min("id").alias("id"), F.min_by("at", "id").alias("at"), F.first("n").alias("n"), twice.alias("twice"),
+        F.count("*").alias("rows")), "suffix-kinds")
+    counted = common.materialise(kinds.groupBy("anchor").agg(
+        F.count("*").alias("kinds"), F.sum(F.col("n") + (length - 1)).alias("bytes")).where("kinds > 1"), "suffix-crowds")
 
     # the bytes of one copy of each segment that has to be compared
-    compared = kinds.where("kinds > 1")
-    total = compared.agg(F.sum(F.col("n") + (length - 1))).first()[0] or 0
-    shards = max(1, math.ceil(total / shard_bytes))
+    compared = common.join_groups(kinds, counted, ["anchor"], "kinds", kinds.count())
+    size = counted.agg(F.sum("bytes")).first()[0] or 0
+    shards = max(1, math.ceil(size / shard_bytes))
     parts = F.ceil(F.col("bytes") / crowded_bytes)
     part = F.pmod(F.xxhash64("sig"), parts)
     wanted = compared.select(
-        "anchor", "sig", "id", "at", "n", part.alias("part"), (parts > 1).alias("crowded"),
+        "anchor", "sig", "id", "at", "n", part.alias("part"),
+        F.when(parts > 1, F.ceil(F.col("bytes") * 16 / range_bytes)).otherwise(0).cast("long").alias("cuts"),
         F.when(parts > 1, F.xxhash64("anchor", part)).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards))).alias("shard"),
         chunk_column("id", chunks).alias("chunk"))
 
@@ -339,24 +343,25 @@ def repeated(chunked: DataFrame, chunks: int, length: int = LENGTH, gram: int =
         text = dict(zip(left.column("id").to_pylist(), left.column("text")))
         data = [text[i].as_py()[a:a + n + length - 1] for i, a, n in zip(
             *(right.column(c).to_pylist() for c in ("id", "at", "n")))]
-        return right.select(["anchor", "sig", "part", "crowded", "shard"]).append_column(
+        return right.select(["anchor", "sig", "part", "cuts", "shard"]).append_column(
             "bytes", pa.array(data, pa.binary()))
 
     fetched = chunked.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(
-        fetch, "anchor bigint, sig bigint, part bigint, crowded boolean, shard bigint, bytes binary")
-    judged = common.materialise(fetched.groupBy("crowded", "shard").applyInArrow(
-        shard_windows(length), "anchor bigint, part bigint, sig bigint, ranges binary, windows binary"),
+        fetch, "anchor bigint, sig bigint, part bigint, cuts bigint, shard bigint, bytes binary")
+    judged = common.materialise(fetched.groupBy((F.col("cuts") > 0).alias("crowded"), "shard").applyInArrow(
+        shard_windows(length), "anchor bigint, part bigint, sig bigint, cuts bigint, ranges binary, windows binary"),
         "suffix-windows")
-    merged = judged.where("windows is not null").select("anchor", "part", "sig", "windows").mapInArrow(
+    merged = judged.where("windows is not null").select("anchor", "part", "sig", "cuts", "windows").mapInArrow(
         deal_windows, "anchor bigint, range bigint, part bigint, sig bigint, windows binary").groupBy(
         "anchor", "range").applyInArrow(merge, "anchor bigint, sig bigint, ranges binary")
 
     # back to every document that holds the segment
-    whole = kinds.where("twice").select("anchor", "sig", F.lit(None).cast("binary").alias("ranges"))
+    whole = kinds.where("twice").select("anchor", "sig", F.lit(None).cast("binary").alias("ranges"), "rows")
     once = kinds.where("not twice").select("anchor", "sig")
     some = judged.select("anchor", "sig", "ranges").unionByName(merged).where(
-        F.octet_length("ranges") > 0).join(once, ["anchor", "sig"], "left_semi")
-    return found.join(whole.unionByName(some), ["anchor", "sig"]).select("id", "at", "n", "more", "ranges").mapInArrow(
+        F.octet_length("ranges") > 0).join(once, ["anchor", "sig"], "left_semi").withColumn("rows", F.lit(1).cast("long"))
+    back = common.materialise(whole.unionByName(some), "suffix-repeats")
+    return common.join_groups(found, back, ["anchor", "sig"], "rows", total).select("id", "at", "n", "more", "ranges").mapInArrow(
         all_places, "id bigint, at bigint, n bigint, ranges binary")
 
 
