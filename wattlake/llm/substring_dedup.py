@@ -17,9 +17,12 @@ times the windows a byte, as one-letter words have, give nine times that).
 
 Defined results: null text has no words; windows never cross documents; ids are
 whole numbers, earlier means a smaller id or an earlier start; a null id counts
-as larger than any, by a hash of the text; rows that repeat an id stand for the
-same places and are cut alike; an empty table gives an empty result; columns
-other than id and text are not looked at.
+as larger than any, by a hash of the text; rows that repeat an id and its text
+stand for the same places and are cut alike; different texts of one id count as
+parts of one document, in order of a hash, with no windows across them, and each
+is cut for itself (together they must have less than 2 GB, else an error tells
+so); an empty table gives an empty result; columns other than id and text are
+not looked at.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattlake.llm import common
@@ -54,6 +57,27 @@ def place_key(id_col: str, text_col: str) -> Column:
         F.xxhash64(common.whole_text(text_col)), F.lit((1 << 62) - 1)))
 
 
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """(id, base, text, no_id) of each row, and the bytes of all texts. Places
+    in a text count from its base, which is zero unless the id has several
+    texts: these are laid end to end, so that a place tells them apart."""
+    rows = docs.select(place_key(id_col, text_col).alias("id"), common.whole_text(text_col).cast("binary").alias("text"),
+                       F.col(id_col).isNull().alias("no_id"))
+    size, kind = F.octet_length("text").cast("long").alias("size"), F.xxhash64("text").alias("kind")
+    ids = common.materialise(rows.select("id", size, kind).groupBy("id").agg(
+        F.sum("size").alias("size"), (F.min("kind") < F.max("kind")).alias("several")), "text-ids")
+    total, several = ids.agg(F.sum("size"), F.max("several")).first()
+    if not several:
+        return rows.select("id", F.lit(0).cast("long").alias("base"), "text", "no_id"), total or 0
+    texts = rows.select("id", kind, size).join(ids.where("several").select("id"), "id", "left_semi").distinct()
+    before = Window.partitionBy("id").orderBy("kind").rowsBetween(Window.unboundedPreceding, -1)
+    bases = common.materialise(texts.withColumn("base", F.coalesce(F.sum("size").over(before), F.lit(0))), "text-bases")
+    if bases.agg(F.max(F.col("base") + F.col("size"))).first()[0] >= 1 << 31:
+        raise ValueError("the different texts of one id have 2 GB or more")
+    rows = rows.withColumn("kind", kind).join(bases.where("base > 0").drop("size"), ["id", "kind"], "left")
+    return rows.select("id", F.coalesce("base", F.lit(0)).alias("base"), "text", "no_id"), total
+
+
 def word_places(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First byte and one past the last of each word of texts laid end to end:
     text k is data[bounds[k]:bounds[k + 1]]."""
@@ -193,9 +217,10 @@ def _sent(h: np.ndarray, h2: np.ndarray | None, bits: int, width: int) -> np.nda
 
 
 def _flush(ids: list[int], texts: list[np.ndarray], window: int, bits: int, width: int,
-           two: bool) -> pa.RecordBatch | None:
+           two: bool, bases: list[int] | None = None) -> pa.RecordBatch | None:
     """Packed windows of some documents, given as word codes."""
-    order = sorted(range(len(ids)), key=ids.__getitem__)
+    bases = bases or [0] * len(ids)
+    order = sorted(range(len(ids)), key=lambda k: (ids[k], bases[k]))
     sizes = np.array([len(texts[k]) for k in order], np.int64)
     if sizes.sum() < window:
         return None
@@ -207,7 +232,8 @@ def _flush(ids: list[int], texts: list[np.ndarray], window: int, bits: int, widt
         return None
     h = rolling(value[:, 0] if two else value, window, BASE[0])[at]
     h2 = None
-    doc, start = np.array([ids[k] for k in order], np.int64)[doc[at]], start[at]
+    start = start[at] + np.array([bases[k] for k in order], np.int64)[doc[at]]
+    doc = np.array([ids[k] for k in order], np.int64)[doc[at]]
     by_hash = np.argsort(h, kind="stable")
     same = np.zeros(len(h), bool)  # as an earlier one here
     same[by_hash[1:]] = h[by_hash[1:]] == h[by_hash[:-1]]
@@ -243,21 +269,23 @@ def _flush(ids: list[int], texts: list[np.ndarray], window: int, bits: int, widt
 
 def windows(rows: DataFrame, window: int, bits: int, width: int, two: bool,
             flush_words: int = FLUSH_WORDS) -> DataFrame:
-    """Packed windows of (id, text): bucket, hashes, places, and lost: places
+    """Packed windows of (id, base, text): bucket, hashes, places, and lost: places
     already known to repeat an earlier window."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.worker_cache("windows", dict)  # nothing, and nothing of other operators
-        ids, texts, n = [], [], 0
+        ids, bases, texts, n = [], [], [], 0
         for batch in batches:
-            for i, words in zip(batch.column(0).to_pylist(), text_codes(batch.column(1), two)):
+            for i, base, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                      text_codes(batch.column(2), two)):
                 ids.append(i)
+                bases.append(base)
                 texts.append(words)
                 n += len(words)
                 if n >= flush_words:
-                    if (out := _flush(ids, texts, window, bits, width, two)) is not None:
+                    if (out := _flush(ids, texts, window, bits, width, two, bases)) is not None:
                         yield out
-                    ids, texts, n = [], [], 0
-        if (out := _flush(ids, texts, window, bits, width, two)) is not None:
+                    ids, bases, texts, n = [], [], [], 0
+        if (out := _flush(ids, texts, window, bits, width, two, bases)) is not None:
             yield out
 
     return rows.mapInArrow(run, "bucket int, hashes binary, places binary, lost binary")
@@ -326,16 +354,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per row: id, n_words, n_removed, n_spans, kept_sha256 (of the
     kept words joined by one space) and, if asked for, these as ``kept_text``."""
     common.ship(docs.sparkSession)
-    rows = docs.select(place_key(id_col, text_col).alias("id"),
-                       common.whole_text(text_col).cast("binary").alias("text"),
-                       F.col(id_col).isNull().alias("no_id"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows, size = keyed_texts(docs, id_col, text_col)
     n = max(1, size // 6)
     bits = max(4, math.ceil(math.log2(n / BUCKET_WINDOWS))) if n > BUCKET_WINDOWS else 4
     width = hash_bytes(n, 1 << bits)
     two = two_streams(n, width)
     chunks = max(1, math.ceil(size / CHUNK_BYTES))
-    gone = repeated(windows(rows.select("id", "text"), window, bits, width, two, flush_words), width, chunks)
+    gone = repeated(windows(rows.select("id", "base", "text"), window, bits, width, two, flush_words), width, chunks)
 
     def cut(_, left: pa.Table, right: pa.Table) -> pa.Table:
         starts = {}
@@ -347,10 +372,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             edges = np.r_[np.flatnonzero(np.diff(doc, prepend=-(1 << 62))), len(doc)]
             starts = {int(doc[a]): at[a:b] for a, b in zip(edges[:-1], edges[1:])}
         out = []
-        for i, t in zip(left.column("id").to_pylist(), left.column("text")):
+        for i, base, t in zip(left.column("id").to_pylist(), left.column("base").to_pylist(), left.column("text")):
             words = t.as_py().split()
-            at = starts.get(i, np.zeros(0, np.int64))
-            kept, removed, spans = _cut(words, at[at <= len(words) - window], window)
+            at = starts.get(i, np.zeros(0, np.int64)) - base
+            kept, removed, spans = _cut(words, at[(at >= 0) & (at <= len(words) - window)], window)
             text = b" ".join(kept)
             out.append((len(words), removed, spans, hashlib.sha256(text).hexdigest(),
                         text.decode() if with_text else None))

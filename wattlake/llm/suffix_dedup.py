@@ -22,9 +22,10 @@
 
 Defined results: null text is empty; strings never cross documents; ids are
 whole numbers, a null id counts as a number made from the text; rows that
-repeat an id stand for the same places and are cut alike, and do not repeat
-each other; an empty table gives an empty result; other columns are not looked
-at.
+repeat an id and its text stand for the same places and are cut alike, and do
+not repeat each other; different texts of one id are compared and cut each for
+itself (together they must have less than 2 GB, else an error tells so); an
+empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm import common
-from wattlake.llm.substring_dedup import BASE, CHUNK_BYTES, chunk_column, pack_places, place_key, rolling, unpack_places
+from wattlake.llm.substring_dedup import BASE, CHUNK_BYTES, chunk_column, keyed_texts, pack_places, rolling, unpack_places
 
 LENGTH = 400
 GRAM = 128
@@ -107,21 +108,21 @@ def collapse(out: list[tuple]) -> pa.RecordBatch:
 
 
 def segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """(anchor, sig, id, at, n, more) of the segments of (id, text): the windows
-    that start at [at, at + n) have this anchor; sig is a digest of their bytes;
+    """(anchor, sig, id, at, n, more) of the segments of (id, base, text): the windows
+    that start at [at, at + n), counted from the base, have this anchor; sig is a digest of their bytes;
     more are further places that the task has met. So a segment that a third of
     the corpus repeats reaches the shuffle about once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.worker_cache("suffix", dict)  # nothing, and nothing of other operators
         out, held = [], 0
         for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for i, base, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 data = t.as_py()
                 if len(data) < length:
                     continue
                 h, at, n = anchors(np.frombuffer(data, np.uint8), length, gram)
                 sig = np.array([digest(data[a:b]) for a, b in zip(at.tolist(), (at + n + length - 1).tolist())], np.int64)
-                out.append((h, sig, np.full(len(h), i), at, n))
+                out.append((h, sig, np.full(len(h), i), base + at, n))
                 held += len(h)
                 if held > FLUSH_SEGMENTS:
                     yield collapse(out)
@@ -311,9 +312,9 @@ def merge(table: pa.Table) -> pa.Table:
 
 def repeated(chunked: DataFrame, chunks: int, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES,
              crowded_bytes: int = CROWDED_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(id, at, n, ranges): the segments of (chunk, id, text), at [at, at + n),
+    """(id, at, n, ranges): the segments of (chunk, id, base, text), at [at, at + n),
     of whose windows some ranges, or all, also start elsewhere."""
-    rows = chunked.select("id", "text")
+    rows = chunked.select("id", "base", "text")
     found = common.materialise(segments(rows, length, min(gram, length)), "suffix-segments")
     total = found.count()
     several = F.max(F.col("more").isNotNull())
@@ -340,9 +341,13 @@ def repeated(chunked: DataFrame, chunks: int, length: int = LENGTH, gram: int =
         chunk_column("id", chunks).alias("chunk"))
 
     def fetch(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        text = dict(zip(left.column("id").to_pylist(), left.column("text")))
-        data = [text[i].as_py()[a:a + n + length - 1] for i, a, n in zip(
-            *(right.column(c).to_pylist() for c in ("id", "at", "n")))]
+        texts = {}
+        for i, base, t in zip(left.column("id").to_pylist(), left.column("base").to_pylist(), left.column("text")):
+            texts.setdefault(i, {})[base] = t
+        data = []
+        for i, a, n in zip(*(right.column(c).to_pylist() for c in ("id", "at", "n"))):
+            base = max(b for b in texts[i] if b <= a)
+            data.append(texts[i][base].as_py()[a - base:a - base + n + length - 1])
         return right.select(["anchor", "sig", "part", "cuts", "shard"]).append_column(
             "bytes", pa.array(data, pa.binary()))
 
@@ -387,10 +392,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per row: id, n_bytes, n_removed, n_spans, kept_sha256 (of the
     remaining bytes) and, if asked for, these as ``kept_bytes``."""
     common.ship(docs.sparkSession)
-    rows = docs.select(place_key(id_col, text_col).alias("id"),
-                       common.whole_text(text_col).cast("binary").alias("text"),
-                       F.col(id_col).isNull().alias("no_id"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows, size = keyed_texts(docs, id_col, text_col)
     chunks = max(1, math.ceil(size / CHUNK_BYTES))
     chunked = rows.withColumn("chunk", chunk_column("id", chunks))
     gone = repeated(chunked, chunks, length, **options).withColumn("chunk", chunk_column("id", chunks))
@@ -400,13 +402,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         right = right.take(pa.array(order))
         doc = right.column("id").to_numpy()
         out = []
-        for i, t in zip(left.column("id").to_pylist(), left.column("text")):
+        for i, base, t in zip(left.column("id").to_pylist(), left.column("base").to_pylist(), left.column("text")):
             data = t.as_py()
             a, b = int(np.searchsorted(doc, i)), int(np.searchsorted(doc, i, "right"))
             mine = right.slice(a, b - a)
             lo, hi = starts(mine.column("at").to_numpy(), mine.column("n").to_numpy(), mine.column("ranges").to_pylist())
-            fits = hi + length - 1 <= len(data)
-            lo, hi = lo[fits], hi[fits]
+            fits = (lo >= base) & (hi + length - 1 <= base + len(data))
+            lo, hi = lo[fits] - base, hi[fits] - base
             edge = np.zeros(len(data) + 1, np.int64)
             np.add.at(edge, lo, 1)
             np.add.at(edge, hi + length - 1, -1)
