@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +25,12 @@ from wattlake.sinks import parquet as pq
 from wattlake.sinks import text
 from wattlake.config import LakeConfig
 from wattlake.plans import daily_run, intake, jobs
+from wattlake.sources import versions
 from wattlake.sources.catalog import run_sql
 from wattlake.sources.incremental import ingest_bronze_incremental
 from wattlake.sources.lake import read_dataset, read_partition
 from wattlake.schemas import BRONZE_SCHEMAS, CONTRATOS_RAW, GOLD_SCHEMAS, PROVEEDOR_COLUMNS, TRANSACCION_COLUMNS
-from wattlake.streaming import asof
+from wattlake.streaming import archive, asof
 from wattlake.streaming import events as ev
 
 RUN_DATE = _dt.date(2024, 6, 1)
@@ -292,6 +295,21 @@ def _archived_events(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{out}/archive")
 
 
+def _archive_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """S5 with upkeep: each date's first half of the day comes in by three batches
+    and the dates up to the month's middle are compacted; the other half comes late,
+    by three more, and the dates up to the 20th are compacted again."""
+    out, events = scratch_path(spark, "archive"), table(spark, d, "events")
+    early = F.coalesce(F.hour("ts") < 12, F.lit(False))
+    for part, before in ((events.where(early), 15), (events.where(~early), 20)):
+        part.repartition(3).write.mode("append").parquet(f"{out}/in")
+        archive.start_archive(ev.event_stream(spark, f"{out}/in", 1), f"{out}/archive", f"{out}/_checkpoint",
+                              files_per_date=1).awaitTermination()
+        archive.compact(spark, f"{out}/archive", _dt.date(2024, 1, before))
+    archive.tidy(spark, f"{out}/archive")
+    return archive.read_archive(spark, f"{out}/archive")
+
+
 def _exported_v_ventas(spark: SparkSession, d: str) -> DataFrame:
     """B3 round trip: the sales view written as gzip text without header by
     the view-export sink, read back with the view's schema."""
@@ -481,6 +499,32 @@ def _rerun_empty_day(spark: SparkSession, d: str) -> DataFrame:
     return spark.table(f"{cfg.gold_db}.transacciones_curated").select(*TRANSACCION_COLUMNS)
 
 
+def _optional_riesgos(spark: SparkSession, d: str) -> DataFrame:
+    """A3: a landing without the risk file; rows of each bronze dataset that the
+    day then has."""
+    cfg = _lake(spark, "optional")
+    _contratos(spark, d).write.option("header", True).csv(f"{cfg.landing}/contratos.csv")
+    jobs.ingest_bronze(spark, cfg, RUN_DATE)
+    found = [n for n in ("transacciones", "proveedores", "clientes", "riesgos_precios")
+             if versions.current(spark, cfg.bronze_path(n))]
+    rows = [read_partition(spark, cfg.bronze_path(n), RUN_DATE, schema=BRONZE_SCHEMAS[n]).select(
+        F.lit(n).alias("dataset")) for n in found]
+    return reduce(DataFrame.unionByName, rows).groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _gated_warehouse(spark: SparkSession, d: str) -> DataFrame:
+    """The first day is loaded; on the second, with other amounts, the load is
+    disabled, so the warehouse and its views stay as they were."""
+    cfg = _lake(spark, "gate")
+    landed = _landed(spark, d)
+    for day, lines, enabled in ((RUN_DATE, landed, True),
+                                (DAY_2, landed.withColumn("cantidad_kwh", F.lit("0")), False)):
+        jobs.ingest_bronze(spark, cfg, day, contratos=lines)
+        jobs.curate_transacciones(spark, cfg, day)
+        jobs.load_warehouse(spark, replace(cfg, warehouse_enabled=enabled), day)
+    return spark.table(f"{cfg.dwh_gold_db}.transacciones").drop("load_date")
+
+
 def _two_halves(spark: SparkSession, d: str, name: str, days, **options) -> LakeConfig:
     """A delta lake with validation: purchases come in on the first day, all other
     lines on the second; ids given twice fall on both. ``days``: in what order."""
@@ -677,6 +721,9 @@ QUERIES.update({
     "streamed_alerts": _streamed_alerts,
     "streamed_flat": _streamed_flat,
     "archived_events": _archived_events,
+    "archive_compacted": _archive_compacted,
+    "optional_riesgos": _optional_riesgos,
+    "gated_warehouse": _gated_warehouse,
     "exported_v_ventas": _exported_v_ventas,
     "exported_transacciones_csv": _exported_transacciones_csv,
 })
@@ -716,6 +763,12 @@ SELECT event_id, ts, user_id, event_type, value,
 FROM events""",
 })
 
+ORACLE_SQL["archive_compacted"] = ORACLE_SQL["archived_events"]
+ORACLE_SQL["gated_warehouse"] = ORACLE_SQL["transacciones_curated"]
+ORACLE_SQL["optional_riesgos"] = f"""{_CTE}
+SELECT 'transacciones' AS dataset, count(*) AS n_rows FROM tx
+UNION ALL SELECT 'proveedores', count(*) FROM pv
+UNION ALL SELECT 'clientes', count(*) FROM cl"""
 ORACLE_SQL["streamed_alerts"] = ORACLE_SQL["stream_enriched_alerts"]
 ORACLE_SQL["exported_v_ventas"] = ORACLE_SQL["v_ventas"]
 ORACLE_SQL["lake_transacciones"] = ORACLE_SQL["stamped_transacciones"]

@@ -106,7 +106,11 @@ def details(spark: SparkSession, root: str, version: Version) -> dict:
 
 
 def new_version(spark: SparkSession, root: str, day: _dt.date, written: StructType) -> Version:
-    now = current(spark, root).get(day)
+    return following(current(spark, root).get(day), day, written)
+
+
+def following(now: Version | None, day: _dt.date, written: StructType) -> Version:
+    """The version of ``day`` after ``now``, not committed yet."""
     columns = hashlib.sha256(written.json().encode()).hexdigest()[:12]
     return Version(day, now.number + 1 if now else 1, uuid.uuid4().hex[:8], columns)
 
