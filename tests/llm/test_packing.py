@@ -133,3 +133,11 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     found = packing.pack_documents(fixtures.documents(spark, rows), capacity=8).collect()
     assert len(found) == 5 and check_layout(found, 8) == math.ceil(sum(r.length for r in found) / 8)
     assert packing.pack_documents(fixtures.documents(spark, [])).count() == 0
+
+
+def test_first_ranks_over_blocks(spark):
+    rows = [(length, b, (7 * b + length) % 5 + 1) for length in (3, 2048) for b in range(40)]
+    counts = spark.createDataFrame(rows, "length long, bucket long, count long")
+    for size in (1, 4, 1000):
+        found = {(r.length, r.bucket): r.first for r in packing.first_ranks(counts, size).collect()}
+        assert found == {(n, b): sum(c for m, a, c in rows if m == n and a < b) for n, b, _ in rows}

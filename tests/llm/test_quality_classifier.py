@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -40,6 +42,64 @@ def test_slopes_are_those_of_the_likelihood():
     assert abs((-np.log(p(s + e)) + np.log(p(s - e))) / (2 * e) - (above + beyond - 1)) < 1e-6
 
 
+def plain_fit(rows, grades, bits, passes, seed=7):
+    """The same training with loops over rows and features."""
+    top = max(grades)
+    size = 1 << bits
+    w, w_square = [0.0] * size, [1e-8] * size
+    cuts, cut_square = [-2 + 2 * k / max(1, top - 1) for k in range(top)], [1e-8] * top
+    mean, mean_cuts, later = [0.0] * size, [0.0] * top, passes - passes // 2
+    rng = np.random.default_rng(seed)
+    tail = lambda x: 1 / (1 + math.exp(-min(40.0, max(-40.0, x))))
+    for done in range(passes):
+        order = rng.permutation(len(rows)).tolist()
+        for at in range(0, len(order), qc.BATCH):
+            part = order[at:at + qc.BATCH]
+            gradient, pull = {}, [0.0] * top
+            for k in part:
+                score, y = sum(w[i] for i in rows[k]), grades[k]
+                p, q = (tail(score - cuts[y - 1]) if y else 1.0), (tail(score - cuts[y]) if y < top else 0.0)
+                chance = max(p - q, 1e-9)
+                slope = p + q - 1  # see the test above; the quotient fails where both tails are 1
+                for i in rows[k]:
+                    gradient[i] = gradient.get(i, 0.0) + slope / len(part)
+                if y:
+                    pull[y - 1] += p * (1 - p) / chance / len(part)
+                if y < top:
+                    pull[y] -= q * (1 - q) / chance / len(part)
+            for i, g in gradient.items():
+                w_square[i] += g * g
+                step = qc.STEP / math.sqrt(w_square[i])
+                moved = w[i] - step * g
+                w[i] = math.copysign(max(abs(moved) - step * qc.L1, 0.0), moved)
+            for j in range(top):
+                cut_square[j] += pull[j] ** 2
+                cuts[j] -= qc.STEP * pull[j] / math.sqrt(cut_square[j])
+            for j in range(1, top):
+                cuts[j] = max(cuts[j], cuts[j - 1] + qc.LEAST_GAP)
+        if done >= passes // 2:
+            mean, mean_cuts = [a + b for a, b in zip(mean, w)], [a + b for a, b in zip(mean_cuts, cuts)]
+    return [a / later for a in mean], [a / later for a in mean_cuts]
+
+
+def test_fit_equals_a_plain_one(spark, monkeypatch):
+    """Weights, thresholds and what follows for every text, from the Spark training
+    and from loops over the same rated documents."""
+    monkeypatch.setattr(qc, "SEEN_ROWS", 1500)
+    docs = fixtures.documents(spark)
+    rated = [(i, k % 3) for k, (i, text) in enumerate(fixtures.texts()) if i not in (7, 9)]
+    model = qc.train(docs, spark.createDataFrame(rated, "id long, grade int"))
+    texts = {i: (t or "").encode() for i, t in fixtures.texts()}
+    stored = sorted((i, np.array(qc.features(texts[i]), np.int32).tobytes(), g) for i, g in rated)
+    rows, grades = [np.frombuffer(f, np.int32).tolist() for _, f, _ in stored], [g for *_, g in stored]
+    weights, cuts = plain_fit(rows, grades, qc.HASH_BITS, math.ceil(1500 / len(rows)))
+    assert np.allclose(model.weights, weights, atol=1e-4) and np.allclose(model.thresholds, cuts, atol=1e-6)
+    want = {i: sum(1 / (1 + math.exp(-(sum(weights[k] for k in qc.features(t)) - c))) for c in cuts)
+            for i, t in texts.items()}
+    for r in qc.classify(docs, model).collect():
+        assert abs(r.expected_grade - want[r.doc_id]) < 1e-2
+
+
 def test_tails_are_ordered_and_score_matches_features(spark):
     model = qc.OrdinalModel(np.random.default_rng(1).normal(size=1 << 10).astype(np.float32), np.array([-1.0, 2.0]), 10)
     for _, text in fixtures.texts():

@@ -1,7 +1,9 @@
 """Connected components of a link table, by alternating large-star and
 small-star steps. Every step is a grouped minimum (combined before the
-shuffle) and a join, so no neighbourhood is ever gathered in one place; each
-round is written to the shared folder, so lost executors cost one round."""
+shuffle) and a join back to the links. That join shuffles on the node: the leaves
+of a very large star meet in one partition, which skew handling splits while the
+job runs (in a session without it, one task streams them). Each round is written
+to the shared folder, so lost executors cost one round."""
 
 from __future__ import annotations
 

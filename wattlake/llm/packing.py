@@ -1,22 +1,21 @@
-"""Best-fit packing of tokenised documents into sequences, in bulk-synchronous
-steps.
+"""Best-fit packing of tokenised documents into sequences.
 
 Documents are tokenised in place (no text is moved) and cut into pieces of at
 most ``capacity`` tokens.  Piece lengths and gaps are whole numbers up to
-``capacity``, so a range sort by size puts pieces and gaps into at most
-``capacity`` classes whose members are interchangeable.  Each step takes the
-pieces of one length, longest first; a successor sweep over the gap classes
-finds the smallest gap that holds them, filling each gap as often as the length
-fits; pieces that claim the same gap class are told apart by rank, the k-th
-piece taking the k-th place; the gaps shrink and the next step begins.  What
-finds no gap opens new sequences.  The result is that of best-fit decreasing.
+``capacity``, so pieces and gaps fall into at most ``capacity`` classes whose
+members are interchangeable, and matching needs their counts only.  It is one
+serial loop on the driver (``plan``), not distributed sweeps: the pieces of one
+length at a time, longest first, go to the smallest gap that holds them, filling
+each gap as often as the length fits; the k-th piece of a length takes the k-th
+place; gaps shrink; what finds no gap opens new sequences.  The result is that of
+best-fit decreasing.
 
 Only class counts reach the driver (at most ``capacity`` numbers); the step
 table that goes back holds rank intervals, whose number depends on the
 capacity and not on the data.  Pieces find their rank in parallel: a hash
-deals each length over as many buckets as its count asks for, bucket counts
-give each bucket's first rank, and pieces are numbered within their bucket
-only.
+deals each length over as many buckets as its count asks for, pieces are
+numbered within their bucket only, and counts of buckets and of blocks of
+buckets give each bucket's first rank.
 
 Defined results: null text is empty, so one end token; ids may be null or
 repeat, each row is packed for itself; an empty table gives an empty result.
@@ -44,7 +43,8 @@ from wattlake.llm import common
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-BUCKET_ROWS = 1000
+#: Pieces of a bucket, buckets of a block: one task numbers so many at a time.
+BUCKET_ROWS = BLOCK_BUCKETS = 1000
 #: Words and word bodies whose ids a worker remembers, and the longest in bytes.
 CACHED_WORDS, CACHED_BODIES, CACHED_BYTES = 500_000, 600_000, 64
 #: Fixed value: how the tokenizer's tokens end a word. Words encoded in one string.
@@ -226,6 +226,18 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return sorted(steps)
 
 
+def first_ranks(counts: DataFrame, block_buckets: int = BLOCK_BUCKETS) -> DataFrame:
+    """``counts`` (length, bucket, count) -> (length, bucket, first): how many
+    pieces of the length lie in buckets before. Summed within blocks of buckets,
+    and over the blocks of a length, which are its rows / 1,000,000."""
+    blocks = counts.withColumn("block", F.floor(F.col("bucket") / block_buckets))
+    before = lambda n, *by: F.sum(n).over(Window.partitionBy("length", *by[:-1]).orderBy(by[-1])) - F.col(n)
+    totals = blocks.groupBy("length", "block").agg(F.sum("count").alias("total"))
+    return blocks.withColumn("within", before("count", "block", "bucket")).join(
+        totals.select("length", "block", before("total", "block").alias("passed")), ["length", "block"]).select(
+        "length", "bucket", (F.col("passed") + F.col("within")).alias("first"))
+
+
 def pack(cut: DataFrame, capacity: int = CAPACITY, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``cut`` (as of ``pieces``) with sequence_id and offset."""
     spark = cut.sparkSession
@@ -236,9 +248,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, bucket_rows: int = BUCKET_ROW
                                     "length bigint, buckets bigint")
     dealt = cut.join(F.broadcast(buckets), "length").withColumn(
         "bucket", F.pmod(F.xxhash64("id", "piece", "start", "ids_crc32"), F.col("buckets")))
-    first = dealt.groupBy("length", "bucket").count().select(
-        "length", "bucket", (F.sum("count").over(Window.partitionBy("length").orderBy("bucket"))
-                             - F.col("count")).alias("first"))
+    first = first_ranks(dealt.groupBy("length", "bucket").count())
     ranked = dealt.withColumn("nth", F.row_number().over(
         Window.partitionBy("length", "bucket").orderBy("id", "piece")) - 1).join(
         first, ["length", "bucket"]).select(
