@@ -9,6 +9,9 @@ from dataclasses import dataclass
 OVERWRITE_PARTITIONS = "overwrite_partitions"  # idempotent re-run of one run_date
 APPEND = "append"                              # the original append-every-run behaviour
 
+# Fixed value: codec of every Parquet file that the lake and the warehouse write.
+PARQUET_CODEC = "zstd"
+
 
 @dataclass(frozen=True)
 class LakeConfig:

@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.config import LakeConfig
+from wattlake.config import PARQUET_CODEC, LakeConfig
 from wattlake.functions import stamp
 from wattlake.operators import aggregates, bronze, curated, exports, views
 from wattlake.plans import zone
@@ -43,9 +43,13 @@ def _current(cfg: LakeConfig, run_date: _dt.date) -> str | None:
 
 # ---- G1 bronze ------------------------------------------------------------
 def ingest_bronze(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | None = None,
-                  contratos: DataFrame | None = None, riesgos: DataFrame | None = None) -> list[str]:
+                  contratos: DataFrame | None = None, riesgos: DataFrame | None = None,
+                  is_table: bool = False) -> list[str]:
     """Landing contract/risk text -> typed bronze datasets for ``run_date``.
 
+    ``is_table``: the given ``contratos`` is read from a written table, by column,
+    so no staging copy is made of it.
+
     A missing landing file skips its datasets; a contract file lacking the
     columns of a split skips that split.
     """
@@ -57,10 +61,10 @@ def ingest_bronze(spark: SparkSession, cfg: LakeConfig, run_date: _dt.date | Non
     written: list[str] = []
     if contratos is not None:
         cached, staged = False, None
-        shared = len(bronze.split_contratos(contratos)) > 1   # schema-only check
+        shared = not is_table and len(bronze.split_contratos(contratos)) > 1   # schema-only check
         if shared and cfg.landing_staging == "parquet":
             staged = f"{cfg.bronze}/_staging/contratos/run_date={run_date.isoformat()}"
-            contratos.write.mode("overwrite").parquet(staged)
+            contratos.write.mode("overwrite").parquet(staged, compression=PARQUET_CODEC)
             contratos = spark.read.parquet(staged)
         elif shared and cfg.landing_staging == "persist":
             contratos.persist(StorageLevel.MEMORY_AND_DISK)

@@ -73,7 +73,7 @@ def _curated_tx(spark, d):
 def _landed(spark, d):
     """The landing frame written once, for queries that use it more than once."""
     path = scratch_path(spark, "landed")
-    _contratos(spark, d).write.parquet(path)
+    pq.write_dataset(_contratos(spark, d), path)
     return spark.read.schema(CONTRATOS_RAW).parquet(path)
 
 
@@ -352,12 +352,18 @@ def _riesgos(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("clientes "), F.count(F.lit(1))).alias("comentario"))
 
 
+def _write_landing(df: DataFrame, path: str) -> None:
+    """Landing lines as compressed CSV text with a header, a file a task."""
+    (df.write.mode("overwrite").option("header", True).option("compression", "gzip")
+       .option("zlib.compress.level", "BEST_SPEED").csv(path))
+
+
 def _landing_lake(spark: SparkSession, d: str, name: str, contracts: str = "contratos.csv", **options) -> LakeConfig:
     """A lake whose landing holds the derived contract and risk lines as CSV
     text with a header."""
     cfg = _lake(spark, name, **options)
     for df, file in ((_contratos(spark, d), contracts), (_riesgos(spark, d), "riesgos_precios.csv")):
-        df.write.mode("overwrite").option("header", True).csv(f"{cfg.landing}/{file}")
+        _write_landing(df, f"{cfg.landing}/{file}")
     return cfg
 
 
@@ -411,7 +417,7 @@ def _energy_totals_two_days(spark: SparkSession, d: str) -> DataFrame:
     cfg = _lake(spark, "totals")
     landed = _landed(spark, d)
     for day in (RUN_DATE, DAY_2):
-        jobs.ingest_bronze(spark, cfg, day, contratos=landed)
+        jobs.ingest_bronze(spark, cfg, day, contratos=landed, is_table=True)
         jobs.aggregate_transacciones(spark, cfg, day)
         jobs.energy_totals(spark, cfg, day)
     return read_dataset(spark, cfg.gold_path("analytics/tipo_energia"))
@@ -423,7 +429,7 @@ def _energy_totals_delta(spark: SparkSession, d: str) -> DataFrame:
     landed = _landed(spark, d)
     first = F.coalesce(F.col("id_transaccion"), F.lit("")) < "3"
     for day, part in ((RUN_DATE, landed.where(first)), (DAY_2, landed.where(~first))):
-        jobs.ingest_bronze(spark, cfg, day, contratos=part)
+        jobs.ingest_bronze(spark, cfg, day, contratos=part, is_table=True)
         jobs.aggregate_transacciones(spark, cfg, day)
         jobs.energy_totals(spark, cfg, day)
     return read_dataset(spark, cfg.gold_path("analytics/tipo_energia"))
@@ -441,7 +447,7 @@ def _clientes_restated_day(spark: SparkSession, d: str) -> DataFrame:
     cfg = _lake(spark, "restated")
     landed = _landed(spark, d)
     for day, digits, gold in ((RUN_DATE, "01", True), (DAY_2, "234", True), (RUN_DATE, "0156", False), (DAY_3, "789", True)):
-        jobs.ingest_bronze(spark, cfg, day, contratos=landed.where(_clients_ending(*digits)))
+        jobs.ingest_bronze(spark, cfg, day, contratos=landed.where(_clients_ending(*digits)), is_table=True)
         if gold:
             jobs.curate_clientes(spark, cfg, day)
     return read_partition(spark, cfg.gold_path("clientes"), DAY_3).select("cliente_proveedor", "tipo_cliente", "ciudad")
@@ -454,7 +460,7 @@ def _clientes_latest_day(spark: SparkSession, d: str) -> DataFrame:
     landed = _landed(spark, d)
     later = landed.where(_clients_ending(*"13579")).withColumn("tipo_cliente", F.lit("agente"))
     for day, df in ((RUN_DATE, landed), (DAY_2, later)):
-        jobs.ingest_bronze(spark, cfg, day, contratos=df)
+        jobs.ingest_bronze(spark, cfg, day, contratos=df, is_table=True)
         jobs.curate_clientes(spark, cfg, day)
     return read_partition(spark, cfg.gold_path("clientes"), DAY_2).select("cliente_proveedor", "tipo_cliente", "ciudad")
 
@@ -466,7 +472,7 @@ def _clientes_schema_drift(spark: SparkSession, d: str) -> DataFrame:
     landed = _landed(spark, d)
     for day, df in ((RUN_DATE, landed.where(_clients_ending(*"01234")).drop("ciudad")),
                     (DAY_2, landed.where(_clients_ending(*"56789")))):
-        jobs.ingest_bronze(spark, cfg, day, contratos=df)
+        jobs.ingest_bronze(spark, cfg, day, contratos=df, is_table=True)
         jobs.curate_clientes(spark, cfg, day)
         jobs.register_layers(spark, cfg, day)
     return spark.table(f"{cfg.gold_db}.clientes").where(F.col("day") == DAY_2.day).select(
@@ -493,7 +499,7 @@ def _rerun_empty_day(spark: SparkSession, d: str) -> DataFrame:
     landed = _landed(spark, d)
     late = F.coalesce("id_transaccion", F.lit("")) >= "3"
     for day, df in ((RUN_DATE, landed.where(~late)), (DAY_2, landed.where(late)), (DAY_2, landed.limit(0))):
-        jobs.ingest_bronze(spark, cfg, day, contratos=df)
+        jobs.ingest_bronze(spark, cfg, day, contratos=df, is_table=True)
         jobs.curate_transacciones(spark, cfg, day)
         jobs.register_layers(spark, cfg, day)
     return spark.table(f"{cfg.gold_db}.transacciones_curated").select(*TRANSACCION_COLUMNS)
@@ -519,7 +525,7 @@ def _gated_warehouse(spark: SparkSession, d: str) -> DataFrame:
     landed = _landed(spark, d)
     for day, lines, enabled in ((RUN_DATE, landed, True),
                                 (DAY_2, landed.withColumn("cantidad_kwh", F.lit("0")), False)):
-        jobs.ingest_bronze(spark, cfg, day, contratos=lines)
+        jobs.ingest_bronze(spark, cfg, day, contratos=lines, is_table=True)
         jobs.curate_transacciones(spark, cfg, day)
         jobs.load_warehouse(spark, replace(cfg, warehouse_enabled=enabled), day)
     return spark.table(f"{cfg.dwh_gold_db}.transacciones").drop("load_date")
@@ -532,7 +538,7 @@ def _two_halves(spark: SparkSession, d: str, name: str, days, **options) -> Lake
     landed = _landed(spark, d)
     bought = F.col("tipo_transaccion") == "Compra"
     for day in days:
-        jobs.ingest_bronze(spark, cfg, day, contratos=landed.where(bought if day == RUN_DATE else ~bought))
+        jobs.ingest_bronze(spark, cfg, day, contratos=landed.where(bought if day == RUN_DATE else ~bought), is_table=True)
     return cfg
 
 
@@ -552,32 +558,35 @@ def _zone_unique_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _incremental_restated_file(spark: SparkSession, d: str) -> DataFrame:
-    """Four landing files come in with wrong amounts and are written again
-    under their names; the next intake restates the first day."""
+    """Landing files, one for each range of lines that a task reads, come in
+    with wrong amounts and are written again under their names; the next intake
+    restates the first day."""
     cfg = _lake(spark, "ledger", landing_content="delta", intake="ledger")
     landed = _landed(spark, d)
     sold = landed.where("tipo_transaccion = 'VENTA'")
-    rest = landed.where("tipo_transaccion <> 'VENTA'").repartition(4, "id_transaccion", "nombre_proveedor", "fecha_contrato")
-    sold.write.option("header", True).csv(f"{cfg.landing}/contratos/ventas")
-    rest.withColumn("cantidad_kwh", F.lit("0")).write.option("header", True).csv(f"{cfg.landing}/contratos/otros")
+    rest = landed.where("tipo_transaccion <> 'VENTA'")
+    _write_landing(sold, f"{cfg.landing}/contratos/ventas")
+    _write_landing(rest.withColumn("cantidad_kwh", F.lit("0")), f"{cfg.landing}/contratos/otros")
     intake.ingest_bronze_ledger(spark, cfg, RUN_DATE)
-    rest.write.option("header", True).csv(f"{cfg.root}/again")
+    _write_landing(rest, f"{cfg.root}/again")
     _replace_files(spark, f"{cfg.root}/again", f"{cfg.landing}/contratos/otros")
     intake.ingest_bronze_ledger(spark, cfg, DAY_2)
     return read_dataset(spark, cfg.bronze_path("transacciones"), BRONZE_SCHEMAS["transacciones"])
 
 
 def _replace_files(spark: SparkSession, new: str, old: str) -> None:
-    """Move each file of one folder over that of another with the same part number."""
+    """Move each file of one folder over that of another with the same part number.
+    Every file must find its fellow: one left behind would keep its lines twice."""
     sc = spark.sparkContext
     fs = (path := sc._jvm.org.apache.hadoop.fs.Path)(old).getFileSystem(sc._jsc.hadoopConfiguration())
-    part = lambda f: f.getPath().getName()[:10]
-    names = {part(f): f.getPath() for f in fs.listStatus(path(old)) if f.getPath().getName().startswith("part-")}
-    for f in fs.listStatus(path(new)):
-        if f.getPath().getName().startswith("part-"):
-            target = names.get(part(f), path(f"{old}/{f.getPath().getName()}"))
-            fs.delete(target, False)
-            fs.rename(f.getPath(), target)
+    parts = lambda at: {f.getPath().getName()[:10]: f.getPath() for f in fs.listStatus(path(at))
+                        if f.getPath().getName().startswith("part-")}
+    found, names = parts(new), parts(old)
+    if found.keys() != names.keys():
+        raise ValueError(f"{new} and {old} have different part files")
+    for part, target in names.items():
+        fs.delete(target, False)
+        fs.rename(found[part], target)
 
 
 def _registered(spark: SparkSession, d: str, name: str) -> LakeConfig:
@@ -585,7 +594,7 @@ def _registered(spark: SparkSession, d: str, name: str) -> LakeConfig:
     cfg = _lake(spark, name)
     landed = _landed(spark, d)
     for day in (RUN_DATE, DAY_2):
-        jobs.ingest_bronze(spark, cfg, day, contratos=landed)
+        jobs.ingest_bronze(spark, cfg, day, contratos=landed, is_table=True)
         jobs.register_layers(spark, cfg, day)
         jobs.create_views(spark, cfg, day)
     return cfg
@@ -631,7 +640,7 @@ def _warehouse_two_days(spark: SparkSession, d: str) -> LakeConfig:
     cfg = _lake(spark, "warehouse", export_limit=EXPORT_LIMIT)
     landed = _landed(spark, d)
     for day in (RUN_DATE, DAY_2, DAY_2):
-        jobs.ingest_bronze(spark, cfg, day, contratos=landed)
+        jobs.ingest_bronze(spark, cfg, day, contratos=landed, is_table=True)
         jobs.curate_transacciones(spark, cfg, day)
         jobs.curate_proveedores(spark, cfg, day)
         jobs.load_warehouse(spark, cfg, day)

@@ -19,7 +19,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 
-from wattlake.config import APPEND, OVERWRITE_PARTITIONS
+from wattlake.config import APPEND, OVERWRITE_PARTITIONS, PARQUET_CODEC
 from wattlake.schemas import PARTITION_COLUMNS
 from wattlake.sources import versions
 
@@ -33,10 +33,10 @@ def write_day(df: DataFrame, root: str, day: _dt.date, mode: str = OVERWRITE_PAR
     spark, rows = df.sparkSession, df.drop(*PARTITION_COLUMNS)
     now = versions.current(spark, root).get(day)
     if mode == APPEND and now is not None:
-        rows.write.mode("append").parquet(now.folder(root))
+        rows.write.mode("append").parquet(now.folder(root), compression=PARQUET_CODEC)
         return now
     version = versions.new_version(spark, root, day, rows.schema)
-    rows.write.parquet(version.folder(root))
+    rows.write.parquet(version.folder(root), compression=PARQUET_CODEC)
     versions.commit(spark, root, version, rows.schema, inputs)
     return version
 
@@ -51,9 +51,9 @@ def write_partitioned(df: DataFrame, path: str, mode: str = OVERWRITE_PARTITIONS
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         raise ValueError(f"unknown write mode {mode!r}")
-    w.parquet(path)
+    w.parquet(path, compression=PARQUET_CODEC)
 
 
 def write_dataset(df: DataFrame, path: str) -> None:
     """Unpartitioned dataset, replaced as a whole."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=PARQUET_CODEC)

@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.config import LakeConfig
+from wattlake.config import PARQUET_CODEC, LakeConfig
 from wattlake.functions import require_columns
 from wattlake.schemas import DWH_AGG_DDL, DWH_PROVEEDORES_DDL, DWH_TRANSACCIONES_DDL
 
@@ -37,7 +37,8 @@ def create_warehouse(spark: SparkSession, cfg: LakeConfig) -> list[str]:
     for name, ddl in warehouse_tables(cfg).items():
         db, tbl = name.split(".")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl.rstrip()}, {LOAD_DATE} DATE) "
-                  f"USING PARQUET PARTITIONED BY ({LOAD_DATE}) LOCATION '{cfg.dwh}/{db}/{tbl}'")
+                  f"USING PARQUET OPTIONS (compression '{PARQUET_CODEC}') PARTITIONED BY ({LOAD_DATE}) "
+                  f"LOCATION '{cfg.dwh}/{db}/{tbl}'")
         names.append(name)
     return names
 
