@@ -92,7 +92,8 @@ def ingest_bronze_ledger(spark: SparkSession, cfg: LakeConfig, run_date: _dt.dat
                  .select(*CONTRATOS_COLUMNS, F.col("_metadata.file_path").alias("file")))
         before = read_partition(spark, lines_path(cfg), day, optional=True)
         if before is not None and versions.current(spark, lines_path(cfg)).get(day):
-            kept = before.join(changed.select("file"), "file", "left_anti").select(*CONTRATOS_COLUMNS, "file")
+            # as few as ``paths``: the lines stay where they are, whatever files they came from
+            kept = before.join(F.broadcast(changed.select("file")), "file", "left_anti").select(*CONTRATOS_COLUMNS, "file")
             lines = lines.unionByName(kept)
         pq.write_day(stamp(lines, day), lines_path(cfg), day)
         held = read_partition(spark, lines_path(cfg), day).select(*CONTRATOS_COLUMNS)
