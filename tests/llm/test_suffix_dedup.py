@@ -122,3 +122,16 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert run(fixtures.documents(spark, [fixtures.row(1, None)]))[0].n_bytes == 0
     shorter = [fixtures.row(4, text), fixtures.row(4, "short"), fixtures.row(6, text + "y"), fixtures.row(6, other)]
     assert len(run(fixtures.documents(spark, shorter), length=50)) == 4
+
+
+def test_passage_of_over_50_words_in_under_400_bytes(spark):
+    """Bytes decide, not words: 399 shared bytes stay, 400 go, and a smaller length takes the 399 too."""
+    passage = " ".join(f"{k:06}" for k in range(57))
+    assert len(passage) == 398 and len(passage.split()) > 50
+    shares_399 = [(1, "1 " + passage + "x"), (2, "2 " + passage + "y")]
+    shares_400 = [*shares_399, (3, "3 " + passage + "y")]
+    docs = fixtures.documents(spark, [fixtures.row(*t) for t in shares_399])
+    assert {r.doc_id: r.n_removed for r in run(docs)} == {1: 0, 2: 0}
+    assert {r.doc_id: r.n_removed for r in run(docs, length=399)} == {1: 399, 2: 399}
+    rows = run(fixtures.documents(spark, [fixtures.row(*t) for t in shares_400]))
+    assert {r.doc_id: r.n_removed for r in rows} == {1: 0, 2: 400, 3: 400} and digest(rows) == by_hand(shares_400, 400)
