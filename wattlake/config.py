@@ -11,6 +11,10 @@ APPEND = "append"                              # the original append-every-run b
 
 # Fixed value: codec of every Parquet file that the lake and the warehouse write.
 PARQUET_CODEC = "zstd"
+# How datasets of the lake and the warehouse are written. Of text
+# with ever new values, such as ids, version 2 keeps only what differs from the
+# value before.
+PARQUET_OPTIONS = {"compression": PARQUET_CODEC, "parquet.writer.version": "v2"}
 
 
 @dataclass(frozen=True)
@@ -58,6 +62,10 @@ class LakeConfig:
     quarantine: bool = False
     # Buckets of the index of accepted ids: about its bytes / 128 MB.
     index_buckets: int = 16
+    # Versions of a day that a write leaves, the new one included; None: all,
+    # until ``versions.expire``. With a number, nobody may still read an older
+    # version, nor a catalog table that was not registered again since.
+    keep_versions: int | None = None
     # Landing intake of the daily run: "batch" reads the landing contract
     # file; "incremental" streams only contract files not seen before (exactly
     # once); "ledger" takes new files, and files written again under their

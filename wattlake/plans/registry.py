@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.functions import stamp
-from wattlake.session import scratch_path
+from wattlake.session import scratch_path, shuffles_freed
 from wattlake.operators import aggregates, bronze, curated, detection, exports, quality, sensitive, views
 from wattlake.sources.driver_tables import CONTRATOS_SQL, contratos_from_tables, table
 from wattlake.sinks import parquet as pq
@@ -73,7 +73,8 @@ def _curated_tx(spark, d):
 def _landed(spark, d):
     """The landing frame written once, for queries that use it more than once."""
     path = scratch_path(spark, "landed")
-    pq.write_dataset(_contratos(spark, d), path)
+    with shuffles_freed(spark):
+        pq.write_dataset(_contratos(spark, d), path)
     return spark.read.schema(CONTRATOS_RAW).parquet(path)
 
 
@@ -636,8 +637,9 @@ def _pruned_days(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _warehouse_two_days(spark: SparkSession, d: str) -> LakeConfig:
-    """B6 on two days and a re-run, over the same landing."""
-    cfg = _lake(spark, "warehouse", export_limit=EXPORT_LIMIT)
+    """B6 on two days and a re-run, over the same landing. Nobody else reads this
+    lake, so what the re-run replaces need not stay."""
+    cfg = _lake(spark, "warehouse", export_limit=EXPORT_LIMIT, keep_versions=1)
     landed = _landed(spark, d)
     for day in (RUN_DATE, DAY_2, DAY_2):
         jobs.ingest_bronze(spark, cfg, day, contratos=landed, is_table=True)

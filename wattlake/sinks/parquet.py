@@ -19,25 +19,28 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 
-from wattlake.config import APPEND, OVERWRITE_PARTITIONS, PARQUET_CODEC
+from wattlake.config import APPEND, OVERWRITE_PARTITIONS, PARQUET_OPTIONS
 from wattlake.schemas import PARTITION_COLUMNS
 from wattlake.sources import versions
 
 
 def write_day(df: DataFrame, root: str, day: _dt.date, mode: str = OVERWRITE_PARTITIONS,
-              inputs: dict | None = None) -> versions.Version:
+              inputs: dict | None = None, keep: int | None = None) -> versions.Version:
     """Replace ``day`` of the dataset by ``df`` in one step. ``inputs``: the
-    versions of other datasets that the rows were made from, by dataset."""
+    versions of other datasets that the rows were made from, by dataset. ``keep``:
+    so many versions of the day stay; None: all."""
     if mode not in (APPEND, OVERWRITE_PARTITIONS):
         raise ValueError(f"unknown write mode {mode!r}")
     spark, rows = df.sparkSession, df.drop(*PARTITION_COLUMNS)
     now = versions.current(spark, root).get(day)
     if mode == APPEND and now is not None:
-        rows.write.mode("append").parquet(now.folder(root), compression=PARQUET_CODEC)
+        rows.write.mode("append").options(**PARQUET_OPTIONS).parquet(now.folder(root))
         return now
     version = versions.new_version(spark, root, day, rows.schema)
-    rows.write.parquet(version.folder(root), compression=PARQUET_CODEC)
+    rows.write.options(**PARQUET_OPTIONS).parquet(version.folder(root))
     versions.commit(spark, root, version, rows.schema, inputs)
+    if keep is not None:
+        versions.expire(spark, root, keep, day)
     return version
 
 
@@ -51,9 +54,9 @@ def write_partitioned(df: DataFrame, path: str, mode: str = OVERWRITE_PARTITIONS
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         raise ValueError(f"unknown write mode {mode!r}")
-    w.parquet(path, compression=PARQUET_CODEC)
+    w.options(**PARQUET_OPTIONS).parquet(path)
 
 
 def write_dataset(df: DataFrame, path: str) -> None:
     """Unpartitioned dataset, replaced as a whole."""
-    df.write.mode("overwrite").parquet(path, compression=PARQUET_CODEC)
+    df.write.mode("overwrite").options(**PARQUET_OPTIONS).parquet(path)

@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.config import PARQUET_CODEC, LakeConfig
+from wattlake.config import PARQUET_OPTIONS, LakeConfig
 from wattlake.functions import require_columns
 from wattlake.schemas import DWH_AGG_DDL, DWH_PROVEEDORES_DDL, DWH_TRANSACCIONES_DDL
 
@@ -33,11 +33,12 @@ def create_warehouse(spark: SparkSession, cfg: LakeConfig) -> list[str]:
     that day instead of appending it twice."""
     for db in (cfg.dwh_gold_db, cfg.dwh_analytics_db):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{cfg.dwh}/{db}'")
+    options = ", ".join(f"{k} '{v}'" for k, v in PARQUET_OPTIONS.items())
     names = []
     for name, ddl in warehouse_tables(cfg).items():
         db, tbl = name.split(".")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl.rstrip()}, {LOAD_DATE} DATE) "
-                  f"USING PARQUET OPTIONS (compression '{PARQUET_CODEC}') PARTITIONED BY ({LOAD_DATE}) "
+                  f"USING PARQUET OPTIONS ({options}) PARTITIONED BY ({LOAD_DATE}) "
                   f"LOCATION '{cfg.dwh}/{db}/{tbl}'")
         names.append(name)
     return names

@@ -125,11 +125,15 @@ def names(versions: dict[_dt.date, Version]) -> dict[str, str]:
     return {d.isoformat(): v.name for d, v in sorted(versions.items())}
 
 
-def expire(spark: SparkSession, root: str, keep: int = 1) -> int:
-    """Remove all but the last ``keep`` versions of each day: first the entry,
-    then the data. Returns how many went."""
+def expire(spark: SparkSession, root: str, keep: int = 1, day: _dt.date | None = None) -> int:
+    """Remove all but the last ``keep`` versions of each day, or of ``day``: first
+    the entry, then the data. Returns how many went."""
+    if keep < 1:
+        raise ValueError("a day keeps its current version")
     by_day: dict[_dt.date, list[Version]] = {}
     for v in history(spark, root):
+        if day is not None and v.day != day:
+            continue
         by_day.setdefault(v.day, []).append(v)
     gone = [v for versions in by_day.values() for v in versions[:-keep]]
     for v in gone:
