@@ -10,13 +10,13 @@ import pyarrow.parquet as parquet
 import pytest
 
 from tests.conftest import SF_SMALL
-from tests.test_zone_intake_resume import config, line, lines
-from wattlake.plans import jobs, registry
+from tests.test_zone_intake_resume import config, line, lines, put
+from wattlake.plans import intake, jobs, registry
 from wattlake.session import FREE_SHUFFLES
 from wattlake.sinks import parquet as pq
 from wattlake.sources import versions
 from wattlake.sources.driver_tables import contratos_from_tables
-from wattlake.sources.lake import read_dataset
+from wattlake.sources.lake import read_dataset, read_partition
 
 D1, D2 = dt.date(2024, 6, 1), dt.date(2024, 6, 2)
 
@@ -93,3 +93,17 @@ def test_provider_lines_of_a_file_are_sorted(spark, tmp_root):
     name, = {f for f in glob.glob(f"{cfg.bronze}/transacciones/**/*.parquet", recursive=True)} & set(
         glob.glob(f"{cfg.bronze}/transacciones/**/part-00000*.parquet", recursive=True))
     assert "PLAIN_DICTIONARY" not in parquet.ParquetFile(name).metadata.row_group(0).column(0).encodings
+
+
+def test_a_restated_file_leaves_no_earlier_lines(spark, tmp_root):
+    cfg = config(tmp_root, landing_content="delta", intake="ledger", keep_versions=1)
+    put(cfg, "one.csv", line("a"), line("b"))
+    put(cfg, "two.csv", line("c"))
+    intake.ingest_bronze_ledger(spark, cfg, D1)
+    put(cfg, "one.csv", line("a", "7"), line("b", "7"), line("d", "7"))
+    intake.ingest_bronze_ledger(spark, cfg, D2)
+    for root in (intake.lines_path(cfg), cfg.bronze_path("transacciones"), cfg.bronze_path("clientes")):
+        assert _folders(root) == ["1"], root
+    got = read_partition(spark, cfg.bronze_path("transacciones"), D1).collect()
+    assert sorted((r.id_transaccion, r.cantidad_kwh) for r in got) == [("a", 7), ("b", 7), ("c", 1), ("d", 7)]
+    assert intake.ingest_bronze_ledger(spark, cfg, D2) == []

@@ -95,7 +95,7 @@ def ingest_bronze_ledger(spark: SparkSession, cfg: LakeConfig, run_date: _dt.dat
             # as few as ``paths``: the lines stay where they are, whatever files they came from
             kept = before.join(F.broadcast(changed.select("file")), "file", "left_anti").select(*CONTRATOS_COLUMNS, "file")
             lines = lines.unionByName(kept)
-        pq.write_day(stamp(lines, day), lines_path(cfg), day)
+        pq.write_day(stamp(lines, day), lines_path(cfg), day, keep=cfg.keep_versions)
         held = read_partition(spark, lines_path(cfg), day).select(*CONTRATOS_COLUMNS)
         written += [n for n in jobs.write_lines(spark, cfg, held, day) if n not in written]
     if paths:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.functions import stamp
-from wattlake.session import scratch_path, shuffles_freed
+from wattlake.session import remove_path, scratch_path, shuffles_freed
 from wattlake.operators import aggregates, bronze, curated, detection, exports, quality, sensitive, views
 from wattlake.sources.driver_tables import CONTRATOS_SQL, contratos_from_tables, table
 from wattlake.sinks import parquet as pq
@@ -70,9 +70,10 @@ def _curated_tx(spark, d):
     return curated.curate_transacciones(_tx_stamped(spark, d))
 
 
-def _landed(spark, d):
-    """The landing frame written once, for queries that use it more than once."""
-    path = scratch_path(spark, "landed")
+def _landed(spark, d, path=None):
+    """The landing frame written once, for queries that use it more than once.
+    ``path``: where, if the query removes it after its last use."""
+    path = path or scratch_path(spark, "landed")
     with shuffles_freed(spark):
         pq.write_dataset(_contratos(spark, d), path)
     return spark.read.schema(CONTRATOS_RAW).parquet(path)
@@ -561,15 +562,18 @@ def _zone_unique_ids(spark: SparkSession, d: str) -> DataFrame:
 def _incremental_restated_file(spark: SparkSession, d: str) -> DataFrame:
     """Landing files, one for each range of lines that a task reads, come in
     with wrong amounts and are written again under their names; the next intake
-    restates the first day."""
-    cfg = _lake(spark, "ledger", landing_content="delta", intake="ledger")
-    landed = _landed(spark, d)
+    restates the first day. Nobody else reads this lake, so what was restated need
+    not stay."""
+    cfg = _lake(spark, "ledger", landing_content="delta", intake="ledger", keep_versions=1)
+    path = scratch_path(spark, "landed")
+    landed = _landed(spark, d, path)
     sold = landed.where("tipo_transaccion = 'VENTA'")
     rest = landed.where("tipo_transaccion <> 'VENTA'")
     _write_landing(sold, f"{cfg.landing}/contratos/ventas")
     _write_landing(rest.withColumn("cantidad_kwh", F.lit("0")), f"{cfg.landing}/contratos/otros")
     intake.ingest_bronze_ledger(spark, cfg, RUN_DATE)
     _write_landing(rest, f"{cfg.root}/again")
+    remove_path(spark, path)                     # all of it is landing text by now
     _replace_files(spark, f"{cfg.root}/again", f"{cfg.landing}/contratos/otros")
     intake.ingest_bronze_ledger(spark, cfg, DAY_2)
     return read_dataset(spark, cfg.bronze_path("transacciones"), BRONZE_SCHEMAS["transacciones"])
